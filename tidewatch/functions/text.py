@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 # --- fixed values: patterns ---------------------------------------------------
 SPACE = r"[\s\x1c-\x1f]"
-BLANK_PATTERN = rf"(?U)^{SPACE}*\z"
+VISIBLE_PATTERN = r"(?U)[^\s\x1c-\x1f]"
 EDGE_PATTERN = rf"(?U)^{SPACE}+|{SPACE}+\z"
 RUN_PATTERN = rf"(?U){SPACE}+"
 
@@ -20,9 +20,7 @@ RUN_PATTERN = rf"(?U){SPACE}+"
 def is_blank(column: Column, dtype: T.DataType) -> Column:
     """Null, NaN, empty or whitespace only."""
     if isinstance(dtype, T.StringType):
-        # A printable ASCII first character settles nearly every value without the pattern.
-        starts_visible = F.ascii(column).between(33, 126)
-        return column.isNull() | (~starts_visible & column.rlike(BLANK_PATTERN))
+        return column.isNull() | ~column.rlike(VISIBLE_PATTERN)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return column.isNull() | F.isnan(column)
     return column.isNull()

@@ -23,21 +23,17 @@ DUPLICATE_KEY = "duplicate_unique_key"
 
 @dataclass(frozen=True)
 class Check:
-    """One yes/no question about a row; ``condition`` is never null."""
+    """One yes/no question about a row; a null ``condition`` means no."""
 
     kind: str
     field: str
     condition: Column
 
 
-def _sure(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
-
-
 def blank_checks(tables: Tables) -> list[Check]:
     """Is the value null or whitespace only? For every column the tables really have."""
     return [
-        Check(BLANK, name, _sure(tables.where_present(is_blank(F.col(name), tables.dtype(name)), name)))
+        Check(BLANK, name, tables.where_present(is_blank(F.col(name), tables.dtype(name)), name))
         for name in tables.all_columns()
     ]
 
@@ -54,11 +50,11 @@ def type_checks(tables: Tables, contract: Contract) -> list[Check]:
         if rule.datatype == "datetime":
             checks.append(
                 Check(INVALID_TIMESTAMP, rule.name,
-                      _sure(filled & to_utc_timestamp(column, dtype).isNull()))
+                      to_utc_timestamp(column, dtype).isNull() & filled)
             )
         elif rule.datatype == "numeric":
             number = to_number(column, dtype)
-            checks.append(Check(INVALID_NUMERIC, rule.name, _sure(filled & number.isNull())))
+            checks.append(Check(INVALID_NUMERIC, rule.name, number.isNull() & filled))
             limits = []
             if rule.minimum is not None:
                 limits.append(number < F.lit(rule.minimum))
@@ -66,7 +62,7 @@ def type_checks(tables: Tables, contract: Contract) -> list[Check]:
                 limits.append(number > F.lit(rule.maximum))
             if limits:
                 outside = limits[0] if len(limits) == 1 else limits[0] | limits[1]
-                checks.append(Check(OUT_OF_RANGE, rule.name, _sure(outside)))
+                checks.append(Check(OUT_OF_RANGE, rule.name, outside))
     return checks
 
 
@@ -80,7 +76,7 @@ def date_order_checks(tables: Tables, contract: Contract) -> list[Check]:
         return []
     earlier = to_utc_timestamp(F.col(rule.earlier), tables.dtype(rule.earlier))
     later = to_utc_timestamp(F.col(rule.later), tables.dtype(rule.later))
-    return [Check(DATE_ORDER, rule.field, _sure(later < earlier))]
+    return [Check(DATE_ORDER, rule.field, later < earlier)]
 
 
 def required_fields(tables: Tables, contract: Contract) -> list[str]:

@@ -226,12 +226,21 @@ def affected_rows(plan: FaultPlan, name: str) -> DataFrame:
     return rows.select(F.lit(name).alias(SCENARIO), F.col(plan.row_id).alias("row_id"))
 
 
-def fan_out(plan: FaultPlan, names: Sequence[str] | None = None, clean: str | None = CLEAN) -> Tables:
+def tagged_extra(plan: FaultPlan, name: str) -> DataFrame:
+    return appended_rows(plan, name).withColumn(SCENARIO, F.lit(name))
+
+
+def fan_out(
+    plan: FaultPlan,
+    names: Sequence[str] | None = None,
+    clean: str | None = CLEAN,
+    appended: DataFrame | None = None,
+) -> Tables:
     """Clean feed and all scenarios as one tagged table, read in a single scan.
 
     Each row is repeated once per scenario inside the map task and corrupted there;
     aggregations over the result combine on the map side before any shuffle. Appended
-    rows come in by union. Column pruning still reaches the scan, because scenario
+    rows come in by union, from ``appended`` if they were stored before. Column pruning still reaches the scan, because scenario
     names are exploded before columns are rewritten.
     """
     names = list(names or SCENARIO_BY_NAME)
@@ -252,11 +261,12 @@ def fan_out(plan: FaultPlan, names: Sequence[str] | None = None, clean: str | No
     if RENAMED in names:
         new.append(F.when(tag == RENAMED, F.col(CATEGORY)).alias(RENAMED_COLUMN))
     frame = copies.select(tag, *new)
-    for name in names:
-        if name in APPENDING:
-            extra = appended_rows(plan, name).withColumn(SCENARIO, F.lit(name))
-            text = [F.col(c).cast(frame.schema[c].dataType).alias(c) for c in [SCENARIO, *feed.columns]]
-            frame = frame.unionByName(extra.select(*text), allowMissingColumns=True)
+    extras = [appended] if appended is not None else [
+        tagged_extra(plan, n) for n in names if n in APPENDING
+    ]
+    for extra in extras:
+        typed = [F.col(c).cast(frame.schema[c].dataType).alias(c) for c in extra.columns]
+        frame = frame.unionByName(extra.select(*typed), allowMissingColumns=True)
     data = tuple(c for c in feed.columns if c != plan.row_id)
     columns = {t: data for t in tags}
     if DROPPED in names:

@@ -36,20 +36,18 @@ KEY, DIGEST, COPIES = "key", "digest", "copies"
 def row_digest(columns: list[tuple[str, T.DataType]]) -> Column:
     """SHA-256 of the whole row; equal exactly when all values are (nulls alike).
 
-    Each value goes in behind its length, and null has its own mark, so that no two
-    different rows share one encoding.
+    The row goes in as a JSON array of texts, which keeps value borders and nulls apart.
     """
 
-    def encoded(name: str, dtype: T.DataType) -> Column:
+    def text(name: str, dtype: T.DataType) -> Column:
         value = F.col(name)
         if isinstance(dtype, (T.DoubleType, T.FloatType)):
             value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
         elif isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
             value = F.to_json(value, {"ignoreNullFields": "false"})
-        text = value.cast("string")
-        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+        return value.cast("string")
 
-    row = F.concat_ws("|", *(encoded(name, dtype) for name, dtype in columns))
+    row = F.to_json(F.array(*(text(name, dtype) for name, dtype in columns)))
     return F.unhex(F.sha2(row, 256))
 
 

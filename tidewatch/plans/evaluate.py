@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from tidewatch.operators.issues import validation_issues, validation_verdict
 from tidewatch.operators.profile import Profile, profile, quality_metrics
 from tidewatch.operators.tables import SCENARIO, Tables
 from tidewatch.operators.volume import compare_daily, daily_counts, volume_issues
+from tidewatch.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -103,7 +104,12 @@ class Evaluation:
 def evaluate_faults(
     plan: faults.FaultPlan, contract: Contract, names: Sequence[str] | None = None
 ) -> Evaluation:
-    """All injected scenarios plus the clean baseline, from one scan of the feed."""
+    """All injected scenarios plus the clean baseline, from one scan of the feed.
+
+    The rows that scenarios append are drawn and stored once, since three detectors read them.
+    """
     names = list(names or SCENARIO_BY_NAME)
-    tables = faults.fan_out(plan, names)
+    extra = [faults.tagged_extra(plan, n) for n in names if n in faults.APPENDING]
+    appended = cut_lineage(reduce(DataFrame.unionByName, extra)) if extra else None
+    tables = faults.fan_out(plan, names, appended=appended)
     return Evaluation(tables, contract, {n: SCENARIO_BY_NAME[n].expected for n in names})
