@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException, SparkThrowable
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +61,7 @@ def read_records(
         # One object per line splits across tasks; a pretty-printed array does not.
         whole = _is_array(spark, path)
         frame = reader.option("multiLine", whole).option("mode", "FAILFAST").json(path)
-    except (AnalysisException, SparkThrowable) as error:
+    except PySparkException as error:
         raise IngestionError(f"Landed records are malformed: {path}") from error
     kept = project_requested(frame, requested)
     if not kept.columns:
