@@ -17,9 +17,9 @@ from tidewatch.catalog import (
 )
 from tidewatch.functions import percent
 from tidewatch.operators import checks as C
-from tidewatch.operators.profile import Profile
+from tidewatch.operators.profile import Profile, counted_cells, described, slot_of
 from tidewatch.operators.schema import missing_columns, unexpected_columns
-from tidewatch.operators.tables import SCENARIO
+from tidewatch.operators.tables import SCENARIO, literal_rows
 
 # Columns of every issue table, detectors included.
 ISSUE_COLUMNS = (SCENARIO, "issue_seq", *INCIDENT_FIELDS, "issue_count", "observed_number")
@@ -37,100 +37,108 @@ def _limit_number(value: float | None) -> float | int | None:
     return int(value) if value is not None and value == int(value) else value
 
 
-def issue_struct(
-    seq: int, issue_type: str, field: str, observed: Column, expected: Column,
-    count: Column, number: Column, severity: str = "error", description: str | None = None,
-) -> Column:
-    text, action = ISSUE_TEXT[issue_type]
-    return F.struct(
-        F.lit(seq).alias("issue_seq"),
-        F.lit(issue_type).alias("issue_type"),
-        F.lit(severity).alias("severity"),
-        F.lit(field).alias("affected_field"),
-        F.lit(description or text).alias("description"),
-        observed.alias("observed_value"),
-        expected.alias("expected_value"),
-        F.lit(action).alias("suggested_action"),
-        count.cast("long").alias("issue_count"),
-        number.cast("double").alias("observed_number"),
-    )
-
-
-def _count_json(count: Column) -> Column:
-    return F.to_json(F.struct(count.alias("count")))
+def _schema_findings(profile: Profile) -> list[tuple]:
+    """(scenario, seq, type, field, observed, expected): known from column names alone."""
+    contract = profile.contract
+    found = []
+    for name, columns in profile.tables.columns.items():
+        found += [(name, i, "missing_required_column", c, '"absent"', '"column present"')
+                  for i, c in enumerate(missing_columns(columns, contract))]
+        found += [(name, 1000 + i, "unexpected_column", c, '"present"',
+                   '"column absent or explicitly allowed"')
+                  for i, c in enumerate(unexpected_columns(columns, contract))]
+    return found
 
 
-def validation_issues(profile: Profile, samples: DataFrame | None = None) -> DataFrame:
-    """One row per finding, numbered in report order.
+def _countable(profile: Profile) -> list[tuple]:
+    """(type, field, slot, expected JSON, limit) of every finding a counter can raise, in order.
 
-    ``samples`` (from ``quarantine.issue_samples``) adds up to ten row ids per
-    finding; both sides of that join hold a few dozen rows at most.
+    A finding is raised by a positive count, or, with a limit, by a share above it.
     """
     contract, tables = profile.contract, profile.tables
-    total = F.col("total_rows")
-    rows: list[tuple[Column, Column]] = []
-
-    def add(keep: Column, issue_type: str, field: str, observed: Column, expected, count: Column,
-            number: Column | None = None) -> None:
-        expected = expected if isinstance(expected, Column) else F.lit(json.dumps(expected))
-        rows.append((keep, issue_struct(len(rows), issue_type, field, observed, expected, count,
-                                        count if number is None else number)))
-
-    def add_count(issue_type: str, field: str, count: Column, expected) -> None:
-        add(count > 0, issue_type, field, _count_json(count), expected, count)
-
-    def names_where(test) -> Column:
-        return F.col(SCENARIO).isin([n for n in tables.names if test(tables.columns[n])])
-
-    one = F.lit(1)
-    for name in contract.required:
-        if any(name in missing_columns(cols, contract) for cols in tables.columns.values()):
-            add(names_where(lambda cols, n=name: n in missing_columns(cols, contract)),
-                "missing_required_column", name, F.lit('"absent"'), "column present", one)
-    for name in tables.all_columns():
-        if name in unexpected_columns([name], contract):
-            add(names_where(lambda cols, n=name: n in cols),
-                "unexpected_column", name, F.lit('"present"'),
-                "column absent or explicitly allowed", one)
-    for position, check in enumerate(profile.checks):
+    rows = []
+
+    def add(issue_type: str, field: str, slot: int, expected, limit: float | None = None) -> None:
+        rows.append((issue_type, field, slot, json.dumps(expected), limit))
+
+    for slot, check in enumerate(profile.checks):
         if check.kind in (C.INVALID_TIMESTAMP, C.INVALID_NUMERIC):
-            add_count(check.kind, check.field, F.col(f"c{position}"), EXPECTED_TEXT[check.kind])
+            add(check.kind, check.field, slot, EXPECTED_TEXT[check.kind])
         elif check.kind == C.OUT_OF_RANGE:
             rule = contract.rule(check.field)
-            add_count(check.kind, check.field, F.col(f"c{position}"),
-                      {"minimum": _limit_number(rule.minimum), "maximum": _limit_number(rule.maximum)})
+            add(check.kind, check.field, slot,
+                {"minimum": _limit_number(rule.minimum), "maximum": _limit_number(rule.maximum)})
     if contract.key in tables.all_columns():
-        add_count(C.MISSING_KEY, contract.key, profile.count_of(C.BLANK, contract.key),
-                  EXPECTED_TEXT[C.MISSING_KEY])
-        add_count(C.DUPLICATE_KEY, contract.key, F.col("duplicate_key_rows"),
-                  EXPECTED_TEXT[C.DUPLICATE_KEY])
+        add(C.MISSING_KEY, contract.key, slot_of(profile, C.BLANK, contract.key),
+            EXPECTED_TEXT[C.MISSING_KEY])
+        add(C.DUPLICATE_KEY, contract.key, slot_of(profile, "duplicate_key_rows", ""),
+            EXPECTED_TEXT[C.DUPLICATE_KEY])
     for field in profile.fields_of(C.DATE_ORDER):
-        add_count(C.DATE_ORDER, field, profile.count_of(C.DATE_ORDER, field),
-                  contract.date_order.condition)
+        add(C.DATE_ORDER, field, slot_of(profile, C.DATE_ORDER, field), contract.date_order.condition)
     for name in C.required_fields(tables, contract):
-        add_count(C.MISSING_VALUE, name, profile.count_of(C.BLANK, name),
-                  EXPECTED_TEXT[C.MISSING_VALUE])
+        add(C.MISSING_VALUE, name, slot_of(profile, C.BLANK, name), EXPECTED_TEXT[C.MISSING_VALUE])
     for rule in contract.columns:
         if rule.max_missing is not None and rule.name in tables.all_columns():
-            share = percent(profile.count_of(C.BLANK, rule.name), total)
-            add(share > F.lit(rule.max_missing), "missingness_threshold_exceeded", rule.name,
-                share.cast("string"), rule.max_missing, profile.count_of(C.BLANK, rule.name), share)
-
-    source = profile.counters
-    kept = (
-        F.array_compact(F.array(*(F.when(keep, row) for keep, row in rows)))
-        if rows
-        else F.array().cast("array<struct<issue_seq:int>>")
+            add("missingness_threshold_exceeded", rule.name, slot_of(profile, C.BLANK, rule.name),
+                rule.max_missing, rule.max_missing)
+    return rows
+
+
+def validation_issues(profile: Profile, samples: DataFrame | None = None) -> DataFrame:
+    """One row per finding, numbered in report order.
+
+    ``samples`` (from ``quarantine.issue_samples``) adds up to ten row ids per
+    finding; both sides of that join hold a few dozen rows at most.
+    """
+    spark = profile.tables.spark
+    schema = (f"{SCENARIO} string, issue_seq int, issue_type string, affected_field string, "
+              "observed_value string, expected_value string")
+    static = literal_rows(
+        spark, described(_schema_findings(profile), [c.split()[0] for c in schema.split(", ")]), schema
+    ).select("*", F.lit(1).cast("long").alias("issue_count"), F.lit(1.0).alias("observed_number"))
+
+    entries = [
+        (name, slot, 2000 + seq, issue_type, field, expected, limit)
+        for name in profile.tables.names
+        for seq, (issue_type, field, slot, expected, limit) in enumerate(_countable(profile))
+    ]
+    names = (SCENARIO, "slot", "issue_seq", "issue_type", "affected_field", "expected_value", "limit")
+    cells = counted_cells(
+        profile, described(entries, names),
+        "issue_seq int, issue_type string, affected_field string, expected_value string, limit double",
+    )
+    count, share = F.col("n"), F.col("share")
+    by_share = F.col("limit").isNotNull()
+    counted = (
+        cells.withColumn("share", F.when(by_share, percent(count, F.col("total_rows"))))
+        .where(F.when(by_share, share > F.col("limit")).otherwise(count > 0))
+        .select(
+            SCENARIO, "issue_seq", "issue_type", "affected_field",
+            F.when(by_share, share.cast("string"))
+            .otherwise(F.to_json(F.struct(count.alias("count")))).alias("observed_value"),
+            "expected_value", count.alias("issue_count"),
+            F.coalesce(share, count.cast("double")).alias("observed_number"),
+        )
+    )
+    if samples is not None:
+        counted = counted.join(F.broadcast(samples), ["issue_type", "affected_field"], "left").withColumn(
+            "observed_value",
+            F.when(F.col("sample_row_ids").isNotNull(),
+                   F.to_json(F.struct(F.col("issue_count").alias("count"), "sample_row_ids")))
+            .otherwise(F.col("observed_value")),
+        ).drop("sample_row_ids")
+    texts = literal_rows(
+        spark,
+        {"issue_type": list(ISSUE_TEXT), "description": [t[0] for t in ISSUE_TEXT.values()],
+         "suggested_action": [t[1] for t in ISSUE_TEXT.values()]},
+        "issue_type string, description string, suggested_action string",
+    )
+    return (
+        static.unionByName(counted)
+        .join(F.broadcast(texts), "issue_type")
+        .withColumn("severity", F.lit("error"))
+        .select(*ISSUE_COLUMNS)
     )
-    issues = source.select(SCENARIO, F.explode(kept).alias("i")).select(SCENARIO, "i.*")
-    if samples is None:
-        return issues
-    with_samples = issues.join(F.broadcast(samples), ["issue_type", "affected_field"], "left")
-    observed = F.when(
-        F.col("sample_row_ids").isNotNull(),
-        F.to_json(F.struct(F.col("issue_count").alias("count"), "sample_row_ids")),
-    ).otherwise(F.col("observed_value"))
-    return with_samples.withColumn("observed_value", observed).select(*ISSUE_COLUMNS)
 
 
 def penalty(issue_type: Column) -> Column:

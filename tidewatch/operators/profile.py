@@ -17,6 +17,7 @@ before it is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,10 +28,11 @@ from pyspark.sql import types as T
 from tidewatch.contract import Contract
 from tidewatch.functions import percent
 from tidewatch.operators import checks as C
-from tidewatch.operators.tables import SCENARIO, Tables
+from tidewatch.operators.tables import SCENARIO, Tables, literal_rows
 
 BITS_PER_WORD = 60
 KEY, DIGEST, COPIES = "key", "digest", "copies"
+EXTRA_SLOTS = ("duplicate_key_rows", "invalid_timestamp_rows", "invalid_numeric_rows")
 
 
 def row_digest(columns: list[tuple[str, T.DataType]]) -> Column:
@@ -157,48 +159,50 @@ def profile(tables: Tables, contract: Contract) -> Profile:
     return Profile(joined, tuple(checks), tables, contract)
 
 
-def _per_scenario_rows(profile: Profile, structs: list[tuple[Column, Column]]) -> DataFrame:
-    """Turn wide counters into rows; each struct comes with the condition to keep it."""
-    rows = F.explode(F.array_compact(F.array(*(F.when(keep, row) for keep, row in structs))))
-    return profile.counters.select("position", SCENARIO, rows.alias("r")).select(
-        "position", SCENARIO, "r.*"
+def counted_cells(profile: Profile, described: Mapping[str, list], schema: str) -> DataFrame:
+    """Counters as rows (scenario, total_rows, slot, n), joined to a description of each slot.
+
+    Slot *i* is check *i*; the slots after the checks hold ``EXTRA_SLOTS``. The description
+    has one entry per scenario and slot to keep, so it is bounded by the contract.
+    """
+    values = [F.col(f"c{i}") for i in range(len(profile.checks))] + [F.col(c) for c in EXTRA_SLOTS]
+    cells = profile.counters.select(
+        SCENARIO, "total_rows", F.posexplode(F.array(*values)).alias("slot", "n")
     )
+    about = literal_rows(profile.tables.spark, described, f"{SCENARIO} string, slot int, {schema}")
+    return cells.join(F.broadcast(about), [SCENARIO, "slot"])
+
 
+def described(entries: list[tuple], names: Sequence[str]) -> dict[str, list]:
+    """Columns of a description from its rows."""
+    return {name: [entry[i] for entry in entries] for i, name in enumerate(names)}
 
-def _has_column(profile: Profile, name: str) -> Column:
-    holders = profile.tables.holders(name)
-    if len(holders) == len(profile.tables.names):
-        return F.lit(True)
-    return F.col(SCENARIO).isin(list(holders))
+
+def slot_of(profile: Profile, kind: str, field: str) -> int | None:
+    for position, check in enumerate(profile.checks):
+        if check.kind == kind and check.field == field:
+            return position
+    return len(profile.checks) + EXTRA_SLOTS.index(kind) if kind in EXTRA_SLOTS else None
 
 
 def missingness(profile: Profile) -> DataFrame:
-    """Missing share of every column the table really has, next to its contract limit.
+    """Missing share of every column a table really has, next to its contract limit.
 
     ``threshold`` is null without a limit; ``exceeded`` compares the two-digit share
     with ``>``.
     """
-    structs = []
-    for index, name in enumerate(profile.tables.all_columns()):
-        rule = profile.contract.rule(name)
-        limit = F.lit(None if rule is None else rule.max_missing).cast("double")
-        count = profile.count_of(C.BLANK, name)
-        share = percent(count, F.col("total_rows"))
-        structs.append(
-            (
-                _has_column(profile, name),
-                F.struct(
-                    F.lit(index).alias("column_position"),
-                    F.lit(name).alias("field"),
-                    F.col("total_rows").alias("total_rows"),
-                    count.alias("missing_count"),
-                    share.alias("missing_percentage"),
-                    limit.alias("threshold"),
-                    F.coalesce(share > limit, F.lit(False)).alias("exceeded"),
-                ),
-            )
-        )
-    return _per_scenario_rows(profile, structs)
+    entries = []
+    for name, columns in profile.tables.columns.items():
+        for position, column in enumerate(columns):
+            rule = profile.contract.rule(column)
+            entries.append((name, slot_of(profile, C.BLANK, column), position, column,
+                            None if rule is None else rule.max_missing))
+    about = described(entries, (SCENARIO, "slot", "column_position", "field", "threshold"))
+    cells = counted_cells(profile, about, "column_position int, field string, threshold double")
+    return cells.select(
+        SCENARIO, "column_position", "field", "total_rows", F.col("n").alias("missing_count"),
+        percent(F.col("n"), F.col("total_rows")).alias("missing_percentage"), "threshold",
+    ).withColumn("exceeded", F.coalesce(F.col("missing_percentage") > F.col("threshold"), F.lit(False)))
 
 
 def exceeded_missingness(profile: Profile) -> DataFrame:
@@ -217,20 +221,15 @@ def exceeded_missingness(profile: Profile) -> DataFrame:
 def datatype_profile(profile: Profile) -> DataFrame:
     """Failed type and range checks per column, and distinct failing rows under ``*``."""
     kinds = (C.INVALID_TIMESTAMP, C.INVALID_NUMERIC, C.OUT_OF_RANGE)
-    rows = [
-        (_has_column(profile, check.field), check.field, check.kind, F.col(f"c{i}"))
-        for i, check in enumerate(profile.checks)
-        if check.kind in kinds
-    ]
-    always = F.lit(True)
-    rows.append((always, "*", "invalid_timestamp_rows", F.col("invalid_timestamp_rows")))
-    rows.append((always, "*", "invalid_numeric_rows", F.col("invalid_numeric_rows")))
-    structs = [
-        (keep, F.struct(F.lit(field).alias("field"), F.lit(kind).alias("check"),
-                        count.alias("row_count")))
-        for keep, field, kind, count in rows
-    ]
-    return _per_scenario_rows(profile, structs).drop("position")
+    entries = []
+    for name, columns in profile.tables.columns.items():
+        entries += [(name, i, check.field, check.kind) for i, check in enumerate(profile.checks)
+                    if check.kind in kinds and check.field in columns]
+        entries += [(name, slot_of(profile, kind, ""), "*", kind)
+                    for kind in ("invalid_timestamp_rows", "invalid_numeric_rows")]
+    about = described(entries, (SCENARIO, "slot", "field", "check"))
+    cells = counted_cells(profile, about, "field string, check string")
+    return cells.select(SCENARIO, "field", "check", F.col("n").alias("row_count"))
 
 
 def quality_metrics(profile: Profile) -> DataFrame:
