@@ -13,19 +13,24 @@ def round_half_even(value: Column, digits: int) -> Column:
 
     Spark's ``round`` and ``bround`` decide by the shortest decimal text of a
     double, so 0.145 (stored a little below) would go up. The product with the
-    scale is taken exactly, as a rounded part plus its error term.
+    scale is taken exactly, as a rounded part plus its error term. Meant for the
+    few rows of a result table.
     """
-    scale = float(10**digits)
-    value = value.cast("double")
-    carry = value * F.lit(_SPLITTER)
-    high = carry - (carry - value)
-    scaled = value * F.lit(scale)
-    error = (high * F.lit(scale) - scaled) + (value - high) * F.lit(scale)
-    whole = F.floor(scaled)
-    beyond_half = scaled - whole - F.lit(0.5)
-    odd = F.pmod(whole, F.lit(2)) == 1
-    up = (beyond_half > 0) | ((beyond_half == 0) & ((error > 0) | ((error == 0) & odd)))
-    return (whole + F.when(up, 1).otherwise(0)) / F.lit(scale)
+    scale = F.lit(float(10**digits))
+
+    def rounded(v: Column) -> Column:
+        carry = v * F.lit(_SPLITTER)
+        high = carry - (carry - v)
+        scaled = v * scale
+        error = (high * scale - scaled) + (v - high) * scale
+        whole = F.floor(scaled)
+        beyond_half = scaled - whole - F.lit(0.5)
+        odd = F.pmod(whole, F.lit(2)) == 1
+        up = (beyond_half > 0) | ((beyond_half == 0) & ((error > 0) | ((error == 0) & odd)))
+        return (whole + F.when(up, 1).otherwise(0)) / scale
+
+    # The one-element array names the value, so that its expression is not repeated.
+    return F.get(F.transform(F.array(value.cast("double")), rounded), 0)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
@@ -13,10 +13,10 @@ from tidewatch.catalog import CLEAN, DRIFT_FIELDS, SCENARIO_BY_NAME
 from tidewatch.contract import Contract
 from tidewatch.operators import evaluation as E
 from tidewatch.operators import faults
-from tidewatch.operators.drift import Drift, DriftLimits, detect_drift
+from tidewatch.operators.drift import Drift, DriftLimits, detect_drift, drift_verdict
 from tidewatch.operators.issues import validation_issues, validation_verdict
 from tidewatch.operators.profile import Profile, profile, quality_metrics
-from tidewatch.operators.tables import SCENARIO, Tables
+from tidewatch.operators.tables import SCENARIO, Tables, stack_tables
 from tidewatch.operators.volume import compare_daily, daily_counts, volume_issues
 from tidewatch.session import cut_lineage
 
@@ -100,6 +100,47 @@ class Evaluation:
     def quality(self) -> DataFrame:
         return quality_metrics(self.profile)
 
+    def stored(self, folder: str) -> Evaluation:
+        """Write the small result tables once and go on from the written ones.
+
+        Reports read them several times; without this each would repeat the checks.
+        """
+        spark = self.tables.spark
+        kept = replace(self)
+
+        def keep(name: str, frame: DataFrame) -> DataFrame:
+            path = f"{folder}/{name}"
+            frame.write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+        kept.__dict__["profile"] = replace(
+            self.profile, counters=keep("counters", self.profile.counters)
+        )
+        kept.__dict__["validation_issues"] = keep(
+            "validation_issues", validation_issues(kept.profile)
+        )
+        kept.__dict__["volume_records"] = keep("volume_records", self.volume_records)
+        aligned = keep("category_frequencies", self.drift.aligned)
+        verdict = drift_verdict(
+            aligned, self.tables, CLEAN, self.names, self.fields, self.limits
+        )
+        kept.__dict__["drift"] = Drift(aligned, keep("drift_verdict", verdict), self.limits)
+        kept.__dict__["matrix"] = keep("confusion_matrix", kept.matrix)
+        return kept
+
+
+def evaluate_tables(
+    clean: DataFrame,
+    scenarios: Mapping[str, DataFrame],
+    expected: Mapping[str, Sequence[str]],
+    contract: Contract,
+    row_id: str | None = None,
+    pending: Sequence[str] = (),
+) -> Evaluation:
+    """Given scenario tables, as read from storage, beside the clean feed."""
+    tables = stack_tables({CLEAN: clean, **scenarios}, row_id)
+    return Evaluation(tables, contract, expected, tuple(pending))
+
 
 def evaluate_faults(
     plan: faults.FaultPlan, contract: Contract, names: Sequence[str] | None = None
