@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -141,6 +142,8 @@ def run_monitor(
         for name in SCENARIO_BY_NAME:
             path = sinks.save_scenario(faults.inject(plan, name), tables_folder, name)
             stored[name] = spark.read.parquet(path)
+        truth = reduce(DataFrame.unionByName, (faults.affected_rows(plan, n) for n in SCENARIO_BY_NAME))
+        sinks.save_by_scenario(truth, f"{folder}/injected_rows")
         run = evaluate_tables(
             feed, stored, {n: s.expected for n, s in SCENARIO_BY_NAME.items()}, contract, row_id
         )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,32 +42,35 @@ def most_recent(
     return frame.orderBy(F.desc_nulls_last(order), key).limit(_positive(limit))
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_records(
     spark: SparkSession,
     path: str,
     limit: int | None = RECENT_LIMIT,
     requested: Sequence[str] = REQUESTED_COLUMNS,
+    present: Sequence[str] | None = None,
 ) -> DataFrame:
     """JSON records landed as arrays or as one object per line; values are read as text.
 
     Raises ``IngestionError`` for unreadable files, for files that hold no records, and
-    for empty payloads. ``limit=None`` keeps every record.
+    for empty payloads. ``limit=None`` keeps every record. Finding out which columns
+    there are takes a pass over the files; ``present`` names them and saves that pass.
     """
     if limit is not None:
         _positive(limit)
-    reader = spark.read.option("primitivesAsString", True)
-    try:
-        # One object per line splits across tasks; a pretty-printed array does not.
-        whole = _is_array(spark, path)
-        frame = reader.option("multiLine", whole).option("mode", "FAILFAST").json(path)
-    except PySparkException as error:
-        raise IngestionError(f"Landed records are malformed: {path}") from error
+    # One object per line splits across tasks; a pretty-printed array does not.
+    reader = spark.read.option("primitivesAsString", True).option("multiLine", _is_array(spark, path))
+    if present is not None:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in present)).option("mode", "FAILFAST")
+    frame = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    if CORRUPT in frame.columns:
+        raise IngestionError(f"Landed records are malformed: {path}")
     kept = project_requested(frame, requested)
-    if not kept.columns:
-        if frame.columns:
-            raise IngestionError(f"Landed JSON has an unexpected format: {path}")
-        raise IngestionError(f"Landed files hold no records: {path}")
-    if kept.isEmpty():
+    if frame.columns and not kept.columns:
+        raise IngestionError(f"Landed JSON has an unexpected format: {path}")
+    if not kept.columns or kept.isEmpty():
         raise IngestionError(f"Landed files hold no records: {path}")
     if limit is None or "created_date" not in kept.columns:
         return kept if limit is None else kept.limit(limit)

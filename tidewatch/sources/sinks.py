@@ -48,7 +48,7 @@ def save_scenario(frame: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def save_scenarios_csv(frame: DataFrame, folder: str, name: str) -> str:
+def save_scenario_csv(frame: DataFrame, folder: str, name: str) -> str:
     path = f"{folder}/{name}"
     frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
