@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tidewatch.catalog import SCENARIO_BY_NAME, SCENARIOS
 from tidewatch.operators import drift as D
 from tidewatch.operators import faults, sampling
+from tidewatch.operators import profile as P
+from tidewatch.operators.tables import one_table
 
 SMALL = {
     faults.BAD_NUMBER: 3, faults.BAD_DATE: 3, faults.DUPLICATED: 4, faults.SPIKE: 200,
@@ -126,7 +128,7 @@ def test_fan_out_equals_single_tables(feed, plan):
     for name in tables.names:
         columns = ["row_id", *tables.columns[name]]
         single = feed if name == "clean_baseline" else faults.inject(plan, name)
-        together = sorted(map(tuple, tables.frame.where(F.col("scenario") == name).select(*columns).collect()), key=repr)
+        together = sorted(map(tuple, tables.frame.where(tables.member(name)).select(*columns).collect()), key=repr)
         assert together == sorted(map(tuple, single.select(*columns).collect()), key=repr)
 
 
@@ -169,4 +171,22 @@ def test_typed_feed(spark):
         "unique_key", F.col("unique_key").cast("long"))
     plan = faults.plan_faults(frame, sizes=SMALL)
     assert faults.inject(plan, faults.BAD_NUMBER).where("latitude = 'invalid-latitude'").count() == 3
-    assert faults.fan_out(plan).frame.count() == 20 * 13 + 4 + 200
+    tables = faults.fan_out(plan)
+    rows = tables.per_scenario(tables.frame).groupBy("scenario").count()
+    assert rows.agg(F.sum("count")).first()[0] == 20 * 13 + 4 + 200
+    changed = sum(d.size for n, d in plan.draws.items() if n != faults.DUPLICATED)
+    assert tables.frame.count() <= 20 * 3 + changed + 4 + 200
+
+
+def test_shared_rows_give_the_metrics_of_single_tables(spark, contract):
+    """A feed with copies and repeated keys, so that shared rows differ in membership."""
+    rows = clean_rows()
+    rows += [{**r, "row_id": 20 + i} for i, r in enumerate(rows[:12])]
+    rows += [{**rows[0], "row_id": 40 + i, "agency": None, "unique_key": " " if i % 2 else "10001"} for i in range(8)]
+    plan = faults.plan_faults(to_frame(spark, rows), sizes=SMALL)
+    together = P.quality_metrics(P.profile(faults.fan_out(plan), contract)).collect()
+    assert len(together) == 13
+    for row in together:
+        single = plan.feed if row.scenario == "clean_baseline" else faults.inject(plan, row.scenario)
+        alone = P.quality_metrics(P.profile(one_table(single, "row_id"), contract)).first()
+        assert tuple(row)[1:] == tuple(alone)[1:], row.scenario

@@ -26,7 +26,7 @@ from tidewatch.catalog import (
     TOP_CATEGORY_LIMIT,
 )
 from tidewatch.functions import strip_text
-from tidewatch.operators.tables import SCENARIO, Tables, literal_rows, stack_tables
+from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, literal_rows, stack_tables
 
 DETAIL_LIMIT = 100
 
@@ -55,13 +55,18 @@ def category_counts(tables: Tables, fields: Sequence[str]) -> DataFrame:
         )
         for f in present
     ))
-    return (
-        tables.frame.select(SCENARIO, F.explode(pairs).alias("p"))
-        .select(SCENARIO, "p.field", "p.category")
+    counted = (
+        tables.frame.select(MEMBERS, F.explode(pairs).alias("p"))
+        .select(MEMBERS, "p.field", "p.category")
         .where(F.col("category").isNotNull() & (F.col("category") != ""))
-        .groupBy(SCENARIO, "field", "category")
+        .groupBy(MEMBERS, "field", "category")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return (
+        tables.per_scenario(counted)
+        .groupBy(SCENARIO, "field", "category")
+        .agg(F.sum("n").alias("n"))
+    )
 
 
 def category_frequencies(counts: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ Injection has two steps. ``plan_faults`` measures the feed with a few aggregatio
 (row counts, busiest day, most frequent category, sample thresholds); only those
 scalars come to the driver. Applying a scenario is then a lazy projection over the
 feed, or a union with the rows it appends. ``fan_out`` applies all scenarios in one
-scan by giving each row one copy per scenario.
+scan, with extra copies of a row only for the scenarios that change it.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from tidewatch.catalog import (
 )
 from tidewatch.functions import calendar_day, is_blank, percent, to_number, to_utc_timestamp
 from tidewatch.operators.sampling import Draw, draw_thresholds, in_sample, sample_with_replacement
-from tidewatch.operators.tables import SCENARIO, Tables, literal_rows
+from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, bit, literal_rows
 
 KEY, CREATED, CLOSED = "unique_key", "created_date", "closed_date"
 AGENCY, CATEGORY, DETAIL, LATITUDE = "agency", "complaint_type", "descriptor", "latitude"
@@ -226,8 +227,10 @@ def affected_rows(plan: FaultPlan, name: str) -> DataFrame:
     return rows.select(F.lit(name).alias(SCENARIO), F.col(plan.row_id).alias("row_id"))
 
 
-def tagged_extra(plan: FaultPlan, name: str) -> DataFrame:
-    return appended_rows(plan, name).withColumn(SCENARIO, F.lit(name))
+def appended_everywhere(plan: FaultPlan, names: Sequence[str]) -> DataFrame | None:
+    """Rows that any of the scenarios appends, with the scenario's name."""
+    parts = [appended_rows(plan, n).withColumn(SCENARIO, F.lit(n)) for n in names if n in APPENDING]
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def fan_out(
@@ -236,44 +239,67 @@ def fan_out(
     clean: str | None = CLEAN,
     appended: DataFrame | None = None,
 ) -> Tables:
-    """Clean feed and all scenarios as one tagged table, read in a single scan.
+    """Clean feed and all scenarios as one set of tables, read in a single scan.
 
-    Each row is repeated once per scenario inside the map task and corrupted there;
-    aggregations over the result combine on the map side before any shuffle. Appended
-    rows come in by union, from ``appended`` if they were stored before. Column pruning still reaches the scan, because scenario
-    names are exploded before columns are rewritten.
+    A row comes out once for all scenarios that leave it alone, and once more for each
+    scenario that changes it; memberships tell which. With the usual sizes that is a
+    third of the rows that separate tables would hold. Appended rows come in by union,
+    from ``appended`` if they were stored before.
     """
     names = list(names or SCENARIO_BY_NAME)
     feed = plan.feed
     tags = ([clean] if clean else []) + names
-    copies = feed.withColumn(SCENARIO, F.explode(F.array(*(F.lit(t) for t in tags))))
-    tag = F.col(SCENARIO)
+    bits = {tag: bit(position) for position, tag in enumerate(tags)}
+    reshaping = [n for n in names if n in (DROPPED, RENAMED)]
+    sampling = [n for n in names if n in plan.draws and n not in APPENDING]
+    none = F.lit(0).cast("long")
+
+    hits = [F.when(plan.hit(n), bits[n]).otherwise(none) for n in sampling]
+    hit = F.col("_hits")
+    everyone = sum(1 << i for i, tag in enumerate(tags) if tag not in reshaping)
+    variants = [F.struct(F.lit(CLEAN).alias("variant"), (F.lit(everyone).cast("long") - hit).alias(MEMBERS))]
+    variants += [F.struct(F.lit(n).alias("variant"), bits[n].alias(MEMBERS)) for n in reshaping]
+    variants += [
+        F.when(hit.bitwiseAND(bits[n]) != 0,
+               F.struct(F.lit(n).alias("variant"), bits[n].alias(MEMBERS)))
+        for n in sampling
+    ]
+    copies = (
+        feed.withColumn("_hits", reduce(lambda a, b: a.bitwiseOR(b), hits, none))
+        .withColumn("_v", F.explode(F.array_compact(F.array(*variants))))
+    )
+    variant = F.col("_v.variant")
     changes: dict[str, Column] = {}
-    for name in names:
+    for name in sampling:
         for column, value in _overwrites(plan, name).items():
             before = changes.get(column, F.col(column).cast("string"))
-            changes[column] = F.when((tag == name) & plan.hit(name), value).otherwise(before)
+            changes[column] = F.when(variant == name, value).otherwise(before)
     for name, column in ((DROPPED, AGENCY), (RENAMED, CATEGORY)):
         if name in names:
-            before = changes.get(column, F.col(column))
-            changes[column] = F.when(tag != name, before)
+            changes[column] = F.when(variant != name, changes.get(column, F.col(column)))
     new = [changes[c].alias(c) if c in changes else F.col(c) for c in feed.columns]
     if RENAMED in names:
-        new.append(F.when(tag == RENAMED, F.col(CATEGORY)).alias(RENAMED_COLUMN))
-    frame = copies.select(tag, *new)
-    extras = [appended] if appended is not None else [
-        tagged_extra(plan, n) for n in names if n in APPENDING
-    ]
-    for extra in extras:
-        typed = [F.col(c).cast(frame.schema[c].dataType).alias(c) for c in extra.columns]
-        frame = frame.unionByName(extra.select(*typed), allowMissingColumns=True)
+        new.append(F.when(variant == RENAMED, F.col(CATEGORY)).alias(RENAMED_COLUMN))
+    # A row that every tag left is hit by all of them; it has no common copy.
+    frame = copies.select(F.col(f"_v.{MEMBERS}").alias(MEMBERS), *new).where(F.col(MEMBERS) != 0)
+
+    extra = appended if appended is not None else appended_everywhere(plan, names)
+    if extra is not None:
+        tag = reduce(
+            lambda rest, n: F.when(F.col(SCENARIO) == n, bits[n]).otherwise(rest),
+            (n for n in names if n in APPENDING), none,
+        )
+        typed = [F.col(c).cast(frame.schema[c].dataType).alias(c) for c in feed.columns]
+        frame = frame.unionByName(extra.select(tag.alias(MEMBERS), *typed), allowMissingColumns=True)
     data = tuple(c for c in feed.columns if c != plan.row_id)
     columns = {t: data for t in tags}
     if DROPPED in names:
         columns[DROPPED] = tuple(c for c in data if c != AGENCY)
     if RENAMED in names:
         columns[RENAMED] = tuple(RENAMED_COLUMN if c == CATEGORY else c for c in data)
-    return Tables(frame, columns, plan.row_id)
+    keeping = [t for t in tags if t not in APPENDING]  # no other scenario touches keys
+    return Tables(frame, columns, plan.row_id, shared=True,
+                  key_groups={t: keeping[0] for t in keeping})
 
 
 def affected_count(plan: FaultPlan, name: str) -> int:

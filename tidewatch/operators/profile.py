@@ -1,16 +1,15 @@
 """One-scan quality profile of one or many tables.
 
-Every row is reduced to four narrow facts: its scenario, its key, a digest of its
-whole content and a bit mask holding the answers of all row-level checks. Counting
-equal facts (first shuffle, pre-aggregated on the map side) is enough to answer
+Every row is reduced to four narrow facts: the scenarios it belongs to, its key, a
+digest of its whole content and a bit mask holding the answers of all row-level checks.
+Counting equal facts (first shuffle, pre-aggregated on the map side) is enough to answer
 everything:
 
-* summed per scenario, the masks give all row-level counters and the copies of
-  identical rows (no further shuffle of rows);
-* summed per key (second shuffle, again pre-aggregated), the counts give repeated
-  keys and the rows to reject, without joining the table with itself.
+* summed up, the facts give all row-level counters and the copies of rows;
+* counted per key (second shuffle, again pre-aggregated), they give repeated keys and
+  the rows to reject, for all scenarios side by side and without a self join.
 
-Both sums read the same first exchange, so the table is scanned once. A key or a
+Both read the same first exchange, so the table is scanned once. A key or a
 row that makes up a large part of the table collapses to one fact per map task
 before it is shuffled.
 """
@@ -28,7 +27,7 @@ from pyspark.sql import types as T
 from tidewatch.contract import Contract
 from tidewatch.functions import percent
 from tidewatch.operators import checks as C
-from tidewatch.operators.tables import SCENARIO, Tables, literal_rows
+from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, bit, literal_rows
 
 BITS_PER_WORD = 60
 KEY, DIGEST, COPIES = "key", "digest", "copies"
@@ -85,13 +84,11 @@ def profile(tables: Tables, contract: Contract) -> Profile:
     # Physical plan note: conditions are evaluated once, here; later stages only test bits.
     def word(index: int) -> Column:
         members = checks[index * BITS_PER_WORD : (index + 1) * BITS_PER_WORD]
-        bits = [F.when(c.condition, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-                for i, c in enumerate(members)]
-        return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("long"))
+        bits = [F.when(c.condition, bit(i)).otherwise(F.expr("0L")) for i, c in enumerate(members)]
+        return reduce(lambda a, b: a.bitwiseOR(b), bits, F.expr("0L"))
 
-    def bit(position: int) -> Column:
-        mask = F.col(f"m{position // BITS_PER_WORD}")
-        return mask.bitwiseAND(F.lit(1 << (position % BITS_PER_WORD)).cast("long")) != 0
+    def bit_set(position: int) -> Column:
+        return F.expr(f"(m{position // BITS_PER_WORD} & {1 << position % BITS_PER_WORD}L) != 0")
 
     def any_of(*kinds: str, fields: set[str] | None = None) -> Column:
         chosen = [i for i, c in enumerate(checks)
@@ -100,7 +97,7 @@ def profile(tables: Tables, contract: Contract) -> Profile:
         for index in range(words):
             in_word = sum(1 << (i % BITS_PER_WORD) for i in chosen if i // BITS_PER_WORD == index)
             if in_word:
-                tests.append(F.col(f"m{index}").bitwiseAND(F.lit(in_word).cast("long")) != 0)
+                tests.append(F.expr(f"(m{index} & {in_word}L) != 0"))
         return reduce(lambda a, b: a | b, tests, F.lit(False))
 
     key = F.lit(None).cast("string")
@@ -113,12 +110,12 @@ def profile(tables: Tables, contract: Contract) -> Profile:
     masks = [f"m{i}" for i in range(words)]
     facts = (
         tables.frame.select(
-            F.col(SCENARIO),
+            F.col(MEMBERS),
             key.alias(KEY),
             row_digest(content).alias(DIGEST),
             *(word(i).alias(masks[i]) for i in range(words)),
         )
-        .groupBy(SCENARIO, KEY, DIGEST, *masks)
+        .groupBy(MEMBERS, KEY, DIGEST, *masks)
         .agg(F.count(F.lit(1)).alias(COPIES))
     )
 
@@ -130,31 +127,70 @@ def profile(tables: Tables, contract: Contract) -> Profile:
     def rows_where(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col(COPIES)).otherwise(0))
 
-    per_table = facts.groupBy(SCENARIO).agg(
-        F.sum(COPIES).alias("total_rows"),
-        F.sum(F.col(COPIES) - 1).alias("duplicate_rows"),
-        *(rows_where(bit(i)).alias(f"c{i}") for i in range(len(checks))),
-        rows_where(any_of(C.INVALID_TIMESTAMP)).alias("invalid_timestamp_rows"),
-        rows_where(any_of(C.INVALID_NUMERIC, C.OUT_OF_RANGE)).alias("invalid_numeric_rows"),
-    )
-    # Rows without a key stay in as one null group: a filter on the key would be pushed
-    # below the first exchange, and the scan could no longer be shared.
-    repeated = F.col(KEY).isNotNull() & (F.col("n") > 1)
-    per_key = (
-        facts.groupBy(SCENARIO, KEY)
-        .agg(F.sum(COPIES).alias("n"), rows_where(bad).alias("bad"))
+    sums = {
+        "total_rows": F.sum(COPIES),
+        "duplicate_rows": F.sum(F.col(COPIES) - 1),
+        **{f"c{i}": rows_where(bit_set(i)) for i in range(len(checks))},
+        "invalid_timestamp_rows": rows_where(any_of(C.INVALID_TIMESTAMP)),
+        "invalid_numeric_rows": rows_where(any_of(C.INVALID_NUMERIC, C.OUT_OF_RANGE)),
+        "rejected_without_key": rows_where(F.col(KEY).isNull() & bad),
+    }
+    # Few distinct memberships, so the first grouping leaves few rows per task.
+    per_table = (
+        tables.per_scenario(facts.groupBy(MEMBERS).agg(*(s.alias(n) for n, s in sums.items())))
         .groupBy(SCENARIO)
-        .agg(
-            F.sum(F.when(repeated, F.col("n")).otherwise(0)).alias("duplicate_key_rows"),
-            F.sum(F.when(repeated, F.col("n")).otherwise(F.col("bad"))).alias("rejected_rows"),
+        .agg(*(F.sum(n).alias(n) for n in sums))
+    )
+    if tables.shared:
+        # Copies of a row can differ in membership; then distinct rows are counted instead.
+        # The always true condition keeps the count in the plan: without it the facts would
+        # be computed a second time, in a slightly smaller form.
+        held = F.bit_or(F.when(F.col(COPIES) > 0, F.col(MEMBERS)))
+        distinct = facts.groupBy(KEY, DIGEST).agg(held.alias(MEMBERS))
+        distinct = tables.per_scenario(
+            distinct.groupBy(MEMBERS).agg(F.count(F.lit(1)).alias("distinct_rows"))
+        ).groupBy(SCENARIO).agg(F.sum("distinct_rows").alias("distinct_rows"))
+        per_table = (
+            per_table.join(F.broadcast(distinct), SCENARIO)  # a row per scenario
+            .withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
+            .drop("distinct_rows")
         )
+
+    # Rows of each key are counted once per group of scenarios that hold the same keys.
+    # Whether a key is bad matters only where it is unique (a repeated key is rejected
+    # anyway), so one bit per scenario says it all. Rows without a key stay in as one
+    # null group: a filter on the key would be pushed below the first exchange, and the
+    # scan could no longer be shared.
+    holders = list(dict.fromkeys(tables.same_keys_as(n) for n in tables.names))
+    per_key = facts.groupBy(KEY).agg(
+        *(rows_where(tables.member(h)).alias(f"n{i}") for i, h in enumerate(holders)),
+        F.bit_or(F.when(bad, F.col(MEMBERS)).otherwise(F.lit(0).cast("long"))).alias(MEMBERS),
+    )
+
+    def of_key(name: str) -> Column:
+        n = F.col(f"n{holders.index(tables.same_keys_as(name))}")
+        known = F.col(KEY).isNotNull()
+        repeated = F.when(known & (n > 1), n)
+        lone_bad = F.when(known & tables.member(name), 1)
+        return F.struct(
+            F.sum(F.coalesce(repeated, F.lit(0))).alias("duplicate_key_rows"),
+            F.sum(F.coalesce(repeated, lone_bad, F.lit(0))).alias("rejected_with_key"),
+        )
+
+    names = tables.names
+    keyed = (
+        per_key.agg(*(of_key(n).alias(f"s{i}") for i, n in enumerate(names)))
+        .select(F.posexplode(F.array(*(F.col(f"s{i}") for i in range(len(names))))).alias("position", "s"))
+        .select("position", "s.*")
     )
     # One row per scenario on every side of these joins.
     joined = (
         tables.names_frame()
         .join(F.broadcast(per_table), SCENARIO, "left")
-        .join(F.broadcast(per_key), SCENARIO, "left")
+        .join(F.broadcast(keyed), "position", "left")
         .na.fill(0)
+        .withColumn("rejected_rows", F.col("rejected_without_key") + F.col("rejected_with_key"))
+        .drop("rejected_without_key", "rejected_with_key")
     )
     return Profile(joined, tuple(checks), tables, contract)
 

@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from tidewatch.catalog import ISSUE_SAMPLE_LIMIT, REJECTED_PREVIEW_LIMIT
 from tidewatch.contract import Contract
 from tidewatch.operators import checks as C
-from tidewatch.operators.tables import SCENARIO, Tables
+from tidewatch.operators.tables import Tables
 
 REASONS = "reject_reasons"
 HOT_SHARE = 1000
@@ -73,7 +73,7 @@ def _reason(check: C.Check) -> Column:
 def with_reasons(tables: Tables, contract: Contract) -> DataFrame:
     """Every row of a single table with the array of its reject reasons, in issue order."""
     reasons = [_reason(check) for check in C.row_rejections(tables, contract)]
-    frame = tables.frame.drop(SCENARIO)
+    frame = tables.data
     base = frame.withColumn(REASONS, F.array_compact(F.array(*reasons)) if reasons
                             else F.array().cast("array<string>"))
     if contract.key not in tables.all_columns():

@@ -20,7 +20,7 @@ from tidewatch.catalog import (
     STANDARDIZED_THRESHOLD,
 )
 from tidewatch.functions import calendar_day, to_utc_timestamp
-from tidewatch.operators.tables import SCENARIO, Tables, literal_rows, stack_tables
+from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, literal_rows, stack_tables
 
 DAY, COUNT = "calendar_date", "request_count"
 
@@ -34,13 +34,14 @@ def daily_counts(tables: Tables, date_column: str = "created_date") -> DataFrame
             f"{SCENARIO} string, {DAY} string, {COUNT} long",
         )
     day = calendar_day(to_utc_timestamp(F.col(date_column), tables.dtype(date_column)))
-    return (
-        tables.frame.select(SCENARIO, tables.where_present(day.isNotNull(), date_column).alias("ok"),
+    counted = (
+        tables.frame.select(MEMBERS, tables.where_present(day.isNotNull(), date_column).alias("ok"),
                             day.alias(DAY))
         .where("ok")
-        .groupBy(SCENARIO, DAY)
+        .groupBy(MEMBERS, DAY)
         .agg(F.count(F.lit(1)).alias(COUNT))
     )
+    return tables.per_scenario(counted).groupBy(SCENARIO, DAY).agg(F.sum(COUNT).alias(COUNT))
 
 
 def _gates(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from tidewatch.operators import faults
 from tidewatch.operators.drift import Drift, DriftLimits, detect_drift, drift_verdict
 from tidewatch.operators.issues import validation_issues, validation_verdict
 from tidewatch.operators.profile import Profile, profile, quality_metrics
-from tidewatch.operators.tables import SCENARIO, Tables, stack_tables
+from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, stack_tables
 from tidewatch.operators.volume import compare_daily, daily_counts, volume_issues
 from tidewatch.session import cut_lineage
 
@@ -72,7 +72,9 @@ class Evaluation:
 
     @cached_property
     def row_counts(self) -> DataFrame:
-        counted = self.tables.frame.groupBy(SCENARIO).agg(F.count(F.lit(1)).alias("row_count"))
+        counted = self.tables.per_scenario(
+            self.tables.frame.groupBy(MEMBERS).agg(F.count(F.lit(1)).alias("row_count"))
+        ).groupBy(SCENARIO).agg(F.sum("row_count").alias("row_count"))
         return self.tables.names_frame().join(counted, SCENARIO, "left").na.fill(0).select(
             SCENARIO, "row_count"
         )
@@ -150,7 +152,6 @@ def evaluate_faults(
     The rows that scenarios append are drawn and stored once, since three detectors read them.
     """
     names = list(names or SCENARIO_BY_NAME)
-    extra = [faults.tagged_extra(plan, n) for n in names if n in faults.APPENDING]
-    appended = cut_lineage(reduce(DataFrame.unionByName, extra)) if extra else None
-    tables = faults.fan_out(plan, names, appended=appended)
+    extra = faults.appended_everywhere(plan, names)
+    tables = faults.fan_out(plan, names, appended=None if extra is None else cut_lineage(extra))
     return Evaluation(tables, contract, {n: SCENARIO_BY_NAME[n].expected for n in names})

@@ -17,7 +17,7 @@ from tidewatch.operators import faults, issues, quarantine, report, volume
 from tidewatch.operators import profile as P
 from tidewatch.operators.duplicates import duplicate_rows
 from tidewatch.operators.sampling import sample_with_replacement, seeded_sample
-from tidewatch.operators.tables import SCENARIO, one_table, stack_tables
+from tidewatch.operators.tables import SCENARIO, one_table, split_table, stack_tables
 from tidewatch.plans.evaluate import Evaluation, evaluate_faults
 from tidewatch.plans.feeds import clean_feed, dirty_feed, read_table, spread_small
 from tidewatch.session import prepare
@@ -321,7 +321,7 @@ def _(spark, folder):
     profile = P.profile(table, load_contract())
     found = issues.validation_issues(profile, quarantine.issue_samples(table, load_contract()))
     verdict = issues.validation_verdict(found, table.names_frame())
-    metadata = landing.ingestion_metadata(table.frame.drop(SCENARIO, "row_id"), "events")
+    metadata = landing.ingestion_metadata(table.data.drop("row_id"), "events")
     document = report.reliability_report(profile, found, verdict, metadata)
     names = [c for c in document.columns if c not in (SCENARIO, "run_timestamp_utc")]
     return document.select(
@@ -340,12 +340,10 @@ def _(spark, folder):
 
 # --- daily volume ----------------------------------------------------------------
 def _event_days(spark, folder) -> DataFrame:
+    """Events with even ids as the baseline, with odd ids as the current side."""
     events = read_table(spark, folder, "events").select("event_id", "ts")
-    side = F.when(F.col("event_id") % 2 == 0, "baseline").otherwise("current")
-    tagged = one_table(events, "event_id")
-    return volume.daily_counts(
-        type(tagged)(tagged.frame.withColumn(SCENARIO, side),
-                     {"baseline": ("ts",), "current": ("ts",)}, "event_id"), "ts")
+    even = F.col("event_id") % 2 == 0
+    return volume.daily_counts(split_table(events, {"baseline": even, "current": ~even}, "event_id"), "ts")
 
 
 def _compare(daily, base, current, **options):
@@ -430,7 +428,7 @@ def _half_months(spark, folder) -> D.Drift:
     """First against second half of the month, both monitored fields."""
     rows = feed(spark, folder)
     early = F.substring("created_date", 9, 2) < "16"
-    return D.compare_distributions(rows.where(early), rows.where(~early))
+    return D.detect_drift(split_table(rows, {"first": early, "second": ~early}, "row_id"), "first", ["second"])
 
 
 YEARS = D.DriftLimits(overall=0.05, change=0.02)
@@ -441,8 +439,10 @@ def _order_years(spark, folder) -> D.Drift:
     orders = read_table(spark, folder, "orders").select(
         F.year("o_orderdate").cast("string").alias("order_year"), "o_orderpriority"
     )
-    return D.compare_distributions(
-        orders.where("order_year <= '1995'"), orders.where("order_year >= '1994'"),
+    year = F.col("order_year")
+    return D.detect_drift(
+        split_table(orders, {"until_1995": year <= "1995", "from_1994": year >= "1994"}),
+        "until_1995", ["from_1994"],
         fields=("order_year", "o_orderpriority"), limits=YEARS, alert_on_new=("order_year",),
     )
 
@@ -513,13 +513,13 @@ def _(spark, folder):
 
 @query("top_categories")
 def _(spark, folder):
-    """Largest parts on either side, by supplier number of a line's shipping year."""
+    """Suppliers with the largest share of returned or of other lines."""
     lines = read_table(spark, folder, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("supplier"), "l_returnflag"
     )
-    drift = D.compare_distributions(
-        lines.where("l_returnflag = 'A'"), lines.where("l_returnflag <> 'A'"), fields=("supplier",)
-    )
+    returned = F.col("l_returnflag") == "A"
+    parts = split_table(lines, {"returned": returned, "other": ~returned})
+    drift = D.detect_drift(parts, "returned", ["other"], fields=("supplier",))
     return _rounded(D.top_categories(drift.aligned)).drop("field")
 
 
