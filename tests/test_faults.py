@@ -190,3 +190,15 @@ def test_shared_rows_give_the_metrics_of_single_tables(spark, contract):
         single = plan.feed if row.scenario == "clean_baseline" else faults.inject(plan, row.scenario)
         alone = P.quality_metrics(P.profile(one_table(single, "row_id"), contract)).first()
         assert tuple(row)[1:] == tuple(alone)[1:], row.scenario
+
+
+def test_narrow_tables_count_like_whole_ones(plan):
+    whole = faults.fan_out(plan)
+    for columns in ([], ["created_date"], ["complaint_type", "borough"], ["agency"]):
+        narrow = faults.fan_out(plan, only=columns)
+        for name in whole.names:
+            shown = [c for c in columns if c in whole.columns[name]]
+            assert set(shown) <= set(narrow.columns[name])
+            rows = [sorted(map(tuple, t.frame.where(t.member(name)).select("row_id", *shown).collect()), key=repr)
+                    for t in (whole, narrow)]
+            assert rows[0] == rows[1], (name, columns)

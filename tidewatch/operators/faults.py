@@ -238,20 +238,23 @@ def fan_out(
     names: Sequence[str] | None = None,
     clean: str | None = CLEAN,
     appended: DataFrame | None = None,
+    only: Sequence[str] | None = None,
 ) -> Tables:
     """Clean feed and all scenarios as one set of tables, read in a single scan.
 
     A row comes out once for all scenarios that leave it alone, and once more for each
     scenario that changes it; memberships tell which. With the usual sizes that is a
     third of the rows that separate tables would hold. Appended rows come in by union,
-    from ``appended`` if they were stored before.
+    from ``appended`` if they were stored before. With ``only`` the tables hold just those
+    columns, and scenarios that change none of them leave every row alone.
     """
     names = list(names or SCENARIO_BY_NAME)
     feed = plan.feed
+    kept = [c for c in feed.columns if only is None or c in only or c == plan.row_id]
     tags = ([clean] if clean else []) + names
     bits = {tag: bit(position) for position, tag in enumerate(tags)}
-    reshaping = [n for n in names if n in (DROPPED, RENAMED)]
-    sampling = [n for n in names if n in plan.draws and n not in APPENDING]
+    reshaping = [n for n, c in ((DROPPED, AGENCY), (RENAMED, CATEGORY)) if n in names and c in kept]
+    sampling = [n for n in names if n in plan.draws and set(_overwrites(plan, n)) & set(kept)]
     none = F.lit(0).cast("long")
 
     hits = [F.when(plan.hit(n), bits[n]).otherwise(none) for n in sampling]
@@ -275,10 +278,10 @@ def fan_out(
             before = changes.get(column, F.col(column).cast("string"))
             changes[column] = F.when(variant == name, value).otherwise(before)
     for name, column in ((DROPPED, AGENCY), (RENAMED, CATEGORY)):
-        if name in names:
+        if name in reshaping:
             changes[column] = F.when(variant != name, changes.get(column, F.col(column)))
-    new = [changes[c].alias(c) if c in changes else F.col(c) for c in feed.columns]
-    if RENAMED in names:
+    new = [changes[c].alias(c) if c in changes else F.col(c) for c in kept]
+    if RENAMED in reshaping:
         new.append(F.when(variant == RENAMED, F.col(CATEGORY)).alias(RENAMED_COLUMN))
     # A row that every tag left is hit by all of them; it has no common copy.
     frame = copies.select(F.col(f"_v.{MEMBERS}").alias(MEMBERS), *new).where(F.col(MEMBERS) != 0)
@@ -289,13 +292,13 @@ def fan_out(
             lambda rest, n: F.when(F.col(SCENARIO) == n, bits[n]).otherwise(rest),
             (n for n in names if n in APPENDING), none,
         )
-        typed = [F.col(c).cast(frame.schema[c].dataType).alias(c) for c in feed.columns]
+        typed = [F.col(c).cast(frame.schema[c].dataType).alias(c) for c in kept]
         frame = frame.unionByName(extra.select(tag.alias(MEMBERS), *typed), allowMissingColumns=True)
-    data = tuple(c for c in feed.columns if c != plan.row_id)
+    data = tuple(c for c in kept if c != plan.row_id)
     columns = {t: data for t in tags}
-    if DROPPED in names:
+    if DROPPED in reshaping:
         columns[DROPPED] = tuple(c for c in data if c != AGENCY)
-    if RENAMED in names:
+    if RENAMED in reshaping:
         columns[RENAMED] = tuple(RENAMED_COLUMN if c == CATEGORY else c for c in data)
     keeping = [t for t in tags if t not in APPENDING]  # no other scenario touches keys
     return Tables(frame, columns, plan.row_id, shared=True,

@@ -24,46 +24,56 @@ def repeated_keys(frame: DataFrame, keys: list[str], text_key: bool = False) ->
     With ``text_key`` blank values are left out as well. Map-side counting shrinks a
     hot key before the shuffle.
     """
-    usable = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
-    if text_key:
-        usable = ~C.is_blank(F.col(keys[0]), frame.schema[keys[0]].dataType)
+    usable = _usable(frame, keys, text_key)
     return frame.where(usable).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def repeated_key_flag(frame: DataFrame, keys: list[str], text_key: bool = False) -> DataFrame:
+def _usable(frame: DataFrame, keys: list[str], text_key: bool) -> Column:
+    if text_key:
+        return ~C.is_blank(F.col(keys[0]), frame.schema[keys[0]].dataType)
+    return reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+
+
+def repeated_key_flag(
+    frame: DataFrame, keys: list[str], text_key: bool = False, row_id: str | None = None
+) -> DataFrame:
     """``frame`` plus a boolean ``repeated``: does another row hold the same key?
 
     Keys that hold at least a thousandth of all repeated rows are matched by
     broadcast: by that rule there can be no more than a thousand of them. The rows
-    so settled, and rows without a key, need no partner in the join for the rest, so
-    they are spread by content instead of piling up in one partition.
+    so settled, and rows without a key, need no partner in the join for the rest.
+    With a unique ``row_id`` they enter it under that id, which spreads them evenly
+    (the leading letter keeps ids apart from keys); without one they bypass the join,
+    at the price of a second scan.
     """
     counts = repeated_keys(frame, keys, text_key)
     total = counts.agg(F.sum("n").alias("total")).scalar()
     is_hot = F.col("n") * HOT_SHARE >= total
     hot = counts.where(is_hot).select(*keys, F.lit(True).alias("_hot"))
+    marked = frame.join(F.broadcast(hot), keys, "left")
+    is_open = F.col("_hot").isNull() & _usable(frame, keys, text_key)
+    tagged_key = F.concat(F.lit("k"), F.col(keys[0]).cast("string"))
     rest = counts.where(~is_hot).select(
-        *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)),
-        F.lit(0).cast("long").alias("_spread"),
+        tagged_key.alias("_tagged"),
+        *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys[1:])),
         F.lit(True).alias("_cold"),
     )
-    usable = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
-    if text_key:
-        usable = ~C.is_blank(F.col(keys[0]), frame.schema[keys[0]].dataType)
-    open_row = F.col("_hot").isNull() & usable
-    content = F.xxhash64(*(F.col(c) for c in frame.columns))
-    marked = frame.join(F.broadcast(hot), keys, "left").withColumn(
-        "_away", F.when(open_row, F.lit(0).cast("long")).otherwise(content.bitwiseOR(F.lit(1)))
-    )
-    condition = [F.col("_away") == F.col("_spread")] + [
-        # A spread row keeps no key: its partition is decided by ``_away`` alone.
-        F.when(F.col("_away") == 0, F.col(k)) == F.col(f"_k{i}") for i, k in enumerate(keys)
-    ]
-    flagged = marked.join(rest, reduce(lambda a, b: a & b, condition), "left")
-    return flagged.select(
-        *frame.columns,
-        (F.coalesce("_hot", F.lit(False)) | F.coalesce("_cold", F.lit(False))).alias("repeated"),
+
+    def match(rows: DataFrame, key: Column) -> DataFrame:
+        condition = [F.col("_key") == F.col("_tagged")] + [
+            F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys[1:])
+        ]
+        joined = rows.withColumn("_key", key).join(rest, reduce(lambda a, b: a & b, condition), "left")
+        hit = F.coalesce("_hot", F.lit(False)) | F.coalesce("_cold", F.lit(False))
+        return joined.select(*frame.columns, hit.alias("repeated"))
+
+    if row_id is not None:
+        own = F.concat(F.lit("s"), F.col(row_id).cast("string"))
+        return match(marked, F.when(is_open, tagged_key).otherwise(own))
+    settled = marked.where(~is_open).select(
+        *frame.columns, F.coalesce("_hot", F.lit(False)).alias("repeated")
     )
+    return match(marked.where(is_open), tagged_key).unionByName(settled)
 
 
 def _reason(check: C.Check) -> Column:
@@ -79,7 +89,7 @@ def with_reasons(tables: Tables, contract: Contract) -> DataFrame:
     if contract.key not in tables.all_columns():
         return base
     text_key = isinstance(tables.dtype(contract.key), T.StringType)
-    flagged = repeated_key_flag(base, [contract.key], text_key)
+    flagged = repeated_key_flag(base, [contract.key], text_key, tables.row_id)
     duplicate = F.lit(f"{C.DUPLICATE_KEY}:{contract.key}")
     return flagged.withColumn(
         REASONS, F.when(F.col("repeated"), F.array_append(REASONS, duplicate)).otherwise(F.col(REASONS))
@@ -91,9 +101,11 @@ def rejected_rows(tables: Tables, contract: Contract) -> DataFrame:
     return with_reasons(tables, contract).where(F.size(REASONS) > 0)
 
 
-def duplicate_key_rows(frame: DataFrame, keys: list[str], text_key: bool = False) -> DataFrame:
+def duplicate_key_rows(
+    frame: DataFrame, keys: list[str], text_key: bool = False, row_id: str | None = None
+) -> DataFrame:
     """All rows whose key occurs more than once."""
-    return repeated_key_flag(frame, keys, text_key).where("repeated").drop("repeated")
+    return repeated_key_flag(frame, keys, text_key, row_id).where("repeated").drop("repeated")
 
 
 def rejected_preview(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -23,7 +23,11 @@ from tidewatch.session import cut_lineage
 
 @dataclass(frozen=True)
 class Evaluation:
-    """Lazy tables of one evaluation run. ``tables`` holds the clean feed and all scenarios."""
+    """Lazy tables of one evaluation run. ``tables`` holds the clean feed and all scenarios.
+
+    ``narrow`` may give the same tables cut down to some columns, for detectors that
+    look at few of them.
+    """
 
     tables: Tables
     contract: Contract
@@ -31,6 +35,10 @@ class Evaluation:
     pending: tuple[str, ...] = ()
     fields: Sequence[str] = DRIFT_FIELDS
     limits: DriftLimits = DriftLimits()
+    narrow: Callable[[Sequence[str]], Tables] | None = None
+
+    def _with_columns(self, *columns: str) -> Tables:
+        return self.tables if self.narrow is None else self.narrow(columns)
 
     @property
     def names(self) -> list[str]:
@@ -46,11 +54,13 @@ class Evaluation:
 
     @cached_property
     def volume_records(self) -> DataFrame:
-        return compare_daily(daily_counts(self.tables), CLEAN, self.names)
+        daily = daily_counts(self._with_columns("created_date"))
+        return compare_daily(daily, CLEAN, self.names)
 
     @cached_property
     def drift(self) -> Drift:
-        return detect_drift(self.tables, CLEAN, self.names, self.fields, self.limits)
+        tables = self._with_columns(*self.fields)
+        return detect_drift(tables, CLEAN, self.names, self.fields, self.limits)
 
     @cached_property
     def drift_labels(self) -> DataFrame:
@@ -72,8 +82,9 @@ class Evaluation:
 
     @cached_property
     def row_counts(self) -> DataFrame:
-        counted = self.tables.per_scenario(
-            self.tables.frame.groupBy(MEMBERS).agg(F.count(F.lit(1)).alias("row_count"))
+        tables = self._with_columns()
+        counted = tables.per_scenario(
+            tables.frame.groupBy(MEMBERS).agg(F.count(F.lit(1)).alias("row_count"))
         ).groupBy(SCENARIO).agg(F.sum("row_count").alias("row_count"))
         return self.tables.names_frame().join(counted, SCENARIO, "left").na.fill(0).select(
             SCENARIO, "row_count"
@@ -153,5 +164,9 @@ def evaluate_faults(
     """
     names = list(names or SCENARIO_BY_NAME)
     extra = faults.appended_everywhere(plan, names)
-    tables = faults.fan_out(plan, names, appended=None if extra is None else cut_lineage(extra))
-    return Evaluation(tables, contract, {n: SCENARIO_BY_NAME[n].expected for n in names})
+    stored = None if extra is None else cut_lineage(extra)
+    tables = faults.fan_out(plan, names, appended=stored)
+    return Evaluation(
+        tables, contract, {n: SCENARIO_BY_NAME[n].expected for n in names},
+        narrow=lambda columns: faults.fan_out(plan, names, appended=stored, only=columns),
+    )

@@ -228,7 +228,7 @@ def _(spark, folder):
 @query("duplicate_key_rows")
 def _(spark, folder):
     rows = dirty(spark, folder).select("row_id", "unique_key", "created_date")
-    return quarantine.duplicate_key_rows(rows, ["unique_key"], text_key=True)
+    return quarantine.duplicate_key_rows(rows, ["unique_key"], text_key=True, row_id="row_id")
 
 
 @query("duplicate_key_rows_lineitem")
