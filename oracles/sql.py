@@ -640,6 +640,14 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderd
     {ratio(count("outcome = 'true_positive'"), count('expected'))} AS detection_rate FROM matrix GROUP BY issue_type""",
     "scenario_quality_metrics": SCENARIO_METRICS,
 }
+_EVALUATED = ORACLE["evaluation_metrics"].removeprefix("WITH ")
+ORACLE["kpi_overview_evaluation"] = f"""WITH whole AS (WITH {_EVALUATED}),
+  clean_row AS (WITH {FEED} {metrics_sql('feed')}),
+  total_row AS ({ORACLE['scenario_totals']}),
+  verdict_row AS (WITH {VERDICTS} SELECT issue_count = 0 AS validation_passed, schema_passed, issue_count,
+    reliability_score, {HEALTH} AS health_status FROM verdicts WHERE scenario = 'clean'),
+  wide AS (SELECT * FROM verdict_row, clean_row, whole, total_row)
+  UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM wide) ON COLUMNS(*) INTO NAME metric VALUE value"""
 for _query, _name in {
     "fault_drop_column": "deleted_required_agency_column",
     "fault_rename_column": "renamed_complaint_type_column",

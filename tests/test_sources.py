@@ -31,6 +31,12 @@ def test_records_keep_requested_columns_newest_first(spark, tmp_path, layout):
     assert [r.unique_key for r in frame.collect()] == ["2", "007"]
 
 
+def test_known_columns_save_the_inference_pass(spark, tmp_path):
+    path = write(tmp_path / "r.json", "\n".join(map(json.dumps, RECORDS)))
+    frame = landing.read_records(spark, path, None, present=["agency", "unique_key"])
+    assert as_set(frame, *frame.columns) == {("1", "A"), ("2", "B"), ("007", None)}
+
+
 def test_records_errors(spark, tmp_path):
     for name, text, message in [
         ("bad", "[{not json", "malformed"), ("empty", "[]", "no records"), ("blank", " \n", "no records"),

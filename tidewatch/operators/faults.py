@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.catalog import (
@@ -86,7 +86,7 @@ def _day(frame: DataFrame) -> Column:
 
 
 def measure(feed: DataFrame, row_id: str) -> Population:
-    """One aggregation for the counters, and a grouping each for day and category."""
+    """One aggregation for the counters, and a grouping for the days and categories."""
     dtypes = {f.name: f.dataType for f in feed.schema.fields}
     created = to_utc_timestamp(F.col(CREATED), dtypes[CREATED])
     numeric_key = to_number(F.col(KEY), dtypes[KEY])
@@ -100,19 +100,22 @@ def measure(feed: DataFrame, row_id: str) -> Population:
         F.max(row_id).alias("high"),
         F.max(F.when(numeric_key.isNotNull(), exact_key)).alias("max_key"),
     ).first()
-    day = (
-        feed.select(_day(feed).alias("v")).where(F.col("v").isNotNull())
-        .groupBy("v").count().orderBy(F.desc("count"), "v").limit(1).collect()
-    )
-    mode = (
-        feed.select(F.col(CATEGORY).alias("v")).where(F.col("v").isNotNull())
-        .groupBy("v").count().orderBy(F.desc("count"), "v").limit(1).collect()
+    # Most frequent day and category together; ties go to the smallest value.
+    values = F.explode(F.array(
+        F.struct(F.lit("day").alias("kind"), _day(feed).alias("value")),
+        F.struct(F.lit("category").alias("kind"), F.col(CATEGORY).cast("string").alias("value")),
+    ))
+    best = Window.partitionBy("kind").orderBy(F.desc("n"), "value")
+    tops = (
+        feed.select(values.alias("v")).select("v.*").where(F.col("value").isNotNull())
+        .groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("rank", F.row_number().over(best)).where("rank = 1").collect()
     )
+    top = {r["kind"]: (r["value"], r["n"]) for r in tops}
     return Population(
         counts["rows"], counts["filled"], counts["dated"], counts["low"], counts["high"],
         counts["max_key"],
-        day[0]["v"] if day else None, day[0]["count"] if day else 0,
-        mode[0]["v"] if mode else None, mode[0]["count"] if mode else 0,
+        *top.get("day", (None, 0)), *top.get("category", (None, 0)),
     )
 
 

@@ -338,6 +338,15 @@ def _(spark, folder):
     return report.kpi_overview(verdict, profile)
 
 
+@query("kpi_overview_evaluation")
+def _(spark, folder):
+    """Headline numbers of the clean feed beside those of the evaluation."""
+    run = evaluation(spark, folder).settled()
+    clean = run.verdicts.where(F.col(SCENARIO) == CLEAN)
+    totals = E.scenario_totals(run.row_counts)
+    return report.kpi_overview(clean, run.profile, run.metrics.join(F.broadcast(totals)))
+
+
 # --- daily volume ----------------------------------------------------------------
 def _event_days(spark, folder) -> DataFrame:
     """Events with even ids as the baseline, with odd ids as the current side."""
@@ -595,7 +604,7 @@ def _(spark, folder):
 
 @query("scenario_results")
 def _(spark, folder):
-    return evaluation(spark, folder).results.drop("scenario_position")
+    return evaluation(spark, folder).settled().results.drop("scenario_position")
 
 
 @query("scenario_totals")

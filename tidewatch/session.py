@@ -30,6 +30,6 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     """
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
+        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return frame.checkpoint()
