@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,11 +48,11 @@ def reliability_report(
             "missing_value_percentages", "columns_exceeding_missingness_thresholds",
         ).alias("quality_metrics"))
     )
-    one_row = metadata.select(F.struct(*metadata.columns).alias("ingestion_metadata"))
+    origin = metadata.select(F.struct(*metadata.columns).alias("m")).scalar()  # a single row
     seconds = F.lit(runtime_seconds).cast("double")
     return (
         verdict.join(nested, SCENARIO).join(incidents, SCENARIO, "left")
-        .join(F.broadcast(one_row))  # metadata is a single row
+        .withColumn("ingestion_metadata", origin)
         .select(
             SCENARIO,
             F.lit(REPORT_VERSION).alias("report_version"),
@@ -69,18 +71,18 @@ def reliability_report(
     )
 
 
-def kpi_overview(verdict: DataFrame, profile: Profile, extra: DataFrame | None = None) -> DataFrame:
-    """Headline numbers as (metric, value) rows; ``extra`` adds one-row evaluation metrics."""
+def kpi_overview(verdict: DataFrame, profile: Profile, *extra: DataFrame) -> DataFrame:
+    """Headline numbers as (metric, value) rows; ``extra`` tables add those of their single row."""
     base = verdict.join(quality_metrics(profile), SCENARIO).drop(SCENARIO)
-    tables = [base] if extra is None else [base, extra]
-    parts = []
-    for table in tables:
+
+    def listed(table: DataFrame) -> DataFrame:
         pairs = F.array(*(
             F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value"))
             for c in table.columns
         ))
-        parts.append(table.select(F.explode(pairs).alias("p")).select("p.*"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return table.select(F.explode(pairs).alias("p")).select("p.*")
+
+    return reduce(DataFrame.unionByName, (listed(t) for t in (base, *extra)))
 
 
 def missingness_vs_threshold(profile: Profile) -> DataFrame:

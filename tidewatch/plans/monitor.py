@@ -91,10 +91,13 @@ def evaluation_report(run: Evaluation, manifest: DataFrame, paths: dict[str, str
     truth = manifest.agg(
         F.sort_array(F.collect_list(F.struct(*manifest.columns))).alias("generated_scenario_metadata"))
     totals = E.scenario_totals(run.results)
-    # Five single-row tables side by side.
-    row = run.metrics
-    for other in (listed, rates, truth, totals):
-        row = row.join(F.broadcast(other))
+    row = run.metrics.withColumns({
+        "all_results": listed.scalar(),
+        "detection_rate_by_fault_type": rates.scalar(),
+        "generated_scenario_metadata": truth.scalar(),
+        "total_rows_evaluated": totals.select("total_rows_evaluated").scalar(),
+        "peak_scenario_row_count": totals.select("peak_scenario_row_count").scalar(),
+    })
     is_clean = F.filter("all_results", lambda r: r.scenario_name == CLEAN)
     speed = F.round(F.try_divide(F.col("total_rows_evaluated"), F.lit(seconds)), 3)
     return row.select(

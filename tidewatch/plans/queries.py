@@ -343,8 +343,7 @@ def _(spark, folder):
     """Headline numbers of the clean feed beside those of the evaluation."""
     run = evaluation(spark, folder).settled()
     clean = run.verdicts.where(F.col(SCENARIO) == CLEAN)
-    totals = E.scenario_totals(run.row_counts)
-    return report.kpi_overview(clean, run.profile, run.metrics.join(F.broadcast(totals)))
+    return report.kpi_overview(clean, run.profile, run.metrics, E.scenario_totals(run.row_counts))
 
 
 # --- daily volume ----------------------------------------------------------------
