@@ -102,7 +102,7 @@ def test_range_issue_does_not_fail_the_schema(spark):
 
 @pytest.fixture(scope="module")
 def five_thousand(spark):
-    """The size the published figures refer to."""
+    """Five thousand rows, the size the default fault sizes were made for."""
     events = read_table(spark, "/root/testdata/sf0.01", "events")
     return clean_feed(events.where("event_id < 5000"))
 

@@ -21,7 +21,7 @@ from tidewatch.catalog import (
     CLEAN,
     INVALID_CREATED_DATE,
     INVALID_LATITUDE,
-    REFERENCE_ROWS,
+    DESIGN_ROWS,
     RENAMED_COLUMN,
     SCENARIO_BY_NAME,
     SCENARIOS,
@@ -123,7 +123,7 @@ def scaled_size(scenario: Scenario, rows: int) -> int:
     """Affected rows in proportion to the feed, with the ratio of a 5,000-row feed."""
     if scenario.points is not None:
         return -(-rows * scenario.points // 100)
-    size = rows * scenario.size // REFERENCE_ROWS
+    size = rows * scenario.size // DESIGN_ROWS
     return max(VOLUME_SPIKE_FLOOR, size) if scenario.name == SPIKE else max(1, size)
 
 
