@@ -8,7 +8,8 @@ from compare import connect, mismatch
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: run for name, run in entry.queries().items() if name in entry.CORE}
+SQL = {name: text for name, text in entry.oracle_sql().items() if name in entry.CORE}
 
 
 @pytest.fixture(scope="module")
