@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: bytes.translate table that lower-cases A-Z and leaves every other byte alone.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -43,32 +40,20 @@ def documents(docs: DataFrame, name: str = "text") -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(name).alias("text"))
 
 
-def by_batch(
-    frame: DataFrame, schema: T.StructType, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
-) -> DataFrame:
-    return frame.mapInArrow(work, schema)
-
-
-def arrow_schema(*fields: tuple[str, pa.DataType]) -> pa.Schema:
-    return pa.schema([pa.field(name, kind) for name, kind in fields])
-
-
-def following(keys: DataFrame, levels: int = 3, fan: int = 4096) -> DataFrame:
+def following(keys: DataFrame, levels: int = 3, fan_bits: int = 12) -> DataFrame:
     """For each distinct whole number ``key`` the next larger one, ``next_key`` (null for the last).
 
-    Neighbours are found inside stretches of ``fan`` numbers, so a window never holds more
-    than ``fan`` rows; the first number of every stretch is then looked up one level higher.
-    What is left above the last level is one row for each stretch of fan ** levels numbers.
+    Neighbours are found inside stretches of 2 ** fan_bits numbers, so a window never holds
+    more rows than that; the first number of every stretch is then looked up one level higher.
+    What is left above the last level is one row for each stretch of 2 ** (fan_bits * levels).
     """
-    from pyspark.sql import Window as W
-
     if levels == 0:
         return keys.select("key", F.lead("key").over(W.orderBy("key")).alias("next_key"))
-    stretch = F.floor(F.col("key") / F.lit(fan)).cast("long")
+    stretch = F.shiftright("key", fan_bits)
     inside = keys.select("key", stretch.alias("stretch"))
     inside = inside.withColumn("next_key", F.lead("key").over(W.partitionBy("stretch").orderBy("key")))
     first = keys.groupBy(stretch.alias("stretch")).agg(F.min("key").alias("first_key"))
-    above = following(first.select(F.col("stretch").alias("key")), levels - 1, fan)
+    above = following(first.select(F.col("stretch").alias("key")), levels - 1, fan_bits)
     after = above.join(first.withColumnRenamed("stretch", "next_key"), "next_key").select(
         F.col("key").alias("stretch"), F.col("first_key").alias("after_key"))
     return inside.join(after, "stretch", "left").select("key", F.coalesce("next_key", "after_key").alias("next_key"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, urls
+from . import decontam, imatch, simhash, urls
 from .common import read
 
 
@@ -12,6 +12,14 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"), size=4, radius=4)
 
 
+def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.edited_fingerprints(read(spark, folder, "documents"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"), window=13, share=20)
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     judged = urls.judge(read(spark, folder, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -19,6 +27,8 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_REGISTRY = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_url_filters": op8_url_filters,
 }
 
