@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, imatch, simhash, urls
+from . import decontam, imatch, packing, simhash, urls
 from .common import read
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048, end=1)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"), size=4, radius=4)
 
@@ -26,6 +33,7 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_REGISTRY = {
+    "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
