@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, imatch, packing, simhash, urls
+from . import decontam, imatch, packing, simhash, substrings, urls
 from .common import read
 
 
@@ -27,6 +27,12 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontam.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"), window=13, share=20)
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.dedup(read(spark, folder, "documents"), window=20)
+    kept = F.sha2(substrings.kept_words("text").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     judged = urls.judge(read(spark, folder, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -37,6 +43,7 @@ LLM_REGISTRY = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_url_filters": op8_url_filters,
 }
 
