@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, imatch, packing, simhash, substrings, urls
+from . import decontam, imatch, ngrams, packing, simhash, substrings, urls
 from .common import read
 
 
@@ -38,6 +38,10 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return ngrams.score(read(spark, folder, "documents"))
+
+
 LLM_REGISTRY = {
     "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -45,6 +49,7 @@ LLM_REGISTRY = {
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_url_filters": op8_url_filters,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 _RULES = ", ".join(f"('{kind}', '{host}', '{path}')" for kind, host, path in urls.RULES)
