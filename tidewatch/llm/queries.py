@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, imatch, ngrams, packing, simhash, substrings, urls
+from . import decontam, imatch, ngrams, packing, simhash, substrings, toxicity, urls
 from .common import read
 
 
@@ -19,6 +19,11 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"), size=4, radius=4)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return toxicity.grade(docs, toxicity.train(docs, read(spark, folder, "labels")))
+
+
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.edited_fingerprints(read(spark, folder, "documents"))
 
@@ -45,6 +50,7 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 LLM_REGISTRY = {
     "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
