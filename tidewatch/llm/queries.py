@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, imatch, ngrams, packing, simhash, substrings, toxicity, urls
+from . import decontam, imatch, licenses, ngrams, packing, simhash, substrings, toxicity, urls
 from .common import read
 
 
@@ -47,6 +47,10 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return ngrams.score(read(spark, folder, "documents"))
 
 
+def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read(spark, folder, "documents"))
+
+
 LLM_REGISTRY = {
     "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -56,6 +60,7 @@ LLM_REGISTRY = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_license_scans": op10_license_scans,
 }
 
 _RULES = ", ".join(f"('{kind}', '{host}', '{path}')" for kind, host, path in urls.RULES)
