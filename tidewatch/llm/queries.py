@@ -6,10 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, imatch, licenses, ngrams, packing, simhash, substrings, toxicity, urls
+from . import chat, decontam, imatch, licenses, ngrams, packing, simhash, substrings, toxicity, urls
 from .common import read
 
 
+def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return chat.read_back(chat.format_chats(turns.unionByName(control), path))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048, end=1)
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -52,6 +62,7 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_REGISTRY = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
