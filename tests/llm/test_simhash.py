@@ -20,12 +20,12 @@ def brute_print(text):
 
 
 def brute_components(prints, radius):
-    label = list(range(len(prints)))
-    for _ in prints:
-        for i, x in enumerate(prints):
-            for j, y in enumerate(prints):
-                if bin(x ^ y).count("1") <= radius:
-                    label[i] = label[j] = min(label[i], label[j])
+    pairs = [(i, j) for i, x in enumerate(prints) for j, y in enumerate(prints[:i]) if (x ^ y).bit_count() <= radius]
+    label, before = list(range(len(prints))), None
+    while label != before:
+        before = list(label)
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
     return label
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,9 +37,21 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
 
 
-def documents(docs: DataFrame, name: str = "text") -> DataFrame:
-    """The two columns the operators read; extra columns cannot clash with theirs."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(name).alias("text"))
+def documents(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The two columns the operators read; extra columns cannot clash with theirs.
+
+    Columns named in ``carry`` come along in one struct, ``carried``.
+    """
+    carried = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carried")] if carry else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"), *carried)
+
+
+def with_carried(schema: str, rows: DataFrame) -> str:
+    """``schema`` with the carried struct of ``rows``, if there is one."""
+    if "carried" not in rows.columns:
+        return schema
+    fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in rows.schema["carried"].dataType.fields)
+    return f"{schema}, carried struct<{fields}>"
 
 
 def following(keys: DataFrame, levels: int = 3, fan_bits: int = 12) -> DataFrame:

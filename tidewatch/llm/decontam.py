@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, text_bytes
+from .common import checkpoint, documents, text_bytes, with_carried
 
 #: Words of test items in one automaton; bounds what is broadcast and what a task holds.
 BLOCK_WORDS = 100_000
@@ -173,17 +173,22 @@ MATCHED = "doc_id long, text binary, n_words long, spans array<struct<a:long,b:l
 _SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
-def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = BLOCK_WORDS) -> DataFrame:
+def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = BLOCK_WORDS,
+                carry: Sequence[str] = ()) -> DataFrame:
     """For every row of ``docs`` (doc_id, text) the word stretches that a test item contains.
 
     Returns doc_id, text (bytes), n_words, spans (half-open word stretches, disjoint and in
-    order) and items (the found item_ids as texts, sorted; an item without id is "null").
+    order) and items (the found item_ids as texts, sorted; an item without id is "null");
+    columns named in ``carry`` come back in the struct ``carried``.
     """
     session = docs.sparkSession
-    rows = docs.select(
-        F.col("doc_id").cast("long"), text_bytes().alias("text"), F.lit(0).cast("long").alias("n_words"),
+    rows = documents(docs, carry)
+    schema = with_carried(MATCHED, rows)
+    carried = ["carried"] if carry else []
+    rows = rows.select(
+        "doc_id", "text", F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)").alias("spans"),
-        F.expr("cast(array() as array<string>)").alias("items"))
+        F.expr("cast(array() as array<string>)").alias("items"), *carried)
     parts = list(blocks(benchmark, block_words)) or [[]]
     for number, block in enumerate(parts):
         shared = session.sparkContext.broadcast(block)
@@ -201,9 +206,10 @@ def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_w
                     items.append(sorted(set(seen) | {"null" if i is None else str(i) for i in names}))
                 yield pa.record_batch(
                     [batch["doc_id"], batch["text"], pa.array(counts, pa.int64()), pa.array(spans, _SPANS),
-                     pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text", "n_words", "spans", "items"])
+                     pa.array(items, pa.list_(pa.string())), *(batch[c] for c in carried)],
+                    names=["doc_id", "text", "n_words", "spans", "items", *carried])
 
-        rows = rows.mapInArrow(work, MATCHED)
+        rows = rows.mapInArrow(work, schema)
         if number + 1 < len(parts):
             rows = checkpoint(rows)  # one block's automaton at a time
     return rows
@@ -239,11 +245,16 @@ def cut_text(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20,
+                  carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, text, n_cut for every row of ``docs``: hit stretches of contaminated texts are cut out.
 
-    Texts that are not contaminated stay as they are; null texts become empty.
+    Texts that are not contaminated stay as they are; null texts become empty. Columns named in
+    ``carry`` come back in the struct ``carried``.
     """
+    carried = ["carried"] if carry else []
+    matched = match_spans(docs, benchmark, window, carry=carry)
+
     def work(batches):
         for batch in batches:
             texts, cut = [], []
@@ -253,7 +264,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
                 guilty = hit > 0 and share * hit >= count
                 texts.append((cut_text(text, spans) if guilty else text).decode("utf-8", "replace"))
                 cut.append(hit if guilty else 0)
-            yield pa.record_batch([batch["doc_id"], pa.array(texts, pa.string()), pa.array(cut, pa.int64())],
-                                  names=["doc_id", "text", "n_cut"])
+            yield pa.record_batch(
+                [batch["doc_id"], pa.array(texts, pa.string()), pa.array(cut, pa.int64()), *(batch[c] for c in carried)],
+                names=["doc_id", "text", "n_cut", *carried])
 
-    return match_spans(docs, benchmark, window).mapInArrow(work, "doc_id long, text string, n_cut long")
+    return matched.mapInArrow(work, with_carried("doc_id long, text string, n_cut long", matched))

@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import chat, decontam, imatch, licenses, ngrams, packing, simhash, substrings, toxicity, urls
 from .common import read
 
@@ -62,6 +64,7 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_REGISTRY = {
+    "pipeline": corpus_pipeline.run,
     "op1_chat_formatting": op1_chat_formatting,
     "op2_packing": op2_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
