@@ -82,8 +82,8 @@ def unpack_keys(data: bytes) -> np.ndarray:
 
 def deal(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places) of sorted distinct keys; a shard's places ascend."""
-    shard = (keys % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
+    shard = (keys % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+    order = np.argsort(shard, kind="stable")  # a radix sort for 16 bits
     found, first = np.unique(shard[order], return_index=True)
     for number, a, b in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
         yield number, order[a:b]

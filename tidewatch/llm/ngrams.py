@@ -15,8 +15,9 @@ monotone pointers lead from a word to its successors, probabilities are quantise
 and all levels lie in one memory-mapped file. A pair is looked up by successor search among
 the context's range only, with successors numbered relative to the context's base.
 
-Keys are 64-bit hashes: among ten million words the chance that any two share one is 3 in a
-million.
+Word keys are 64-bit hashes: among ten million words the chance that any two share one is 3 in
+a million. Pair keys have 48 bits, which leaves a pair among a billion one that shares its key
+with a chance of 4 in a million; such pairs would pool their counts.
 """
 
 from __future__ import annotations
@@ -25,12 +26,13 @@ import tempfile
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import cells
-from .common import LOWER, checkpoint, documents
+from .common import LOWER, documents
 
 #: Documents of one chunk.
 CHUNK_DOCS = 1024
@@ -151,7 +153,7 @@ class Trie:
     """
 
     def __init__(self, words: np.ndarray, p_words: np.ndarray, context: np.ndarray, follower: np.ndarray, p_pairs: np.ndarray):
-        pointers = np.searchsorted(context, np.arange(len(words) + 1)).astype(np.uint64)
+        pointers = np.concatenate(([0], np.cumsum(np.bincount(context, minlength=len(words))))).astype(np.uint64)
         # every context's successors start above the last of the context before
         base = np.arange(len(words) + 1, dtype=np.uint64) * np.uint64(max(1, len(words)))
         parts = [EliasFano.build(words), EliasFano.build(pointers),
@@ -190,7 +192,8 @@ class Trie:
         """Places in level two; -1 for pairs that are not there. Both are places in level one."""
         if not self.followers.n or not len(context):
             return np.full(len(context), -1)
-        first, last = (self.pointers.at(context + k).astype(np.int64) for k in (0, 1))
+        edges = self.pointers.at(np.arange(self.pointers.n)).astype(np.int64)
+        first, last = edges[context], edges[context + 1]
         wanted = follower.astype(np.uint64) + context.astype(np.uint64) * self.base
         place = self.followers.successor(wanted, first, last)
         n = self.followers.n
@@ -199,7 +202,16 @@ class Trie:
 
 
 def _pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return cells.mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
+    return cells.mix(a * np.uint64(0x9E3779B97F4A7C15) + b) >> np.uint64(16)
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place of every value among them."""
+    code, found = pd.factorize(values)
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], rank[code]
 
 
 class Chunk:
@@ -218,14 +230,15 @@ class Chunk:
         self.counts = np.array(counts, np.int64)
         self.doc = np.repeat(np.arange(len(counts)), counts)
         self.starts = np.cumsum(self.counts) - self.counts
-        self.words, self.word_at = np.unique(self.tokens, return_inverse=True)
+        self.words, self.word_at = _distinct(self.tokens)
         follows = np.ones(len(self.tokens), bool)
         follows[self.starts] = False
         self.second = np.flatnonzero(follows)
         pair = _pair_keys(self.tokens[self.second - 1], self.tokens[self.second])
-        self.pairs, first, self.pair_at = np.unique(pair, return_index=True, return_inverse=True)
-        self.context = self.word_at[self.second[first] - 1]
-        self.follower = self.word_at[self.second[first]]
+        self.pairs, self.pair_at = _distinct(pair)
+        place = np.empty(len(self.pairs), np.int64)
+        place[self.pair_at] = self.second  # any of a pair's places
+        self.context, self.follower = self.word_at[place - 1], self.word_at[place]
 
     def trained(self) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the words and pairs in training documents."""
@@ -248,12 +261,8 @@ def _ask(shards: int):
     return work
 
 
-def _totals(chunks: list[int], payloads: list[bytes]) -> list[bytes]:
-    """Every chunk's keys with the sums of all chunks' counts; then the sums of distinct keys.
-
-    A reply starts with the shard's number of trained keys and of trained tokens, in the reply
-    to its first chunk, so that adding up replies gives both for the corpus.
-    """
+def _counts(payloads: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Keys of every payload, the place of each among the distinct keys, and those keys' counts."""
     keys, counts = [], []
     for p in payloads:
         n = 4 + int.from_bytes(p[:4], "little")
@@ -262,24 +271,37 @@ def _totals(chunks: list[int], payloads: list[bytes]) -> list[bytes]:
     _, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(int(place.max()) + 1, np.uint64)
     np.add.at(total, place, np.concatenate(counts))
+    return keys, place, total
+
+
+def _totals(chunks: list[int], payloads: list[bytes]) -> list[bytes]:
+    """The sums of all chunks' counts for every chunk's keys."""
+    keys, place, total = _counts(payloads)
     replies = np.split(total[place], np.cumsum([len(k) for k in keys])[:-1])
-    facts = [int((total > 0).sum()), int(total.sum())]
-    out = []
-    for k, reply in enumerate(replies):
-        head = facts if k == 0 else (0, 0)
-        out.append(b"".join(x.to_bytes(8, "big") for x in head) + cells.pack_planes(reply))
-    return out
+    return [cells.pack_planes(r) for r in replies]
+
+
+def _facts(shards: int):
+    """Trained words and tokens of a shard of words; nothing of a shard of pairs."""
+    def work(t: pa.Table) -> pa.Table:
+        types = tokens = 0
+        if t["shard"][0].as_py() < shards:
+            _, _, total = _counts(t["payload"].to_pylist())
+            types, tokens = int((total > 0).sum()), int(total.sum())
+        return pa.table([pa.array([types], pa.int64()), pa.array([tokens], pa.int64())], names=["types", "tokens"])
+
+    return work
 
 
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
 
-def _score(shards: int, tokens: int, types: int, mass: float):
+def _score(shards: int, mass: float):
     def place(parts: Iterator, answers: dict[int, bytes], level: int, total: int) -> np.ndarray:
         out = np.zeros(total, np.uint64)
         for shard, at in parts:
-            out[at] = cells.unpack_planes(answers[level * shards + shard][16:], np.uint64)
+            out[at] = cells.unpack_planes(answers[level * shards + shard], np.uint64)
         return out.astype(np.float64)
 
     def work(rows: pa.Table, replies: pa.Table) -> pa.Table:
@@ -288,6 +310,7 @@ def _score(shards: int, tokens: int, types: int, mass: float):
         if not len(rows):
             return pa.table([pa.array([], k) for k in kinds], names=names)
         chunk = Chunk(rows)
+        types, tokens = replies["types"][0].as_py(), replies["tokens"][0].as_py()
         answers = dict(zip(replies["shard"].to_pylist(), replies["payload"].to_pylist()))
         c_word = place(cells.deal(chunk.words, shards), answers, 0, len(chunk.words))
         c_pair = place(cells.deal(chunk.pairs, shards), answers, 1, len(chunk.pairs))
@@ -298,7 +321,7 @@ def _score(shards: int, tokens: int, types: int, mass: float):
         rank = np.cumsum(c_word > 0) - 1  # words by their place in level one
         context, follower = chunk.context[seen], chunk.follower[seen]
         p_pair = np.log10(mass * c_pair[seen] / c_word[context] + (1 - mass) * 10 ** p_word[follower])
-        order = np.lexsort((follower, context))
+        order = np.argsort(context * len(chunk.words) + follower)
         trie = Trie(chunk.words[known], p_word[known], rank[context[order]], rank[follower[order]], p_pair[order])
 
         at = trie.find_words(chunk.words)
@@ -335,9 +358,9 @@ def score(docs: DataFrame, mass: float = MASS) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True))
     rows = rows.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id", held.alias("held_out"), "text")
-    replies = checkpoint(cells.answer(cells.request(rows, _ask(shards)), _totals))
-    number = lambda first: F.conv(F.hex(F.substring("payload", first, 8)), 16, 10).cast("long")
-    facts = replies.filter(F.col("shard") < shards).agg(
-        F.sum(number(1)).alias("types"), F.sum(number(9)).alias("tokens")).first()
-    work = _score(shards, facts["tokens"] or 0, facts["types"] or 0, mass)
-    return rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(work, SCORES)
+    asked = cells.request(rows, _ask(shards))
+    # one row; the shards' cells are shuffled once for both uses
+    facts = asked.groupBy("shard").applyInArrow(_facts(shards), "types long, tokens long").agg(
+        F.sum("types").alias("types"), F.sum("tokens").alias("tokens"))
+    replies = cells.answer(asked, _totals).crossJoin(F.broadcast(facts))
+    return rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_score(shards, mass), SCORES)
