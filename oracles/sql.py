@@ -308,8 +308,8 @@ STATS = f"""stats AS (SELECT count(*) AS n, max(row_id) AS max_id, min(row_id) A
     max(try_cast(unique_key AS BIGINT)) AS max_key, count_if(NOT {blank('descriptor')}) AS filled FROM feed)"""
 
 
-def scaled(size: int, at_least: int = 1) -> str:
-    return f"greatest({at_least}, n * {size} // 5000)"
+def scaled(size: int) -> str:
+    return f"(-((-n * {size}) // 5000))"
 
 
 def points(pp: int) -> str:
@@ -364,7 +364,7 @@ def fault_sql(name: str) -> str:
          "unique_key": "(max_key + 1 + pick)::VARCHAR AS unique_key"}.get(c, c) for c in FEED_COLUMNS)
     return f"""SELECT {plain} FROM feed UNION ALL
   SELECT {moved} FROM (
-    SELECT unnest(range({scaled(500, 500)})) AS pick FROM stats) p
+    SELECT unnest(range({scaled(500)})) AS pick FROM stats) p
   JOIN (SELECT *, row_number() OVER (ORDER BY md5('109|' || row_id), row_id) - 1 AS pos FROM feed
         WHERE {DAY} = (SELECT d FROM busiest)) e
     ON e.pos = ('0x' || substr(md5('109|draw|' || pick), 1, 15))::BIGINT % (SELECT day_rows FROM busiest),
@@ -374,7 +374,7 @@ def fault_sql(name: str) -> str:
 FAULTS = f"{FEED}, {STATS}, {MODE}, {BUSIEST}"
 AFFECTED = {
     "deleted_required_agency_column": "n", "renamed_complaint_type_column": "n",
-    "duplicate_rows_preserved_unique_keys": scaled(100), "daily_request_volume_spike": scaled(500, 500),
+    "duplicate_rows_preserved_unique_keys": scaled(100), "daily_request_volume_spike": scaled(500),
     **{name: size for name, (_, size, _, _) in VALUE_FAULTS.items()},
 }
 
@@ -533,6 +533,9 @@ ORACLE: dict[str, str] = {
     "ingest_metadata": f"""WITH {FEED} SELECT 'events' AS source_url, count(*)::BIGINT AS rows_downloaded,
   {len(COLUMNS)}::BIGINT AS columns_downloaded, '{','.join(COLUMNS)}' AS column_names,
   max(created_date) AS latest_created_date FROM feed""",
+    "ingest_metadata_dirty": f"""WITH {DIRTY} SELECT 'events' AS source_url, count(*)::BIGINT AS rows_downloaded,
+  {len(COLUMNS)}::BIGINT AS columns_downloaded, '{','.join(COLUMNS)}' AS column_names,
+  strftime(max({ts('created_date')}), '{TEXT_TS}') AS latest_created_date FROM dirty""",
     "blank_rows": f"WITH {DIRTY} SELECT * FROM (SELECT row_id, concat_ws(',', "
                   + ", ".join(f"CASE WHEN {blank(c)} THEN '{c}' END" for c in COLUMNS)
                   + ") AS blank_fields FROM dirty) WHERE blank_fields <> ''",
@@ -544,11 +547,13 @@ ORACLE: dict[str, str] = {
     "date_order_violations_lineitem": """SELECT l_orderkey, l_linenumber,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ordered, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipped
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate""",
-    "schema_issues": """SELECT * FROM (VALUES
-  ('missing_required_column', 'agency', 'error', '"absent"', '"column present"'),
-  ('missing_required_column', 'complaint_type', 'error', '"absent"', '"column present"'),
-  ('unexpected_column', 'complaint_category', 'error', '"present"', '"column absent or explicitly allowed"'))
-  v(issue_type, affected_field, severity, observed_value, expected_value)""",
+    "schema_issues": f"""WITH {ISSUES} SELECT issue_type, affected_field, severity,
+    CASE WHEN issue_type = 'missingness_threshold_exceeded' THEN observed_value
+         ELSE '{{"count":' || issue_count || '}}' END AS observed_value, issue_count
+  FROM issue_rows WHERE affected_field NOT IN ('agency', 'complaint_type')
+  UNION ALL VALUES ('missing_required_column', 'agency', 'error', '{{"present":false}}', 1),
+    ('missing_required_column', 'complaint_type', 'error', '{{"present":false}}', 1),
+    ('unexpected_column', 'complaint_category', 'error', '{{"present":true}}', 1)""",
     "normalize_labels": r"""SELECT regexp_replace(trim(regexp_replace(lower('  ' || o_orderpriority || ' - Type '), '[-\s]+', ' ', 'g')), '\s+', '_', 'g') AS label,
   count(*)::BIGINT AS n FROM orders GROUP BY 1""",
     "missing_keys": f"WITH {DIRTY} SELECT count(*)::BIGINT AS total_rows_processed, {count(blank('unique_key'))} AS missing_unique_key_count FROM dirty",
@@ -570,6 +575,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderd
     "duplicate_key_rows": f"WITH {DIRTY}, {DUP_KEYS} SELECT row_id, unique_key, created_date FROM dirty WHERE {DUPLICATED}",
     "duplicate_key_rows_lineitem": """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
   WHERE (l_orderkey, l_linenumber) IN (SELECT (l_orderkey, l_linenumber) FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
+    "duplicate_key_rows_part": """WITH keyed AS (SELECT p_partkey,
+    CASE WHEN p_partkey % 100 IN (0, 1) THEN 0.0 ELSE floor(p_retailprice) END AS price FROM part)
+  SELECT p_partkey FROM keyed WHERE price IN (SELECT price FROM keyed GROUP BY price HAVING count(*) > 1)""",
     "quality_metrics": f"WITH {DIRTY} {metrics_sql('dirty')}",
     "quality_metrics_clean": f"WITH {FEED} {metrics_sql('feed')}",
     "rejected_rows": f"WITH {DIRTY_ALL} SELECT row_id, reasons FROM rejected",
@@ -601,12 +609,27 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderd
     "shifted_categories": f"WITH {YEARS} SELECT field, category, round(p, 6) AS baseline_frequency, round(q, 6) AS current_frequency, round(abs(q - p), 6) AS absolute_frequency_change FROM aligned WHERE {SHIFTED}",
     "new_categories": f"WITH {YEARS} SELECT field, category, current_count AS count, round(q, 6) AS frequency FROM aligned WHERE {NEW}",
     "disappearing_categories": f"WITH {YEARS} SELECT field, category, baseline_count, round(p, 6) AS baseline_frequency FROM aligned WHERE {GONE}",
+    "disappearing_categories_documents": f"""WITH long_docs AS (SELECT lang || '-' || source AS origin FROM documents WHERE n_chars > 500),
+  short_docs AS (SELECT lang || '-' || source AS origin FROM documents WHERE n_chars <= 500),
+  {aligned_sql([('origin', 'origin', 'long_docs', 'short_docs')])}
+  SELECT field, category, baseline_count, round(p, 6) AS baseline_frequency FROM aligned
+  WHERE current_count = 0 AND baseline_count >= 1""",
+    "drift_findings": f"""WITH l1 AS (SELECT l_suppkey || '/' || (l_partkey % 16) AS source FROM lineitem WHERE l_returnflag = 'A'),
+  l2 AS (SELECT l_suppkey || '/' || (l_partkey % 16) AS source FROM lineitem WHERE l_returnflag <> 'A'),
+  {aligned_sql([('source', 'source', 'l1', 'l2')])},
+  told AS (SELECT *, CASE WHEN baseline_count > 0 AND current_count > 0 AND abs(q - p) >= 1e-5 THEN 'shifted'
+      WHEN baseline_count = 0 AND (current_count >= 2 OR q >= 0.01) THEN 'new'
+      WHEN current_count = 0 AND baseline_count >= 2 THEN 'gone' END AS kind FROM aligned)
+  SELECT field, kind, category, baseline_count, current_count, round(p, 6) AS baseline_frequency,
+    round(q, 6) AS current_frequency FROM told WHERE kind IS NOT NULL""",
     "drift_verdict": f"WITH {YEARS}, {verdict_sql('order_year')} SELECT * FROM verdict",
     "drift_multi_field": f"WITH {HALVES}, {verdict_sql('complaint_type')} SELECT * FROM verdict",
     "drift_issues": f"""WITH {YEARS}, {verdict_sql('order_year')}
   SELECT 'category_drift' AS issue_type, 'warning' AS severity, field AS affected_field,
-    shifted_count + disappearing_count AS issue_count, jensen_shannon_distance AS observed_number FROM verdict WHERE category_drift
-  UNION ALL SELECT 'unexpected_category', 'warning', field, new_count, new_count::DOUBLE FROM verdict WHERE unexpected_category""",
+    shifted_count + disappearing_count AS issue_count, jensen_shannon_distance AS observed_number,
+    shifted_count, disappearing_count, NULL::BIGINT AS new_count, 'drift_findings' AS findings_table FROM verdict WHERE category_drift
+  UNION ALL SELECT 'unexpected_category', 'warning', field, new_count, new_count::DOUBLE,
+    NULL, NULL, new_count, 'drift_findings' FROM verdict WHERE unexpected_category""",
     "top_categories": f"""WITH l1 AS (SELECT * FROM lineitem WHERE l_returnflag = 'A'), l2 AS (SELECT * FROM lineitem WHERE l_returnflag <> 'A'),
   {aligned_sql([('supplier', 'l_suppkey::VARCHAR', 'l1', 'l2')])}
   SELECT category, baseline_count, current_count, round(p, 6) AS baseline_frequency, round(q, 6) AS current_frequency
@@ -663,3 +686,18 @@ for _query, _name in {
     "fault_reversed_dates": "closed_date_before_created_date",
 }.items():
     ORACLE[_query] = f"WITH {FAULTS} {fault_sql(_name)}"
+
+_CHANGED = {n: f"SELECT '{n}' AS scenario, row_id FROM {sample_sql(n, VALUE_FAULTS[n][0], VALUE_FAULTS[n][1])}"
+            for n in VALUE_FAULTS}
+_APPENDED = {n: f"SELECT '{n}' AS scenario, row_id FROM ({fault_sql(n)}) WHERE row_id > (SELECT max_id FROM stats)"
+             for n in ("duplicate_rows_preserved_unique_keys", "daily_request_volume_spike")}
+ORACLE["affected_rows"] = f"WITH {FAULTS} " + " UNION ALL ".join([*_CHANGED.values(), *_APPENDED.values()])
+ORACLE["changed_rows"] = f"WITH {FAULTS} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS scenario, t.* FROM ({fault_sql(n)}) t SEMI JOIN ({ids}) i USING (row_id)"
+    for n, ids in [*_CHANGED.items(), *_APPENDED.items()])
+ORACLE["spike_sources"] = f"""WITH {FAULTS}, day_rows AS (
+    SELECT row_id, row_number() OVER (ORDER BY md5('109|' || row_id), row_id) - 1 AS pos FROM feed
+    WHERE {DAY} = (SELECT d FROM busiest))
+  SELECT max_id + 1 + pick AS row_id, e.row_id AS source_row_id
+  FROM (SELECT unnest(range({scaled(500)})) AS pick FROM stats) p JOIN day_rows e
+    ON e.pos = ('0x' || substr(md5('109|draw|' || pick), 1, 15))::BIGINT % (SELECT day_rows FROM busiest), stats"""

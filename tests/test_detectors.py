@@ -3,9 +3,10 @@ from __future__ import annotations
 import json
 import math
 import statistics
+from collections import Counter
 
 import pytest
-from conftest import as_set, clean_rows, to_frame
+from conftest import FIRST_DAY, KINDS, ROWS, SECOND_DAY, SIDES, as_set, clean_rows, to_frame
 from pyspark.sql import functions as F
 
 from tidewatch.operators import drift as D
@@ -31,9 +32,27 @@ def distances(baseline, current):
     return {r.field: round(r.jensen_shannon_distance, 9) for r in found}
 
 
+def kinds(rows=None):
+    return Counter(r["complaint_type"] for r in rows or clean_rows())
+
+
+def sides(rows=None):
+    return Counter(r["borough"] for r in rows or clean_rows())
+
+
+def distance(base: Counter, now: Counter) -> float:
+    """Jensen-Shannon distance of two counts of categories."""
+    p, q = ({k: n / c.total() for k, n in c.items()} for c in (base, now))
+    total = 0.0
+    for k in base | now:
+        m = (p.get(k, 0) + q.get(k, 0)) / 2
+        total += sum(0.5 * x * math.log2(x / m) for x in (p.get(k, 0), q.get(k, 0)) if x)
+    return round(math.sqrt(max(total, 0)), 9)
+
+
 def test_daily_counts(feed):
     daily = V.daily_counts(one_table(feed, "row_id"))
-    assert as_set(daily, "calendar_date", "request_count") == {("2026-01-01", 10), ("2026-01-02", 10)}
+    assert as_set(daily, "calendar_date", "request_count") == {(FIRST_DAY, 24), (SECOND_DAY, 12)}
 
 
 def test_only_a_large_spike_is_a_volume_anomaly(spark, feed):
@@ -42,9 +61,9 @@ def test_only_a_large_spike_is_a_volume_anomaly(spark, feed):
     found = V.compare_volumes(feed, with_rows(spark, copies(200))).where("is_anomaly").collect()
     assert len(found) == 1
     row = found[0]
-    assert (row.calendar_date, row.baseline_count, row.current_count) == ("2026-01-01", 10, 210)
-    assert row.percentage_change == 2000.0
-    assert round(row.standardized_count_difference, 6) == 63.245553
+    assert (row.calendar_date, row.baseline_count, row.current_count) == (FIRST_DAY, 24, 224)
+    assert math.isclose(row.percentage_change, 200 / 24 * 100)
+    assert math.isclose(row.standardized_count_difference, 200 / math.sqrt(24))
 
 
 def test_volume_issue(spark, feed):
@@ -52,18 +71,18 @@ def test_volume_issue(spark, feed):
     issue, = V.volume_issues(records).collect()
     assert (issue.issue_type, issue.severity, issue.affected_field) == ("volume_anomaly", "warning", "created_date")
     observed = json.loads(issue.observed_value)
-    assert observed["absolute_difference"] == 200 and observed["percentage_change"] == 2000.0
+    assert observed["absolute_difference"] == 200 and observed["current_count"] == 224
     assert json.loads(issue.expected_value) == {"minimum_absolute_increase": 200, "standardized_threshold": 3.0}
 
 
 def test_days_on_one_side_only(spark, feed):
-    later = feed.withColumn("created_date", F.lit("2026-02-01"))
+    later = feed.withColumn("created_date", F.lit("2031-06-01"))
     records = {r.calendar_date: r for r in V.compare_volumes(feed, later).collect()}
-    assert records["2026-02-01"].baseline_count == 0
-    assert records["2026-02-01"].percentage_change is None
-    assert records["2026-02-01"].standardized_count_difference == 20.0
-    assert records["2026-01-01"].current_count == 0
-    assert records["2026-01-01"].percentage_change == -100.0
+    assert records["2031-06-01"].baseline_count == 0
+    assert records["2031-06-01"].percentage_change is None
+    assert records["2031-06-01"].standardized_count_difference == ROWS
+    assert records[FIRST_DAY].current_count == 0
+    assert records[FIRST_DAY].percentage_change == -100.0
 
 
 def test_decreases_only_when_asked(spark, feed):
@@ -116,29 +135,40 @@ def test_no_drift_against_itself(feed):
 
 def test_one_copied_row_is_no_drift(spark, feed):
     current = with_rows(spark, copies(1))
-    assert distances(feed, current) == {"complaint_type": 0.020228640, "borough": 0.024632896}
+    more = clean_rows() + copies(1)
+    assert distances(feed, current) == {
+        "complaint_type": distance(kinds(), kinds(more)), "borough": distance(sides(), sides(more))}
     assert drift_types(feed, current) == set()
 
 
+def moved(feed, kind):
+    """The feed with its first fourteen rows under another kind, as a frame and as counts."""
+    early = F.col("row_id") < 14
+    rows = [{**r, "complaint_type": kind} if r["row_id"] < 14 else r for r in clean_rows()]
+    return feed.withColumn("complaint_type", F.when(early, kind).otherwise(F.col("complaint_type"))), kinds(rows)
+
+
 def test_shift_to_the_mode(feed):
-    first_ten = F.col("row_id") < 10
-    current = feed.withColumn("complaint_type", F.when(first_ten, "Street noise").otherwise(F.col("complaint_type")))
+    current, now = moved(feed, KINDS[0])
     assert drift_types(feed, current) == {"category_drift"}
-    assert distances(feed, current)["complaint_type"] == 0.220895769
+    assert distances(feed, current)["complaint_type"] == distance(kinds(), now)
     drift = D.compare_distributions(feed, current)
     shifts = {r.category: round(r.absolute_frequency_change, 6) for r in D.shifted_categories(drift.aligned).collect()}
-    assert shifts == {"Street noise": 0.25, "Blocked drive": 0.15, "No heat": 0.1}
+    assert shifts == {k: round(abs(now[k] - n) / ROWS, 6) for k, n in kinds().items()}
+    assert len(shifts) == 3
 
 
 def test_unseen_category(feed):
-    first_ten = F.col("row_id") < 10
-    current = feed.withColumn("complaint_type", F.when(first_ten, "Unseen").otherwise(F.col("complaint_type")))
+    current, now = moved(feed, "Noise")
     assert drift_types(feed, current) == {"category_drift", "unexpected_category"}
-    assert distances(feed, current)["complaint_type"] == 0.557923045
+    assert distances(feed, current)["complaint_type"] == distance(kinds(), now)
     drift = D.compare_distributions(feed, current)
-    assert as_set(D.new_categories(drift.aligned), "category", "count", "frequency") == {("Unseen", 10, 0.5)}
+    assert {tuple(r) for r in D.new_categories(drift.aligned).select("category", "count", F.round("frequency", 9)).collect()} == {
+        ("Noise", 14, round(14 / ROWS, 9))}
     issue = drift.issues.where("issue_type = 'unexpected_category'").first()
-    assert json.loads(issue.observed_value) == {"new_categories": [{"category": "Unseen", "count": 10, "frequency": 0.5}]}
+    assert json.loads(issue.observed_value) == {"new_count": 1, "findings_table": D.FINDINGS_TABLE}
+    found = as_set(drift.findings.where("field = 'complaint_type'"), "kind", "category", "baseline_count", "current_count")
+    assert found == {("new", "Noise", 0, 14)} | {("shifted", k, n, now[k]) for k, n in kinds().items()}
 
 
 def test_new_category_elsewhere_raises_nothing(feed):
@@ -148,7 +178,9 @@ def test_new_category_elsewhere_raises_nothing(feed):
 
 def test_spike_of_one_row_also_drifts(spark, feed):
     current = with_rows(spark, copies(200))
-    assert distances(feed, current) == {"complaint_type": 0.460400307, "borough": 0.523392824}
+    more = clean_rows() + copies(200)
+    assert distances(feed, current) == {
+        "complaint_type": distance(kinds(), kinds(more)), "borough": distance(sides(), sides(more))}
     assert drift_types(feed, current) == {"category_drift"}
 
 
@@ -169,11 +201,13 @@ def test_one_empty_side(spark, feed):
 
 
 def test_disappearing_needs_ten_rows(feed):
-    without = feed.where("complaint_type <> 'Street noise'")
-    drift = D.compare_distributions(feed, without)
-    assert as_set(D.disappearing_categories(drift.aligned).where("field = 'complaint_type'"), "category", "baseline_count") == {("Street noise", 10)}
-    few = feed.where("complaint_type <> 'No heat'")
-    assert D.disappearing_categories(D.compare_distributions(feed, few).aligned).count() == 0
+    common, rare = KINDS[0], KINDS[2]
+    assert kinds()[common] >= 10 > kinds()[rare]
+    drift = D.compare_distributions(feed, feed.where(F.col("complaint_type") != common))
+    gone = D.disappearing_categories(drift.aligned).where("field = 'complaint_type'")
+    assert as_set(gone, "category", "baseline_count") == {(common, kinds()[common])}
+    few = D.compare_distributions(feed, feed.where(F.col("complaint_type") != rare))
+    assert D.disappearing_categories(few.aligned).count() == 0
 
 
 def test_categories_are_stripped_but_keep_case(spark):
@@ -182,16 +216,19 @@ def test_categories_are_stripped_but_keep_case(spark):
     assert as_set(counts, "category", "n", "frequency") == {("a", 3, 0.75), ("A", 1, 0.25)}
 
 
-def test_detail_is_bounded_but_counts_are_whole(spark):
-    base = spark.range(1, 301).select(F.concat(F.lit("b"), "id").alias("complaint_type"))
-    now = spark.range(1, 301).select(F.concat(F.lit("c"), F.floor(F.col("id") / 10)).alias("complaint_type"))
-    drift = D.compare_distributions(base, now, fields=("complaint_type",))
-    new = drift.issues.where("issue_type = 'unexpected_category'").first()
-    assert new.issue_count == drift.verdict.first().new_count == D.new_categories(drift.aligned).count()
-    short = D.drift_issues(drift.verdict, drift.aligned, top=5).where("issue_type = 'unexpected_category'").first()
-    assert len(json.loads(short.observed_value)["new_categories"]) == 5 and short.issue_count == new.issue_count
+def test_findings_are_whole_however_many(spark):
+    base = spark.range(1, 601).select(F.concat(F.lit("b"), "id").alias("complaint_type"))
+    now = spark.range(1, 601).select(F.concat(F.lit("c"), "id").alias("complaint_type"))
+    limits = D.DriftLimits(new_count=1, gone_count=1)
+    drift = D.compare_distributions(base, now, fields=("complaint_type",), limits=limits)
+    row = drift.verdict.first()
+    assert (row.new_count, row.disappearing_count) == (600, 600)
+    assert drift.findings.count() == 1200
+    issues = {r.issue_type: r for r in drift.issues.collect()}
+    assert issues["unexpected_category"].issue_count == issues["category_drift"].issue_count == 600
+    assert all(len(r.observed_value) < 200 for r in issues.values())
 
 
 def test_top_categories(feed):
     top = D.top_categories(D.compare_distributions(feed, feed).aligned, 2).collect()
-    assert [(r.field, r.category) for r in top] == [("complaint_type", "Street noise"), ("borough", "North")]
+    assert sorted((r.field, r.category) for r in top) == [("borough", SIDES[0]), ("complaint_type", KINDS[0])]

@@ -3,7 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import pytest
-from conftest import as_set, clean_rows, to_frame
+from conftest import FIRST_DAY, KINDS, ROWS, as_set, clean_rows, to_frame
 from pyspark.sql import functions as F
 
 from tidewatch.catalog import SCENARIO_BY_NAME, SCENARIOS
@@ -55,23 +55,23 @@ def test_value_faults_hit_exactly_the_recorded_rows(plan, name, column, value):
 
 def test_duplicates_are_appended_under_their_keys(feed, plan):
     table = faults.inject(plan, faults.DUPLICATED)
-    assert table.count() == 24 and table.select("row_id").distinct().count() == 24
-    extra = as_set(table.where("row_id >= 20"), "unique_key")
+    assert table.count() == table.select("row_id").distinct().count() == ROWS + 4
+    extra = as_set(table.where(f"row_id >= {ROWS}"), "unique_key")
     assert len(extra) == 4 and extra <= as_set(feed, "unique_key")
 
 
 def test_missingness_rises(plan):
     missing = [faults.inject(plan, f"descriptor_missingness_plus_{p}_points").where("descriptor is null").count()
                for p in (10, 25, 50)]
-    assert missing == [2, 5, 10]
+    assert missing == [4, 9, 18]
 
 
 def test_missingness_is_limited_to_filled_rows(feed):
-    half = feed.withColumn("descriptor", F.when(F.col("row_id") < 14, F.lit(" ")).otherwise("x"))
+    half = feed.withColumn("descriptor", F.when(F.col("row_id") < 27, F.lit(" ")).otherwise("x"))
     plan = faults.plan_faults(half, names=["descriptor_missingness_plus_50_points"])
     row = faults.manifest(plan, ["descriptor_missingness_plus_50_points"]).first()
-    assert row.affected_row_count == 6
-    assert (row.baseline_missingness_percentage, row.resulting_missingness_percentage) == (70.0, 100.0)
+    assert row.affected_row_count == 9
+    assert (row.baseline_missingness_percentage, row.resulting_missingness_percentage) == (75.0, 100.0)
 
 
 def test_reversed_dates(plan):
@@ -85,11 +85,11 @@ def test_reversed_dates(plan):
 
 def test_spike(feed, plan):
     table = faults.inject(plan, faults.SPIKE)
-    added = table.where("row_id >= 20")
+    added = table.where(f"row_id >= {ROWS}")
     keys = as_set(added, "unique_key")
     assert len(keys) == added.count() == 200 and not keys & as_set(feed, "unique_key")
-    assert keys == {str(10_020 + i) for i in range(200)}
-    assert {v[:10] for v in as_set(added, "created_date")} == {"2026-01-01"}
+    assert keys == {str(7106 + i) for i in range(200)}
+    assert {v[:10] for v in as_set(added, "created_date")} == {FIRST_DAY}
 
 
 def test_random_spike_keeps_the_category_mix(feed, plan):
@@ -111,15 +111,15 @@ def test_spike_needs_a_date(feed):
 
 def test_shift_raises_the_mode(feed, plan):
     target = plan.population.mode
-    assert target == "Street noise"
-    assert faults.inject(plan, faults.SHIFT).where(F.col("complaint_type") == target).count() == 15
+    assert target == KINDS[0]
+    assert faults.inject(plan, faults.SHIFT).where(F.col("complaint_type") == target).count() == ROWS // 2 + 5
 
 
 def test_sizes_follow_the_feed():
     by_name = {s.name: faults.scaled_size(s, 5000) for s in SCENARIOS if s.size or s.points}
     assert by_name[faults.BAD_NUMBER] == 50 and by_name[faults.SPIKE] == 500 and by_name[faults.SHIFT] == 1000
     assert by_name["descriptor_missingness_plus_25_points"] == 1250
-    assert faults.scaled_size(SCENARIO_BY_NAME[faults.SPIKE], 1000) == 500
+    assert faults.scaled_size(SCENARIO_BY_NAME[faults.SPIKE], 1001) == 101
     assert faults.scaled_size(SCENARIO_BY_NAME[faults.UNSEEN], 100_000) == 5000
 
 
@@ -141,10 +141,10 @@ def test_manifest(plan):
         assert faults.affected_rows(plan, row.scenario_name).count() == row.affected_row_count
 
 
-@pytest.mark.parametrize("limit", [20_000, 40, 3])
+@pytest.mark.parametrize("digits", [1, 3])
 @pytest.mark.parametrize("size", [0, 1, 137, 999, 1000, 5000])
-def test_sample_is_the_smallest_hashes(spark, monkeypatch, limit, size):
-    monkeypatch.setattr(sampling, "DIRECT_LIMIT", limit)
+def test_sample_is_the_smallest_hashes(spark, monkeypatch, digits, size):
+    monkeypatch.setattr(sampling, "PREFIX_DIGITS", digits)
     frame = spark.range(1000).withColumnRenamed("id", "row_id")
     wanted = set(sorted(range(1000), key=lambda i: md5(f"9|{i}"))[:size])
     for version in (frame, frame.repartition(7)):
@@ -173,16 +173,16 @@ def test_typed_feed(spark):
     assert faults.inject(plan, faults.BAD_NUMBER).where("latitude = 'invalid-latitude'").count() == 3
     tables = faults.fan_out(plan)
     rows = tables.per_scenario(tables.frame).groupBy("scenario").count()
-    assert rows.agg(F.sum("count")).first()[0] == 20 * 13 + 4 + 200
+    assert rows.agg(F.sum("count")).first()[0] == ROWS * 13 + 4 + 200
     changed = sum(d.size for n, d in plan.draws.items() if n != faults.DUPLICATED)
-    assert tables.frame.count() <= 20 * 3 + changed + 4 + 200
+    assert tables.frame.count() <= ROWS * 3 + changed + 4 + 200
 
 
 def test_shared_rows_give_the_metrics_of_single_tables(spark, contract):
     """A feed with copies and repeated keys, so that shared rows differ in membership."""
     rows = clean_rows()
-    rows += [{**r, "row_id": 20 + i} for i, r in enumerate(rows[:12])]
-    rows += [{**rows[0], "row_id": 40 + i, "agency": None, "unique_key": " " if i % 2 else "10001"} for i in range(8)]
+    rows += [{**r, "row_id": 100 + i} for i, r in enumerate(rows[:12])]
+    rows += [{**rows[0], "row_id": 200 + i, "agency": None, "unique_key": " " if i % 2 else "7003"} for i in range(8)]
     plan = faults.plan_faults(to_frame(spark, rows), sizes=SMALL)
     together = P.quality_metrics(P.profile(faults.fan_out(plan), contract)).collect()
     assert len(together) == 13
@@ -202,3 +202,38 @@ def test_narrow_tables_count_like_whole_ones(plan):
             rows = [sorted(map(tuple, t.frame.where(t.member(name)).select("row_id", *shown).collect()), key=repr)
                     for t in (whole, narrow)]
             assert rows[0] == rows[1], (name, columns)
+
+
+def test_repeated_ids_at_a_boundary_are_refused(spark):
+    frame = spark.range(50).select(F.lit(7).cast("long").alias("row_id"))
+    with pytest.raises(ValueError, match="repeated"):
+        sampling.seeded_sample(frame, 20, 1, "row_id")
+    assert sampling.seeded_sample(frame, 50, 1, "row_id").count() == 50
+
+
+def test_endless_and_huge_keys_leave_room_for_new_ones(feed):
+    odd = F.when(F.col("row_id") == 0, "inf").when(F.col("row_id") == 1, "9223372036854775807")
+    strange = feed.withColumn("unique_key", F.coalesce(odd, "unique_key"))
+    plan = faults.plan_faults(strange, names=[faults.SPIKE], sizes={faults.SPIKE: 2})
+    assert as_set(faults.appended_rows(plan, faults.SPIKE), "unique_key") == {"7106", "7107"}
+
+
+def test_stored_rows_rebuild_every_table(feed, plan):
+    changed = faults.changed_rows(plan)
+    for name in SCENARIO_BY_NAME:
+        table, single = faults.rebuild(feed, changed, name), faults.inject(plan, name)
+        columns = sorted(single.columns)
+        assert sorted(table.columns) == columns
+        assert sorted(map(tuple, table.select(columns).collect()), key=repr) == sorted(
+            map(tuple, single.select(columns).collect()), key=repr), name
+    sizes = {r.scenario: r["count"] for r in changed.groupBy("scenario").count().collect()}
+    assert sizes == {n: faults.affected_count(plan, n) for n in SCENARIO_BY_NAME
+                     if n not in (faults.DROPPED, faults.RENAMED)}
+
+
+def test_spike_rows_name_their_sources(feed, plan):
+    sources = {r.row_id: r.source_row_id for r in faults.spike_sources(plan).collect()}
+    rows = {r.row_id: r for r in feed.collect()}
+    for row in faults.appended_rows(plan, faults.SPIKE).collect():
+        assert row.created_date == rows[sources[row.row_id]].created_date
+        assert row.descriptor == rows[sources[row.row_id]].descriptor

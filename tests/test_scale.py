@@ -116,6 +116,14 @@ def test_all_scenarios_scan_once_per_detector(spark, contract):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in days
 
 
+def test_row_counters_need_no_keys(spark, contract):
+    dirty = one_table(dirty_feed(read_table(spark, FOLDER, "events")), "row_id")
+    for frame in (P.missingness(P.profile(dirty, contract)), P.datatype_profile(P.profile(dirty, contract))):
+        plan = final_plan(frame)
+        assert plan.count("FileScan") == 1 and "sha2" not in plan
+        assert not re.search(r"hashpartitioning\([^)]*(key|digest)", plan)
+
+
 def test_value_faults_need_no_shuffle(spark):
     feed = clean_feed(read_table(spark, FOLDER, "events"))
     plan = faults.plan_faults(feed, names=[faults.SHIFT, "descriptor_missingness_plus_50_points"])

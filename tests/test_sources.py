@@ -60,6 +60,27 @@ def test_csv_keeps_text_and_real_columns(spark, tmp_path):
     assert as_set(tokens, "zip") == {"00501", None}
 
 
+def test_csv_values_may_hold_line_breaks(spark, tmp_path):
+    frame = spark.createDataFrame([("k1", "one\ntwo"), ("k2", 'say "hi",\nthen go')], "unique_key string, descriptor string")
+    path = sinks.save_scenario_csv(frame, str(tmp_path), "breaks")
+    assert as_set(landing.read_csv(spark, path), "unique_key", "descriptor") == set(map(tuple, frame.collect()))
+
+
+def test_nothing_is_cut_unless_asked(spark, tmp_path):
+    lines = "\n".join(json.dumps({"unique_key": str(k), "agency": "A"}) for k in range(6000))
+    path = write(tmp_path / "many.json", lines)
+    assert landing.read_records(spark, path).count() == 6000
+    assert landing.load_or_ingest(spark, str(tmp_path / "store"), path).count() == 6000
+    few = landing.read_records(spark, path, limit=3)
+    assert [r.unique_key for r in few.collect()] == ["0", "1", "10"]
+
+
+def test_newest_date_is_a_point_in_time(feed):
+    row = landing.ingestion_metadata(feed.withColumn("created_date", F.when(
+        F.col("row_id") == 0, "not-a-date").when(F.col("row_id") == 1, "2031-05-06T00:00:00+02:00").otherwise("2031-05-05"))).first()
+    assert row.latest_created_date == "2031-05-05T22:00:00.000"
+
+
 def test_snapshots(spark, feed, tmp_path):
     latest, snapshot = sinks.save_snapshot(feed, str(tmp_path / "store"), "20260101T000000Z")
     assert snapshot.endswith("snapshots/snapshot_ts=20260101T000000Z")
@@ -81,14 +102,18 @@ def test_load_or_ingest(spark, tmp_path):
 
 def test_metadata(feed):
     row = landing.ingestion_metadata(feed.drop("row_id"), "here").first()
-    assert (row.source_url, row.rows_downloaded, row.columns_downloaded) == ("here", 20, 11)
-    assert row.latest_created_date == "2026-01-02T10:09:00.000"
+    assert (row.source_url, row.rows_downloaded, row.columns_downloaded) == ("here", 36, 11)
+    assert row.latest_created_date == "2031-05-05T17:30:00.000"
     assert landing.ingestion_metadata(feed.select("agency")).first().latest_created_date is None
 
 
 def test_json_safe(spark):
     frame = spark.sql("select double('NaN') a, double('Infinity') b, 1.5D c, 1 d, 'x' e")
     assert tuple(sinks.json_safe(frame).first()) == (None, None, 1.5, 1, "x")
+    nested = spark.sql("""select named_struct('a', double('NaN'), 'b', array(named_struct('c', double('-Infinity'), 'd', 2D))) s,
+        map('k', double('Infinity'), 'l', 3D) m, cast(null as struct<x:double>) n, array(double('NaN'), 4D) v""")
+    row = sinks.json_safe(nested).first().asDict(recursive=True)
+    assert row == {"s": {"a": None, "b": [{"c": None, "d": 2.0}]}, "m": {"k": None, "l": 3.0}, "n": None, "v": [None, 4.0]}
 
 
 def test_report_is_saved_twice(spark, tmp_path):
@@ -104,6 +129,6 @@ def test_scenario_tables(spark, feed, tmp_path):
     assert "agency" not in spark.read.parquet(path).columns
     tagged = feed.withColumn("scenario", F.lit("a")).unionByName(feed.withColumn("scenario", F.lit("b")))
     folder = sinks.save_by_scenario(tagged, str(tmp_path / "all"))
-    assert spark.read.parquet(folder).where("scenario = 'b'").count() == 20
+    assert spark.read.parquet(folder).where("scenario = 'b'").count() == 36
     csv = sinks.save_scenario_csv(feed, str(tmp_path), "as_csv")
-    assert as_set(landing.read_csv(spark, csv), "incident_zip") == {"00501"}
+    assert as_set(landing.read_csv(spark, csv), "incident_zip") == {"01234"}

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import as_set, clean_rows, to_frame
+from conftest import ROWS, as_set, clean_rows, to_frame
 from pyspark.sql import functions as F
 
 from tidewatch.contract import ColumnRule, Contract, load_contract
@@ -35,18 +35,36 @@ def test_clean_feed_passes(feed, contract):
     assert (verdict.reliability_score, verdict.health_status) == (100, "Healthy")
 
 
-@pytest.mark.parametrize("change,expected", [
-    (lambda f: f.drop("agency"), "missing_required_column"),
-    (lambda f: f.withColumn("unexpected_field", F.lit("x")), "unexpected_column"),
-    (lambda f: f.withColumn("unique_key", F.lit("1")), "duplicate_unique_key"),
-    (lambda f: f.withColumn("created_date", F.lit("bad-date")), "invalid_timestamp"),
-    (lambda f: f.withColumn("latitude", F.lit("not-a-number")), "invalid_numeric_value"),
-    (lambda f: f.withColumn("longitude", F.lit(999.0)), "numeric_out_of_range"),
-    (lambda f: f.withColumn("agency", F.lit("   ")), "missing_required_value"),
-    (lambda f: f.withColumn("descriptor", F.lit(None).cast("string")), "missingness_threshold_exceeded"),
-])
-def test_each_mutation_is_found(feed, contract, change, expected):
-    assert expected in types(change(feed), contract)
+# value, rows it is put into (from row 5 on), the finding it makes and how many rows that counts
+SPOILED = [
+    ("latitude", "12,5", 3, "invalid_numeric_value", 3),
+    ("latitude", "-90.5", 2, "numeric_out_of_range", 2),
+    ("longitude", "180.001", 1, "numeric_out_of_range", 1),
+    ("closed_date", "31.12.2031", 4, "invalid_timestamp", 4),
+    ("closed_date", "2031-05-03T23:59:59Z", 6, "invalid_date_order", 6),
+    ("borough", "\t", 2, "missing_required_value", 2),
+    ("unique_key", "\n ", 5, "missing_unique_key", 5),
+    ("unique_key", "7000", 2, "duplicate_unique_key", 3),
+    ("descriptor", None, 4, "missingness_threshold_exceeded", 4),
+]
+
+
+@pytest.mark.parametrize("column,value,rows,finding,count", SPOILED)
+def test_spoiled_values_are_found_and_counted(feed, contract, column, value, rows, finding, count):
+    hit = F.col("row_id").between(5, 4 + rows)
+    broken = feed.withColumn(column, F.when(~hit, F.col(column)).otherwise(F.lit(value)))
+    found = {r.issue_type: r.issue_count for r in check(broken, contract)[1].collect()
+             if column in r.affected_field}
+    assert found[finding] == count
+    assert set(found) <= {finding, "missingness_threshold_exceeded"}
+
+
+@pytest.mark.parametrize("column", ["status", "incident_zip"])
+def test_columns_that_go_or_come(feed, contract, column):
+    assert as_set(check(feed.drop(column), contract)[1], "issue_type", "affected_field") == {
+        ("missing_required_column", column)}
+    assert as_set(check(feed.withColumn("note", F.col(column)), contract)[1], "issue_type", "affected_field") == {
+        ("unexpected_column", "note")}
 
 
 def test_rejected_rows_are_distinct(spark, contract):
@@ -64,10 +82,10 @@ def test_rejected_rows_are_distinct(spark, contract):
 
 def test_duplicate_rows_and_keys_stay_apart(spark, contract):
     rows = clean_rows()
-    rows.append({**rows[0], "row_id": 20})
+    rows.append({**rows[0], "row_id": ROWS})
     found = metrics(to_frame(spark, rows), contract)
-    assert (found.duplicate_row_count, found.duplicate_row_percentage) == (1, 4.76)
-    assert (found.duplicate_unique_key_count, found.duplicate_unique_key_percentage) == (2, 9.52)
+    assert (found.duplicate_row_count, found.duplicate_row_percentage) == (1, 2.7)
+    assert (found.duplicate_unique_key_count, found.duplicate_unique_key_percentage) == (2, 5.41)
     assert found.rejected_row_count == 2
 
 
@@ -105,7 +123,7 @@ def test_issue_order_and_fields(spark, contract):
     assert all(r.description and r.suggested_action for r in found)
     by_type = {r.issue_type: r for r in found}
     assert json.loads(by_type["numeric_out_of_range"].expected_value) == {"minimum": -90, "maximum": 90}
-    assert by_type["missingness_threshold_exceeded"].observed_value == "5.0"
+    assert by_type["missingness_threshold_exceeded"].observed_value == "2.78"
 
 
 def test_samples_hold_at_most_ten_smallest_ids(spark, feed, contract):
@@ -116,7 +134,7 @@ def test_samples_hold_at_most_ten_smallest_ids(spark, feed, contract):
     found = I.validation_issues(P.profile(one_table(frame, "row_id"), contract),
                                 Q.issue_samples(one_table(frame, "row_id"), contract))
     observed = json.loads(found.where("issue_type = 'invalid_numeric_value'").first().observed_value)
-    assert observed == {"count": 20, "sample_row_ids": list(range(10))}
+    assert observed == {"count": ROWS, "sample_row_ids": list(range(10))}
 
 
 def test_preview_is_ordered(feed, contract):
@@ -127,7 +145,7 @@ def test_preview_is_ordered(feed, contract):
 def test_key_serves_as_row_id(feed, contract):
     frame = feed.drop("row_id").withColumn("latitude", F.lit("bad"))
     sample, = Q.issue_samples(one_table(frame), contract).collect()
-    assert sample.sample_row_ids[0] == "10000"
+    assert sample.sample_row_ids[0] == "7000"
 
 
 def test_results_do_not_depend_on_partitioning(feed, contract):
@@ -158,6 +176,35 @@ def test_digest_tells_nulls_and_borders_apart(spark):
     assert duplicate_rows(numbers).first().duplicate_row_count == 2
 
 
+def test_digest_tells_bytes_and_nested_values_apart(spark):
+    raw = spark.sql("select * from values (X'ff'), (X'fe'), (X'ff'), (cast(null as binary)) v(b)")
+    assert duplicate_rows(raw).first().duplicate_row_count == 1
+    nested = spark.sql("""select * from values
+        (array(0D), named_struct('x', X'ff', 'y', -0D)), (array(-0D), named_struct('x', X'ff', 'y', 0D)),
+        (array(0D), named_struct('x', X'fe', 'y', 0D)), (cast(null as array<double>), null), (null, null) v(a, s)""")
+    assert duplicate_rows(nested).first().duplicate_row_count == 2
+    maps = spark.sql("select * from values (map('a', 1D, 'b', 0D)), (map('b', -0D, 'a', 1D)), (map('a', 1D)) v(m)")
+    assert duplicate_rows(maps).first().duplicate_row_count == 1
+
+
+def test_zero_of_either_sign_is_one_key(spark, contract):
+    rows = [(k // 2 / 4 + 1, k) for k in range(3000)] + [(0.0, 3000), (-0.0, 3001), (-7.5, 3002)]
+    frame = spark.createDataFrame(rows, "unique_key double, row_id long").repartition(5)
+    for row_id in ("row_id", None):
+        found = Q.duplicate_key_rows(frame, ["unique_key"], row_id=row_id)
+        assert as_set(found, "row_id") == set(range(3002))
+    assert metrics(frame, contract).duplicate_unique_key_count == 3002
+
+
+def test_row_counters_equal_the_keyed_ones(spark, contract):
+    rows = clean_rows() * 3
+    rows = [{**r, "row_id": i, "agency": " " if i % 5 == 0 else "PW", "latitude": "x" if i % 7 == 0 else r["latitude"]}
+            for i, r in enumerate(rows)]
+    profile, _ = check(to_frame(spark, rows), contract)
+    light, full = profile.row_counters.first().asDict(), profile.counters.first().asDict()
+    assert light == {k: full[k] for k in light} and "duplicate_rows" not in light
+
+
 def test_several_tables_in_one_pass_equal_single_runs(feed, contract):
     broken = feed.withColumn("latitude", F.lit("bad")).drop("agency")
     both = stack_tables({"a": feed, "b": broken}, "row_id")

@@ -2,10 +2,11 @@
 
 from tidewatch.functions.numbers import percent, round_half_even, safe_ratio
 from tidewatch.functions.text import is_blank, normalize_label, strip_text
-from tidewatch.functions.typed import calendar_day, to_number, to_utc_timestamp
+from tidewatch.functions.typed import calendar_day, exact_text, to_number, to_utc_timestamp
 
 __all__ = [
     "calendar_day",
+    "exact_text",
     "is_blank",
     "normalize_label",
     "percent",

@@ -12,6 +12,8 @@ TIMESTAMP_PATTERN = (
 )
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
 
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
 
 def to_utc_timestamp(column: Column, dtype: T.DataType) -> Column:
     """ISO date or datetime text as a timestamp; the session runs in UTC.
@@ -37,3 +39,21 @@ def to_number(column: Column, dtype: T.DataType) -> Column:
 def calendar_day(timestamp: Column) -> Column:
     """UTC calendar day as ``YYYY-MM-DD`` text."""
     return F.date_format(timestamp, "yyyy-MM-dd")
+
+
+def exact_text(column: Column, dtype: T.DataType) -> Column:
+    """A text that is equal exactly for equal values: 0.0 like -0.0, bytes as hex, at any depth."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return (column + F.lit(0.0)).cast("string")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(column)
+    if isinstance(dtype, T.ArrayType):
+        return F.to_json(F.transform(column, lambda x: exact_text(x, dtype.elementType)), KEEP_NULLS)
+    if isinstance(dtype, T.StructType):
+        parts = [exact_text(column.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(dtype.fields)]
+        return F.when(column.isNotNull(), F.to_json(F.struct(*parts), KEEP_NULLS))
+    if isinstance(dtype, T.MapType):
+        pairs = F.transform(F.map_entries(column), lambda e: F.struct(
+            exact_text(e["key"], dtype.keyType).alias("k"), exact_text(e["value"], dtype.valueType).alias("v")))
+        return F.to_json(F.array_sort(pairs), KEEP_NULLS)
+    return column.cast("string")

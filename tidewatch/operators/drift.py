@@ -11,14 +11,13 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.catalog import (
     ALERT_ON_NEW_FIELDS,
     DRIFT_FIELDS,
     DRIFT_THRESHOLD,
-    ISSUE_TEXT,
     MINIMUM_FREQUENCY_CHANGE,
     MINIMUM_GONE_COUNT,
     MINIMUM_NEW_COUNT,
@@ -26,9 +25,10 @@ from tidewatch.catalog import (
     TOP_CATEGORY_LIMIT,
 )
 from tidewatch.functions import strip_text
+from tidewatch.operators.incidents import worded
 from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, literal_rows, stack_tables
 
-DETAIL_LIMIT = 100
+FINDINGS_TABLE = "drift_findings"
 
 
 @dataclass(frozen=True)
@@ -222,59 +222,26 @@ def drift_verdict(
     )
 
 
-def _detail(aligned: DataFrame, limits: DriftLimits, top: int) -> DataFrame:
-    """Per scenario and field, the ``top`` largest findings of each kind as JSON-ready arrays.
-
-    The rank is cut off in the map tasks, so a field with millions of categories never
-    becomes one cell. Counts of all findings are in the verdict.
-    """
+def drift_findings(aligned: DataFrame, limits: DriftLimits = DriftLimits()) -> DataFrame:
+    """Every shifted, new and gone category with its counts and shares on both sides."""
     flags = _flags(limits)
-    kind = (
-        F.when(flags["shifted"], "shifted").when(flags["new"], "new").when(flags["gone"], "gone")
-        .otherwise("stable")
-    )
-    change = F.abs(F.col("current_frequency") - F.col("baseline_frequency"))
-    rank = F.row_number().over(
-        Window.partitionBy(SCENARIO, "field", "kind").orderBy(F.desc("change"), "category")
-    )
-    ranked = (
-        aligned.withColumn("kind", kind).withColumn("change", change)
-        .withColumn("rank", rank).where(F.col("rank") <= top)
+    kind = F.when(flags["shifted"], "shifted").when(flags["new"], "new").when(flags["gone"], "gone")
+    return aligned.withColumn("kind", kind).where(F.col("kind").isNotNull()).select(
+        SCENARIO, "field", "kind", "category", "baseline_count", "current_count",
+        "baseline_frequency", "current_frequency",
     )
 
-    def collected(condition: Column, *fields: Column) -> Column:
-        return F.sort_array(F.collect_list(F.when(condition, F.struct("category", *fields))))
-
-    base_p, now_p = F.col("baseline_frequency"), F.col("current_frequency")
-    return ranked.groupBy(SCENARIO, "field").agg(
-        collected(F.col("kind") == "shifted", base_p, now_p,
-                  F.col("change").alias("absolute_frequency_change")).alias("shifted"),
-        collected(F.col("kind") == "new", F.col("current_count").alias("count"),
-                  now_p.alias("frequency")).alias("new"),
-        collected(F.col("kind") == "gone", F.col("baseline_count"), base_p).alias("gone"),
-        collected(F.col("baseline_count") > 0, base_p.alias("p")).alias("baseline_p"),
-        collected(F.col("current_count") > 0, now_p.alias("p")).alias("current_p"),
-    )
 
+def drift_issues(verdict: DataFrame, limits: DriftLimits = DriftLimits()) -> DataFrame:
+    """Incident rows for drift and for unexpected categories, fields in configured order.
 
-def drift_issues(
-    verdict: DataFrame,
-    aligned: DataFrame,
-    limits: DriftLimits = DriftLimits(),
-    top: int = DETAIL_LIMIT,
-) -> DataFrame:
-    """Incident rows for drift and for unexpected categories, fields in configured order."""
-    detail = _detail(aligned, limits, top)
-    joined = verdict.where("drift_detected").join(detail, [SCENARIO, "field"])
-    as_map = {c: F.map_from_entries(F.col(c)) for c in ("baseline_p", "current_p")}
+    An incident holds the distance and the counts of findings; the findings themselves, as
+    many as a field has categories, are the table it names.
+    """
+    table = F.lit(FINDINGS_TABLE).alias("findings_table")
     drift_json = F.to_json(F.struct(
-        "jensen_shannon_distance",
-        F.col("shifted").alias("materially_shifted_categories"),
-        F.col("gone").alias("disappearing_categories"),
-        as_map["baseline_p"].alias("baseline_frequencies"),
-        as_map["current_p"].alias("current_frequencies"),
-    ))
-    new_json = F.to_json(F.struct(F.col("new").alias("new_categories")))
+        "jensen_shannon_distance", "shifted_count", "disappearing_count", table))
+    new_json = F.to_json(F.struct("new_count", table))
     drift_expected = {
         "maximum_jensen_shannon_distance": limits.overall,
         "minimum_absolute_category_frequency_change": limits.change,
@@ -286,16 +253,13 @@ def drift_issues(
 
     def incident(order: int, issue_type: str, observed: Column, expected: dict, count: Column,
                  number: Column) -> Column:
-        text, action = ISSUE_TEXT[issue_type]
         return F.struct(
             (F.col("field_position") * 2 + order).alias("issue_seq"),
             F.lit(issue_type).alias("issue_type"),
             F.lit("warning").alias("severity"),
             F.col("field").alias("affected_field"),
-            F.lit(text).alias("description"),
             observed.alias("observed_value"),
             F.lit(json.dumps(expected)).alias("expected_value"),
-            F.lit(action).alias("suggested_action"),
             count.cast("long").alias("issue_count"),
             number.cast("double").alias("observed_number"),
         )
@@ -309,7 +273,8 @@ def drift_issues(
                incident(1, "unexpected_category", new_json, new_expected,
                         F.col("new_count"), F.col("new_count"))),
     ))
-    return joined.select(SCENARIO, F.explode(rows).alias("i")).select(SCENARIO, "i.*")
+    found = verdict.where("drift_detected").select(SCENARIO, F.explode(rows).alias("i"))
+    return worded(found.select(SCENARIO, "i.*"))
 
 
 def top_categories(aligned: DataFrame, limit: int = TOP_CATEGORY_LIMIT) -> DataFrame:
@@ -328,7 +293,11 @@ class Drift:
 
     @property
     def issues(self) -> DataFrame:
-        return drift_issues(self.verdict, self.aligned, self.limits)
+        return drift_issues(self.verdict, self.limits)
+
+    @property
+    def findings(self) -> DataFrame:
+        return drift_findings(self.aligned, self.limits)
 
     def settings(self) -> dict:
         return asdict(self.limits)

@@ -26,7 +26,6 @@ from tidewatch.catalog import (
     SCENARIO_BY_NAME,
     SCENARIOS,
     UNSEEN_CATEGORY,
-    VOLUME_SPIKE_FLOOR,
     Scenario,
 )
 from tidewatch.functions import calendar_day, is_blank, percent, to_number, to_utc_timestamp
@@ -47,6 +46,7 @@ SHIFT = "complaint_type_frequency_shift"
 UNSEEN = "unseen_complaint_type_category"
 REVERSED = "closed_date_before_created_date"
 APPENDING = (DUPLICATED, SPIKE)
+KEY_LIMIT = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -90,15 +90,17 @@ def measure(feed: DataFrame, row_id: str) -> Population:
     dtypes = {f.name: f.dataType for f in feed.schema.fields}
     created = to_utc_timestamp(F.col(CREATED), dtypes[CREATED])
     numeric_key = to_number(F.col(KEY), dtypes[KEY])
-    # Wide integer keys would lose digits as doubles; whole numbers are read exactly.
-    exact_key = F.coalesce(F.col(KEY).try_cast("long"), F.floor(numeric_key))
+    # Wide integer keys would lose digits as doubles; whole numbers are read exactly. Keys
+    # that leave no room for new ones above them, infinities among them, do not count.
+    near = F.when(F.abs(numeric_key) < F.lit(float(KEY_LIMIT)), numeric_key)
+    exact_key = F.coalesce(F.col(KEY).try_cast("long"), F.floor(near))
     counts = feed.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~is_blank(F.col(DETAIL), dtypes[DETAIL])).alias("filled"),
         F.count(created).alias("dated"),
         F.min(row_id).alias("low"),
         F.max(row_id).alias("high"),
-        F.max(F.when(numeric_key.isNotNull(), exact_key)).alias("max_key"),
+        F.max(F.when(near.isNotNull(), exact_key)).alias("max_key"),
     ).first()
     # Most frequent day and category together; ties go to the smallest value.
     values = F.explode(F.array(
@@ -120,11 +122,9 @@ def measure(feed: DataFrame, row_id: str) -> Population:
 
 
 def scaled_size(scenario: Scenario, rows: int) -> int:
-    """Affected rows in proportion to the feed, with the ratio of a 5,000-row feed."""
-    if scenario.points is not None:
-        return -(-rows * scenario.points // 100)
-    size = rows * scenario.size // DESIGN_ROWS
-    return max(VOLUME_SPIKE_FLOOR, size) if scenario.name == SPIKE else max(1, size)
+    """Affected rows: the share of the feed that the scenario states, rounded up."""
+    share, of = (scenario.size, DESIGN_ROWS) if scenario.points is None else (scenario.points, 100)
+    return -(-rows * share // of)
 
 
 def plan_faults(
@@ -182,6 +182,13 @@ def _overwrites(plan: FaultPlan, name: str) -> dict[str, Column]:
     return {}
 
 
+def _spike_picks(plan: FaultPlan) -> DataFrame:
+    """Rows drawn from the busiest day, with their pick numbers."""
+    day_rows = plan.feed.where(_day(plan.feed) == F.lit(plan.population.busiest_day))
+    return sample_with_replacement(
+        day_rows, plan.spike_size, plan.population.busiest_rows, SCENARIO_BY_NAME[SPIKE].seed, plan.row_id)
+
+
 def appended_rows(plan: FaultPlan, name: str) -> DataFrame:
     """Rows a scenario adds, under row ids above the feed's own."""
     feed, row_id, pop = plan.feed, plan.row_id, plan.population
@@ -190,9 +197,8 @@ def appended_rows(plan: FaultPlan, name: str) -> DataFrame:
         return feed.where(plan.hit(name)).withColumn(
             row_id, F.col(row_id) - F.lit(pop.min_row_id or 0) + first_id
         )
-    day_rows = feed.where(_day(feed) == F.lit(pop.busiest_day))
     seed = SCENARIO_BY_NAME[name].seed
-    picked = sample_with_replacement(day_rows, plan.spike_size, pop.busiest_rows, seed, row_id)
+    picked = _spike_picks(plan)
     if pop.max_key is None:
         new_key = F.concat(F.lit(f"synthetic-volume-{seed}-"), F.col("pick").cast("string"))
     else:
@@ -230,6 +236,42 @@ def affected_rows(plan: FaultPlan, name: str) -> DataFrame:
     return rows.select(F.lit(name).alias(SCENARIO), F.col(plan.row_id).alias("row_id"))
 
 
+def changed_rows(plan: FaultPlan, names: Sequence[str] | None = None) -> DataFrame:
+    """The rows that scenarios change or append, as they are afterwards, with the scenario.
+
+    With the feed this is all that is needed to rebuild a scenario's table (``rebuild``);
+    the two column faults change no row. The feed is read once for all scenarios.
+    """
+    names = [n for n in names or SCENARIO_BY_NAME if n not in (DROPPED, RENAMED)]
+    tables = fan_out(plan, names, clean=CLEAN)
+    changed = tables.frame.where(F.col(MEMBERS).bitwiseAND(bit(tables.names.index(CLEAN))) == 0)
+    return changed.select(
+        F.explode(F.filter(
+            F.array(*(F.when(tables.member(n), F.lit(n)) for n in names)), lambda n: n.isNotNull()
+        )).alias(SCENARIO), plan.row_id, *tables.columns[CLEAN],
+    )
+
+
+def rebuild(feed: DataFrame, changed: DataFrame, name: str, row_id: str = "row_id") -> DataFrame:
+    """One scenario's table from the feed and the stored ``changed_rows``."""
+    if name == DROPPED:
+        return feed.drop(AGENCY)
+    if name == RENAMED:
+        return feed.withColumnRenamed(CATEGORY, RENAMED_COLUMN)
+    new = changed.where(F.col(SCENARIO) == name).drop(SCENARIO)
+    old = feed.join(new.select(row_id), row_id, "left_anti")
+    texts = {c for c in feed.columns if new.schema[c].dataType != feed.schema[c].dataType}
+    old = old.select(*(F.col(c).cast(new.schema[c].dataType) if c in texts else F.col(c) for c in feed.columns))
+    return old.unionByName(new)
+
+
+def spike_sources(plan: FaultPlan) -> DataFrame:
+    """(row_id, source_row_id) of the rows that the volume spike appends."""
+    first_id = F.lit((plan.population.max_row_id or 0) + 1)
+    return _spike_picks(plan).select(
+        (first_id + F.col("pick")).alias("row_id"), F.col(plan.row_id).alias("source_row_id"))
+
+
 def appended_everywhere(plan: FaultPlan, names: Sequence[str]) -> DataFrame | None:
     """Rows that any of the scenarios appends, with the scenario's name."""
     parts = [appended_rows(plan, n).withColumn(SCENARIO, F.lit(n)) for n in names if n in APPENDING]

@@ -11,25 +11,23 @@ from tidewatch.catalog import (
     HEALTHY_SCORE,
     INCIDENT_FIELDS,
     ISSUE_PENALTIES,
-    ISSUE_TEXT,
     SCHEMA_ISSUE_TYPES,
     WARNING_SCORE,
 )
 from tidewatch.functions import percent
 from tidewatch.operators import checks as C
+from tidewatch.operators.incidents import worded
 from tidewatch.operators.profile import Profile, counted_cells, described, slot_of
 from tidewatch.operators.schema import missing_columns, unexpected_columns
 from tidewatch.operators.tables import SCENARIO, literal_rows
 
-# Columns of every issue table, detectors included.
-ISSUE_COLUMNS = (SCENARIO, "issue_seq", *INCIDENT_FIELDS, "issue_count", "observed_number")
-
-EXPECTED_TEXT = {
-    C.INVALID_TIMESTAMP: "datetime-compatible value",
-    C.INVALID_NUMERIC: "numeric-compatible value",
-    C.MISSING_KEY: "non-empty unique key",
-    C.DUPLICATE_KEY: "no duplicate values",
-    C.MISSING_VALUE: "non-empty value",
+# What a value must be to pass a check, in terms of the contract.
+EXPECTED = {
+    C.INVALID_TIMESTAMP: {"readable_as": "timestamp"},
+    C.INVALID_NUMERIC: {"readable_as": "number"},
+    C.MISSING_KEY: {"blank": False},
+    C.DUPLICATE_KEY: {"rows_per_key": 1},
+    C.MISSING_VALUE: {"blank": False},
 }
 
 
@@ -42,10 +40,10 @@ def _schema_findings(profile: Profile) -> list[tuple]:
     contract = profile.contract
     found = []
     for name, columns in profile.tables.columns.items():
-        found += [(name, i, "missing_required_column", c, '"absent"', '"column present"')
+        found += [(name, i, "missing_required_column", c, '{"present":false}', '{"present":true}')
                   for i, c in enumerate(missing_columns(columns, contract))]
-        found += [(name, 1000 + i, "unexpected_column", c, '"present"',
-                   '"column absent or explicitly allowed"')
+        found += [(name, 1000 + i, "unexpected_column", c, '{"present":true}',
+                   '{"present":false}')
                   for i, c in enumerate(unexpected_columns(columns, contract))]
     return found
 
@@ -63,20 +61,20 @@ def _countable(profile: Profile) -> list[tuple]:
 
     for slot, check in enumerate(profile.checks):
         if check.kind in (C.INVALID_TIMESTAMP, C.INVALID_NUMERIC):
-            add(check.kind, check.field, slot, EXPECTED_TEXT[check.kind])
+            add(check.kind, check.field, slot, EXPECTED[check.kind])
         elif check.kind == C.OUT_OF_RANGE:
             rule = contract.rule(check.field)
             add(check.kind, check.field, slot,
                 {"minimum": _limit_number(rule.minimum), "maximum": _limit_number(rule.maximum)})
     if contract.key in tables.all_columns():
         add(C.MISSING_KEY, contract.key, slot_of(profile, C.BLANK, contract.key),
-            EXPECTED_TEXT[C.MISSING_KEY])
+            EXPECTED[C.MISSING_KEY])
         add(C.DUPLICATE_KEY, contract.key, slot_of(profile, "duplicate_key_rows", ""),
-            EXPECTED_TEXT[C.DUPLICATE_KEY])
+            EXPECTED[C.DUPLICATE_KEY])
     for field in profile.fields_of(C.DATE_ORDER):
         add(C.DATE_ORDER, field, slot_of(profile, C.DATE_ORDER, field), contract.date_order.condition)
     for name in C.required_fields(tables, contract):
-        add(C.MISSING_VALUE, name, slot_of(profile, C.BLANK, name), EXPECTED_TEXT[C.MISSING_VALUE])
+        add(C.MISSING_VALUE, name, slot_of(profile, C.BLANK, name), EXPECTED[C.MISSING_VALUE])
     for rule in contract.columns:
         if rule.max_missing is not None and rule.name in tables.all_columns():
             add("missingness_threshold_exceeded", rule.name, slot_of(profile, C.BLANK, rule.name),
@@ -127,18 +125,7 @@ def validation_issues(profile: Profile, samples: DataFrame | None = None) -> Dat
                    F.to_json(F.struct(F.col("issue_count").alias("count"), "sample_row_ids")))
             .otherwise(F.col("observed_value")),
         ).drop("sample_row_ids")
-    texts = literal_rows(
-        spark,
-        {"issue_type": list(ISSUE_TEXT), "description": [t[0] for t in ISSUE_TEXT.values()],
-         "suggested_action": [t[1] for t in ISSUE_TEXT.values()]},
-        "issue_type string, description string, suggested_action string",
-    )
-    return (
-        static.unionByName(counted)
-        .join(F.broadcast(texts), "issue_type")
-        .withColumn("severity", F.lit("error"))
-        .select(*ISSUE_COLUMNS)
-    )
+    return worded(static.unionByName(counted).withColumn("severity", F.lit("error")))
 
 
 def penalty(issue_type: Column) -> Column:

@@ -5,7 +5,8 @@ digest of its whole content and a bit mask holding the answers of all row-level
 Counting equal facts (first shuffle, pre-aggregated on the map side) is enough to answer
 everything:
 
-* summed up, the facts give all row-level counters and the copies of rows;
+* summed up, the facts give all row-level counters and the copies of rows (where nobody asks
+  for copies or keys, ``row_counters`` count row by row instead, without these shuffles);
 * counted per key (second shuffle, again pre-aggregated), they give repeated keys and
   the rows to reject, for all scenarios side by side and without a self join.
 
@@ -25,13 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.contract import Contract
-from tidewatch.functions import percent
+from tidewatch.functions import exact_text, percent
 from tidewatch.operators import checks as C
 from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, bit, literal_rows
 
 BITS_PER_WORD = 60
 KEY, DIGEST, COPIES = "key", "digest", "copies"
-EXTRA_SLOTS = ("duplicate_key_rows", "invalid_timestamp_rows", "invalid_numeric_rows")
+KEYED = "duplicate_key_rows"
+EXTRA_SLOTS = (KEYED, "invalid_timestamp_rows", "invalid_numeric_rows")
 
 
 def row_digest(columns: list[tuple[str, T.DataType]]) -> Column:
@@ -39,27 +41,27 @@ def row_digest(columns: list[tuple[str, T.DataType]]) -> Column:
 
     The row goes in as a JSON array of texts, which keeps value borders and nulls apart.
     """
-
-    def text(name: str, dtype: T.DataType) -> Column:
-        value = F.col(name)
-        if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
-        elif isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
-            value = F.to_json(value, {"ignoreNullFields": "false"})
-        return value.cast("string")
-
-    row = F.to_json(F.array(*(text(name, dtype) for name, dtype in columns)))
+    row = F.to_json(F.array(*(exact_text(F.col(name), dtype) for name, dtype in columns)))
     return F.unhex(F.sha2(row, 256))
 
 
 @dataclass(frozen=True)
 class Profile:
-    """Per-scenario counters (one row per scenario) and what their columns mean."""
+    """Per-scenario counters (one row per scenario) and what their columns mean.
+
+    ``row_counters`` are those that look at one row at a time, from a plain aggregation
+    without keys and digests; None where ``counters`` are stored anyway.
+    """
 
     counters: DataFrame
     checks: tuple[C.Check, ...]
     tables: Tables
     contract: Contract
+    row_counters: DataFrame | None = None
+
+    @property
+    def by_row(self) -> DataFrame:
+        return self.counters if self.row_counters is None else self.row_counters
 
     def count_of(self, kind: str, field: str) -> Column:
         for position, check in enumerate(self.checks):
@@ -79,6 +81,7 @@ def profile(tables: Tables, contract: Contract) -> Profile:
         + C.date_order_checks(tables, contract)
     )
     words = -(-len(checks) // BITS_PER_WORD) or 1
+    masks = [f"m{i}" for i in range(words)]
     has_key = contract.key in tables.all_columns()
 
     # Physical plan note: conditions are evaluated once, here; later stages only test bits.
@@ -104,10 +107,9 @@ def profile(tables: Tables, contract: Contract) -> Profile:
     if has_key:
         key_column = F.col(contract.key)
         blank = C.is_blank(key_column, tables.dtype(contract.key))
-        key = F.when(~blank, key_column.cast("string"))
+        key = F.when(~blank, exact_text(key_column, tables.dtype(contract.key)))
 
     content = [(name, tables.dtype(name)) for name in tables.all_columns()]
-    masks = [f"m{i}" for i in range(words)]
     facts = (
         tables.frame.select(
             F.col(MEMBERS),
@@ -124,15 +126,26 @@ def profile(tables: Tables, contract: Contract) -> Profile:
         C.BLANK, fields=must_fill
     )
 
+    in_row = {
+        "total_rows": F.lit(True),
+        **{f"c{i}": bit_set(i) for i in range(len(checks))},
+        "invalid_timestamp_rows": any_of(C.INVALID_TIMESTAMP),
+        "invalid_numeric_rows": any_of(C.INVALID_NUMERIC, C.OUT_OF_RANGE),
+    }
+    # A counter for each membership and task is all that is shuffled.
+    counted = (
+        tables.frame.select(F.col(MEMBERS), *(word(i).alias(masks[i]) for i in range(words)))
+        .groupBy(MEMBERS).agg(*(F.count_if(c).alias(n) for n, c in in_row.items()))
+    )
+    counted = tables.per_scenario(counted).groupBy(SCENARIO).agg(*(F.sum(n).alias(n) for n in in_row))
+    row_counters = tables.names_frame().join(F.broadcast(counted), SCENARIO, "left").na.fill(0)
+
     def rows_where(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col(COPIES)).otherwise(0))
 
     sums = {
-        "total_rows": F.sum(COPIES),
+        **{n: rows_where(c) for n, c in in_row.items()},
         "duplicate_rows": F.sum(F.col(COPIES) - 1),
-        **{f"c{i}": rows_where(bit_set(i)) for i in range(len(checks))},
-        "invalid_timestamp_rows": rows_where(any_of(C.INVALID_TIMESTAMP)),
-        "invalid_numeric_rows": rows_where(any_of(C.INVALID_NUMERIC, C.OUT_OF_RANGE)),
         "rejected_without_key": rows_where(F.col(KEY).isNull() & bad),
     }
     # Few distinct memberships, so the first grouping leaves few rows per task.
@@ -192,17 +205,20 @@ def profile(tables: Tables, contract: Contract) -> Profile:
         .withColumn("rejected_rows", F.col("rejected_without_key") + F.col("rejected_with_key"))
         .drop("rejected_without_key", "rejected_with_key")
     )
-    return Profile(joined, tuple(checks), tables, contract)
+    return Profile(joined, tuple(checks), tables, contract, row_counters)
 
 
 def counted_cells(profile: Profile, described: Mapping[str, list], schema: str) -> DataFrame:
     """Counters as rows (scenario, total_rows, slot, n), joined to a description of each slot.
 
     Slot *i* is check *i*; the slots after the checks hold ``EXTRA_SLOTS``. The description
-    has one entry per scenario and slot to keep, so it is bounded by the contract.
+    has one entry per scenario and slot to keep, so it is bounded by the contract. Keys are
+    counted only if a described slot asks for them.
     """
-    values = [F.col(f"c{i}") for i in range(len(profile.checks))] + [F.col(c) for c in EXTRA_SLOTS]
-    cells = profile.counters.select(
+    keyed = len(profile.checks) + EXTRA_SLOTS.index(KEYED) in described["slot"]
+    values = [F.col(f"c{i}") for i in range(len(profile.checks))]
+    values += [F.col(c) if keyed or c != KEYED else F.lit(0).cast("long") for c in EXTRA_SLOTS]
+    cells = (profile.counters if keyed else profile.by_row).select(
         SCENARIO, "total_rows", F.posexplode(F.array(*values)).alias("slot", "n")
     )
     about = literal_rows(profile.tables.spark, described, f"{SCENARIO} string, slot int, {schema}")

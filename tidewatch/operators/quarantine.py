@@ -11,6 +11,7 @@ from pyspark.sql import Window
 
 from tidewatch.catalog import ISSUE_SAMPLE_LIMIT, REJECTED_PREVIEW_LIMIT
 from tidewatch.contract import Contract
+from tidewatch.functions import exact_text
 from tidewatch.operators import checks as C
 from tidewatch.operators.tables import Tables
 
@@ -52,7 +53,7 @@ def repeated_key_flag(
     hot = counts.where(is_hot).select(*keys, F.lit(True).alias("_hot"))
     marked = frame.join(F.broadcast(hot), keys, "left")
     is_open = F.col("_hot").isNull() & _usable(frame, keys, text_key)
-    tagged_key = F.concat(F.lit("k"), F.col(keys[0]).cast("string"))
+    tagged_key = F.concat(F.lit("k"), exact_text(F.col(keys[0]), frame.schema[keys[0]].dataType))
     rest = counts.where(~is_hot).select(
         tagged_key.alias("_tagged"),
         *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys[1:])),

@@ -2,12 +2,13 @@
 
 A row's place in the draw is ``md5(seed|row_id)``; the sample of size *k* is the *k*
 smallest. Instead of sorting, the *k*-th smallest hash is located with a few counting
-passes over hash prefixes, each of which returns at most 4,096 counters per sample.
-The sample is then simply ``hash <= threshold``: a row-local filter that needs no sort,
-no join and no list of row ids, whether it takes fifty rows or half of the table.
+passes over hash prefixes, each of which returns at most 4,096 counters per sample, until
+one row is left under the prefix. The sample is then simply ``hash <= threshold``: a
+row-local filter that needs no sort, no join and no list of row ids, whether it takes fifty
+rows or half of the table.
 
-Row ids must be unique (the landing step stamps them), so no group of equal rows can
-make a hash prefix heavy.
+Row ids must be unique (the landing step stamps them). Should the boundary of a sample fall
+among rows of one id, no hash tells them apart, and the draw says so.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_DIGITS = 3
-DIRECT_LIMIT = 20_000  # a prefix with fewer rows is ranked directly
+PREFIX_DIGITS = 3  # 4,096 counters a pass and sample
+HASH_DIGITS = 32
 
 
 def draw_hash(seed: int | str, row_id: str) -> Column:
@@ -52,9 +53,9 @@ def _matching(draws: Sequence[Draw], prefixes: dict[str, str], row_id: str) -> C
 def draw_thresholds(frame: DataFrame, draws: Sequence[Draw], row_id: str) -> dict[str, str]:
     """The largest hash that still belongs to each sample, for all samples at once.
 
-    Only ids and the columns of the eligibility conditions are read. The number of
-    passes grows with the logarithm of the row count: one for 20,000 rows, two up to
-    80 million, three up to 300 billion.
+    Only ids and the columns of the eligibility conditions are read. The number of passes
+    grows with the logarithm of the row count: about two for a million rows, four for a
+    trillion. Ids that repeat across a boundary raise ``ValueError``.
     """
     thresholds: dict[str, str] = {}
     prefixes, rank, width = {}, {}, {}
@@ -67,9 +68,12 @@ def draw_thresholds(frame: DataFrame, draws: Sequence[Draw], row_id: str) -> dic
             prefixes[draw.name], rank[draw.name], width[draw.name] = "", draw.size, draw.population
 
     while True:
-        wide = [d for d in draws if width.get(d.name, 0) > DIRECT_LIMIT]
+        # a prefix whose rows all belong to the sample needs no further digits
+        wide = [d for d in draws if d.name in prefixes and rank[d.name] < width[d.name]]
         if not wide:
             break
+        if any(len(prefixes[d.name]) >= HASH_DIGITS for d in wide):
+            raise ValueError(f"repeated values of {row_id} at the boundary of a sample")
         depths = {len(prefixes[d.name]) for d in wide}
         depth = min(depths)
         wide = [d for d in wide if len(prefixes[d.name]) == depth]
@@ -87,20 +91,7 @@ def draw_thresholds(frame: DataFrame, draws: Sequence[Draw], row_id: str) -> dic
                     break
                 rank[draw.name] -= row["count"]
 
-    open_draws = [d for d in draws if d.name in prefixes]
-    if open_draws:
-        wanted = F.lit(False)
-        for draw in open_draws:
-            wanted = wanted | ((F.col("name") == draw.name) & (F.col("rank") == rank[draw.name]))
-        order = F.row_number().over(Window.partitionBy("name").orderBy("h"))
-        found = (
-            frame.select(_matching(open_draws, prefixes, row_id).alias("m"))
-            .select("m.name", "m.h")
-            .withColumn("rank", order)
-            .where(wanted)
-            .collect()
-        )
-        thresholds.update({row["name"]: row["h"] for row in found})
+    thresholds.update({name: prefix + "g" for name, prefix in prefixes.items()})
     return thresholds
 
 
@@ -131,14 +122,13 @@ def sample_with_replacement(
 
     Pick *i* takes the row whose position in hash order is ``hash(seed, i) mod population``.
     Positions are assigned in parallel: a rank inside each hash prefix plus the number of
-    rows under smaller prefixes. There are at most 65,536 prefixes, so summing up those
-    counts in one place is bounded, and unique ids spread the rows evenly over them.
+    rows under smaller prefixes. There are 4,096 prefixes, so summing up those counts in one
+    place is bounded, and unique ids spread the rows evenly over them.
     Only ids are numbered; the full rows join once, for the picked ids.
     """
     spark = frame.sparkSession
-    digits = 4 if population > 10_000_000 else 2
     hashed = frame.select(F.col(row_id), draw_hash(seed, row_id).alias("h")).withColumn(
-        "prefix", F.substring("h", 1, digits)
+        "prefix", F.substring("h", 1, PREFIX_DIGITS)
     )
     before = F.sum("n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (

@@ -12,14 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.catalog import (
-    ISSUE_TEXT,
     MINIMUM_ABSOLUTE_INCREASE,
     MINIMUM_PERIODS,
-    ROLLING_VOLUME_TEXT,
     ROLLING_WINDOW,
     STANDARDIZED_THRESHOLD,
 )
 from tidewatch.functions import calendar_day, to_utc_timestamp
+from tidewatch.operators.incidents import worded
 from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, literal_rows, stack_tables
 
 DAY, COUNT = "calendar_date", "request_count"
@@ -156,10 +155,8 @@ def volume_issues(
     minimum_absolute_increase: float = MINIMUM_ABSOLUTE_INCREASE,
 ) -> DataFrame:
     """Incident rows for flagged days, from a baseline comparison or a rolling history."""
-    text, action = ISSUE_TEXT["volume_anomaly"]
     flagged = records.where("is_anomaly")
     if "rolling_mean" in records.columns:
-        text = ROLLING_VOLUME_TEXT
         flagged = flagged.select(
             SCENARIO, DAY,
             F.col("rolling_mean").alias("baseline_count"),
@@ -177,16 +174,14 @@ def volume_issues(
                  "percentage_change", "standardized_count_difference"),
         {"ignoreNullFields": "false"},
     )
-    return flagged.select(
+    return worded(flagged.select(
         SCENARIO,
         F.lit(0).alias("issue_seq"),
         F.lit("volume_anomaly").alias("issue_type"),
         F.lit("warning").alias("severity"),
         F.lit(date_column).alias("affected_field"),
-        F.lit(text).alias("description"),
         observed.alias("observed_value"),
         F.lit(json.dumps(expected)).alias("expected_value"),
-        F.lit(action).alias("suggested_action"),
         F.col("current_count").cast("long").alias("issue_count"),
         F.col("standardized_count_difference").cast("double").alias("observed_number"),
-    )
+    ))

@@ -119,7 +119,8 @@ class Evaluation:
         For answers that use several of them: each detector then reads the feed once.
         """
         kept = replace(self)
-        kept.__dict__["profile"] = replace(self.profile, counters=cut_lineage(self.profile.counters))
+        kept.__dict__["profile"] = replace(
+            self.profile, counters=cut_lineage(self.profile.counters), row_counters=None)
         kept.__dict__["volume_records"] = cut_lineage(self.volume_records)
         kept.__dict__["drift"] = replace(self.drift, verdict=cut_lineage(self.drift.verdict))
         return kept
@@ -138,7 +139,7 @@ class Evaluation:
             return spark.read.parquet(path)
 
         kept.__dict__["profile"] = replace(
-            self.profile, counters=keep("counters", self.profile.counters)
+            self.profile, counters=keep("counters", self.profile.counters), row_counters=None
         )
         kept.__dict__["validation_issues"] = keep(
             "validation_issues", validation_issues(kept.profile)
@@ -149,6 +150,7 @@ class Evaluation:
             aligned, self.tables, CLEAN, self.names, self.fields, self.limits
         )
         kept.__dict__["drift"] = Drift(aligned, keep("drift_verdict", verdict), self.limits)
+        keep("drift_findings", kept.drift.findings)
         kept.__dict__["matrix"] = keep("confusion_matrix", kept.matrix)
         return kept
 
@@ -167,15 +169,15 @@ def evaluate_tables(
 
 
 def evaluate_faults(
-    plan: faults.FaultPlan, contract: Contract, names: Sequence[str] | None = None
+    plan: faults.FaultPlan, contract: Contract, names: Sequence[str] | None = None,
+    stored: DataFrame | None = None,
 ) -> Evaluation:
     """All injected scenarios plus the clean baseline, from one scan of the feed.
 
-    The rows that scenarios append are drawn and stored once, since three detectors read them.
+    ``stored`` are the rows that scenarios append, if they were written before; else each
+    detector draws them anew.
     """
     names = list(names or SCENARIO_BY_NAME)
-    extra = faults.appended_everywhere(plan, names)
-    stored = None if extra is None else cut_lineage(extra)
     tables = faults.fan_out(plan, names, appended=stored)
     return Evaluation(
         tables, contract, {n: SCENARIO_BY_NAME[n].expected for n in names},

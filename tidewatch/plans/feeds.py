@@ -45,16 +45,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_small(scan: DataFrame, key: str) -> DataFrame:
-    """Give a scan with fewer splits than the session has cores one partition per core.
-
-    Such a table is at most a few splits in size, so moving it costs little next to the
-    checks that follow. A scan with enough splits is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def clean_feed(events: DataFrame) -> DataFrame:
     return events.select(*(F.expr(e).alias(name) for name, e in FEED_COLUMNS.items()))
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.catalog import CLEAN, REPORT_VERSION, SCENARIO_BY_NAME, SUPPORTED_ISSUE_TYPES
+from tidewatch.catalog import CLEAN, REPORT_VERSION, SUPPORTED_ISSUE_TYPES
 from tidewatch.contract import Contract, load_contract
 from tidewatch.operators import evaluation as E
 from tidewatch.operators import faults, quarantine
@@ -17,7 +15,7 @@ from tidewatch.operators.issues import validation_issues, validation_verdict
 from tidewatch.operators.profile import profile
 from tidewatch.operators.report import reliability_report
 from tidewatch.operators.tables import SCENARIO, one_table
-from tidewatch.plans.evaluate import Evaluation, evaluate_faults, evaluate_tables
+from tidewatch.plans.evaluate import Evaluation, evaluate_faults
 from tidewatch.session import prepare
 from tidewatch.sources import sinks
 from tidewatch.sources.landing import ingestion_metadata
@@ -56,7 +54,7 @@ def report_feed(
     checked.counters.write.mode("overwrite").parquet(counters)
     checked = type(checked)(
         feed.sparkSession.read.parquet(counters), checked.checks, tables, contract
-    )
+    )  # no row_counters: the stored counters serve all
     issues = validation_issues(checked, samples)
     issues.write.mode("overwrite").parquet(f"{folder}/tables/feed_issues")
     issues = feed.sparkSession.read.parquet(f"{folder}/tables/feed_issues")
@@ -124,35 +122,25 @@ def run_monitor(
     row_id: str = "row_id",
     sizes: dict[str, int] | None = None,
     source: str = "",
-    save_tables: bool = True,
 ) -> MonitorRun:
     """Validate the clean feed, inject the twelve faults, detect, score and report.
 
-    With ``save_tables`` each corrupted table is stored and detection reads the stored
-    tables; without it the scenarios exist only inside the detecting jobs, which read
-    the feed once per detector.
+    Of the corrupted tables only the rows that differ from the feed are stored, under
+    ``injected_rows/scenario=``; ``faults.rebuild`` makes whole tables of them. Detection
+    works on the rows that scenarios share and reads the feed once per detector.
     """
     spark = prepare(feed.sparkSession)
     contract = contract or load_contract()
     stamp = sinks.utc_stamp()
     started = time.perf_counter()
     plan = faults.plan_faults(feed, row_id, sizes=sizes)
-    tables_folder = f"{folder}/injected"
-    manifest = faults.manifest(plan, folder=tables_folder)
+    rows_folder = f"{folder}/injected_rows"
+    manifest = faults.manifest(plan, folder=rows_folder)
     manifest_path = sinks.save_manifest(manifest, folder, source)
-    if save_tables:
-        stored = {}
-        for name in SCENARIO_BY_NAME:
-            path = sinks.save_scenario(faults.inject(plan, name), tables_folder, name)
-            stored[name] = spark.read.parquet(path)
-        truth = reduce(DataFrame.unionByName, (faults.affected_rows(plan, n) for n in SCENARIO_BY_NAME))
-        sinks.save_by_scenario(truth, f"{folder}/injected_rows")
-        run = evaluate_tables(
-            feed, stored, {n: s.expected for n, s in SCENARIO_BY_NAME.items()}, contract, row_id
-        )
-    else:
-        run = evaluate_faults(plan, contract)
-    run = run.stored(f"{folder}/tables")
+    sinks.save_by_scenario(faults.changed_rows(plan), rows_folder)
+    faults.spike_sources(plan).write.mode("overwrite").parquet(f"{folder}/tables/spike_sources")
+    appended = spark.read.parquet(rows_folder).where(F.col(SCENARIO).isin(list(faults.APPENDING)))
+    run = evaluate_faults(plan, contract, stored=appended).stored(f"{folder}/tables")
     rows = E.scenario_totals(run.results).first()["total_rows_evaluated"]
     seconds = time.perf_counter() - started
     latest, snapshot, kept = report_feed(feed, folder, contract, row_id, source, stamp)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tidewatch.operators.duplicates import duplicate_rows
 from tidewatch.operators.sampling import sample_with_replacement, seeded_sample
 from tidewatch.operators.tables import SCENARIO, one_table, split_table, stack_tables
 from tidewatch.plans.evaluate import Evaluation, evaluate_faults
-from tidewatch.plans.feeds import clean_feed, dirty_feed, read_table, spread_small
+from tidewatch.plans.feeds import clean_feed, dirty_feed, read_table
 from tidewatch.session import prepare
 from tidewatch.sources import landing
 
@@ -40,11 +41,11 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def feed(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_feed(spread_small(read_table(spark, folder, "events"), "event_id"))
+    return clean_feed(read_table(spark, folder, "events"))
 
 
 def dirty(spark: SparkSession, folder: str) -> DataFrame:
-    return dirty_feed(spread_small(read_table(spark, folder, "events"), "event_id"))
+    return dirty_feed(read_table(spark, folder, "events"))
 
 
 def dirty_table(spark, folder):
@@ -77,6 +78,12 @@ def _(spark, folder):
     return landing.ingestion_metadata(feed(spark, folder).drop("row_id"), "events")
 
 
+@query("ingest_metadata_dirty")
+def _(spark, folder):
+    """Among unreadable dates the newest readable one counts."""
+    return landing.ingestion_metadata(dirty(spark, folder).drop("row_id"), "events")
+
+
 # --- predicates ----------------------------------------------------------------
 @query("blank_rows")
 def _(spark, folder):
@@ -148,12 +155,10 @@ def _(spark, folder):
 
 @query("schema_issues")
 def _(spark, folder):
-    """A feed that lost one column and carries another under a new name."""
-    broken = feed(spark, folder).drop("agency").withColumnRenamed("complaint_type", "complaint_category")
+    """A defective feed that also lost one column and carries another under a new name."""
+    broken = dirty(spark, folder).drop("agency").withColumnRenamed("complaint_type", "complaint_category")
     found = issues.validation_issues(P.profile(one_table(broken, "row_id"), load_contract()))
-    return found.where(F.col("issue_type").isin("missing_required_column", "unexpected_column")).select(
-        "issue_type", "affected_field", "severity", "observed_value", "expected_value"
-    )
+    return found.select("issue_type", "affected_field", "severity", "observed_value", "issue_count")
 
 
 @query("normalize_labels")
@@ -169,17 +174,19 @@ def _(spark, folder):
 # --- quality metrics -----------------------------------------------------------
 @query("missing_keys")
 def _(spark, folder):
-    return P.quality_metrics(dirty_profile(spark, folder)).select(
-        "total_rows_processed", "missing_unique_key_count"
+    shares = P.missingness(dirty_profile(spark, folder)).where(F.col("field") == load_contract().key)
+    return shares.select(
+        F.col("total_rows").alias("total_rows_processed"),
+        F.col("missing_count").alias("missing_unique_key_count"),
     )
 
 
 @query("missing_required_values")
 def _(spark, folder):
-    found = issues.validation_issues(dirty_profile(spark, folder))
-    return found.where(F.col("issue_type") == C.MISSING_VALUE).select(
-        F.col("affected_field").alias("field"), F.col("issue_count").alias("missing_count")
-    )
+    profile = dirty_profile(spark, folder)
+    required = C.required_fields(profile.tables, profile.contract)
+    shares = P.missingness(profile).where(F.col("field").isin(required) & (F.col("missing_count") > 0))
+    return shares.select("field", "missing_count")
 
 
 @query("missingness")
@@ -237,6 +244,16 @@ def _(spark, folder):
     return quarantine.duplicate_key_rows(lines, ["l_orderkey", "l_linenumber"])
 
 
+@query("duplicate_key_rows_part")
+def _(spark, folder):
+    """A typed key with many repeats: parts of one retail price, zero with either sign."""
+    parts = read_table(spark, folder, "part").select("p_partkey", "p_retailprice")
+    signed = F.when(F.col("p_partkey") % 100 == 0, F.lit(0.0)).when(
+        F.col("p_partkey") % 100 == 1, F.lit(-0.0)).otherwise(F.floor("p_retailprice").cast("double"))
+    keyed = parts.select("p_partkey", signed.alias("price"))
+    return quarantine.duplicate_key_rows(keyed, ["price"], row_id="p_partkey").select("p_partkey")
+
+
 @query("quality_metrics")
 def _(spark, folder):
     return P.quality_metrics(dirty_profile(spark, folder)).drop(SCENARIO)
@@ -500,6 +517,18 @@ def _(spark, folder):
     return _rounded(D.disappearing_categories(_order_years(spark, folder).aligned, YEARS))
 
 
+@query("disappearing_categories_documents")
+def _(spark, folder):
+    """Sources of the longer documents that shorter ones lack."""
+    docs = read_table(spark, folder, "documents").select(
+        F.concat_ws("-", "lang", "source").alias("origin"), "doc_id", "n_chars")
+    long_ones = F.col("n_chars") > 500
+    parts = split_table(docs, {"long": long_ones, "short": ~long_ones}, "doc_id")
+    limits = D.DriftLimits(gone_count=1)
+    drift = D.detect_drift(parts, "long", ["short"], fields=("origin",), limits=limits)
+    return _rounded(D.disappearing_categories(drift.aligned, limits))
+
+
 @query("drift_verdict")
 def _(spark, folder):
     return _rounded(_order_years(spark, folder).verdict.drop("field_position"))
@@ -513,10 +542,26 @@ def _(spark, folder):
 @query("drift_issues")
 def _(spark, folder):
     found = _order_years(spark, folder).issues
+    seen = lambda name: F.get_json_object("observed_value", f"$.{name}").cast("long").alias(name)
     return found.select(
         "issue_type", "severity", "affected_field", "issue_count",
         F.round("observed_number", 9).alias("observed_number"),
+        seen("shifted_count"), seen("disappearing_count"), seen("new_count"),
+        F.get_json_object("observed_value", "$.findings_table").alias("findings_table"),
+    )
+
+
+@query("drift_findings")
+def _(spark, folder):
+    """Every finding of a field with as many categories as there are suppliers and parts."""
+    lines = read_table(spark, folder, "lineitem").select(
+        F.concat_ws("/", "l_suppkey", F.col("l_partkey") % 16).alias("source"), "l_returnflag"
     )
+    returned = F.col("l_returnflag") == "A"
+    parts = split_table(lines, {"returned": returned, "other": ~returned})
+    limits = D.DriftLimits(change=1e-5, new_count=2, gone_count=2)
+    drift = D.detect_drift(parts, "returned", ["other"], fields=("source",), limits=limits)
+    return _rounded(drift.findings)
 
 
 @query("top_categories")
@@ -584,6 +629,26 @@ def _(spark, folder):
     )
 
 
+@query("affected_rows")
+def _(spark, folder):
+    """Ground truth of all scenarios that change or append rows."""
+    plan = faults.plan_faults(feed(spark, folder))
+    names = [n for n in faults.SCENARIO_BY_NAME if n not in (faults.DROPPED, faults.RENAMED)]
+    parts = [faults.affected_rows(plan, n) for n in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("spike_sources")
+def _(spark, folder):
+    return faults.spike_sources(faults.plan_faults(feed(spark, folder), names=[faults.SPIKE]))
+
+
+@query("changed_rows")
+def _(spark, folder):
+    """Every row a scenario changes or appends, as it is afterwards."""
+    return faults.changed_rows(faults.plan_faults(feed(spark, folder)))
+
+
 # --- evaluation ----------------------------------------------------------------------
 def evaluation(spark, folder) -> Evaluation:
     return evaluate_faults(faults.plan_faults(feed(spark, folder)), load_contract())

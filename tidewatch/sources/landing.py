@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.catalog import RECENT_LIMIT
 from tidewatch.contract import Contract, load_contract
-from tidewatch.functions import strip_text
+from tidewatch.functions import strip_text, to_utc_timestamp
 
 # --- fixed values: columns a snapshot asks for, in order -----------------------
 REQUESTED_COLUMNS = (
@@ -29,17 +29,18 @@ def project_requested(
     return frame.select(*(c for c in requested if c in frame.columns))
 
 
-def _positive(limit: int) -> int:
-    if isinstance(limit, bool) or not isinstance(limit, int) or limit <= 0:
-        raise ValueError("limit must be a positive integer.")
-    return limit
+def _checked(limit: int) -> int:
+    """A number of rows to keep; anything else is a mistake of the caller."""
+    if type(limit) is int and limit > 0:
+        return limit
+    raise ValueError(f"cannot keep {limit!r} rows")
 
 
 def most_recent(
     frame: DataFrame, limit: int = RECENT_LIMIT, order: str = "created_date", key: str = "unique_key"
 ) -> DataFrame:
     """Newest rows first (a top-k plan: each task keeps its own ``limit`` best rows)."""
-    return frame.orderBy(F.desc_nulls_last(order), key).limit(_positive(limit))
+    return frame.orderBy(F.desc_nulls_last(order), key).limit(_checked(limit))
 
 
 CORRUPT = "_corrupt_record"
@@ -48,18 +49,18 @@ CORRUPT = "_corrupt_record"
 def read_records(
     spark: SparkSession,
     path: str,
-    limit: int | None = RECENT_LIMIT,
+    limit: int | None = None,
     requested: Sequence[str] = REQUESTED_COLUMNS,
     present: Sequence[str] | None = None,
 ) -> DataFrame:
     """JSON records landed as arrays or as one object per line; values are read as text.
 
     Raises ``IngestionError`` for unreadable files, for files that hold no records, and
-    for empty payloads. ``limit=None`` keeps every record. Finding out which columns
-    there are takes a pass over the files; ``present`` names them and saves that pass.
+    for empty payloads. Every record is kept; a ``limit`` keeps the newest ones, or, in a feed
+    without creation dates, the first in order of its columns. Finding out which columns there are takes a pass over the files; ``present`` names them and saves that pass.
     """
     if limit is not None:
-        _positive(limit)
+        _checked(limit)
     # One object per line splits across tasks; a pretty-printed array does not.
     reader = spark.read.option("primitivesAsString", True).option("multiLine", _is_array(spark, path))
     if present is not None:
@@ -72,9 +73,11 @@ def read_records(
         raise IngestionError(f"Landed JSON has an unexpected format: {path}")
     if not kept.columns or kept.isEmpty():
         raise IngestionError(f"Landed files hold no records: {path}")
-    if limit is None or "created_date" not in kept.columns:
-        return kept if limit is None else kept.limit(limit)
-    return most_recent(kept, limit, key=kept.columns[0])
+    if limit is None:
+        return kept
+    if "created_date" in kept.columns:
+        return most_recent(kept, limit, key=kept.columns[0])
+    return kept.orderBy(*kept.columns).limit(limit)
 
 
 def _is_array(spark: SparkSession, path: str) -> bool:
@@ -90,12 +93,15 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header. Every column is text, so identifiers keep leading zeros.
 
+    Quoted values may hold line breaks, as the writer leaves them in. So one file is read by
+    one task; land large feeds as many files.
+
     The columns are those of the file, so that missing and renamed ones stay visible.
     Values listed in ``na_tokens`` (default: those of the contract) become null.
     """
     frame = (
         spark.read.option("header", True).option("inferSchema", False)
-        .option("multiLine", False).option("escape", '"').csv(path)
+        .option("multiLine", True).option("escape", '"').csv(path)
     )
     if na_tokens is None:
         na_tokens = (contract or load_contract()).na_tokens
@@ -112,11 +118,17 @@ def stamp_row_ids(frame: DataFrame, name: str = "row_id") -> DataFrame:
 
 
 def ingestion_metadata(frame: DataFrame, source: str = "", created: str = "created_date") -> DataFrame:
-    """Row count, columns and newest creation date of a snapshot; one row, one aggregation."""
-    latest = F.max(created) if created in frame.columns else F.lit(None).cast("string")
+    """Row count, columns and newest creation date of a snapshot; one row, one aggregation.
+
+    Dates are compared as points in time; unreadable ones are left out.
+    """
+    latest = F.lit(None).cast("string")
+    if created in frame.columns:
+        newest = F.max(to_utc_timestamp(F.col(created), frame.schema[created].dataType))
+        latest = F.date_format(newest, "yyyy-MM-dd'T'HH:mm:ss.SSS")
     return frame.agg(
         F.count(F.lit(1)).alias("rows_downloaded"),
-        latest.cast("string").alias("latest_created_date"),
+        latest.alias("latest_created_date"),
     ).select(
         F.lit(source).alias("source_url"),
         "rows_downloaded",
@@ -127,7 +139,7 @@ def ingestion_metadata(frame: DataFrame, source: str = "", created: str = "creat
 
 
 def load_or_ingest(
-    spark: SparkSession, store: str, records: str, limit: int | None = RECENT_LIMIT
+    spark: SparkSession, store: str, records: str, limit: int | None = None
 ) -> DataFrame:
     """The latest stored snapshot if there is one, else the landed records, stored first."""
     from tidewatch.sources.sinks import latest_path, path_exists, save_snapshot

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,15 +77,23 @@ def load_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_safe(frame: DataFrame) -> DataFrame:
-    """Doubles that JSON cannot hold (NaN and the infinities) become null."""
-    def safe(field: T.StructField):
-        column = F.col(field.name)
-        if not isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            return column
-        endless = F.abs(column) == F.lit(float("inf"))
-        return F.when(~(F.isnan(column) | endless), column).alias(field.name)
-
-    return frame.select(*(safe(f) for f in frame.schema.fields))
+    """Doubles that JSON cannot hold (NaN and the infinities) become null, at any depth."""
+    return frame.select(*(
+        _finite(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in frame.schema.fields
+    ))
+
+
+def _finite(column: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.when(~(F.isnan(column) | (F.abs(column) == F.lit(float("inf")))), column)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(column, lambda x: _finite(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(column, lambda _, v: _finite(v, dtype.valueType))
+    if isinstance(dtype, T.StructType):
+        parts = [_finite(column.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(column.isNotNull(), F.struct(*parts))
+    return column
 
 
 def _write_json(frame: DataFrame, path: str) -> None:
