@@ -13,8 +13,8 @@ streams through its parts and holds the unfinished pieces of one part at a time.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,9 @@ END = 1
 #: Documents packed together.
 PART_DOCS = 1024
 #: Text tokenised at once, and bytes of remembered words, in a worker.
-BATCH_BYTES, WORDS_BYTES = 4 << 20, 96 << 20
+BATCH_BYTES, WORDS_BYTES = 4 << 20, 128 << 20
+#: New words encoded as one text.
+TOGETHER = 500
 PIECES = "part long, doc_id long, start long, doc_tokens long, ids binary"
 PACKED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -37,7 +39,8 @@ class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes.
 
     If the tokenizer drops white space, so that a text's ids are those of its words, words are
-    remembered (up to a bound) and looked up; otherwise texts are encoded whole.
+    remembered (up to a bound) and looked up, and new words are encoded many at a time, apart
+    from each other by a word of a single token; otherwise texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -49,23 +52,51 @@ class Encoder:
         self.by_word = one + two == both
         self.known: dict[bytes, bytes] = {}
         self.held = 0
+        self.apart, self.apart_id = self._single() if self.by_word else (b"", 0)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4") for x in found]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [x.tobytes() for x in self._encode(texts)]
+
+    def _single(self) -> tuple[bytes, int]:
+        """The longest word of ASCII letters that is one token."""
+        plain = sorted({re.sub("[^a-z]", "", token) for token in self.tokenizer.get_vocab()}, key=lambda w: (-len(w), w))
+        return next((w.encode(), int(ids[0])) for w in plain for ids in self._encode([w]) if len(ids) == 1)
+
+    def _new(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words, encoded some hundreds at a time."""
+        out: list[bytes] = []
+        runs = [words[at: at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        gap = b" " + self.apart + b" "
+        for run, ids in zip(runs, self._encode([gap.join(run).decode("utf-8", "replace") for run in runs])):
+            cut = (4 * np.flatnonzero(ids == self.apart_id)).tolist()
+            if len(cut) != len(run) - 1:  # some word holds that token itself
+                out += self._ids([w.decode("utf-8", "replace") for w in run])
+                continue
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *(c + 4 for c in cut)], [*cut, len(data)])]
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._ids([t.decode("utf-8", "replace") for t in texts])
-        split = [t.split() for t in texts]
-        wanted = set(chain.from_iterable(split))
-        missing = list(wanted.difference(self.known))
         if self.held > WORDS_BYTES:
-            self.known, self.held, missing = {}, 0, list(wanted)
-        found = dict(zip(missing, self._ids([w.decode("utf-8", "replace") for w in missing])))
-        self.known.update(found)
-        self.held += sum(map(len, found)) + sum(map(len, found.values())) + 160 * len(found)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+            self.known, self.held = {}, 0
+        split = [t.split() for t in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        open_ = [(words, ids, [k for k, x in enumerate(ids) if x is None])
+                 for words, ids in zip(split, found) if None in ids]
+        new = list({words[k] for words, _, places in open_ for k in places})
+        ids_of = dict(zip(new, self._new(new)))
+        for words, ids, places in open_:
+            for k in places:
+                ids[k] = ids_of[words[k]]
+        self.known.update(ids_of)
+        self.held += sum(map(len, ids_of)) + sum(map(len, ids_of.values())) + 130 * len(ids_of)
+        return list(map(b"".join, found))
 
 
 _ENCODERS: dict[str, Encoder] = {}
