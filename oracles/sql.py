@@ -140,6 +140,12 @@ def metrics_sql(table: str) -> str:
       (SELECT count(*) AS n FROM {table} GROUP BY {DIGEST_COLUMNS}))"""
 
 
+METRIC_COLUMNS = ["total_rows_processed", "duplicate_row_count", "duplicate_row_percentage",
+                  "duplicate_unique_key_count", "duplicate_unique_key_percentage", "invalid_timestamp_row_count",
+                  "invalid_date_order_count", "invalid_numeric_row_count", "missing_unique_key_count",
+                  "rejected_row_count"]
+
+
 def missing_sql(table: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS field, count(*)::BIGINT AS total_rows, {count(blank(c))} AS missing_count, "
@@ -592,6 +598,16 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderd
   wide AS (SELECT issue_count = 0 AS validation_passed, schema_passed, issue_count, reliability_score, {HEALTH} AS health_status, m.*
     FROM verdicts, metric_row m WHERE scenario = 'dirty')
   UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM wide) ON COLUMNS(*) INTO NAME metric VALUE value""",
+    "report_fields": f"""WITH {VERDICTS}, metric_row AS ({metrics_sql('dirty')}),
+  wide AS (SELECT 'events' AS source_url,
+      (SELECT strftime(max({ts('created_date')}), '{TEXT_TS}') FROM dirty) AS latest_source_data_timestamp,
+      m.total_rows_processed AS rows_processed, reliability_score, {HEALTH} AS health_status,
+      issue_count = 0 AS validation_passed, schema_passed, issue_count,
+      {', '.join(f'm.{c} AS "quality_metrics.{c}"' for c in METRIC_COLUMNS)},
+      {', '.join(f"(SELECT missing_percentage FROM missing WHERE field = '{c}') AS " + '"quality_metrics.missing_value_percentages.' + c + '"' for c in COLUMNS)}
+    FROM verdicts, metric_row m WHERE scenario = 'dirty')
+  UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM wide) ON COLUMNS(*) INTO NAME field VALUE value""",
+    "report_incidents": f"WITH {ISSUES} SELECT issue_type, severity, affected_field, observed_value FROM issue_rows",
     "daily_counts": f"WITH {FEED} SELECT {DAY} AS calendar_date, count(*)::BIGINT AS request_count FROM feed GROUP BY 1",
     "daily_counts_orders": "SELECT strftime(o_orderdate, '%Y-%m-%d') AS calendar_date, count(*)::BIGINT AS request_count FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1",
     "volume_compare": f"WITH {EVENT_DAYS} {compare_sql('b', 'c', 3.0, 200, False)}",

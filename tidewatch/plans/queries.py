@@ -346,6 +346,26 @@ def _(spark, folder):
     )
 
 
+@query("report_fields")
+def _(spark, folder):
+    """The report of the dirty feed, read back from its JSON text field by field."""
+    columns = [f"quality_metrics.missing_value_percentages.{c.name}" for c in load_contract().columns]
+    metrics = [f"quality_metrics.{c}" for c in P.quality_metrics(dirty_profile(spark, folder)).columns if c != SCENARIO]
+    paths = ["source_url", "latest_source_data_timestamp", "rows_processed", "reliability_score", "health_status",
+             "validation_passed", "schema_passed", "issue_count", *metrics, *columns]
+    cells = F.array(*(
+        F.struct(F.lit(p).alias("field"), F.get_json_object("report", f"$.{p}").alias("value")) for p in paths))
+    return REGISTRY["report_json"](spark, folder).select(F.explode(cells).alias("c")).select("c.*")
+
+
+@query("report_incidents")
+def _(spark, folder):
+    """The incidents of the same report, in order."""
+    schema = "array<struct<issue_type:string,severity:string,affected_field:string,observed_value:string>>"
+    listed = F.from_json(F.get_json_object("report", "$.incidents"), schema)
+    return REGISTRY["report_json"](spark, folder).select(F.explode(listed).alias("i")).select("i.*")
+
+
 @query("kpi_overview")
 def _(spark, folder):
     profile = dirty_profile(spark, folder)
