@@ -21,6 +21,9 @@ to their chunks; from there only packed keys and one bit for each key travel.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from functools import cached_property
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -29,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import cells
-from .common import documents
+from .common import documents, with_carried
 
 WINDOW, PHRASE = 20, 8
+#: Letters that spell words for the automaton, at each place of a word.
+LETTERS = 64
 #: 2 ** 10 neighbouring doc_ids are one chunk.
 CHUNK_BITS = 10
 #: Chunk of the rows without doc_id: behind all others.
@@ -49,6 +54,7 @@ class Chunk:
         self.window, self.phrase = window, phrase
         self.number = rows["chunk"][0].as_py() if len(rows) else None
         self.doc_ids, self.texts = rows["doc_id"].to_pylist(), rows["text"].to_pylist()
+        self.carried = [rows["carried"]] if "carried" in rows.column_names else []
         self.split = [t.split() for t in self.texts]
         self.words = [w for words in self.split for w in words]
         counts = np.array([len(w) for w in self.split], np.int64)
@@ -58,46 +64,44 @@ class Chunk:
         room = np.repeat(self.ends, counts) - np.arange(len(self.words))
         self.starts = np.flatnonzero(room >= window)
 
-    def standing(self) -> tuple[np.ndarray, np.ndarray]:
-        """For every window the place of its phrase; hashes of all phrases."""
-        grams = cells.gram_hashes(self.hashes, self.phrase)
+    @cached_property
+    def standing(self) -> np.ndarray:
+        """For every window the place of the phrase that stands for it."""
         if not len(self.starts):
-            return self.starts, grams
+            return self.starts
         width = self.window - self.phrase + 1
-        offset = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(axis=1)
-        return self.starts + offset[self.starts], grams
+        offset = np.lib.stride_tricks.sliding_window_view(self.grams, width).argmin(axis=1)
+        return self.starts + offset[self.starts]
 
-    def phrase_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys of the phrases that stand for windows, and how many places each has."""
-        places, grams = self.standing()
-        return np.unique(grams[np.unique(places)], return_counts=True)
+    @cached_property
+    def grams(self) -> np.ndarray:
+        return cells.gram_hashes(self.hashes, self.phrase)
+
+    @cached_property
+    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of the phrases that stand for windows, a place and the number of places of each."""
+        places = np.unique(self.standing)
+        keys, first, count = np.unique(self.grams[places], return_index=True, return_counts=True)
+        return keys, places[first], count
 
     def candidates(self, recurs: np.ndarray) -> np.ndarray:
-        """Starts of windows whose phrase the automaton finds; ``recurs`` flags phrase_keys."""
-        places, grams = self.standing()
-        keys = np.unique(grams[np.unique(places)])
-        confirmed = keys[recurs]
-        first = {int(grams[p]): p for p in reversed(np.unique(places)[np.isin(grams[np.unique(places)], confirmed)].tolist())}
-        code: dict[bytes, str] = {}
+        """Starts of windows whose phrase the automaton finds; ``recurs`` flags the phrases."""
+        first = self.phrases[1][recurs].tolist()
+        spelled, width = _spell({w for place in first for w in self.words[place: place + self.phrase]})
+        unknown = "\0" * width
         automaton = ahocorasick.Automaton()
-        for place in first.values():
-            letters = []
-            for word in self.words[place: place + self.phrase]:
-                if word not in code:
-                    number = len(code) + 1
-                    code[word] = chr(number if number < 0xD800 else number + 0x800)
-                letters.append(code[word])
-            automaton.add_word("".join(letters), True)
+        for place in first:
+            automaton.add_word("".join([spelled[w] for w in self.words[place: place + self.phrase]]), True)
         hit = np.zeros(len(self.words), bool)
         if len(first):
             automaton.make_automaton()
             at = 0
             for words in self.split:
-                text = "".join([code.get(w, "\0") for w in words])
+                text = "".join(map(spelled.get, words, repeat(unknown)))
                 ends = [end for end, _ in automaton.iter(text)]
-                hit[np.array(ends, np.int64) + (at + 1 - self.phrase)] = True
+                hit[(np.array(ends, np.int64) + 1) // width + (at - self.phrase)] = True
                 at += len(words)
-        return self.starts[hit[places]] if len(self.starts) else self.starts
+        return self.starts[hit[self.standing]]
 
     def window_keys(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """96-bit keys of windows: 64 bits and 32 more."""
@@ -117,6 +121,26 @@ class Chunk:
         return np.cumsum(edge[:-1]) > 0
 
 
+def _spell(words: set[bytes]) -> tuple[dict[bytes, str], int]:
+    """Words as strings of one width over small alphabets, one for each place in the string.
+
+    The automaton searches a node's edges one by one, so few letters make it fast; letters
+    of different places differ, so that no match begins inside a word.
+    """
+    width = 1
+    while LETTERS ** width < len(words):
+        width += 1
+    alphabets = [[chr(1 + LETTERS * place + k) for k in range(LETTERS)] for place in range(width)]
+    spelled = {}
+    for number, word in enumerate(words):
+        letters = []
+        for alphabet in alphabets:
+            number, letter = divmod(number, LETTERS)
+            letters.append(alphabet[letter])
+        spelled[word] = "".join(letters)
+    return spelled, width
+
+
 def _distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by key, flags of the first of equal keys in that order, and number of each in it."""
     order = np.lexsort((low, high))
@@ -169,7 +193,7 @@ def _flags(parts: list[tuple[int, np.ndarray]], answers: dict[int, bytes], total
     return out
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
+def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, carry: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, text) for every row of ``docs`` (doc_id, text).
 
     ``text`` is the text without the removed words and the white space after them; a text
@@ -177,21 +201,23 @@ def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFr
     Null texts have no words and become empty. Rows of one doc_id are taken in order of their
     texts, so of repeated rows the first stays. Rows without doc_id come after all others and
     may repeat words of any. No rows: no rows; extra columns are ignored. doc_ids are expected
-    to be fairly dense: 1,024 neighbouring ids are one chunk.
+    to be fairly dense: 1,024 neighbouring ids are one chunk. Columns named in ``carry`` come
+    back in the struct ``carried``.
     """
     if not 0 < phrase <= window:
         raise ValueError("a phrase must fit in a window")
-    rows = documents(docs)
+    rows = documents(docs, carry)
     _, shards = cells.shard_count(rows)
-    rows = rows.select(F.coalesce(F.shiftright("doc_id", CHUNK_BITS), F.lit(LAST)).alias("chunk"), "doc_id", "text")
+    schema = with_carried("doc_id long, n_words long, n_removed long, text string", rows)
+    rows = rows.select(F.coalesce(F.shiftright("doc_id", CHUNK_BITS), F.lit(LAST)).alias("chunk"), "*")
 
     def ask_phrases(t: pa.Table) -> list[tuple[int, int, bytes]]:
         chunk = Chunk(t, window, phrase)
-        keys, _ = chunk.phrase_keys()
+        keys, _, _ = chunk.phrases
         return [(s, chunk.number, cells.pack_keys(keys[at])) for s, at in cells.deal(keys, shards)]
 
     def candidates(chunk: Chunk, answers: dict[int, bytes]) -> np.ndarray:
-        keys, count = chunk.phrase_keys()
+        keys, _, count = chunk.phrases
         return chunk.candidates(_flags(list(cells.deal(keys, shards)), answers, len(keys)) | (count > 1))
 
     def ask_windows(t: pa.Table, replies: pa.Table) -> pa.Table:
@@ -211,9 +237,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFr
         return cells.table([*found, (chunk.number % shards, chunk.number, ride)], ("shard", "chunk"))
 
     def finish(t: pa.Table, replies: pa.Table) -> pa.Table:
-        names = ["doc_id", "n_words", "n_removed", "text"]
-        if not len(t):
-            return pa.table([pa.array([], k) for k in (pa.int64(),) * 3 + (pa.string(),)], names=names)
+        names = ["doc_id", "n_words", "n_removed", "text", "carried"]
         chunk, answers, mask = Chunk(t, window, phrase), {}, np.zeros(0, np.int64)
         for shard, payload in zip(replies["shard"].to_pylist(), replies["payload"].to_pylist()):
             if payload[:1] == b"k":
@@ -234,15 +258,15 @@ def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFr
             n_removed.append(int(lost.sum()))
             texts.append((_cut(text, lost) if n_removed[-1] else text).decode("utf-8", "replace"))
         n_words = [len(w) for w in chunk.split]
-        return pa.table([pa.array(c, k) for c, k in zip(
-            (chunk.doc_ids, n_words, n_removed, texts), (pa.int64(),) * 3 + (pa.string(),))], names=names)
+        columns = [pa.array(c, k) for c, k in zip(
+            (chunk.doc_ids, n_words, n_removed, texts), (pa.int64(),) * 3 + (pa.string(),))]
+        return pa.table(columns + chunk.carried, names=names[:4 + len(chunk.carried)])
 
     by_chunk = rows.groupBy("chunk")
     replies = cells.answer(cells.request(rows, ask_phrases), _answer_phrases)
     asked = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(ask_windows, cells.CELL)
     settled = cells.answer(asked, _answer_windows)
-    return by_chunk.cogroup(settled.groupBy("chunk")).applyInArrow(
-        finish, "doc_id long, n_words long, n_removed long, text string")
+    return by_chunk.cogroup(settled.groupBy("chunk")).applyInArrow(finish, schema)
 
 
 def _cut(text: bytes, lost: np.ndarray) -> bytes:
