@@ -137,6 +137,8 @@ def test_monitor_end_to_end(spark, five_thousand, tmp_path):
     assert document["clean_baseline_result"]["quality_metrics"]["total_rows_processed"] == 5000
     report = json.loads(spark.read.text(run.report).first()[0])
     assert report["reliability_score"] == 100 and report["health_status"] == "Healthy"
+    assert report["report_generation_time_seconds"] > 0
+    assert spark.read.parquet(f"{document['report_paths']['result_tables_path']}/validation_issues").count() >= 9
     assert report["issue_count"] == 0 and report["incidents"] == [] and report["source_url"] == "events"
     assert report["quality_metrics"]["missing_value_percentages"]["descriptor"] == 2.0
     manifest = {r.scenario_name: r.affected_row_count for r in load_manifest(spark, str(tmp_path)).collect()}

@@ -100,6 +100,13 @@ def test_load_or_ingest(spark, tmp_path):
     assert as_set(again, *again.columns) == as_set(first, *first.columns)
 
 
+def test_landing_tells_paths_and_time(spark, tmp_path):
+    records = write(tmp_path / "r.json", json.dumps(RECORDS))
+    row = landing.ingest(spark, str(tmp_path / "store"), records).first()
+    assert (row.rows_downloaded, row.columns_downloaded, row.load_seconds > 0) == (3, 3, True)
+    assert spark.read.parquet(row.latest_path).count() == spark.read.parquet(row.snapshot_path).count() == 3
+
+
 def test_metadata(feed):
     row = landing.ingestion_metadata(feed.drop("row_id"), "here").first()
     assert (row.source_url, row.rows_downloaded, row.columns_downloaded) == ("here", 36, 11)

@@ -64,6 +64,11 @@ def report_feed(
         ingestion_metadata(feed.select(*tables.columns[tables.names[0]]), source),
         runtime_seconds=time.perf_counter() - started,
     ).drop(SCENARIO)
+    generated = time.perf_counter()
+    document.write.mode("overwrite").parquet(f"{folder}/tables/report_body")
+    seconds = round(time.perf_counter() - generated, 3)
+    document = feed.sparkSession.read.parquet(f"{folder}/tables/report_body").withColumn(
+        "report_generation_time_seconds", F.lit(seconds))
     latest, snapshot = sinks.save_report(document, folder, "latest_report", "incident_report", stamp)
     return latest, snapshot, kept
 
@@ -150,6 +155,8 @@ def run_monitor(
         "latest_evaluation_path": f"{folder}/latest_evaluation",
         "snapshot_evaluation_path": f"{folder}/evaluation_report_{stamp}",
         "fault_manifest_path": manifest_path,
+        # issues, volume records, drift verdicts and findings of every scenario
+        "result_tables_path": f"{folder}/tables",
     }
     document = evaluation_report(run, manifest, paths, seconds)
     evaluation_path, _ = sinks.save_report(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,10 +118,13 @@ def stamp_row_ids(frame: DataFrame, name: str = "row_id") -> DataFrame:
     return frame.withColumn(name, F.monotonically_increasing_id())
 
 
-def ingestion_metadata(frame: DataFrame, source: str = "", created: str = "created_date") -> DataFrame:
+def ingestion_metadata(
+    frame: DataFrame, source: str = "", created: str = "created_date", **written: str | float
+) -> DataFrame:
     """Row count, columns and newest creation date of a snapshot; one row, one aggregation.
 
-    Dates are compared as points in time; unreadable ones are left out.
+    Dates are compared as points in time; unreadable ones are left out. ``written`` adds what
+    the caller knows of the landing, such as the paths of the snapshot and the seconds it took.
     """
     latest = F.lit(None).cast("string")
     if created in frame.columns:
@@ -135,15 +139,28 @@ def ingestion_metadata(frame: DataFrame, source: str = "", created: str = "creat
         F.lit(len(frame.columns)).cast("long").alias("columns_downloaded"),
         F.lit(",".join(frame.columns)).alias("column_names"),
         "latest_created_date",
+        *(F.lit(value).alias(name) for name, value in written.items()),
     )
 
 
+def ingest(spark: SparkSession, store: str, records: str, limit: int | None = None) -> DataFrame:
+    """Land records as a snapshot; returns its metadata with both paths and the load time."""
+    from tidewatch.sources.sinks import save_snapshot
+
+    started = time.perf_counter()
+    latest, snapshot = save_snapshot(stamp_row_ids(read_records(spark, records, limit)), store)
+    landed = spark.read.parquet(latest)
+    return ingestion_metadata(
+        landed.drop("row_id"), records, latest_path=latest, snapshot_path=snapshot,
+        load_seconds=round(time.perf_counter() - started, 3))
+
+
 def load_or_ingest(
     spark: SparkSession, store: str, records: str, limit: int | None = None
 ) -> DataFrame:
     """The latest stored snapshot if there is one, else the landed records, stored first."""
-    from tidewatch.sources.sinks import latest_path, path_exists, save_snapshot
+    from tidewatch.sources.sinks import latest_path, path_exists
 
     if not path_exists(spark, latest_path(store)):
-        save_snapshot(stamp_row_ids(read_records(spark, records, limit)), store)
+        ingest(spark, store, records, limit)
     return spark.read.parquet(latest_path(store))
