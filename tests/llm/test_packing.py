@@ -104,3 +104,22 @@ def test_sequences_join_pieces(spark):
     rows = packing.sequences(packed).collect()
     assert sum(r.length for r in rows) == packed.agg({"length": "sum"}).first()[0]
     assert all(len(r.ids) == 4 * r.length == 4 * sum(s.length for s in r.segments) for r in rows)
+
+
+def test_a_part_of_one_repeated_row_is_packed_in_portions():
+    import pyarrow as pa
+
+    rows = 16 * packing.PART_DOCS + 5
+    ids = np.array([7, 1], "<u4").tobytes()
+    columns = [[3] * rows, [5] * rows, [0] * rows, [2] * rows, [ids] * rows]
+    kinds = (pa.int64(),) * 4 + (pa.binary(),)
+    batch = pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "doc_id", "start", "doc_tokens", "ids"])
+    out = pa.Table.from_batches(packing._pack(16, True)(iter([batch.slice(0, 9000), batch.slice(9000)]))).to_pylist()
+    assert sum(r["length"] for r in out) == 2 * rows
+    by_sequence = {}
+    for r in out:
+        by_sequence.setdefault(r["sequence_id"], []).append(r)
+    for found in by_sequence.values():
+        ends = [(r["offset"], r["offset"] + r["length"]) for r in sorted(found, key=lambda r: r["offset"])]
+        assert [a for a, _ in ends] == [0, *(b for _, b in ends[:-1])] and ends[-1][1] <= 16
+    assert sum(sum(r["length"] for r in f) < 16 for f in by_sequence.values()) <= 2
