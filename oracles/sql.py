@@ -679,6 +679,11 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderd
     {ratio(count("outcome = 'true_positive'"), count('expected'))} AS detection_rate FROM matrix GROUP BY issue_type""",
     "scenario_quality_metrics": SCENARIO_METRICS,
 }
+ORACLE["snapshot_roundtrip"] = f"WITH {DIRTY} SELECT * FROM dirty"
+ORACLE["csv_roundtrip"] = f"""WITH {FEED} SELECT row_id::VARCHAR AS row_id, {', '.join(
+    "concat_ws(chr(10), descriptor, 'said " + chr(34) + "' || status || '" + chr(34) + ", then') AS descriptor"
+    if c == 'descriptor' else c for c in COLUMNS)} FROM feed"""
+ORACLE["scenario_roundtrip"] = f"WITH {FAULTS} {fault_sql('closed_date_before_created_date')}"
 _EVALUATED = ORACLE["evaluation_metrics"].removeprefix("WITH ")
 ORACLE["kpi_overview_evaluation"] = f"""WITH whole AS (WITH {_EVALUATED}),
   clean_row AS (WITH {FEED} {metrics_sql('feed')}),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,8 +22,8 @@ from tidewatch.operators.sampling import sample_with_replacement, seeded_sample
 from tidewatch.operators.tables import SCENARIO, one_table, split_table, stack_tables
 from tidewatch.plans.evaluate import Evaluation, evaluate_faults
 from tidewatch.plans.feeds import clean_feed, dirty_feed, read_table
-from tidewatch.session import prepare
-from tidewatch.sources import landing
+from tidewatch.session import prepare, shared_folder
+from tidewatch.sources import landing, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -84,6 +85,36 @@ def _(spark, folder):
     return landing.ingestion_metadata(dirty(spark, folder).drop("row_id"), "events")
 
 
+def _stored(spark, name: str) -> str:
+    """A new folder for a query that writes a table and reads it again."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("snapshot_roundtrip")
+def _(spark, folder):
+    """The dirty feed, landed as a snapshot and read from its stable place."""
+    latest, _ = sinks.save_snapshot(dirty(spark, folder), _stored(spark, "snapshot"))
+    return spark.read.parquet(latest)
+
+
+@query("csv_roundtrip")
+def _(spark, folder):
+    """A feed whose descriptors hold quotes and line breaks, written as CSV and read again."""
+    told = F.concat_ws("\n", F.col("descriptor"), F.concat(F.lit('said "'), "status", F.lit('", then')))
+    rows = feed(spark, folder).withColumn("descriptor", told)
+    path = sinks.save_scenario_csv(rows, _stored(spark, "csv"), "feed")
+    return landing.read_csv(spark, path)
+
+
+@query("scenario_roundtrip")
+def _(spark, folder):
+    """A scenario's table, rebuilt from the feed and the stored rows that differ."""
+    clean = feed(spark, folder)
+    plan = faults.plan_faults(clean, names=[faults.REVERSED, faults.DUPLICATED])
+    path = sinks.save_by_scenario(faults.changed_rows(plan, list(plan.draws)), _stored(spark, "rows"))
+    return faults.rebuild(clean, spark.read.parquet(path), faults.REVERSED)
+
+
 # --- predicates ----------------------------------------------------------------
 @query("blank_rows")
 def _(spark, folder):

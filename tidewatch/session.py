@@ -16,6 +16,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables may be written: a folder that driver and executors share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+
+
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Store an intermediate result in the shared checkpoint folder of the session.
 
@@ -24,7 +30,5 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     """
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
-        warehouse = frame.sparkSession.conf.get("spark.sql.warehouse.dir")
-        context.setCheckpointDir(folder or f"{warehouse}/_checkpoints")
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint()
