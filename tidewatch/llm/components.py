@@ -14,18 +14,29 @@ from pyspark.sql import functions as F
 from .common import checkpoint
 
 
+#: Ways the edges of one node are dealt, so that the join of a hub is no single task's.
+SALTS = 16
+
+
+def _with_low(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """Edges with ``m``, the smallest node around ``a``."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    return salted.join(low.select("a", "m", every), ["a", "salt"]).drop("salt")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest node around it."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _with_low(both.filter("b > a"), low).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them; edges have a > b."""
     low = edges.groupBy("a").agg(F.min("b").alias("m"))
     pair = lambda name: F.struct(F.col(name).alias("a"), F.col("m").alias("b"))
-    moved = edges.join(low, "a").select(F.explode(F.array(pair("a"), pair("b"))).alias("e"))
+    moved = _with_low(edges, low).select(F.explode(F.array(pair("a"), pair("b"))).alias("e"))
     return moved.select("e.a", "e.b").filter("a <> b").distinct()
 
 
