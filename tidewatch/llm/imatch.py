@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import following
+from .common import checkpoint, following
 
 #: Shares of all documents between which a term's document frequency must lie.
 LEAST, MOST = 1 / 500, 1 / 20
@@ -126,7 +126,8 @@ def edited_fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOS
     stretch = F.shiftright("doc_id", STRETCH_BITS)
     placed = texts.filter("doc_id is not null").withColumn("stretch", stretch)
 
-    firsts = placed.groupBy("stretch").agg(F.min(F.struct("doc_id", "text")).alias("f")).select("stretch", "f.text")
+    firsts = placed.groupBy("stretch").agg(F.min(F.struct("doc_id", "text")).alias("f"))
+    firsts = checkpoint(firsts.select("stretch", "f.text"))
     order = following(firsts.select(F.col("stretch").alias("key")), levels=2)
     lowest = F.lit((facts["low"] or 0) >> STRETCH_BITS).cast("long")
     order = order.select(F.col("key").alias("stretch"), F.coalesce("next_key", lowest).alias("after"))
