@@ -70,12 +70,14 @@ def test_other_tokenizers_encode_whole_texts(spark):
     check(found, {1: true_ids(["Two  words\n here"], path)[0]}, 2048)
 
 
-def test_forgetting_words_changes_nothing(monkeypatch):
-    texts = [f"w{k} w{k % 7} common" .encode() for k in range(200)]
-    plain = packing.Encoder(PATH).encode(texts)
-    monkeypatch.setattr(packing, "WORDS_BYTES", 1000)
-    small = packing.Encoder(PATH)
-    assert [small.encode([t])[0] for t in texts] == plain
+def test_words_by_parts_equal_whole_texts(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_BYTES", 20_000)  # forgets all the time
+    parts = ("aAbBzZ é É ñ ß İ I ̇ ̱ H h K 's 'T 're , . ! ( ) - _ | < > <|endoftext|> <|EndOfText|> * $ 1 2 日 😀 Σ σ ς "
+             "\t \n \x1c \xa0 ́ ing tion THE жизнь Ǆ ﬁ ا").split(" ") + [" "] * 4
+    draw, encoder = random.Random(5), packing.Encoder(PATH)
+    texts = ["".join(draw.choices(parts, k=draw.randrange(0, 14))) for _ in range(4000)]
+    assert [encoder.encode([t.encode()])[0] for t in texts] == encoder._ids(texts)
+    assert encoder.folds and encoder.splits and encoder.direct
 
 
 def test_best_fit_decreasing_against_a_plain_search():

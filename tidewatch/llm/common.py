@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +15,43 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 UPPER_AZ, LOWER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What an operator keeps in a Python worker between tasks, such as remembered words.
+
+    Workers outlive stages. Only the last operator's value is kept, so the stages of a
+    pipeline do not pile up theirs.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def streamed(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], key: object = None):
+    """A function for ``mapInArrow`` that is tidy with its worker's memory.
+
+    It lets go of what other operators held there (all but ``key``), and gives Arrow's memory
+    back when its task ends.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if key not in _HELD:
+            _HELD.clear()
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def each(column: pa.Array) -> Iterator:
+    """A column's values one at a time; a list of all would double a batch of long texts."""
+    return (value.as_py() for value in column)
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -14,33 +14,62 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, held, streamed
 
 SIZE = 2048
 END = 1
 #: Documents packed together.
 PART_DOCS = 1024
 #: Text tokenised at once, and bytes of remembered words, in a worker.
-BATCH_BYTES, WORDS_BYTES = 4 << 20, 128 << 20
-#: New words encoded as one text.
-TOGETHER = 500
+BATCH_BYTES, WORDS_BYTES = 4 << 20, 160 << 20
+#: ASCII punctuation that a tokenizer may split from letters before it; no apostrophe, no <.
+PUNCTUATION = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+TAIL = re.compile(rb"(.*[A-Za-z])([" + re.escape(PUNCTUATION).encode() + rb"]+)", re.DOTALL)
+#: Words whose ids tell whether letters can go to the model directly.
+PROBES = ["a", "word", "qzxjv" * 5, "é", "ñandú", "straße", "œuvre", "日本語", "жизнь", *map(chr, range(97, 123))]
 PIECES = "part long, doc_id long, start long, doc_tokens long, ids binary"
 PACKED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+class _Words(dict):
+    """Ids of words, made when first asked for; words not asked for again are in ``old`` half."""
+
+    def __init__(self, encode: Callable[[bytes], bytes], old: dict[bytes, bytes]):
+        self.encode, self.old, self.held = encode, old, 0
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        self.held += len(word) + len(ids) + 130
+        return ids
+
+
+def _byte_letters() -> list[str]:
+    """The letter a byte-level model writes for each byte: itself if it shows, else 256, 257, ..."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes.
 
     If the tokenizer drops white space, so that a text's ids are those of its words, words are
-    remembered (up to a bound) and looked up, and new words are encoded many at a time, apart
-    from each other by a word of a single token; otherwise texts are encoded whole.
+    remembered (up to a bound) and looked up; otherwise texts are encoded whole. If it also
+    takes ASCII case as one and splits punctuation from letters, "Word," is looked up as "word"
+    and ",", and if its model works on bytes, words of small letters go to the model directly,
+    without normalising and splitting. Probes at the start tell whether it does.
     """
 
     def __init__(self, path: str):
@@ -48,76 +77,56 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         one, two, both = self._ids(["a", "b", "a \n b"])
         self.by_word = one + two == both
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
-        self.apart, self.apart_id = self._single() if self.by_word else (b"", 0)
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4") for x in found]
+        self.folds = self.by_word and self._ids(["AbC"]) == self._ids(["abc"])
+        self.splits = self.by_word and all(
+            self._ids([f"ab{c * n}"])[0] == b"".join(self._ids(["ab", c * n])) for c in PUNCTUATION for n in (1, 2, 3))
+        self.direct = self.folds and self._ids(PROBES) == [self._of_letters(p.encode()) for p in PROBES]
+        self.words = _Words(self._word, {})
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [x.tobytes() for x in self._encode(texts)]
-
-    def _single(self) -> tuple[bytes, int]:
-        """The longest word of ASCII letters that is one token."""
-        plain = sorted({re.sub("[^a-z]", "", token) for token in self.tokenizer.get_vocab()}, key=lambda w: (-len(w), w))
-        return next((w.encode(), int(ids[0])) for w in plain for ids in self._encode([w]) if len(ids) == 1)
-
-    def _new(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words, encoded some hundreds at a time."""
-        out: list[bytes] = []
-        runs = [words[at: at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        gap = b" " + self.apart + b" "
-        for run, ids in zip(runs, self._encode([gap.join(run).decode("utf-8", "replace") for run in runs])):
-            cut = (4 * np.flatnonzero(ids == self.apart_id)).tolist()
-            if len(cut) != len(run) - 1:  # some word holds that token itself
-                out += self._ids([w.decode("utf-8", "replace") for w in run])
-                continue
-            data = ids.tobytes()
-            out += [data[a:b] for a, b in zip([0, *(c + 4 for c in cut)], [*cut, len(data)])]
-        return out
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _of_letters(self, word: bytes) -> bytes:
+        spelled = word.decode() if word.isascii() else "".join([self.letters[b] for b in word])
+        return np.array([x.id for x in self.model.tokenize(spelled)], "<u4").tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        core, tail = word, b""
+        if b"<" not in word:  # may hold a special token
+            if self.splits and (found := TAIL.fullmatch(word)):
+                core, tail = found.groups()
+            if self.folds and core.isascii():
+                core = core.lower()
+        if core != word:
+            return self.words[core] + (self.words[tail] if tail else b"")
+        text = word.decode("utf-8", "replace")
+        if self.direct and text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
+            return self._of_letters(word)
+        return self._ids([text])[0]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._ids([t.decode("utf-8", "replace") for t in texts])
-        if self.held > WORDS_BYTES:
-            self.known, self.held = {}, 0
-        split = [t.split() for t in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        open_ = [(words, ids, [k for k, x in enumerate(ids) if x is None])
-                 for words, ids in zip(split, found) if None in ids]
-        new = list({words[k] for words, _, places in open_ for k in places})
-        ids_of = dict(zip(new, self._new(new)))
-        for words, ids, places in open_:
-            for k in places:
-                ids[k] = ids_of[words[k]]
-        self.known.update(ids_of)
-        self.held += sum(map(len, ids_of)) + sum(map(len, ids_of.values())) + 130 * len(ids_of)
-        return list(map(b"".join, found))
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        if self.words.held > WORDS_BYTES // 2:
+            self.words = _Words(self._word, dict(self.words))
+        return [b"".join(map(self.words.__getitem__, t.split())) for t in texts]
 
 
-def portions(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of at most BATCH_BYTES (or one text), with the place of the first."""
+def portions(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most BATCH_BYTES (or one text): the place of the first, and how many."""
     first = size = 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > BATCH_BYTES:
-            yield first, texts[first:k]
+    for k, length in enumerate(lengths):
+        if size and size + length > BATCH_BYTES:
+            yield first, k - first
             first, size = k, 0
-        size += len(text)
-    if first < len(texts):
-        yield first, texts[first:]
+        size += length
+    if first < len(lengths):
+        yield first, len(lengths) - first
 
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END) -> DataFrame:
@@ -125,12 +134,12 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END) -> Data
     last = np.array([end], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = held(("encoder", path), lambda: Encoder(path)).encode
         for batch in batches:
             parts, names = batch["part"].to_pylist(), batch["doc_id"].to_pylist()
-            for first, texts in portions(batch["text"].to_pylist()):
+            for first, n in portions(pc.binary_length(batch["text"]).to_pylist()):
                 rows = []
-                for k, ids in enumerate(encode(texts), first):
+                for k, ids in enumerate(encode(batch["text"].slice(first, n).to_pylist()), first):
                     ids += last
                     rows += [(parts[k], names[k], at // 4, len(ids) // 4, ids[at: at + 4 * size])
                              for at in range(0, len(ids), 4 * size)]
@@ -141,7 +150,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END) -> Data
     count = max(1, -(-docs.count() // PART_DOCS))
     rows = documents(docs)
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)).alias("part")
-    return rows.select(part, "doc_id", "text").mapInArrow(work, PIECES)
+    return rows.select(part, "doc_id", "text").mapInArrow(streamed(work, ("encoder", path)), PIECES)
 
 
 class OpenWindows:
@@ -270,7 +279,7 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, end: int = END, fill: boo
     """
     rows = pieces(docs, path, size, end)
     rows = rows.repartition("part").sortWithinPartitions("part", "doc_id", "doc_tokens", "start", "ids")
-    return rows.mapInArrow(_pack(size, fill), PACKED)
+    return rows.mapInArrow(streamed(_pack(size, fill)), PACKED)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
