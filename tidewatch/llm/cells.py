@@ -23,22 +23,16 @@ from pyspark.sql import functions as F
 
 CELL = "shard long, chunk long, payload binary"
 ANSWER = "chunk long, shard long, payload binary"
-#: Remembered words of a worker.
-WORDS = 600_000
 
 
 class WordHashes(dict):
-    """XXH64 of words; forgets all when it holds too many."""
+    """XXH64 of the words of a chunk, each made once."""
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) < WORDS:
-            self[word] = value
+        self[word] = value = xxhash.xxh64_intdigest(word)
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) >= WORDS:
-            self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

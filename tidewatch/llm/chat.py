@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import held
+
 BUDGET = 1024
 #: Repeated turns before the new ones, at most so many and of so many tokens together.
 HISTORY_TURNS, HISTORY_TOKENS = 4, 256
@@ -93,18 +95,18 @@ def spans(sizes: list[int], first: int, system: int, inner: int, budget: int, tu
     return out
 
 
-_COUNTERS: dict[str, object] = {}
+def _tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
 
 
 def _tokens(path: str, texts: list[str]) -> list[int]:
-    if path not in _COUNTERS:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _COUNTERS[path] = tokenizer
-    return [len(x.ids) for x in _COUNTERS[path].encode_batch(texts, add_special_tokens=False)]
+    tokenizer = held(("tokenizer", path), lambda: _tokenizer(path))
+    return [len(x.ids) for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def _format_segment(conv_id, segment, rows: list[tuple], path: str, budget: int, turns: int, tokens: int) -> list[tuple]:

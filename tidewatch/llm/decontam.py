@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, documents, text_bytes, with_carried
+from .common import checkpoint, documents, each, held, streamed, text_bytes, with_carried
 
 #: Words of test items in one automaton; bounds what is broadcast and what a task holds.
 BLOCK_WORDS = 100_000
@@ -158,17 +158,6 @@ def _join(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_BUILT: dict[str, Automaton] = {}
-
-
-def _automaton(key: str, block: list[tuple[object, bytes]], window: int) -> Automaton:
-    """Built once in each Python worker and block."""
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Automaton([(item, words_of(text)) for item, text in block], window)
-    return _BUILT[key]
-
-
 MATCHED = "doc_id long, text binary, n_words long, spans array<struct<a:long,b:long>>, items array<string>"
 _SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
@@ -181,7 +170,12 @@ def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_w
     order) and items (the found item_ids as texts, sorted; an item without id is "null");
     columns named in ``carry`` come back in the struct ``carried``.
     """
-    session = docs.sparkSession
+    rows, work, schema, key = _last_block(docs, benchmark, window, block_words, carry)
+    return rows.mapInArrow(streamed(work, key), schema)
+
+
+def _last_block(docs, benchmark, window, block_words, carry):
+    """Rows matched with all blocks but the last; function, schema and automaton's key of that one."""
     rows = documents(docs, carry)
     schema = with_carried(MATCHED, rows)
     carried = ["carried"] if carry else []
@@ -190,29 +184,34 @@ def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_w
         F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"), *carried)
     parts = list(blocks(benchmark, block_words)) or [[]]
-    for number, block in enumerate(parts):
-        shared = session.sparkContext.broadcast(block)
-        key = hashlib.sha256(repr((window, block)).encode()).hexdigest()
-
-        def work(batches, shared=shared, key=key):
-            machine = _automaton(key, shared.value, window)
-            for batch in batches:
-                counts, spans, items = [], [], []
-                for text, old, seen in zip(*(batch[c].to_pylist() for c in ("text", "spans", "items"))):
-                    words = words_of(text)
-                    found, names = machine.match(words)
-                    counts.append(len(words))
-                    spans.append([{"a": a, "b": b} for a, b in _join(found + [(s["a"], s["b"]) for s in old])])
-                    items.append(sorted(set(seen) | {"null" if i is None else str(i) for i in names}))
-                yield pa.record_batch(
-                    [batch["doc_id"], batch["text"], pa.array(counts, pa.int64()), pa.array(spans, _SPANS),
-                     pa.array(items, pa.list_(pa.string())), *(batch[c] for c in carried)],
-                    names=["doc_id", "text", "n_words", "spans", "items", *carried])
-
-        rows = rows.mapInArrow(work, schema)
-        if number + 1 < len(parts):
-            rows = checkpoint(rows)  # one block's automaton at a time
-    return rows
+    for block in parts[:-1]:  # one block's automaton at a time
+        rows = checkpoint(rows.mapInArrow(streamed(*_matcher(docs, block, window, carried)), schema))
+    work, key = _matcher(docs, parts[-1], window, carried)
+    return rows, work, schema, key
+
+
+def _matcher(docs: DataFrame, block: list[tuple[object, bytes]], window: int, carried: list[str]):
+    """A batch function that adds a block's matches to those found before; its automaton's key."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+    key = hashlib.sha256(repr((window, block)).encode()).hexdigest()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = held(key, lambda: Automaton([(item, words_of(text)) for item, text in shared.value], window))
+        for batch in batches:
+            counts, spans, items = [], [], []
+            before = zip(batch["spans"].to_pylist(), batch["items"].to_pylist())
+            for text, (old, seen) in zip(each(batch["text"]), before):
+                words = words_of(text)
+                found, names = machine.match(words)
+                counts.append(len(words))
+                spans.append([{"a": a, "b": b} for a, b in _join(found + [(s["a"], s["b"]) for s in old])])
+                items.append(sorted(set(seen) | {"null" if i is None else str(i) for i in names}))
+            yield pa.record_batch(
+                [batch["doc_id"], batch["text"], pa.array(counts, pa.int64()), pa.array(spans, _SPANS),
+                 pa.array(items, pa.list_(pa.string())), *(batch[c] for c in carried)],
+                names=["doc_id", "text", "n_words", "spans", "items", *carried])
+
+    return work, key
 
 
 def report(matched: DataFrame, share: int = 20) -> DataFrame:
@@ -253,12 +252,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     ``carry`` come back in the struct ``carried``.
     """
     carried = ["carried"] if carry else []
-    matched = match_spans(docs, benchmark, window, carry=carry)
+    rows, match, schema, key = _last_block(docs, benchmark, window, BLOCK_WORDS, carry)
 
     def work(batches):
-        for batch in batches:
+        for batch in match(batches):  # in one worker with the last block's automaton
             texts, cut = [], []
-            for text, count, spans in zip(*(batch[c].to_pylist() for c in ("text", "n_words", "spans"))):
+            for text, count, spans in zip(
+                    each(batch["text"]), batch["n_words"].to_pylist(), batch["spans"].to_pylist()):
                 spans = [(s["a"], s["b"]) for s in spans]
                 hit = sum(b - a for a, b in spans)
                 guilty = hit > 0 and share * hit >= count
@@ -268,4 +268,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
                 [batch["doc_id"], pa.array(texts, pa.string()), pa.array(cut, pa.int64()), *(batch[c] for c in carried)],
                 names=["doc_id", "text", "n_cut", *carried])
 
-    return matched.mapInArrow(work, with_carried("doc_id long, text string, n_cut long", matched))
+    return rows.mapInArrow(streamed(work, key), with_carried("doc_id long, text string, n_cut long", rows))

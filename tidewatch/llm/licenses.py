@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import documents, each, held, streamed
 
 #: Identifiers of well-known licenses and the notices by which texts name them.
 TEMPLATES = {
@@ -196,7 +196,6 @@ def strongest(found: list[tuple]) -> list[tuple]:
     return [row[1:] for row in sorted(kept, key=lambda r: (r[4], r[1]))]
 
 
-_SCANNERS: dict[str, Scanner] = {}
 MATCHES = ("doc_id long, license string, notice long, coverage double, first_word long, last_word long, "
            "first_byte long, last_byte long, matched string")
 
@@ -216,15 +215,13 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, coverag
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.float64(), *[pa.int64()] * 4, pa.string()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _SCANNERS:
-            _SCANNERS[key] = Scanner(templates, coverage)
-        scanner = _SCANNERS[key]
+        scanner = held(key, lambda: Scanner(templates, coverage))
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), each(batch["text"])):
                 for row in scanner.scan(text):
                     rows.append((doc_id, *row, text[row[5]:row[6]].decode("utf-8", "replace")))
             columns = zip(*rows) if rows else [()] * len(names)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return documents(docs).mapInArrow(work, MATCHES)
+    return documents(docs).mapInArrow(streamed(work, key), MATCHES)

@@ -43,8 +43,6 @@ END = np.uint64(0x9AE16A3B2F90404F)
 #: Quantised log10 probabilities lie between -FLOOR and 0.
 FLOOR, STEPS = 24.0, 65535
 
-_HASHES = cells.WordHashes()
-
 
 class EliasFano:
     """A non-decreasing sequence in about 2 + log2(universe / n) bits a value.
@@ -221,10 +219,10 @@ class Chunk:
         self.number = rows["chunk"][0].as_py()
         self.doc_ids = rows["doc_id"].to_pylist()
         self.held_out = np.array(rows["held_out"].to_pylist(), bool)
-        tokens, counts = [], []
+        tokens, counts, known = [], [], cells.WordHashes()
         for text in rows["text"].to_pylist():
             words = text.translate(LOWER).split()
-            tokens += [_HASHES.of(words), np.array([END])]
+            tokens += [known.of(words), np.array([END])]
             counts.append(len(words) + 1)
         self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
         self.counts = np.array(counts, np.int64)

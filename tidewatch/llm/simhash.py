@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, checkpoint, documents
+from .common import LOWER, checkpoint, documents, each, streamed
 from .components import connected_components
 
 #: Prints in one part of a bucket; larger buckets are split into parts of about this size.
@@ -64,10 +64,10 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, fp) for every row; fp as a signed long. Null text: no words."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t, size) for t in batch["text"].to_pylist()], np.uint64)
+            prints = np.array([fingerprint(t, size) for t in each(batch["text"])], np.uint64)
             yield pa.record_batch([batch["doc_id"], pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
 
-    return documents(docs).mapInArrow(work, "doc_id long, fp long")
+    return documents(docs).mapInArrow(streamed(work), "doc_id long, fp long")
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
@@ -208,7 +208,7 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
     cells = cells.select(
         "band", "key", x.alias("x"), y.alias("y"), ((x < y) & (F.col("own") == y)).cast("long").alias("side"), "fp")
     return (cells.repartition("band", "key", "x", "y").sortWithinPartitions("band", "key", "x", "y", "side", "fp")
-            .mapInArrow(_links(radius), "a long, b long"))
+            .mapInArrow(streamed(_links(radius)), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:

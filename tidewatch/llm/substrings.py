@@ -43,9 +43,6 @@ CHUNK_BITS = 10
 LAST = 1 << 60
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-_HASHES = cells.WordHashes()
-
-
 class Chunk:
     """The documents of a chunk as one run of words, in order of doc_id and text."""
 
@@ -59,7 +56,7 @@ class Chunk:
         self.words = [w for words in self.split for w in words]
         counts = np.array([len(w) for w in self.split], np.int64)
         self.ends = np.cumsum(counts)
-        self.hashes = _HASHES.of(self.words)
+        self.hashes = cells.WordHashes().of(self.words)
         # starts of windows that lie in one document
         room = np.repeat(self.ends, counts) - np.arange(len(self.words))
         self.starts = np.flatnonzero(room >= window)

@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, text_bytes
+from .common import documents, each, streamed
 
 #: Labelled documents that the model is fitted on.
-SAMPLE = 20_000
+SAMPLE = 10_000
 #: A feature is kept if at least LEAST sampled documents have it and its shares in toxic and
 #: other documents are at least APART standard errors apart.
 LEAST, APART = 5, 4.0
@@ -33,8 +33,8 @@ BEGINNING = 4
 LIMIT = 0.5
 #: Gradient steps, their size and the pull of weights towards zero (for each document).
 STEPS, RATE, RIDGE = 300, 0.1, 1e-5
-#: Words a worker remembers.
-WORDS_CACHE = 500_000
+#: Words a task remembers.
+WORDS_CACHE = 200_000
 #: Lower-cases A-Z and turns ASCII other than letters and digits into spaces.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
@@ -50,13 +50,10 @@ class _Codes(dict):
         return codes
 
 
-_CODES = _Codes()
-
-
-def features(text: bytes) -> np.ndarray:
+def features(text: bytes, codes: _Codes) -> np.ndarray:
     """Distinct feature numbers of a text, ascending."""
     words = set(text.translate(_WORDS).split())
-    return np.unique(np.frombuffer(b"".join(map(_CODES.__getitem__, words)), np.uint32))
+    return np.unique(np.frombuffer(b"".join(map(codes.__getitem__, words)), np.uint32))
 
 
 class Model:
@@ -65,8 +62,8 @@ class Model:
     def __init__(self, kept: np.ndarray, weights: np.ndarray, at: np.ndarray):
         self.kept, self.weights, self.at = kept, weights, at
 
-    def score(self, text: bytes) -> float:
-        found = features(text)
+    def score(self, text: bytes, codes: _Codes) -> float:
+        found = features(text, codes)
         if not len(self.kept) or not len(found):
             return 0.0
         place = np.minimum(np.searchsorted(self.kept, found), len(self.kept) - 1)
@@ -158,8 +155,9 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, level
     binary = grade is None
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Codes()
         for batch in batches:
-            found = [features(t).tobytes() for t in batch["text"].to_pylist()]
+            found = [features(t, known).tobytes() for t in each(batch["text"])]
             yield pa.record_batch([batch["doc_id"], batch["label"], pa.array(found, pa.binary())], names=["doc_id", "label", "codes"])
 
     def learn(t: pa.Table) -> pa.Table:
@@ -169,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, level
         parts = (model.kept, model.weights, model.at)
         return pa.table([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["kept", "weights", "at"])
 
-    found = rows.mapInArrow(codes, "doc_id long, label int, codes binary").groupBy(F.lit(1).alias("one"))
+    found = rows.mapInArrow(streamed(codes), "doc_id long, label int, codes binary").groupBy(F.lit(1).alias("one"))
     row = found.applyInArrow(learn, "kept binary, weights binary, at binary").first()
     if row is None:
         return Model(np.zeros(0, np.uint32), np.zeros(0), 9.0 + np.arange(levels - 1))
@@ -187,9 +185,9 @@ def grade(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = shared.value.score
+        score, codes = shared.value.score, _Codes()
         for batch in batches:
-            scores = np.array([score(t) for t in batch["text"].to_pylist()], np.float64)
+            scores = np.array([score(t, codes) for t in each(batch["text"])], np.float64)
             over = sigmoid(scores[:, None] - shared.value.at[None, :])  # P(grade >= k)
             edge = [np.ones((len(scores), 1)), over, np.zeros((len(scores), 1))]
             exact = -np.diff(np.concatenate(edge, axis=1), axis=1)
@@ -198,16 +196,17 @@ def grade(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
                  pa.array(exact.argmax(axis=1).astype(np.int64)), pa.array(over[:, 0] >= limit)],
                 names=["doc_id", "p_toxic", "severity", "grade", "toxic"])
 
-    return documents(docs).mapInArrow(work, "doc_id long, p_toxic double, severity double, grade long, toxic boolean")
+    return documents(docs).mapInArrow(streamed(work), "doc_id long, p_toxic double, severity double, grade long, toxic boolean")
 
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
     """The rows of ``docs`` that are not toxic, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def clean(texts):
-        model = shared.value
-        return texts.map(lambda t: bool(sigmoid(model.score(bytes(t)) - model.at[0]) < limit))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, codes = shared.value, _Codes()
+        for batch in batches:
+            scores = (model.score((t or "").encode(), codes) for t in each(batch["text"].cast(pa.string())))
+            yield batch.filter(pa.array([bool(sigmoid(s - model.at[0]) < limit) for s in scores], pa.bool_()))
 
-    return docs.filter(clean(text_bytes("text")))
+    return docs.mapInArrow(streamed(work), docs.schema)
