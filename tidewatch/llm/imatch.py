@@ -1,9 +1,10 @@
 """I-Match document fingerprints in DataFrame functions only.
 
 The lexicon holds the terms whose document frequency, counted over all documents, lies in a
-band of shares. A text's lexicon terms, distinct and sorted, are hashed once for each of 48
-randomised sub-lexicons: 16 disjoint ones with a 16th of the lexicon each, 16 with a 64th and
-16 with a 256th, so that short and long texts both have subsets that survive an edit.
+band of shares. A text's lexicon terms, distinct and sorted, are hashed once for each of 88
+randomised sub-lexicons: 8 disjoint ones with a 16th of the lexicon each, 16 with a 64th, 32
+with a 256th and 32 with a 1024th, so that short and long texts both have subsets that hold
+some of their terms and survive an edit.
 
 A band that begins at a share of all documents bounds the lexicon at any corpus size: it has
 at most (mean distinct terms of a document) / ``LEAST`` terms, here about 200,000. It travels
@@ -26,9 +27,9 @@ LEAST, MOST = 1 / 500, 1 / 20
 #: Bits of a term hash that choose its slot.
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
-#: (sub-lexicons of this size exist, first bit of the hash that deals terms to them)
-SCALES = [(16, 20), (64, 24), (256, 30)]
-SUBSETS = 16
+#: (share of the lexicon in a sub-lexicon is one in, sub-lexicons, first bit of the hash that deals)
+SCALES = [(16, 8, 20), (64, 16, 24), (256, 32, 30), (1024, 32, 38)]
+SUBSETS = sum(count for _, count, _ in SCALES)
 #: 2 ** 9 neighbouring doc_ids are brought together to see each other's texts.
 STRETCH_BITS = 9
 
@@ -68,17 +69,17 @@ def _bit(h: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _dealt(terms: Column, size: int, first: int) -> Column:
-    """A hash for each of the sub-lexicons that hold one in ``size`` terms."""
+def _dealt(terms: Column, size: int, count: int, first: int) -> Column:
+    """A hash for each of ``count`` sub-lexicons that hold one in ``size`` terms."""
     mask = F.lit((size - 1) << first).cast("long")
-    near = F.filter(terms, lambda h: h.bitwiseAND(mask) < F.lit(SUBSETS << first).cast("long"))
-    wanted = F.array(*[F.lit(k << first).cast("long") for k in range(SUBSETS)])
+    near = F.filter(terms, lambda h: h.bitwiseAND(mask) < F.lit(count << first).cast("long"))
+    wanted = F.array(*[F.lit(k << first).cast("long") for k in range(count)])
     return F.transform(wanted, lambda k: F.xxhash64(F.filter(near, lambda h: h.bitwiseAND(mask) == k)))
 
 
 def _subset_hashes(terms: Column) -> Column:
-    """48 ints; 0 for a subset without terms of the text."""
-    hashes = F.concat(*[_dealt(terms, size, first) for size, first in SCALES])
+    """SUBSETS ints; 0 for a subset without terms of the text."""
+    hashes = F.concat(*[_dealt(terms, *scale) for scale in SCALES])
     # the hash of an empty array is its seed, 42
     return F.transform(hashes, lambda x: F.when(x == 42, F.lit(0)).otherwise(
         x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
@@ -143,7 +144,7 @@ def edited_fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOS
         F.coalesce("lead_prints", "after_prints").alias("next_prints"))
     rest = add_prints(texts.filter("doc_id is null"), bits, "text", "prints").select(
         "doc_id", "text", "prints", F.lit("").alias("next_text"),
-        F.array_repeat(F.lit(0), SUBSETS * len(SCALES)).alias("next_prints"))
+        F.array_repeat(F.lit(0), SUBSETS).alias("next_prints"))
 
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
