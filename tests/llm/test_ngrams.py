@@ -96,3 +96,14 @@ def test_trie_finds_what_was_put_in():
     a, b = np.divmod(np.arange(len(words) ** 2), len(words))
     place = {p: k for k, p in enumerate(pairs)}
     assert trie.find_pairs(a, b).tolist() == [place.get(p, -1) for p in zip(a.tolist(), b.tolist())]
+
+
+def test_a_row_repeated_often_is_counted_once_for_all(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "COPIES", 5)
+    seen = spark.sparkContext.accumulator(0)
+    ask = ngrams._ask
+    monkeypatch.setattr(ngrams, "_ask", lambda shards: lambda t, work=ask(shards): (seen.add(len(t)), work(t))[1])
+    rows = [(1, "a b a c")] * 40 + [(None, "a b x")] * 30 + [(k, f"a w{k} b") for k in range(2, 30)] + [(3, "q r")] * 3
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA).repartition(3)
+    compare(ngrams.score(frame).collect(), brute(rows)[0])
+    assert 0 < seen.value < 60  # of 101

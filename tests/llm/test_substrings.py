@@ -68,3 +68,25 @@ def test_odd_rows(spark):
     texts = {r.doc_id: r.text for r in found if r.n_removed == 0}
     assert texts[8] == "clean  text\n stays" and texts[2] == "head  " + passage + "\ntail"
     assert substrings.dedup(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [None, 6])
+def test_rows_that_share_an_id_are_split(spark, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "CHUNK_BITS", 2)
+    monkeypatch.setattr(substrings, "HEAVY", 4000)
+    monkeypatch.setattr(substrings, "PART", 2000)
+    draw = random.Random(9)
+    text = lambda: " ".join(draw.choice("a b ab É ö".split()) for _ in range(draw.randrange(0, 40)))
+    rows = [(k, text()) for k in range(40)]
+    if hot is None:  # their order among themselves is free: texts that share no window, and copies of one
+        rows += [(None, " ".join(f"n{k}-{j}" for j in range(20))) for k in range(100)]
+    else:
+        rows += [(hot, text()) for _ in range(100)] + [(80, text()) for _ in range(100)]
+    rows += [(hot, " ".join(f"same{j}" for j in range(20)))] * 100
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA).repartition(3)
+    dealt, _ = substrings.chunked(substrings.documents(frame))
+    sizes = [r["count"] for r in dealt.groupBy("chunk").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 80 and len(sizes) > 12
+    found = substrings.dedup(frame, 5, 3).collect()
+    got = [(r.doc_id, r.n_words, r.n_removed, " ".join(words(r.text))) for r in found]
+    assert order(got) == order(brute(rows, 5))

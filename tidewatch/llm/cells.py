@@ -104,7 +104,12 @@ def answer(cells: DataFrame, work: Callable[[list[int], list[bytes]], list[bytes
     return cells.groupBy("shard").applyInArrow(run, ANSWER)
 
 
-def shard_count(docs: DataFrame, bytes_each: int = 16 << 20) -> tuple[int, int]:
-    """(rows, shards) so that a shard sees the keys of about ``bytes_each`` bytes of text."""
+def shards_for(size: int | None, bytes_each: int = 16 << 20) -> int:
+    """Shards so that each sees the keys of about ``bytes_each`` bytes of text."""
+    return max(1, -(-(size or 0) // bytes_each))
+
+
+def shard_count(docs: DataFrame) -> tuple[int, int]:
+    """(rows, shards) of a table of texts."""
     facts = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
-    return facts["n"], max(1, -(-(facts["b"] or 0) // bytes_each))
+    return facts["n"], shards_for(facts["b"])

@@ -36,6 +36,8 @@ from .common import LOWER, documents
 
 #: Documents of one chunk.
 CHUNK_DOCS = 1024
+#: Rows that are one row repeated more often than this, or than a 100,000th of all, are counted first.
+COPIES = 256
 #: Share of the probability that seen successors get.
 MASS = 0.4
 #: Key of the end of a text, which no word's hash is taken for.
@@ -219,6 +221,7 @@ class Chunk:
         self.number = rows["chunk"][0].as_py()
         self.doc_ids = rows["doc_id"].to_pylist()
         self.held_out = np.array(rows["held_out"].to_pylist(), bool)
+        self.copies = rows["copies"].to_numpy().astype(np.int64)
         tokens, counts, known = [], [], cells.WordHashes()
         for text in rows["text"].to_pylist():
             words = text.translate(LOWER).split()
@@ -240,9 +243,18 @@ class Chunk:
 
     def trained(self) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the words and pairs in training documents."""
-        learn = ~self.held_out[self.doc]
-        return (np.bincount(self.word_at[learn], minlength=len(self.words)),
-                np.bincount(self.pair_at[learn[self.second]], minlength=len(self.pairs)))
+        times = np.where(self.held_out, 0, self.copies)[self.doc]
+        return (_sums(self.word_at, times, len(self.words)),
+                _sums(self.pair_at, times[self.second], len(self.pairs)))
+
+
+def _sums(at: np.ndarray, times: np.ndarray, size: int) -> np.ndarray:
+    """The sum of ``times`` at each place; exact, also where whole numbers have over 53 bits."""
+    if not len(times) or times.max() <= 1:
+        return np.bincount(at[times > 0], minlength=size)
+    total = np.zeros(size, np.int64)
+    np.add.at(total, at, times)
+    return total
 
 
 def _ask(shards: int):
@@ -292,7 +304,7 @@ def _facts(shards: int):
 
 
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-          "base_score double, score double")
+          "base_score double, score double, copies long")
 
 
 def _score(shards: int, mass: float):
@@ -304,7 +316,7 @@ def _score(shards: int, mass: float):
 
     def work(rows: pa.Table, replies: pa.Table) -> pa.Table:
         names = [f.split()[0] for f in SCORES.split(", ")]
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         if not len(rows):
             return pa.table([pa.array([], k) for k in kinds], names=names)
         chunk = Chunk(rows)
@@ -335,7 +347,7 @@ def _score(shards: int, mass: float):
         log10[chunk.second] = p_two[chunk.pair_at]
         add = lambda values: np.add.reduceat(values, chunk.starts)
         columns = [chunk.doc_ids, chunk.held_out, chunk.counts, add((c_word > 0)[chunk.word_at].astype(np.int64)),
-                   np.full(len(chunk.counts), tokens), add(p_word[chunk.word_at]), add(log10)]
+                   np.full(len(chunk.counts), tokens), add(p_word[chunk.word_at]), add(log10), chunk.copies]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return work
@@ -347,18 +359,29 @@ def score(docs: DataFrame, mass: float = MASS) -> DataFrame:
     Learns from rows whose crc32(doc_id as text) mod 7 is not 2; the others, and rows without
     doc_id, are held out. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     (add-one unigram) and score, log10 of the text's probability. Null texts are empty: one
-    token, the end. Repeated rows count and are scored each; without training rows all tokens
+    token, the end. Repeated rows count and are scored each (rows repeated very often once for all); without training rows all tokens
     are unknown; no rows: no rows; extra columns are ignored.
     """
     rows = documents(docs)
     n, shards = cells.shard_count(rows)
     chunks = max(1, -(-n // CHUNK_DOCS))
+    key = F.xxhash64("doc_id", "text")
+    often = rows.groupBy(key.alias("often")).count().filter(F.col("count") > max(COPIES, n // 100_000))
+    often = [r["often"] for r in often.select("often").collect()]
+    rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    if often:
+        few = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in often], "often long"))
+        counted = rows.join(few, key == F.col("often"), "left_semi").groupBy("doc_id", "text").agg(F.sum("copies").alias("copies"))
+        rows = rows.join(few, key == F.col("often"), "left_anti").unionByName(counted)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True))
     rows = rows.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id", held.alias("held_out"), "text")
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id", held.alias("held_out"), "text", "copies")
     asked = cells.request(rows, _ask(shards))
     # one row; the shards' cells are shuffled once for both uses
     facts = asked.groupBy("shard").applyInArrow(_facts(shards), "types long, tokens long").agg(
         F.sum("types").alias("types"), F.sum("tokens").alias("tokens"))
     replies = cells.answer(asked, _totals).crossJoin(F.broadcast(facts))
-    return rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_score(shards, mass), SCORES)
+    scores = rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_score(shards, mass), SCORES)
+    if often:
+        scores = scores.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("_")
+    return scores.drop("copies")

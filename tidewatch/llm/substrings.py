@@ -14,6 +14,9 @@ them starts earlier elsewhere: in a document with a smaller id, or earlier in it
    holds; chunks are ranges of doc_ids in order. Together with the windows that repeat inside
    the chunk this settles every word.
 
+Chunks that many rows share, such as those of one repeated doc_id or of no doc_id, are split
+into runs of their rows in order, each a chunk of its own.
+
 Window keys have 96 bits, so distinct windows are not taken for equal ones. Texts are shuffled
 to their chunks; from there only packed keys and one bit for each key travel.
 """
@@ -21,6 +24,7 @@ to their chunks; from there only packed keys and one bit for each key travel.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Sequence
 from functools import cached_property
 from itertools import repeat
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import cells
-from .common import documents, with_carried
+from .common import checkpoint, documents, with_carried
 
 WINDOW, PHRASE = 20, 8
 #: Letters that spell words for the automaton, at each place of a word.
@@ -41,6 +45,8 @@ LETTERS = 64
 CHUNK_BITS = 10
 #: Chunk of the rows without doc_id: behind all others.
 LAST = 1 << 60
+#: Bytes of a chunk that is split, and of the parts it is split into; a row counts ROW more.
+HEAVY, PART, ROW = 8 << 20, 4 << 20, 64
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 class Chunk:
@@ -151,6 +157,12 @@ def _pair(a: bytes, b: bytes) -> bytes:
     return len(a).to_bytes(4, "little") + a + b
 
 
+def _place(chunk: Chunk) -> bytes:
+    """The first doc_id of a chunk, none last: chunks of one place are in order of their numbers."""
+    first = chunk.doc_ids[0]
+    return struct.pack("<?q", first is None, first or 0)
+
+
 def _unpair(data: bytes) -> tuple[bytes, bytes]:
     n = 4 + int.from_bytes(data[:4], "little")
     return data[4:n], data[n:]
@@ -167,19 +179,22 @@ def _answer_phrases(chunks: list[int], payloads: list[bytes]) -> list[bytes]:
 
 def _answer_windows(chunks: list[int], payloads: list[bytes]) -> list[bytes]:
     """A bit for each key: does an earlier chunk have it? Masks go back as they came."""
+    asking = [k for k, p in enumerate(payloads) if p[:1] == b"k"]
+    asking.sort(key=lambda k: struct.unpack("<?q", payloads[k][1:10]))
     keys = []
-    for p in payloads:
-        if p[:1] == b"k":
-            a, b = _unpair(p[1:])
-            keys.append((cells.unpack_keys(a), cells.unpack_planes(b, np.uint32)))
+    for k in asking:
+        a, b = _unpair(payloads[k][10:])
+        keys.append((cells.unpack_keys(a), cells.unpack_planes(b, np.uint32)))
     if not keys:
         return payloads
     high, low = (np.concatenate(x) for x in zip(*keys))
     order, new, _ = _distinct(high, low)  # stable: equal keys stay in order of their chunks
     earlier = np.empty(len(order), bool)
     earlier[order] = ~new
-    flags = iter(np.split(earlier, np.cumsum([len(k[0]) for k in keys])[:-1]))
-    return [b"k" + np.packbits(next(flags)).tobytes() if p[:1] == b"k" else p for p in payloads]
+    out = list(payloads)
+    for k, flags in zip(asking, np.split(earlier, np.cumsum([len(k[0]) for k in keys])[:-1])):
+        out[k] = b"k" + np.packbits(flags).tobytes()
+    return out
 
 
 def _flags(parts: list[tuple[int, np.ndarray]], answers: dict[int, bytes], total: int) -> np.ndarray:
@@ -190,6 +205,33 @@ def _flags(parts: list[tuple[int, np.ndarray]], answers: dict[int, bytes], total
     return out
 
 
+def chunked(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Rows with the number of their ``chunk``, and the number of shards.
+
+    Rows of heavy chunks are sorted into parts by doc_id and text, rows without doc_id by
+    nothing but their place in the input, which also parts repeated rows. They are stored,
+    because every later step must find them in the same part.
+    """
+    rows = rows.select(F.coalesce(F.shiftright("doc_id", CHUNK_BITS), F.lit(LAST)).alias("chunk"), "*")
+    sizes = rows.groupBy("chunk").agg(
+        F.sum(F.octet_length("text")).alias("b"), F.sum(F.octet_length("text") + ROW).alias("size"))
+    heavy = F.col("size") > HEAVY
+    facts = sizes.agg(
+        F.sum("b").alias("b"), F.sum(F.when(heavy, F.col("size"))).alias("size"),
+        F.sort_array(F.collect_list(F.when(heavy, F.col("chunk")))).alias("chunks")).first()
+    shards = cells.shards_for(facts["b"])
+    if not facts["chunks"]:
+        return rows, shards
+    hot = rows.sparkSession.createDataFrame(list(enumerate(facts["chunks"])), "hot_at long, hot long")
+    hot, same = F.broadcast(hot), F.col("chunk") == F.col("hot")
+    spread = rows.join(hot, same).withColumn("salt", F.monotonically_increasing_id()).repartitionByRange(
+        -(-facts["size"] // PART), "chunk", "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("text")), "salt")
+    # a part may hold the end of one heavy chunk and the start of the next: numbers tell them apart
+    number = F.lit(LAST + 1) + F.spark_partition_id() + F.col("hot_at")
+    stored = checkpoint(spread.withColumn("chunk", number).select(*rows.columns))
+    return rows.join(hot, same, "left_anti").unionByName(stored), shards
+
+
 def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, carry: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, text) for every row of ``docs`` (doc_id, text).
 
@@ -198,15 +240,14 @@ def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, carry: Se
     Null texts have no words and become empty. Rows of one doc_id are taken in order of their
     texts, so of repeated rows the first stays. Rows without doc_id come after all others and
     may repeat words of any. No rows: no rows; extra columns are ignored. doc_ids are expected
-    to be fairly dense: 1,024 neighbouring ids are one chunk. Columns named in ``carry`` come
+    to be fairly dense: 1,024 neighbouring ids are one chunk, or more if they are heavy. Columns named in ``carry`` come
     back in the struct ``carried``.
     """
     if not 0 < phrase <= window:
         raise ValueError("a phrase must fit in a window")
     rows = documents(docs, carry)
-    _, shards = cells.shard_count(rows)
     schema = with_carried("doc_id long, n_words long, n_removed long, text string", rows)
-    rows = rows.select(F.coalesce(F.shiftright("doc_id", CHUNK_BITS), F.lit(LAST)).alias("chunk"), "*")
+    rows, shards = chunked(rows)
 
     def ask_phrases(t: pa.Table) -> list[tuple[int, int, bytes]]:
         chunk = Chunk(t, window, phrase)
@@ -225,7 +266,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, carry: Se
         high, low = chunk.window_keys(starts)
         order, new, _ = _distinct(high, low)
         high, low = high[order[new]], low[order[new]]
-        found = [(s, chunk.number, b"k" + _pair(cells.pack_keys(high[at]), cells.pack_planes(low[at])))
+        found = [(s, chunk.number, b"k" + _place(chunk) + _pair(cells.pack_keys(high[at]), cells.pack_planes(low[at])))
                  for s, at in cells.deal(high, shards)]
         # the chunk will need its candidates again: they ride along
         mask = np.zeros(len(chunk.words), bool)
