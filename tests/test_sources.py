@@ -139,3 +139,22 @@ def test_scenario_tables(spark, feed, tmp_path):
     assert spark.read.parquet(folder).where("scenario = 'b'").count() == 36
     csv = sinks.save_scenario_csv(feed, str(tmp_path), "as_csv")
     assert as_set(landing.read_csv(spark, csv), "incident_zip") == {"01234"}
+
+
+@pytest.mark.parametrize("present", [None, ["agency", "unique_key"]])
+def test_a_folder_may_hold_arrays_and_lines(spark, tmp_path, present):
+    folder = tmp_path / "landed a%20b"
+    folder.mkdir()
+    row = lambda k: {"unique_key": str(k), "agency": "A"}
+    write(folder / "a one.json", "\n  \n" + json.dumps([row(0), row(1)], indent=1))
+    write(folder / "b{2}.json", "\n".join(json.dumps(row(k)) for k in (2, 3, 4)))
+    write(folder / "c.json", json.dumps([row(5)]))
+    write(folder / "d.json", " \n")
+    write(folder / "e.json", json.dumps({"unique_key": "6", "agency": {"x": 1}} if present is None else row(6)))
+    path = str(folder)
+    found = landing.read_records(spark, path, None, present=present)
+    assert sorted(r.unique_key for r in found.collect()) == [str(k) for k in range(7)]
+    assert found.dropna().count() == 7
+    write(folder / "f.json", "{not json")
+    with pytest.raises(Exception, match="malformed|Malformed|MALFORMED"):
+        landing.read_records(spark, path, None, present=present).collect()

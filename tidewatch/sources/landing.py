@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from tidewatch.catalog import RECENT_LIMIT
 from tidewatch.contract import Contract, load_contract
@@ -56,18 +59,37 @@ def read_records(
 ) -> DataFrame:
     """JSON records landed as arrays or as one object per line; values are read as text.
 
+    Each file is read as what its first character says, so a folder may hold both kinds.
     Raises ``IngestionError`` for unreadable files, for files that hold no records, and
     for empty payloads. Every record is kept; a ``limit`` keeps the newest ones, or, in a feed
     without creation dates, the first in order of its columns. Finding out which columns there are takes a pass over the files; ``present`` names them and saves that pass.
     """
     if limit is not None:
         _checked(limit)
-    # One object per line splits across tasks; a pretty-printed array does not.
-    reader = spark.read.option("primitivesAsString", True).option("multiLine", _is_array(spark, path))
-    if present is not None:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in present)).option("mode", "FAILFAST")
-    frame = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    if CORRUPT in frame.columns:
+    def read(array: bool, paths: str | list[str], schema: StructType | str | None) -> DataFrame:
+        # One object per line splits across tasks; a pretty-printed array does not.
+        reader = spark.read.option("primitivesAsString", True).option("multiLine", array)
+        if isinstance(paths, list) and not re.search(r"[*?\[{]", path):
+            reader = reader.option("basePath", path)  # keeps the columns that folder names give
+        if schema is not None:
+            reader = reader.schema(schema)
+        if present is not None:
+            reader = reader.option("mode", "FAILFAST")
+        return reader.option("columnNameOfCorruptRecord", CORRUPT).json(paths)
+
+    schema = None if present is None else ", ".join(f"`{c}` string" for c in present)
+    arrays, lines = _layouts(spark, path)
+    if not (arrays and lines):
+        frame = read(bool(arrays), path, schema)
+        names = frame.columns
+    else:
+        parts = [(True, arrays), (False, lines)]
+        if schema is None:
+            found = [read(array, files, None).schema for array, files in parts]
+            schema = _merged(*found)
+        frame = read(*parts[0], schema).unionByName(read(*parts[1], schema))
+        names = schema.names if isinstance(schema, StructType) else frame.columns
+    if CORRUPT in names:
         raise IngestionError(f"Landed records are malformed: {path}")
     kept = project_requested(frame, requested)
     if frame.columns and not kept.columns:
@@ -81,11 +103,29 @@ def read_records(
     return kept.orderBy(*kept.columns).limit(limit)
 
 
-def _is_array(spark: SparkSession, path: str) -> bool:
-    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    if not first:
+def _layouts(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files that hold an array and those with one object per line; empty files are neither."""
+    text = spark.read.text(path)
+    first = F.regexp_extract("value", r"^[\s\uFEFF]*([^\s\uFEFF])", 1)
+    # a split is read in order, and splits of a file start at its blocks
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), first.alias("first"))
+    files = text.select(F.col("_metadata.file_path").alias("file"), place.alias("place")).where("place.first != ''")
+    found = files.groupBy("file").agg((F.min("place")["first"] == "[").alias("array")).collect()
+    if not found:
         raise IngestionError(f"Landed files hold no records: {path}")
-    return first[0][0].lstrip().startswith("[")
+    name = lambda r: re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(r["file"]))
+    return [name(r) for r in found if r["array"]], [name(r) for r in found if not r["array"]]
+
+
+def _merged(a: DataType, b: DataType) -> DataType:
+    """A type that holds the values of both; text where they differ."""
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        other = {f.name: f.dataType for f in b}
+        fields = [StructField(f.name, _merged(f.dataType, other.pop(f.name, f.dataType))) for f in a]
+        return StructType(fields + [StructField(name, kind) for name, kind in other.items()])
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(_merged(a.elementType, b.elementType))
+    return a if a == b else StringType()
 
 
 def read_csv(
