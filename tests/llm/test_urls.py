@@ -87,3 +87,30 @@ def test_odd_rows(spark):
         rule, kind = rule_of(url[r.page_id])
         assert (r.host, r.path, r.rule, r.verdict) == (*host_path(url[r.page_id]), rule, kind or "allow")
     assert urls.judge(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page,target,place", [
+    ("http://a.org/d/p?q=1", "//Shop.NET/es/x", "shop.net/es/x"), ("http://a.org/d/p?q=1", "page2.html", "a.org/d/page2.html"),
+    ("http://a.org/d/e/p", "../x?y=../z", "a.org/d/x?y=../z"), ("http://a.org/d/e/p", "./../../../x/.", "a.org/x/"),
+    ("http://a.org/d/e/p", "..", "a.org/d/"), ("http://a.org", "x", "a.org/x"), ("http://a.org", "?p=1", "a.org/?p=1"),
+    ("http://a.org/d/p?q=1#f", "?p=1", "a.org/d/p?p=1"), ("http://a.org/d/p?q=1", "#part", "a.org/d/p?q=1"),
+    ("http://a.org/d/", "/b/../c", "a.org/c"), ("http://a.org/d/p", "x?u=http://b.org/", "a.org/d/x?u=http://b.org/"),
+    ("http://a.org/d/p", "http://b.org/?a=1&amp;b=2", "b.org/?a=1&b=2"), ("http://a.org/d/p", "?a=1&b=2", "a.org/d/p?a=1&b=2"),
+    ("http://a.org/d/p", "&#47;x&#x2F;y&amp;lt;&#xE9;&#x110000;&odd;", "a.org/x/y&lt;é&"), ("http://a.org/d/p", "mailto:a@b.org", None),
+])
+def test_every_form_of_target_is_followed(spark, page, target, place):
+    forms = [canonical(target), f'<meta http-equiv="refresh" content="0; url={target}">']
+    frame = spark.createDataFrame([(1, page, h, 1, "x") for h in forms], SCHEMA)
+    found = urls.page_links(frame).select(urls.place_of(urls.F.col("to_url")).alias("to")).collect()
+    assert [r.to for r in found] == [place] * 2
+
+
+def test_relative_links_carry_decisions(spark):
+    rows = [(1, "http://a.org/d/p", canonical("//m.example.com/en/q")), (2, "http://b.net/es/z?a=1&b=2", ""),
+            (3, "http://c.org/x", canonical("http://b.net/es/z?a=1&amp;b=2")), (4, "http://d.org/e/f", canonical("../g")),
+            (5, "http://d.org/g", canonical("h?x")), (6, "http://d.org/h?x", canonical("http://b.net/fr/")),
+            (7, "http://e.org/x", '<base href="//e.org/deep/"><base href="/no">' + canonical("y")), (8, "http://e.org/deep/y", "")]
+    frame = spark.createDataFrame([(i, u, h, 1, "x") for i, u, h in rows], SCHEMA)
+    found = {r.page_id: (r.verdict, r.alias_of) for r in urls.judge(frame).collect()}
+    assert [found[k][0] for k in (1, 2, 3, 4, 5, 6)] == ["block"] * 6
+    assert found[7] == found[8] == ("allow", "e.org/deep/y")

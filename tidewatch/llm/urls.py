@@ -58,24 +58,86 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return name, verdict
 
 
+#: What the named entities of addresses stand for.
+ENTITIES = {"amp": "&", "AMP": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "sol": "/", "colon": ":", "quest": "?", "equals": "=", "num": "#", "period": "."}
+_PIECES = r"(&#0*[0-9]{1,7};|&#[xX]0*[0-9a-fA-F]{1,6};|&(?:" + "|".join(ENTITIES) + ");|&|[^&]+)"
+
+
+def unescaped(text: Column) -> Column:
+    """A text with numeric entities and those of ENTITIES as the characters they stand for."""
+    def piece(p: Column) -> Column:
+        code = F.when(p.rlike("^&#[xX].*;$"), F.conv(F.regexp_extract(p, "([0-9a-fA-F]+);", 1), 16, 10)).when(
+            p.rlike("^&#.*;$"), F.regexp_extract(p, "([0-9]+);", 1)).cast("long")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        sign = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        named = F.create_map(*(F.lit(x) for name, char in ENTITIES.items() for x in (f"&{name};", char)))
+        return F.coalesce(F.try_element_at(named, p), sign, p)
+
+    pieces = F.transform(F.regexp_extract_all(text, F.lit(_PIECES), 1), piece)
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+
+
+def _folded(path: Column) -> Column:
+    """A path that starts with / without its . and .. segments."""
+    def step(kept: Column, segment: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(segment == "..", up).when(segment == ".", kept).otherwise(F.concat(kept, F.array(segment)))
+
+    whole = F.regexp_replace(path, r"/(\.\.?)$", "/$1/")
+    kept = F.aggregate(F.split(F.substr(whole, F.lit(2)), "/", -1), F.array().cast("array<string>"), step)
+    return F.when(path.contains("/."), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The address that a link on a page at ``base`` leads to; null for schemes without ://.
+
+    Whole addresses stay as they are. The others take from ``base`` what they lack: the scheme
+    (//host/x), scheme and host (/x), these and the path (?x) or its directory (x, ../x), or all but
+    the fragment (#x); . and .. segments are folded.
+    """
+    root = F.regexp_extract(base, r"^(.*?://[^/?#]*)", 1)
+    path = F.regexp_replace(path_of(base), "^$", "/")
+    query = F.regexp_extract(_after_scheme(base), r"^[^?#]*(\?[^#]*)", 1)
+    own, tail = F.regexp_extract(target, r"^([^?#]*)", 1), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+    directory = F.regexp_extract(path, r"^(.*/)", 1)
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None))
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"^(.*?:)//", 1), target))
+        .when(target.startswith("#"), F.concat(root, path_of(base), query, target))
+        .when(target.startswith("?"), F.concat(root, path, target))
+        .when(target.startswith("/"), F.concat(root, _folded(own), tail))
+        .otherwise(F.concat(root, _folded(F.concat(directory, own)), tail)))
+
+
+def _with(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """A column that later expressions do not write out again, as they do with ``withColumn``.
+
+    Written out, an address's expression is in the plan hundreds of times.
+    """
+    return frame.select("*", F.explode(F.array(value)).alias(name))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """(from_url, to_url): canonical links and refresh redirects stated in the pages' HTML.
 
-    A tag counts wherever it stands; relative targets with a leading / get the page's scheme
-    and host, other relative targets are not followed.
+    A tag counts wherever it stands. Entities in targets are undone; relative targets are
+    resolved against the page's first base tag, or without one its address.
     """
     html, url = F.col("html").cast("string"), F.col("url").cast("string")
     quick = html.rlike(r"(?i)canonical|http-equiv")
     tags = F.regexp_extract_all(html, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), 1)
-    found = pages.filter(quick).select(url.alias("from_url"), F.explode(tags).alias("tag"))
+    stated = F.regexp_extract(html, r"(?is)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'>\s]+)", 1)
+    found = pages.filter(quick).select(url.alias("from_url"), stated.alias("stated"), F.explode(tags).alias("tag"))
     canonical = F.when(F.col("tag").rlike(r"(?i)\brel\s*=\s*[\"']?canonical\b"),
                        F.regexp_extract("tag", r"(?i)\bhref\s*=\s*[\"']?([^\"'>\s]+)", 1))
     refresh = F.when(F.col("tag").rlike(r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"),
                      F.regexp_extract("tag", r"(?i)\burl\s*=\s*['\"]?([^\"'>\s]+)", 1))
-    target = F.coalesce(canonical, refresh)
-    root = F.regexp_extract("from_url", r"^(.*?://[^/?#]*)", 1)
-    full = F.when(target.startswith("/") & ~target.startswith("//"), F.concat(root, target)).otherwise(target)
-    return found.select("from_url", full.alias("to_url")).filter(F.length("to_url") > 0)
+    found = _with(found, "target", F.coalesce(canonical, refresh)).filter(F.length("target") > 0)
+    found = _with(_with(found, "stated_url", unescaped(F.col("stated"))), "link", unescaped(F.col("target")))
+    stated = F.when(F.length("stated") > 0, resolved(F.col("stated_url"), F.col("from_url")))
+    found = _with(found, "base", F.coalesce(stated, F.col("from_url")))
+    return _with(found, "to_url", resolved(F.col("link"), F.col("base"))).select("from_url", "to_url")
 
 
 def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) -> DataFrame:
