@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, imatch, licenses, ngrams, packing, simhash, substrings, toxicity, urls
+from . import chat, decontam, imatch, infill, licenses, lines, ngrams, packing, repeats, simhash, substrings, toxicity, urls
 from .common import read
 
 
@@ -63,6 +63,50 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(read(spark, folder, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = infill.transform(read(spark, folder, "documents"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return infill.restore(made).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest("output").alias("output_sha256"), digest("restored").alias("restored_sha256"))
+
+
+def _tails_repeated(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten repeats a part of its words to the end."""
+    white = r"[\x20\x09-\x0D]+"
+    text = F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words, g = F.split(text, white), F.floor(h / 10)
+    n = F.size("words")
+    rows = docs.select("doc_id", text.alias("text"), h.alias("h"), g.alias("g"))
+    rows = rows.withColumn("words", F.when((F.col("h") % 10 == 0) & (text != ""), words))
+    rows = rows.withColumn("a", (F.col("g") % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    part = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(part, times)), F.lit(1), n - F.col("a"))
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("words").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.find_runs(_tails_repeated(read(spark, folder, "documents")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        digest(listed).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.dedup(read(spark, folder, "documents"), least=1, documents=10)
+    kept = F.sha2(F.col("text").cast("binary"), 256)
+    return found.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
 LLM_REGISTRY = {
     "pipeline": corpus_pipeline.run,
     "op1_chat_formatting": op1_chat_formatting,
@@ -75,6 +119,9 @@ LLM_REGISTRY = {
     "op8_url_filters": op8_url_filters,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_license_scans": op10_license_scans,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 _RULES = ", ".join(f"('{kind}', '{host}', '{path}')" for kind, host, path in urls.RULES)
@@ -121,6 +168,53 @@ SELECT page_id, host, path, rule,
 FROM pages LEFT JOIN ruled ON pages.url IS NOT DISTINCT FROM ruled.url
 """
 
+_OP11 = r"""
+WITH tokens AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(units)::BIGINT AS n,
+    list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(h, k, 8))::BIGINT) AS u
+  FROM tokens),
+placed AS (
+  SELECT *, least(u[1] % (n + 1), u[2] % (n + 1)) AS a, greatest(u[1] % (n + 1), u[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR u[3] % 100 >= 50
+      THEN 'plain' WHEN u[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+cut AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS prefix,
+    coalesce(array_to_string(units[a + 1:b], ''), '') AS middle, coalesce(array_to_string(units[b + 1:n], ''), '') AS suffix
+  FROM placed)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+_OP13 = """
+WITH rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS cut FROM documents),
+lines AS (SELECT row, unnest(cut) AS line, generate_subscripts(cut, 1) AS pos FROM rows),
+keyed AS (
+  SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM lines),
+gone AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10),
+kept AS (
+  SELECT row, count(*) AS n_lines, count(*) FILTER (key IN (FROM gone)) AS n_dropped,
+    string_agg(line, chr(10) ORDER BY pos) FILTER (key NOT IN (FROM gone)) AS text
+  FROM keyed GROUP BY row)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM kept JOIN rows USING (row)
+"""
+
 LLM_ORACLE = {
     "op8_url_filters": _OP8,
+    "op11_fill_in_middle": _OP11,
+    "op13_line_dedup": _OP13,
 }
