@@ -124,3 +124,13 @@ def test_empty_and_odd_documents(spark, stage):
     ids = {r.doc_id for r in found.collect()}
     # two empty texts are copies of each other
     assert ids == ({None, 1, 3} if stage == 1 else {None, 1, 2, 3})
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    prose = [r.text for r in docs.orderBy("doc_id").limit(3).collect()]
+    rows = [(1, prose[0]), (2, prose[0]), (2, prose[1]), (2, prose[1]), (None, prose[2]), (None, prose[2]), (3, None), (4, "")]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], docs.schema)
+    found = corpus_pipeline.drop_near_copies(spark, frame, FOLDER).collect()
+    wanted = [(1, prose[0]), (2, prose[1]), (None, prose[2]), (3, None)]
+    assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted(wanted, key=repr)

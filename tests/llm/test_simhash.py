@@ -81,3 +81,42 @@ def test_a_full_bucket_is_compared_in_parts(spark, monkeypatch):
             label[a] = label[b] = min(label[a], label[b])
     whole = brute_components([p & (2**64 - 1) for p in prints], 4)
     assert {p: label[p] for p in prints} == {p: prints[k] for p, k in zip(prints, whole)}
+
+
+@pytest.mark.parametrize("radius,agree", [(4, 2), (4, 3), (4, 4), (0, 2), (2, 5)])
+def test_every_choice_of_blocks_finds_the_same_components(spark, radius, agree):
+    rng = np.random.default_rng(agree)
+    base = rng.integers(0, 1 << 63, 12, dtype=np.uint64)[rng.integers(0, 12, 90)]
+    for _ in range(4):
+        base ^= np.where(rng.random(90) < 0.7, np.uint64(1) << rng.integers(0, 64, 90).astype(np.uint64), np.uint64(0))
+    prints = sorted(set(base.view(np.int64).tolist()))
+    edges = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"), radius, agree).collect()
+    label = {p: p for p in prints}
+    for _ in prints:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    whole = brute_components([p & (2**64 - 1) for p in prints], radius)
+    assert {p: label[p] for p in prints} == {p: prints[k] for p, k in zip(prints, whole)}
+
+
+def test_more_prints_take_longer_keys():
+    found = [simhash.blocks_to_agree(4, n) for n in (0, 10**6, 10**9, 10**11)]
+    assert found[0] == 2 and found == sorted(found) and found[-1] >= 4
+
+
+def test_one_row_of_each_component_stays(spark):
+    one, two, other = "alpha beta gamma delta epsilon", "zeta eta theta iota kappa", "lamda mu nu xi omicron"
+    rows = [(1, one, "a"), (2, one, "b"), (2, two, "c"), (2, two, "d"), (1, other, "e"), (None, two, "f"), (None, "pi rho sigma tau", "g"),
+            (None, "pi rho sigma tau", "h"), (5, None, "i"), (6, "", "j"), (None, None, "k"), (7, other, "l")]
+    frame = spark.createDataFrame([(i, t, c, 1) for i, t, c in rows], "doc_id long, text string, t1 string, row int").repartition(3)
+    found = simhash.keep_one(frame)
+    assert found.columns == frame.columns
+    kept = sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+    assert kept == sorted([(1, one), (2, two), (1, other), (None, "pi rho sigma tau"), (5, None)], key=repr)
+    assert simhash.keep_one(frame.limit(0)).count() == 0
+
+
+def test_kept_rows_of_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = sorted(r.doc_id for r in simhash.keep_one(docs).collect())
+    assert found == sorted({r.component_id for r in simhash.near_duplicates(docs).collect()})

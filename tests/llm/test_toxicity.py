@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import math
 import random
+import re
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from tidewatch.llm import toxicity
+from tidewatch.llm.queries import op4_toxicity
 
 DOCS = "doc_id long, text string, label string, toxic int"
 
@@ -70,3 +73,30 @@ def test_given_grades(spark):
     assert all(r.grade == r.doc_id % 3 for r in found)
     mean = [np.mean([r.severity for r in found if r.doc_id % 3 == g]) for g in range(3)]
     assert mean[0] < mean[1] < mean[2] and not any(map(math.isnan, mean))
+
+
+def test_scores_are_the_models_weights_one_by_one(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    weight = dict(zip(model.kept.tolist(), model.weights.tolist()))
+    assert len(weight) > 20 and (np.diff(model.at) > 0).all()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for row in op4_toxicity(spark, folder).collect():
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in texts[row.doc_id])
+        words = set(re.findall(r"[a-z0-9\x80-\U0010ffff]+", lower))
+        found = {zlib.crc32(w.encode()) for w in words} | {zlib.crc32(b"-" + w[:4].encode()) for w in words}
+        score = math.fsum(weight.get(f, 0.0) for f in found)
+        over = [1 / (1 + math.exp(-(score - t))) for t in model.at]
+        exact = [1 - over[0], over[0] - over[1], over[1]]
+        assert math.isclose(row.p_toxic, over[0], abs_tol=1e-9) and math.isclose(row.severity, sum(over), abs_tol=1e-9)
+        assert row.toxic == (over[0] >= 0.5) and math.isclose(exact[row.grade], max(exact), abs_tol=1e-9)
+
+
+def test_rows_that_share_a_label_count_once(spark):
+    rows = [(k, f"{'vile' if k % 2 else 'kind'} word{k % 7}") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame(rows + rows[:3] * 500, "doc_id long, text string").repartition(3)
+    a, b = toxicity.train(once, labels), toxicity.train(often, labels)
+    assert (a.kept == b.kept).all() and np.allclose(a.weights, b.weights) and np.allclose(a.at, b.at)

@@ -2,10 +2,12 @@
 
 1. Fingerprints: words, shingles and their XXH64 are made in Arrow batches, row by row.
 2. Equal fingerprints are one node, so copies cost nothing from here on.
-3. Candidates: the 64 bits are cut into ``radius + 2`` blocks. Two prints within the radius
-   agree on at least two whole blocks, so each print is dealt to one bucket for every pair
-   of blocks, and every linked pair meets in some bucket. A bucket with more than ``CELL``
-   prints is dealt out as pairs of its parts, each compared in a task of its own.
+3. Candidates: the 64 bits are cut into ``radius + agree`` blocks. Two prints within the radius
+   agree on at least ``agree`` whole blocks, so each print is dealt to one bucket for every
+   choice of so many blocks, and every linked pair meets in some bucket. More prints mean a
+   larger ``agree``, hence longer keys, so that buckets do not grow with the corpus. A bucket
+   with more than ``CELL`` prints is dealt out as pairs of its parts, each compared in a task
+   of its own.
 4. Comparison: the prints of a run of buckets are stored as 64 vertical bit planes. A print
    is compared with 64 others at once: plane by plane the differences run through carry-save
    adders into a counter that overflows past the radius, and a word of 64 comparisons is
@@ -18,15 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, checkpoint, documents, each, streamed
-from .components import connected_components
+from .common import LOWER, checkpoint, documents, each, streamed, text_bytes
+from .components import SALTS, connected_components
 
 #: Prints in one part of a bucket; larger buckets are split into parts of about this size.
 CELL = 4096
@@ -61,13 +64,23 @@ def fingerprint(text: bytes, size: int) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, fp) for every row; fp as a signed long. Null text: no words."""
+    """(doc_id, fp, t1, t2) for every row; fp as a signed long. Null text: no words.
+
+    t1 and t2 are a hash of the text: with doc_id they tell rows of one doc_id apart.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, size) for t in each(batch["text"])], np.uint64)
-            yield pa.record_batch([batch["doc_id"], pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch(
+                [batch["doc_id"], pa.array(prints.view(np.int64)), batch["t1"], batch["t2"]], names=["doc_id", "fp", "t1", "t2"])
+
+    rows = documents(docs).select("doc_id", "text", *text_hash(F.col("text")))
+    return rows.mapInArrow(streamed(work), "doc_id long, fp long, t1 long, t2 long")
 
-    return documents(docs).mapInArrow(streamed(work), "doc_id long, fp long")
+
+def text_hash(text: Column) -> list[Column]:
+    """128 bits of a text as two longs, t1 and t2."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
@@ -185,18 +198,30 @@ def _links(radius: int):
     return work
 
 
-def _masks(radius: int) -> list[int]:
-    """The bits of every pair of ``radius + 2`` blocks, as signed longs."""
-    edges = [64 * k // (radius + 2) for k in range(radius + 3)]
+def blocks_to_agree(radius: int, prints: int) -> int:
+    """How many blocks a bucket's key has: the cheapest choice for so many prints.
+
+    A print costs its buckets, each worth about 64 comparisons, and the comparisons in them.
+    """
+    def cost(agree: int) -> float:
+        return comb(radius + agree, agree) * (64 + prints / 2.0 ** (64 * agree // (radius + agree)))
+
+    return min(range(2, 9), key=cost)
+
+
+def _masks(radius: int, agree: int) -> list[int]:
+    """The bits of every choice of ``agree`` among ``radius + agree`` blocks, as signed longs."""
+    count = radius + agree
+    edges = [64 * k // count for k in range(count + 1)]
     blocks = [sum(1 << b for b in range(x, y)) for x, y in zip(edges, edges[1:])]
-    return [m - (1 << 64) if m >> 63 else m for m in (a | b for a, b in combinations(blocks, 2))]
+    return [m - (1 << 64) if m >> 63 else m for m in map(sum, combinations(blocks, agree))]
 
 
-def links(prints: DataFrame, radius: int) -> DataFrame:
+def links(prints: DataFrame, radius: int, agree: int | None = None) -> DataFrame:
     """(a, b): forests that connect exactly the distinct prints linked within ``radius`` bits."""
     if not 0 <= radius < 31:
         raise ValueError("radius must be 0 to 30")
-    masks = _masks(radius)
+    masks = _masks(radius, agree or blocks_to_agree(radius, prints.count()))
     bands = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks])).alias("band", "key")
     dealt = prints.select("fp", bands)
     full = dealt.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL)
@@ -211,6 +236,21 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
             .mapInArrow(streamed(_links(radius)), "a long, b long"))
 
 
+def _named(prints: DataFrame, radius: int, name: str, named: str) -> DataFrame:
+    """``prints`` (fp, ...) with ``named``, the smallest ``name`` of each print's component.
+
+    Prints without links name themselves; only the others are joined, a component's prints
+    dealt over SALTS tasks.
+    """
+    members = connected_components(links(prints.select("fp"), radius)).withColumnRenamed("node", "fp")
+    rooted = prints.join(members, "fp", "left")
+    alone = rooted.filter("component is null").select("*", F.col(name).alias(named)).drop("component")
+    linked = rooted.filter("component is not null").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    names = linked.groupBy("component").agg(F.min(name).alias(named)).select("component", named, every)
+    return linked.join(names, ["component", "salt"]).drop("component", "salt").unionByName(alone)
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -221,12 +261,37 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFram
     a component without any other id has a null name. No rows: no rows. Extra columns are
     ignored.
     """
-    rows = checkpoint(fingerprints(docs, size))
+    rows = checkpoint(fingerprints(docs, size).select("doc_id", "fp"))
     prints = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    members = connected_components(links(prints.select("fp"), radius)).withColumnRenamed("node", "fp")
-    rooted = prints.join(members, "fp", "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_print = rooted.join(named, "root").select("fp", "component_id")
+    by_print = _named(prints, radius, "least_id", "component_id").select("fp", "component_id")
     return rows.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs`` without near copies: one row of each component, with all its columns.
+
+    A row stands for itself, whatever other rows share its doc_id. Of a component the row with
+    the smallest doc_id stays, of equal ones that with the smaller text hash; rows without
+    doc_id come last. Of rows with the same doc_id and text any one stays. Null and empty texts are copies of
+    each other. No rows: no rows.
+    """
+    rows = checkpoint(fingerprints(docs, size))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
+    prints = checkpoint(rows.groupBy("fp").agg(F.min(first).alias("least"), F.count(F.lit(1)).alias("n")))
+    named = _named(prints, radius, "least", "kept")
+    named = named.filter((F.col("n") > 1) | (F.col("least") != F.col("kept"))).select("fp", "kept")
+    stays = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("t1") == F.col("kept.t1")) & (F.col("t2") == F.col("kept.t2"))
+    found = rows.join(named, "fp").groupBy("doc_id", "t1", "t2").agg(
+        F.max(stays).alias("stays"), F.count(F.lit(1)).alias("copies"))
+    # what is not named here is a component's only row
+    found = checkpoint(found.filter(~F.col("stays") | (F.col("copies") > 1)).select(
+        F.col("doc_id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "stays"))
+    text = text_bytes()
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_hash(text))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2"))
+    kept = whole.join(found, same, "left_anti")
+    repeated = found.filter("stays")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(whole.join(repeated, same).select("row", "doc_id", "t1", "t2").dropDuplicates(["doc_id", "t1", "t2"]))
+    return kept.select("row.*")

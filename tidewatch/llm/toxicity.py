@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import documents, each, streamed
 
 #: Labelled documents that the model is fitted on.
-SAMPLE = 10_000
+SAMPLE = 20_000
 #: A feature is kept if at least LEAST sampled documents have it and its shares in toxic and
 #: other documents are at least APART standard errors apart.
 LEAST, APART = 5, 4.0
@@ -145,7 +145,8 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, level
 
     ``grade`` names a column of labels with grades 0 .. levels - 1. Without it the labels
     only say toxic or not, and toxic documents are graded by ``severity_grades``. Rows without
-    a label or doc_id are not used.
+    a label or doc_id are not used. Of rows that share a doc_id the one with the least features
+    (in order of their numbers) is used, once for each label of that id.
     """
     label = (F.col("toxic") if grade is None else grade).cast("int").alias("label")
     named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label).filter("label is not null and doc_id is not null")
@@ -167,8 +168,10 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, level
         parts = (model.kept, model.weights, model.at)
         return pa.table([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["kept", "weights", "at"])
 
-    found = rows.mapInArrow(streamed(codes), "doc_id long, label int, codes binary").groupBy(F.lit(1).alias("one"))
-    row = found.applyInArrow(learn, "kept binary, weights binary, at binary").first()
+    found = rows.mapInArrow(streamed(codes), "doc_id long, label int, codes binary")
+    # one row for each label, however many rows share its doc_id: the group below is no larger than the sample
+    found = found.groupBy("doc_id", "label").agg(F.min("codes").alias("codes"))
+    row = found.groupBy(F.lit(1).alias("one")).applyInArrow(learn, "kept binary, weights binary, at binary").first()
     if row is None:
         return Model(np.zeros(0, np.uint32), np.zeros(0), 9.0 + np.arange(levels - 1))
     return Model(*(np.frombuffer(bytes(x), kind) for x, kind in zip(row, (np.uint32, np.float64, np.float64))))
