@@ -10,9 +10,9 @@ again before the next one starts, so a lost executor costs a stage at most.
     decontamination        benchmark passages are cut from contaminated texts
     packing                the rest becomes sequences of at most 2,048 tokens
 
-Null texts are kept as empty ones, rows without doc_id are kept unless they are toxic: they
-cannot be told from others, so near copies among them stay. Rows that repeat a doc_id stay or
-go together where near copies are dropped.
+Every row is judged by its own text, also where rows share a doc_id or have none. Null texts
+are empty ones; of several empty documents one stays. Tables need the five columns of documents;
+others are dropped.
 """
 
 from __future__ import annotations
@@ -34,10 +34,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document that gives its component its name; 4-word shingles, 4 bits."""
-    groups = simhash.near_duplicates(docs, size=4, radius=4)
-    copies = groups.filter("doc_id > component_id").select(F.col("doc_id").alias("copy_id"))
-    return docs.select(*COLUMNS).join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti")
+    """Keeps one row of each component, the one with the smallest doc_id; 4-word shingles, 4 bits."""
+    return simhash.keep_one(docs.select(*COLUMNS), size=4, radius=4)
 
 
 CARRIED = ["lang", "source"]
