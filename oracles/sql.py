@@ -369,14 +369,30 @@ def fault_sql(name: str) -> str:
         {"row_id": "max_id + 1 + pick AS row_id",
          "unique_key": "(max_key + 1 + pick)::VARCHAR AS unique_key"}.get(c, c) for c in FEED_COLUMNS)
     return f"""SELECT {plain} FROM feed UNION ALL
-  SELECT {moved} FROM (
-    SELECT unnest(range({scaled(500)})) AS pick FROM stats) p
-  JOIN (SELECT *, row_number() OVER (ORDER BY md5('109|' || row_id), row_id) - 1 AS pos FROM feed
-        WHERE {DAY} = (SELECT d FROM busiest)) e
-    ON e.pos = ('0x' || substr(md5('109|draw|' || pick), 1, 15))::BIGINT % (SELECT day_rows FROM busiest),
-  stats"""
-
-
+  SELECT {moved} FROM {SPIKED_ROWS}, stats"""
+
+
+def levels_sql(sizes: str) -> str:
+    """CTE ``levels`` (level from 0, size, levels): rows picked more often than ``level`` times.
+
+    ``sizes`` selects k (picks) and n (rows); picks a row are Poisson distributed.
+    """
+    return f"""kn AS ({sizes}),
+pmf AS (SELECT m, k, n, k / n::DOUBLE AS rate,
+  exp(-(k / n::DOUBLE) + m * ln(k / n::DOUBLE) - lgamma(m + 1)) AS p FROM kn, range(0, 100) r(m)),
+cdf AS (SELECT *, sum(p) OVER (ORDER BY m) AS upto FROM pmf),
+sums AS (
+  SELECT 0 AS level, k AS picks FROM kn UNION ALL
+  SELECT m + 1, floor(n * (rate * (1 - (upto - p)) - (m + 1) * (1 - upto)) + 0.5)::BIGINT FROM cdf),
+levels AS (
+  SELECT level, picks - lead(picks) OVER (ORDER BY level) AS size, count(*) FILTER (picks > 0) OVER () AS levels
+  FROM sums QUALIFY picks > 0)"""
+
+
+SPIKED_ROWS = f"""(WITH {levels_sql(f'SELECT {scaled(500)} AS k, day_rows AS n FROM stats, busiest')}
+  SELECT e.*, (e.row_id - min_id) * levels + level AS pick
+  FROM (SELECT *, row_number() OVER (ORDER BY md5('109|' || row_id), row_id) - 1 AS pos FROM feed
+        WHERE {DAY} = (SELECT d FROM busiest)) e JOIN levels ON pos < size, stats)"""
 FAULTS = f"{FEED}, {STATS}, {MODE}, {BUSIEST}"
 AFFECTED = {
     "deleted_required_agency_column": "n", "renamed_complaint_type_column": "n",
@@ -653,9 +669,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderd
     "seeded_sample": f"WITH {FEED} SELECT {', '.join(FEED_COLUMNS)} FROM feed ORDER BY md5('7|' || row_id), row_id LIMIT 137",
     "sample_with_replacement": f"""WITH {FEED}, open_rows AS (
     SELECT row_id, created_date, row_number() OVER (ORDER BY md5('7|' || row_id), row_id) - 1 AS pos FROM feed WHERE status = 'Open'),
-  k AS (SELECT count(*) AS n FROM open_rows), picks AS (SELECT unnest(range(n // 2)) AS pick FROM k)
-  SELECT row_id, created_date, pick FROM picks JOIN open_rows
-    ON pos = ('0x' || substr(md5('7|draw|' || pick), 1, 15))::BIGINT % (SELECT n FROM k)""",
+  {levels_sql('SELECT count(*) // 2 AS k, count(*) AS n FROM open_rows')}
+  SELECT row_id, created_date, (row_id * levels + level)::BIGINT AS pick FROM open_rows JOIN levels ON pos < size""",
     "fault_manifest": manifest_sql(),
     "detected_labels": f"WITH {LABELS} SELECT * FROM labels_found",
     "confusion_matrix": f"WITH {MATRIX} SELECT * FROM matrix",
@@ -716,9 +731,5 @@ ORACLE["affected_rows"] = f"WITH {FAULTS} " + " UNION ALL ".join([*_CHANGED.valu
 ORACLE["changed_rows"] = f"WITH {FAULTS} " + " UNION ALL ".join(
     f"SELECT '{n}' AS scenario, t.* FROM ({fault_sql(n)}) t SEMI JOIN ({ids}) i USING (row_id)"
     for n, ids in [*_CHANGED.items(), *_APPENDED.items()])
-ORACLE["spike_sources"] = f"""WITH {FAULTS}, day_rows AS (
-    SELECT row_id, row_number() OVER (ORDER BY md5('109|' || row_id), row_id) - 1 AS pos FROM feed
-    WHERE {DAY} = (SELECT d FROM busiest))
-  SELECT max_id + 1 + pick AS row_id, e.row_id AS source_row_id
-  FROM (SELECT unnest(range({scaled(500)})) AS pick FROM stats) p JOIN day_rows e
-    ON e.pos = ('0x' || substr(md5('109|draw|' || pick), 1, 15))::BIGINT % (SELECT day_rows FROM busiest), stats"""
+ORACLE["spike_sources"] = f"""WITH {FAULTS}
+  SELECT max_id + 1 + pick AS row_id, row_id AS source_row_id FROM {SPIKED_ROWS}, stats"""

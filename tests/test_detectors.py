@@ -55,15 +55,17 @@ def test_daily_counts(feed):
     assert as_set(daily, "calendar_date", "request_count") == {(FIRST_DAY, 24), (SECOND_DAY, 12)}
 
 
-def test_only_a_large_spike_is_a_volume_anomaly(spark, feed):
-    assert V.compare_volumes(feed, feed).where("is_anomaly").count() == 0
-    assert V.compare_volumes(feed, with_rows(spark, copies(4))).where("is_anomaly").count() == 0
-    found = V.compare_volumes(feed, with_rows(spark, copies(200))).where("is_anomaly").collect()
-    assert len(found) == 1
-    row = found[0]
-    assert (row.calendar_date, row.baseline_count, row.current_count) == (FIRST_DAY, 24, 224)
-    assert math.isclose(row.percentage_change, 200 / 24 * 100)
-    assert math.isclose(row.standardized_count_difference, 200 / math.sqrt(24))
+@pytest.mark.parametrize("base,added,flagged", [
+    (24, 199, False), (24, 200, True),          # either side of the least increase
+    (4600, 203, False), (4600, 204, True),      # and of three deviations of a large day
+    (24, 0, False), (0, 199, False), (0, 200, True)])
+def test_volume_gates_from_both_sides(spark, base, added, flagged):
+    day = lambda n: spark.range(n).select(F.lit(f"{FIRST_DAY}T08:00:00").alias("created_date"))
+    rows = V.compare_volumes(day(base), day(base + added)).collect()
+    assert [(r.calendar_date, r.baseline_count, r.current_count, r.absolute_difference, r.is_anomaly) for r in rows] == [
+        (FIRST_DAY, base, base + added, added, flagged)]
+    assert math.isclose(rows[0].standardized_count_difference, added / math.sqrt(max(base, 1)))
+    assert rows[0].percentage_change == (None if base == 0 else pytest.approx(100 * added / base))
 
 
 def test_volume_issue(spark, feed):

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
+from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import FIRST_DAY, KINDS, ROWS, as_set, clean_rows, to_frame
@@ -12,96 +15,111 @@ from tidewatch.operators import faults, sampling
 from tidewatch.operators import profile as P
 from tidewatch.operators.tables import one_table
 
-SMALL = {
-    faults.BAD_NUMBER: 3, faults.BAD_DATE: 3, faults.DUPLICATED: 4, faults.SPIKE: 200,
-    faults.SHIFT: 5, faults.UNSEEN: 5, faults.REVERSED: 3,
+#: Sizes of the scenarios on the feed of ``conftest``: each differs, none divides the feed evenly.
+SIZES = {
+    faults.BAD_NUMBER: 5, faults.BAD_DATE: 7, faults.DUPLICATED: 11, faults.SPIKE: 61,
+    faults.SHIFT: 8, faults.UNSEEN: 2, faults.REVERSED: 13,
 }
 
 
 @pytest.fixture(scope="module")
 def plan(feed):
-    return faults.plan_faults(feed, sizes=SMALL)
+    return faults.plan_faults(feed, sizes=SIZES)
 
 
 def md5(text):
     return hashlib.md5(text.encode()).hexdigest()
 
 
-def test_input_is_unchanged_and_every_scenario_differs(feed, plan):
-    before = sorted(map(tuple, feed.collect()))
-    clean = as_set(feed, *feed.columns)
-    for name in SCENARIO_BY_NAME:
-        corrupted = faults.inject(plan, name)
-        assert corrupted.columns != feed.columns or as_set(corrupted, *feed.columns) != clean
-    assert sorted(map(tuple, feed.collect())) == before
-
-
-def test_column_faults(plan):
-    assert "agency" not in faults.inject(plan, faults.DROPPED).columns
-    renamed = faults.inject(plan, faults.RENAMED).columns
-    assert "complaint_type" not in renamed and "complaint_category" in renamed
-
-
-@pytest.mark.parametrize("name,column,value", [
-    (faults.BAD_NUMBER, "latitude", "invalid-latitude"),
-    (faults.BAD_DATE, "created_date", "invalid-created-date"),
-    (faults.UNSEEN, "complaint_type", "Synthetic Unseen Complaint Type"),
-])
-def test_value_faults_hit_exactly_the_recorded_rows(plan, name, column, value):
-    hit = as_set(faults.inject(plan, name).where(F.col(column) == value), "row_id")
-    assert hit == as_set(faults.affected_rows(plan, name), "row_id")
-    assert len(hit) == SMALL[name] == faults.affected_count(plan, name)
-
-
-def test_duplicates_are_appended_under_their_keys(feed, plan):
-    table = faults.inject(plan, faults.DUPLICATED)
-    assert table.count() == table.select("row_id").distinct().count() == ROWS + 4
-    extra = as_set(table.where(f"row_id >= {ROWS}"), "unique_key")
-    assert len(extra) == 4 and extra <= as_set(feed, "unique_key")
-
-
-def test_missingness_rises(plan):
-    missing = [faults.inject(plan, f"descriptor_missingness_plus_{p}_points").where("descriptor is null").count()
-               for p in (10, 25, 50)]
-    assert missing == [4, 9, 18]
-
-
-def test_missingness_is_limited_to_filled_rows(feed):
-    half = feed.withColumn("descriptor", F.when(F.col("row_id") < 27, F.lit(" ")).otherwise("x"))
-    plan = faults.plan_faults(half, names=["descriptor_missingness_plus_50_points"])
-    row = faults.manifest(plan, ["descriptor_missingness_plus_50_points"]).first()
-    assert row.affected_row_count == 9
-    assert (row.baseline_missingness_percentage, row.resulting_missingness_percentage) == (75.0, 100.0)
-
-
-def test_reversed_dates(plan):
-    hit = faults.inject(plan, faults.REVERSED).join(faults.affected_rows(plan, faults.REVERSED), "row_id")
-    rows = hit.collect()
-    assert len(rows) == 3
-    for row in rows:
-        assert row.closed_date < row.created_date and row.closed_date.endswith(".000")
-        assert row.closed_date[11:] == row.created_date[11:]
-
-
-def test_spike(feed, plan):
-    table = faults.inject(plan, faults.SPIKE)
-    added = table.where(f"row_id >= {ROWS}")
-    keys = as_set(added, "unique_key")
-    assert len(keys) == added.count() == 200 and not keys & as_set(feed, "unique_key")
-    assert keys == {str(7106 + i) for i in range(200)}
-    assert {v[:10] for v in as_set(added, "created_date")} == {FIRST_DAY}
-
-
-def test_random_spike_keeps_the_category_mix(feed, plan):
-    spiked = faults.inject(plan, faults.SPIKE)
-    assert D.compare_distributions(feed, spiked).verdict.where("category_drift").count() == 0
+def table_of(frame):
+    return {r.row_id: r.asDict() for r in frame.collect()}
+
+
+@pytest.mark.parametrize("factor", [1, 2])
+def test_a_scenario_changes_its_rows_and_nothing_else(feed, factor):
+    """Invariants of every scenario: exact hits, one column at most, the rest as it was, the same again."""
+    plan = faults.plan_faults(feed, sizes={n: k * factor for n, k in SIZES.items()})
+    clean = table_of(feed)
+    for name, scenario in SCENARIO_BY_NAME.items():
+        if name in (faults.DROPPED, faults.RENAMED):
+            continue
+        hit = as_set(faults.affected_rows(plan, name), "row_id")
+        table = table_of(faults.inject(plan, name))
+        assert len(hit) == faults.affected_count(plan, name)
+        assert all(table[i] == row for i, row in clean.items() if i not in hit), name
+        if name in faults.APPENDING:
+            assert set(table) == set(clean) | hit and min(hit) > max(clean)
+        else:
+            assert set(table) == set(clean)
+            for i in hit:
+                changed = {c for c in clean[i] if table[i][c] != clean[i][c]}
+                assert changed and changed <= set(scenario.columns), name
+        assert table == table_of(faults.inject(faults.plan_faults(feed.repartition(5), sizes=plan.sizes), name)), name
+
+
+def test_columns_that_go_or_change_their_name(feed, plan):
+    gone, renamed = faults.inject(plan, faults.DROPPED), faults.inject(plan, faults.RENAMED)
+    assert set(feed.columns) - set(gone.columns) == {"agency"}
+    assert set(feed.columns) ^ set(renamed.columns) == {"complaint_type", "complaint_category"}
+    assert sorted(r[0] for r in renamed.select("complaint_category").collect()) == sorted(
+        r[0] for r in feed.select("complaint_type").collect())
+
+
+def test_written_values(plan):
+    written = {faults.BAD_NUMBER: ("latitude", "invalid-latitude"), faults.BAD_DATE: ("created_date", "invalid-created-date"),
+               faults.UNSEEN: ("complaint_type", "Synthetic Unseen Complaint Type")}
+    for name, (column, value) in written.items():
+        hit = as_set(faults.inject(plan, name).where(F.col(column) == value), "row_id")
+        assert hit == as_set(faults.affected_rows(plan, name), "row_id")
+
+
+def test_copies_keep_their_keys(feed, plan):
+    rows = faults.appended_rows(plan, faults.DUPLICATED).drop("row_id")
+    assert rows.count() == rows.intersect(feed.drop("row_id")).count() == SIZES[faults.DUPLICATED]
+
+
+def test_points_of_missingness(feed):
+    for blank in (0, 27):
+        part = feed.withColumn("descriptor", F.when(F.col("row_id") < blank, F.lit(" ")).otherwise("x"))
+        plan = faults.plan_faults(part)
+        for row in faults.manifest(plan).where("fault_type = 'increased_missingness'").collect():
+            points = SCENARIO_BY_NAME[row.scenario_name].points
+            assert row.affected_row_count == min(ROWS - blank, -(-ROWS * points // 100))
+            left = faults.inject(plan, row.scenario_name).where("descriptor = 'x'").count()
+            assert left == ROWS - blank - row.affected_row_count
+            assert row.baseline_missingness_percentage == round(100 * blank / ROWS, 2)
+            assert row.resulting_missingness_percentage == round(100 * (ROWS - left) / ROWS, 2)
+
+
+def test_reversed_dates_are_a_day_early(feed, plan):
+    table, clean = table_of(faults.inject(plan, faults.REVERSED)), table_of(feed)
+    for i in as_set(faults.affected_rows(plan, faults.REVERSED), "row_id"):
+        closed, created = (datetime.fromisoformat(t) for t in (table[i]["closed_date"], clean[i]["created_date"]))
+        assert created - closed == timedelta(days=1) and table[i]["closed_date"].endswith(".000")
+
+
+@pytest.mark.parametrize("size", [1, 24, 61, 700])
+def test_a_spike_adds_rows_of_one_day_under_new_keys(feed, size):
+    plan = faults.plan_faults(feed, names=[faults.SPIKE], sizes={faults.SPIKE: size})
+    added = faults.appended_rows(plan, faults.SPIKE)
+    rows = added.collect()
+    keys = {int(r.unique_key) for r in rows}
+    assert len(rows) == len(keys) == len({r.row_id for r in rows}) == size
+    assert min(keys) > max(int(k) for k in as_set(feed, "unique_key"))
+    assert {r.created_date[:10] for r in rows} == {FIRST_DAY}
+
+
+def test_random_spike_keeps_the_category_mix(spark, feed):
+    many = feed.crossJoin(spark.range(80)).withColumn("row_id", F.col("row_id") * 80 + F.col("id")).drop("id")
+    spiked = faults.inject(faults.plan_faults(many, names=[faults.SPIKE], sizes={faults.SPIKE: 2500}), faults.SPIKE)
+    assert D.compare_distributions(many, spiked).verdict.where("category_drift").count() == 0
 
 
 def test_spike_with_text_keys(feed):
     named = feed.withColumn("unique_key", F.concat(F.lit("k"), "unique_key"))
-    plan = faults.plan_faults(named, names=[faults.SPIKE], sizes={faults.SPIKE: 3})
+    plan = faults.plan_faults(named, names=[faults.SPIKE], sizes={faults.SPIKE: 29})
     keys = as_set(faults.appended_rows(plan, faults.SPIKE), "unique_key")
-    assert keys == {f"synthetic-volume-109-{i}" for i in range(3)}
+    assert len(keys) == 29 and all(k.startswith("synthetic-volume-109-") for k in keys)
 
 
 def test_spike_needs_a_date(feed):
@@ -112,7 +130,7 @@ def test_spike_needs_a_date(feed):
 def test_shift_raises_the_mode(feed, plan):
     target = plan.population.mode
     assert target == KINDS[0]
-    assert faults.inject(plan, faults.SHIFT).where(F.col("complaint_type") == target).count() == ROWS // 2 + 5
+    assert faults.inject(plan, faults.SHIFT).where(F.col("complaint_type") == target).count() == ROWS // 2 + SIZES[faults.SHIFT]
 
 
 def test_sizes_follow_the_feed():
@@ -157,25 +175,55 @@ def test_sample_of_eligible_rows(spark):
     assert as_set(sampling.seeded_sample(frame, 50, 4, "row_id", F.col("row_id") % 3 == 0), "row_id") == wanted
 
 
-def test_sample_with_replacement(spark):
+@pytest.mark.parametrize("draws", [0, 1, 37, 100, 250, 1600, 1601, 5003])
+def test_sample_with_replacement(spark, draws):
     frame = spark.range(100).withColumnRenamed("id", "row_id")
     order = sorted(range(100), key=lambda i: md5(f"5|{i}"))
-    wanted = {(i, order[int(md5(f"5|draw|{i}")[:15], 16) % 100]) for i in range(250)}
-    got = sampling.sample_with_replacement(frame, 250, 100, 5, "row_id")
-    assert as_set(got, "pick", "row_id") == wanted
+    sizes = sampling.repeat_sizes(draws, 100)
+    assert sum(sizes) == draws and all(0 <= s <= 100 for s in sizes)
+    wanted = {(i * len(sizes) + level, i) for level, size in enumerate(sizes) for i in order[:size]}
+    for version in (frame, frame.repartition(7)):
+        got = sampling.sample_with_replacement(version, draws, 100, 5, "row_id")
+        assert got.count() == draws and as_set(got, "pick", "row_id") == wanted
+
+
+def test_repeats_are_as_many_as_independent_picks_leave():
+    draw = random.Random(3)
+    population, draws, rounds = 400, 1000, 300
+    seen = [0] * 12
+    for _ in range(rounds):
+        for n in Counter(draw.choices(range(population), k=draws)).values():
+            for level in range(min(n, 12)):
+                seen[level] += 1
+    for level, size in enumerate(sampling.repeat_sizes(draws, population)[:8]):
+        assert abs(size - seen[level] / rounds) < 2 + 0.02 * size
+
+
+def test_a_draw_is_one_scan(spark, tmp_path):
+    spark.range(500).withColumnRenamed("id", "row_id").write.parquet(str(tmp_path / "rows"))
+    frame = spark.read.parquet(str(tmp_path / "rows"))
+    plan = sampling.sample_with_replacement(frame, 250, 500, 5, "row_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and not any(x in plan for x in ("Exchange", "Sort", "Window", "Join"))
+
+
+def test_all_scenarios_are_one_scan(spark, feed, tmp_path):
+    feed.write.parquet(str(tmp_path / "feed"))
+    tables = faults.fan_out(faults.plan_faults(spark.read.parquet(str(tmp_path / "feed")), sizes=SIZES))
+    plan = tables.frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "Exchange" not in plan
 
 
 def test_typed_feed(spark):
     rows = clean_rows()
     frame = to_frame(spark, rows).withColumn("latitude", F.col("latitude").cast("double")).withColumn(
         "unique_key", F.col("unique_key").cast("long"))
-    plan = faults.plan_faults(frame, sizes=SMALL)
-    assert faults.inject(plan, faults.BAD_NUMBER).where("latitude = 'invalid-latitude'").count() == 3
+    plan = faults.plan_faults(frame, sizes=SIZES)
+    assert faults.inject(plan, faults.BAD_NUMBER).where("latitude = 'invalid-latitude'").count() == SIZES[faults.BAD_NUMBER]
     tables = faults.fan_out(plan)
     rows = tables.per_scenario(tables.frame).groupBy("scenario").count()
-    assert rows.agg(F.sum("count")).first()[0] == ROWS * 13 + 4 + 200
+    assert rows.agg(F.sum("count")).first()[0] == ROWS * 13 + 11 + 61
     changed = sum(d.size for n, d in plan.draws.items() if n != faults.DUPLICATED)
-    assert tables.frame.count() <= ROWS * 3 + changed + 4 + 200
+    assert tables.frame.count() <= ROWS * 3 + changed + 11 + 61
 
 
 def test_shared_rows_give_the_metrics_of_single_tables(spark, contract):
@@ -183,7 +231,7 @@ def test_shared_rows_give_the_metrics_of_single_tables(spark, contract):
     rows = clean_rows()
     rows += [{**r, "row_id": 100 + i} for i, r in enumerate(rows[:12])]
     rows += [{**rows[0], "row_id": 200 + i, "agency": None, "unique_key": " " if i % 2 else "7003"} for i in range(8)]
-    plan = faults.plan_faults(to_frame(spark, rows), sizes=SMALL)
+    plan = faults.plan_faults(to_frame(spark, rows), sizes=SIZES)
     together = P.quality_metrics(P.profile(faults.fan_out(plan), contract)).collect()
     assert len(together) == 13
     for row in together:
@@ -215,7 +263,8 @@ def test_endless_and_huge_keys_leave_room_for_new_ones(feed):
     odd = F.when(F.col("row_id") == 0, "inf").when(F.col("row_id") == 1, "9223372036854775807")
     strange = feed.withColumn("unique_key", F.coalesce(odd, "unique_key"))
     plan = faults.plan_faults(strange, names=[faults.SPIKE], sizes={faults.SPIKE: 2})
-    assert as_set(faults.appended_rows(plan, faults.SPIKE), "unique_key") == {"7106", "7107"}
+    keys = {int(k) for k in as_set(faults.appended_rows(plan, faults.SPIKE), "unique_key")}
+    assert len(keys) == 2 and 7105 < min(keys) and max(keys) < 10_000
 
 
 def test_stored_rows_rebuild_every_table(feed, plan):

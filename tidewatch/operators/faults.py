@@ -29,7 +29,7 @@ from tidewatch.catalog import (
     Scenario,
 )
 from tidewatch.functions import calendar_day, is_blank, percent, to_number, to_utc_timestamp
-from tidewatch.operators.sampling import Draw, draw_thresholds, in_sample, sample_with_replacement
+from tidewatch.operators.sampling import Draw, draw_hash, draw_thresholds, in_sample, picked, repeated_draws
 from tidewatch.operators.tables import MEMBERS, SCENARIO, Tables, bit, literal_rows
 
 KEY, CREATED, CLOSED = "unique_key", "created_date", "closed_date"
@@ -75,6 +75,7 @@ class FaultPlan:
     draws: dict[str, Draw]
     thresholds: dict[str, str]
     spike_size: int
+    spike: list[Draw] = field(default_factory=list)
     sizes: dict[str, int] = field(default_factory=dict)
 
     def hit(self, name: str) -> Column:
@@ -158,8 +159,11 @@ def plan_faults(
         else:
             condition, available = eligible.get(name, (None, population.rows))
         draws[name] = Draw(name, scenario.seed, min(size, available), available, condition)
-    thresholds = draw_thresholds(feed, list(draws.values()), row_id)
-    return FaultPlan(feed, row_id, population, draws, thresholds, wanted.get(SPIKE, 0), wanted)
+    on_the_day = _day(feed) == F.lit(population.busiest_day)
+    spike = repeated_draws(
+        SPIKE, SCENARIO_BY_NAME[SPIKE].seed, wanted.get(SPIKE, 0), population.busiest_rows, on_the_day)
+    thresholds = draw_thresholds(feed, [*draws.values(), *spike], row_id)
+    return FaultPlan(feed, row_id, population, draws, thresholds, wanted.get(SPIKE, 0), spike, wanted)
 
 
 def _overwrites(plan: FaultPlan, name: str) -> dict[str, Column]:
@@ -184,31 +188,27 @@ def _overwrites(plan: FaultPlan, name: str) -> dict[str, Column]:
 
 def _spike_picks(plan: FaultPlan) -> DataFrame:
     """Rows drawn from the busiest day, with their pick numbers."""
-    day_rows = plan.feed.where(_day(plan.feed) == F.lit(plan.population.busiest_day))
-    return sample_with_replacement(
-        day_rows, plan.spike_size, plan.population.busiest_rows, SCENARIO_BY_NAME[SPIKE].seed, plan.row_id)
+    return picked(plan.feed, plan.spike, plan.thresholds, plan.row_id, plan.population.min_row_id or 0)
 
 
-def appended_rows(plan: FaultPlan, name: str) -> DataFrame:
-    """Rows a scenario adds, under row ids above the feed's own."""
-    feed, row_id, pop = plan.feed, plan.row_id, plan.population
+def _new_values(plan: FaultPlan, name: str, pick: Column) -> dict[str, Column]:
+    """Row id, and key where it is new, of the rows that a scenario adds."""
+    pop = plan.population
     first_id = F.lit((pop.max_row_id or 0) + 1)
     if name == DUPLICATED:
-        return feed.where(plan.hit(name)).withColumn(
-            row_id, F.col(row_id) - F.lit(pop.min_row_id or 0) + first_id
-        )
-    seed = SCENARIO_BY_NAME[name].seed
-    picked = _spike_picks(plan)
+        return {plan.row_id: F.col(plan.row_id) - F.lit(pop.min_row_id or 0) + first_id}
     if pop.max_key is None:
-        new_key = F.concat(F.lit(f"synthetic-volume-{seed}-"), F.col("pick").cast("string"))
+        new_key = F.concat(F.lit(f"synthetic-volume-{SCENARIO_BY_NAME[name].seed}-"), pick.cast("string"))
     else:
-        new_key = F.lit(int(pop.max_key) + 1) + F.col("pick")
-    return picked.select(*(
-        new_key.cast(feed.schema[KEY].dataType).alias(c) if c == KEY
-        else (first_id + F.col("pick")).alias(c) if c == row_id
-        else F.col(c)
-        for c in feed.columns
-    ))
+        new_key = F.lit(int(pop.max_key) + 1) + pick
+    return {plan.row_id: first_id + pick, KEY: new_key.cast(plan.feed.schema[KEY].dataType)}
+
+
+def appended_rows(plan: FaultPlan, name: str) -> DataFrame:
+    """Rows a scenario adds, under row ids above the feed's own."""
+    rows = plan.feed.where(plan.hit(name)) if name == DUPLICATED else _spike_picks(plan)
+    new = _new_values(plan, name, F.col("pick"))
+    return rows.select(*(new[c].alias(c) if c in new else F.col(c) for c in plan.feed.columns))
 
 
 def inject(plan: FaultPlan, name: str) -> DataFrame:
@@ -272,12 +272,6 @@ def spike_sources(plan: FaultPlan) -> DataFrame:
         (first_id + F.col("pick")).alias("row_id"), F.col(plan.row_id).alias("source_row_id"))
 
 
-def appended_everywhere(plan: FaultPlan, names: Sequence[str]) -> DataFrame | None:
-    """Rows that any of the scenarios appends, with the scenario's name."""
-    parts = [appended_rows(plan, n).withColumn(SCENARIO, F.lit(n)) for n in names if n in APPENDING]
-    return reduce(DataFrame.unionByName, parts) if parts else None
-
-
 def fan_out(
     plan: FaultPlan,
     names: Sequence[str] | None = None,
@@ -288,9 +282,9 @@ def fan_out(
     """Clean feed and all scenarios as one set of tables, read in a single scan.
 
     A row comes out once for all scenarios that leave it alone, and once more for each
-    scenario that changes it; memberships tell which. With the usual sizes that is a
-    third of the rows that separate tables would hold. Appended rows come in by union,
-    from ``appended`` if they were stored before. With ``only`` the tables hold just those
+    scenario that changes or repeats it; memberships tell which. With the usual sizes that is a
+    third of the rows that separate tables would hold. Appended rows come out of the same
+    scan, or by union from ``appended`` if they were stored before. With ``only`` the tables hold just those
     columns, and scenarios that change none of them leave every row alone.
     """
     names = list(names or SCENARIO_BY_NAME)
@@ -305,15 +299,27 @@ def fan_out(
     hits = [F.when(plan.hit(n), bits[n]).otherwise(none) for n in sampling]
     hit = F.col("_hits")
     everyone = sum(1 << i for i, tag in enumerate(tags) if tag not in reshaping)
-    variants = [F.struct(F.lit(CLEAN).alias("variant"), (F.lit(everyone).cast("long") - hit).alias(MEMBERS))]
-    variants += [F.struct(F.lit(n).alias("variant"), bits[n].alias(MEMBERS)) for n in reshaping]
-    variants += [
-        F.when(hit.bitwiseAND(bits[n]) != 0,
-               F.struct(F.lit(n).alias("variant"), bits[n].alias(MEMBERS)))
-        for n in sampling
-    ]
+
+    def copy(name: str, members: Column, pick: Column = none) -> Column:
+        return F.struct(F.lit(name).alias("variant"), members.alias(MEMBERS), pick.alias("pick"))
+
+    variants = [copy(CLEAN, F.lit(everyone).cast("long") - hit)]
+    variants += [copy(n, bits[n]) for n in reshaping]
+    variants += [F.when(hit.bitwiseAND(bits[n]) != 0, copy(n, bits[n])) for n in sampling]
+    adding = [n for n in APPENDING if n in names and appended is None]
+    spiked = F.lit(None).cast("string")
+    if DUPLICATED in adding:
+        variants.append(F.when(plan.hit(DUPLICATED), copy(DUPLICATED, bits[DUPLICATED])))
+    if SPIKE in adding and plan.spike:
+        spiked = F.when(plan.spike[0].eligible, draw_hash(plan.spike[0].seed, plan.row_id))
+        low = F.lit(plan.population.min_row_id or 0)
+        variants += [
+            F.when(F.col("_spiked") <= plan.thresholds[d.name],
+                   copy(SPIKE, bits[SPIKE], (F.col(plan.row_id) - low) * len(plan.spike) + i))
+            for i, d in enumerate(plan.spike)
+        ]
     copies = (
-        feed.withColumn("_hits", reduce(lambda a, b: a.bitwiseOR(b), hits, none))
+        feed.withColumn("_hits", reduce(lambda a, b: a.bitwiseOR(b), hits, none)).withColumn("_spiked", spiked)
         .withColumn("_v", F.explode(F.array_compact(F.array(*variants))))
     )
     variant = F.col("_v.variant")
@@ -322,6 +328,9 @@ def fan_out(
         for column, value in _overwrites(plan, name).items():
             before = changes.get(column, F.col(column).cast("string"))
             changes[column] = F.when(variant == name, value).otherwise(before)
+    for name in adding:
+        for column, value in _new_values(plan, name, F.col("_v.pick")).items():
+            changes[column] = F.when(variant == name, value).otherwise(changes.get(column, F.col(column)))
     for name, column in ((DROPPED, AGENCY), (RENAMED, CATEGORY)):
         if name in reshaping:
             changes[column] = F.when(variant != name, changes.get(column, F.col(column)))
@@ -331,14 +340,13 @@ def fan_out(
     # A row that every tag left is hit by all of them; it has no common copy.
     frame = copies.select(F.col(f"_v.{MEMBERS}").alias(MEMBERS), *new).where(F.col(MEMBERS) != 0)
 
-    extra = appended if appended is not None else appended_everywhere(plan, names)
-    if extra is not None:
+    if appended is not None:
         tag = reduce(
             lambda rest, n: F.when(F.col(SCENARIO) == n, bits[n]).otherwise(rest),
             (n for n in names if n in APPENDING), none,
         )
         typed = [F.col(c).cast(frame.schema[c].dataType).alias(c) for c in kept]
-        frame = frame.unionByName(extra.select(tag.alias(MEMBERS), *typed), allowMissingColumns=True)
+        frame = frame.unionByName(appended.select(tag.alias(MEMBERS), *typed), allowMissingColumns=True)
     data = tuple(c for c in kept if c != plan.row_id)
     columns = {t: data for t in tags}
     if DROPPED in reshaping:

@@ -13,10 +13,11 @@ among rows of one id, no hash tells them apart, and the draw says so.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PREFIX_DIGITS = 3  # 4,096 counters a pass and sample
@@ -115,37 +116,64 @@ def seeded_sample(
     return frame.where(in_sample(draw, threshold, row_id))
 
 
+#: Above so many picks a row, whole rounds that take every row once come first.
+MOST_PICKS = 16
+
+
+def repeat_sizes(draws: int, population: int) -> list[int]:
+    """How many rows are picked at least once, at least twice, and so on; the sum is ``draws``.
+
+    Independent picks leave each row with a Poisson number of picks. The sizes are the numbers
+    of rows expected at or above each level, rounded so that nothing is lost on the way.
+    """
+    if draws <= 0 or population <= 0:
+        return []
+    rounds = max(0, draws // population - MOST_PICKS // 2) if draws > MOST_PICKS * population else 0
+    draws -= rounds * population
+    rate = draws / population
+    sums, below, level = [draws], 0.0, 1  # picks from each level on
+    while sums[-1] > 0:
+        share = math.exp(-rate + (level - 1) * math.log(rate) - math.lgamma(level))
+        reached, below = 1 - below, below + share  # shares of rows with level - 1 picks or more, and with fewer than level
+        sums.append(math.floor(population * (rate * reached - level * (1 - below)) + 0.5))
+        level += 1
+    return [population] * rounds + [a - b for a, b in zip(sums, sums[1:])]
+
+
+def repeated_draws(name: str, seed: int, draws: int, population: int, eligible: Column | None = None) -> list[Draw]:
+    """A draw with replacement as samples by one hash order, one for each number of picks.
+
+    A row is picked as often as it is in these samples. Each is an ordinary sample: its
+    threshold is counted together with all others, and what a row gets is decided by the row
+    alone, without a sort, a join or a list of positions.
+    """
+    return [Draw(f"{name}#{level}", seed, size, population, eligible)
+            for level, size in enumerate(repeat_sizes(draws, population))]
+
+
+def picked(frame: DataFrame, levels: Sequence[Draw], thresholds: dict[str, str], row_id: str, low: int = 0) -> DataFrame:
+    """``frame`` once for each pick, with its number ``pick``.
+
+    Numbers are unique and grow with the row id, counted from ``low``; they are not consecutive.
+    """
+    if not levels:
+        return frame.limit(0).withColumn("pick", F.lit(0).cast("long"))
+    eligible = levels[0].eligible if levels[0].eligible is not None else F.lit(True)
+    hashed = frame.where(eligible).withColumn("_hash", draw_hash(levels[0].seed, row_id))
+    highest = max(thresholds[d.name] for d in levels)
+    hits = F.array(*(F.when(F.col("_hash") <= thresholds[d.name], F.lit(i)) for i, d in enumerate(levels)))
+    rows = hashed.where(F.col("_hash") <= highest).withColumn("_level", F.explode(F.array_compact(hits)))
+    number = (F.col(row_id) - F.lit(low)) * len(levels) + F.col("_level")
+    return rows.withColumn("pick", number.cast("long")).drop("_hash", "_level")
+
+
 def sample_with_replacement(
     frame: DataFrame, draws: int, population: int, seed: int, row_id: str
 ) -> DataFrame:
     """``draws`` picks from the rows of ``frame`` (``population`` of them), with a pick number.
 
-    Pick *i* takes the row whose position in hash order is ``hash(seed, i) mod population``.
-    Positions are assigned in parallel: a rank inside each hash prefix plus the number of
-    rows under smaller prefixes. There are 4,096 prefixes, so summing up those counts in one
-    place is bounded, and unique ids spread the rows evenly over them.
-    Only ids are numbered; the full rows join once, for the picked ids.
+    Which rows are picked more than once depends on seed and row id only, how many are on the
+    two sizes; see ``repeated_draws``. After the counting passes the picks are one scan.
     """
-    spark = frame.sparkSession
-    hashed = frame.select(F.col(row_id), draw_hash(seed, row_id).alias("h")).withColumn(
-        "prefix", F.substring("h", 1, PREFIX_DIGITS)
-    )
-    before = F.sum("n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        hashed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
-        .select("prefix", F.coalesce(before, F.lit(0)).alias("offset"))
-    )
-    within = F.row_number().over(Window.partitionBy("prefix").orderBy("h", row_id)) - 1
-    positions = (
-        hashed.withColumn("within", within)
-        .join(F.broadcast(offsets), "prefix")
-        .select(row_id, (F.col("within") + F.col("offset")).alias("position"))
-    )
-    number = F.conv(
-        F.substring(F.md5(F.concat(F.lit(f"{seed}|draw|"), F.col("pick").cast("string"))), 1, 15), 16, 10
-    ).cast("long")
-    picks = spark.range(draws).withColumnRenamed("id", "pick").select(
-        "pick", F.pmod(number, F.lit(population).cast("long")).alias("position")
-    )
-    picked = picks.join(positions, "position").select("pick", row_id)
-    return frame.join(picked, row_id)
+    levels = repeated_draws("sample", seed, draws, population)
+    return picked(frame, levels, draw_thresholds(frame, levels, row_id), row_id)
