@@ -39,15 +39,23 @@ class Draw:
     eligible: Column | None = None
 
 
-def _matching(draws: Sequence[Draw], prefixes: dict[str, str], row_id: str) -> Column:
-    """Array of (name, hash) for the draws whose current prefix the row falls under."""
+#: What a counting pass looks at: rows of one hash order, of one kind, under one prefix.
+Place = tuple[int, int, str]
+
+
+def _place(draw: Draw, prefix: str) -> Place:
+    return draw.seed, id(draw.eligible), prefix
+
+
+def _matching(places: dict[Place, Draw], row_id: str) -> Column:
+    """Array of (number, hash) for the places whose prefix the row falls under."""
     items = []
-    for draw in draws:
-        value = draw_hash(draw.seed, row_id)
+    for number, ((seed, _, prefix), draw) in enumerate(places.items()):
+        value = draw_hash(seed, row_id)
         inside = draw.eligible if draw.eligible is not None else F.lit(True)
-        if prefixes[draw.name]:
-            inside = inside & value.startswith(prefixes[draw.name])
-        items.append(F.when(inside, F.struct(F.lit(draw.name).alias("name"), value.alias("h"))))
+        if prefix:
+            inside = inside & value.startswith(prefix)
+        items.append(F.when(inside, F.struct(F.lit(number).alias("place"), value.alias("h"))))
     return F.explode(F.array_compact(F.array(*items)))
 
 
@@ -78,14 +86,20 @@ def draw_thresholds(frame: DataFrame, draws: Sequence[Draw], row_id: str) -> dic
         depths = {len(prefixes[d.name]) for d in wide}
         depth = min(depths)
         wide = [d for d in wide if len(prefixes[d.name]) == depth]
-        counted = (
-            frame.select(_matching(wide, prefixes, row_id).alias("m"))
-            .groupBy("m.name", F.substring("m.h", depth + 1, PREFIX_DIGITS).alias("digits"))
+        # draws that look at the same rows share their counters
+        places = {_place(d, prefixes[d.name]): d for d in wide}
+        numbers = {place: number for number, place in enumerate(places)}
+        counted: list[list] = [[] for _ in places]
+        for row in (
+            frame.select(_matching(places, row_id).alias("m"))
+            .groupBy("m.place", F.substring("m.h", depth + 1, PREFIX_DIGITS).alias("digits"))
             .count()
             .collect()
-        )
+        ):
+            counted[row["place"]].append(row)
+        counted = [sorted(rows) for rows in counted]
         for draw in wide:
-            for row in sorted(r for r in counted if r["name"] == draw.name):
+            for row in counted[numbers[_place(draw, prefixes[draw.name])]]:
                 if rank[draw.name] <= row["count"]:
                     prefixes[draw.name] += row["digits"]
                     width[draw.name] = row["count"]
