@@ -56,14 +56,20 @@ def read_records(
     limit: int | None = None,
     requested: Sequence[str] = REQUESTED_COLUMNS,
     present: Sequence[str] | None = None,
+    layout: str | None = None,
 ) -> DataFrame:
     """JSON records landed as arrays or as one object per line; values are read as text.
 
     Each file is read as what its first character says, so a folder may hold both kinds.
     Raises ``IngestionError`` for unreadable files, for files that hold no records, and
     for empty payloads. Every record is kept; a ``limit`` keeps the newest ones, or, in a feed
-    without creation dates, the first in order of its columns. Finding out which columns there are takes a pass over the files; ``present`` names them and saves that pass.
+    without creation dates, the first in order of its columns. Finding out which columns there
+    are takes a pass over the files; ``present`` names them and saves that pass. Finding out what
+    each file holds takes another, and one name for each file on the driver; ``layout``, ``array``
+    or ``lines`` for all files, saves both.
     """
+    if layout not in (None, "array", "lines"):
+        raise ValueError(f"layout must be array or lines, not {layout!r}")
     if limit is not None:
         _checked(limit)
     def read(array: bool, paths: str | list[str], schema: StructType | str | None) -> DataFrame:
@@ -78,9 +84,9 @@ def read_records(
         return reader.option("columnNameOfCorruptRecord", CORRUPT).json(paths)
 
     schema = None if present is None else ", ".join(f"`{c}` string" for c in present)
-    arrays, lines = _layouts(spark, path)
+    arrays, lines = _layouts(spark, path) if layout is None else ([], [])
     if not (arrays and lines):
-        frame = read(bool(arrays), path, schema)
+        frame = read(bool(arrays) or layout == "array", path, schema)
         names = frame.columns
     else:
         parts = [(True, arrays), (False, lines)]
@@ -105,11 +111,12 @@ def read_records(
 
 def _layouts(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """The files that hold an array and those with one object per line; empty files are neither."""
-    text = spark.read.text(path)
-    first = F.regexp_extract("value", r"^[\s\uFEFF]*([^\s\uFEFF])", 1)
+    # a record ends at a brace, so an array on one line is not one value; all before the first brace is the first record
+    text = spark.read.option("lineSep", "{").text(path)
+    first = F.when(F.regexp_extract("value", r"^[\s\uFEFF]*([^\s\uFEFF])", 1) == "[", "[").otherwise("{")
     # a split is read in order, and splits of a file start at its blocks
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), first.alias("first"))
-    files = text.select(F.col("_metadata.file_path").alias("file"), place.alias("place")).where("place.first != ''")
+    files = text.select(F.col("_metadata.file_path").alias("file"), place.alias("place"))
     found = files.groupBy("file").agg((F.min("place")["first"] == "[").alias("array")).collect()
     if not found:
         raise IngestionError(f"Landed files hold no records: {path}")
