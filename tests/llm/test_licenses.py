@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 
 from tidewatch.llm import licenses
+from tidewatch.llm.queries import op10_license_scans
 
 SCHEMA = "doc_id long, text string, license string, notice int"
 
@@ -82,3 +84,54 @@ def test_odd_rows(spark):
     assert found == [(0, "MIT", 0), (3, "MIT", 0), (3, "MIT", 0), (4, "MIT", 30000)]
     assert licenses.scan(frame.limit(0)).count() == 0
     assert licenses.scan(frame, templates={}).count() == 0
+
+
+def test_licenses_that_differ_in_a_word():
+    gnu = "under the terms of the GNU {} License as published by the Free Software Foundation, either version {} of the License"
+    assert found_in(gnu.format("Lesser General Public", "3")) == [("LGPL-3.0", 1.0)]
+    assert found_in(gnu.format("Lesser General Public", "2.1")) == [("LGPL-2.1", 1.0)]
+    assert found_in(gnu.format("Library General Public", "2")) == [("LGPL-2.0", 1.0)]
+    assert found_in(gnu.format("Affero General Public", "3")) == [("AGPL-3.0", 1.0)]
+    assert found_in(gnu.format("General Public", "3")) == [("GPL-3.0", 1.0)]
+    assert found_in("licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License") == []
+    assert [n for n, _ in found_in("Released under MIT License")] == ["MIT"]
+    assert [n for n, _ in found_in("It is released under the ISC License.")] == ["ISC"]
+    assert found_in("It was released under the table, and the work is under a cloud.") == []
+
+
+def test_whole_texts_of_near_relatives():
+    texts = {name: [t for t in notices if len(t) > 150][-1:] for name, notices in licenses.TEMPLATES.items()}
+    for name in ("MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Unlicense"):
+        for text in texts[name]:
+            numbered = text.replace("Redistributions", "* Redistributions").replace("Neither", "3. Neither")
+            for version in (text, numbered, text.upper(), "Copyright 2031 A. Nother\n\n" + text.replace(" ", "\n   ", 40)):
+                assert [n for n, _ in found_in(version)] == [name]
+
+
+def test_query_against_alignment_of_every_place(spark):
+    """Every template at every place of every text that holds enough of its words."""
+    folder = "/root/testdata/sf0.01"
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    index, band = scanner.index, scanner.band
+    wanted = []
+    for doc_id, text in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        words = text.encode().translate(licenses._WORDS).split()
+        codes = np.array([index.code.get(w, -1) for w in words], np.int64)
+        found = []
+        for number, template in enumerate(index.words):
+            held = Counter(codes.tolist())
+            if sum(min(n, held[w]) for w, n in Counter(template).items()) < 0.8 * len(template):
+                continue
+            first = {w for w in template}
+            starts = [d for d in range(-len(template), len(codes)) if d + len(template) > 0]
+            near = np.isin(codes, list(first))
+            for d in starts[::band]:
+                here = near[max(0, d - band): d + len(template) + 2 * band]
+                if here.sum() < 0.8 * len(template):
+                    continue
+                count, a, b = licenses.align(codes, template, d - band, d + 2 * band)
+                if count >= 0.8 * len(template) and not index.qualifiers.intersection(codes[a:b].tolist()) - first:
+                    found.append((count, *index.names[number], count / len(template), a, b))
+        wanted += [(doc_id, r[0]) for r in licenses.strongest(sorted(set(found)))]
+    got = [(r.doc_id, r.license) for r in op10_license_scans(spark, folder).collect()]
+    assert sorted(got) == sorted(wanted) and len(got) > 3

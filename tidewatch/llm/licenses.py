@@ -1,7 +1,7 @@
 """License scans: winnowed template fingerprints find candidates, banded alignment confirms them.
 
-Templates are short license notices. Their winnowed word-gram fingerprints form an inverted
-index from fingerprint to (template, place). A document's grams are looked up in the index;
+Templates are license notices and the whole texts of short licenses. Their winnowed word-gram
+fingerprints form an inverted index from fingerprint to (template, place). A document's grams are looked up in the index;
 every hit names a template and a diagonal (place in the document less place in the template).
 Hits of one template on neighbouring diagonals are one candidate, which is aligned with the
 template word by word inside a band around its diagonals. A match reports the share of the
@@ -54,22 +54,92 @@ TEMPLATES = {
         "Released under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        'associated documentation files (the "Software"), to deal in the Software without restriction, including '
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice shall be included in all "
+        'copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY '
+        "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License",
+    ],
+    "LGPL-2.0": [
+        "under the terms of the GNU Library General Public License as published by the Free Software Foundation; "
+        "either version 2 of the License",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3",
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License",
+    ],
+    "ISC": [
+        "Released under the ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ],
+    "0BSD": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        'hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES',
+    ],
+    "CC0-1.0": [
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+        "This work is dedicated to the public domain under CC0 1.0 Universal",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software",
+    ],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE "
+        'COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"',
+    ],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: Redistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. Neither the name of the copyright "
+        "holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS "
+        'AND CONTRIBUTORS "AS IS"',
+    ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met",
     ],
 }
 
+#: Words that make another license of a notice they are put into.
+QUALIFIERS = ("affero", "lesser", "library", "noncommercial", "nc", "sharealike", "sa", "noderivatives", "noderivs", "nd")
+#: Words that tell nothing of a license: pairs of them are no fingerprint of a short notice.
+PLAIN = ("a", "is", "of", "the", "this", "to", "under", "work", "licensed", "released", "into")
+
 #: Words of a gram; of every WINNOW neighbouring grams the one with the least hash is kept.
 GRAM, WINNOW = 3, 2
 #: Diagonals of one candidate lie at most BAND apart, and the alignment strays no further.
 BAND = 3
 #: Least share of a template's words that a match covers.
 COVERAGE = 0.8
+#: A match leaves a run of GRAM + WINNOW - 1 words only in templates of at least LONG words; shorter ones
+#: have all their grams in the index, those of up to PAIRS words as pairs.
+LONG, PAIRS = 16, 6
 #: Words are runs of letters and digits; A-Z are lower-cased.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 _WORD = re.compile(rb"[^ ]+")
@@ -101,13 +171,23 @@ class Index:
                 if not words:
                     continue
                 codes = [self.code.setdefault(w, len(self.code)) for w in words]
-                self.shortest = min(self.shortest, len(words))
-                for place in winnow(words, gram, window):
-                    key = tuple(codes[place: place + gram])
+                for place, size in self._fingerprints(words, window):
+                    key = tuple(codes[place: place + size])
                     self.grams.setdefault(key, []).append((len(self.words), place))
                 self.names.append((name, number))
                 self.words.append(codes)
         self.sizes = sorted({len(key) for key in self.grams}, reverse=True)
+        self.shortest = min(self.sizes, default=gram)
+        self.qualifiers = {self.code.setdefault(w.encode(), len(self.code)) for w in QUALIFIERS}
+
+    def _fingerprints(self, words: list[bytes], window: int) -> list[tuple[int, int]]:
+        """Place and size of a template's grams in the index."""
+        if PAIRS < len(words):
+            every = range(len(words) - self.gram + 1)
+            return [(place, self.gram) for place in (winnow(words, self.gram, window) if len(words) >= LONG else every)]
+        telling = [w.decode() not in PLAIN for w in words]
+        pairs = [k for k in range(len(words) - 1) if telling[k] or telling[k + 1]]
+        return [(k, 2) for k in pairs] or [(0, len(words))]
 
     def candidates(self, codes: np.ndarray) -> dict[int, list[int]]:
         """Diagonals on which a template's fingerprints are hit, by template."""
@@ -176,7 +256,8 @@ class Scanner:
             for low, high in groups:
                 count, a, b = align(codes, wanted, low - self.band, high + self.band)
                 share = count / len(wanted)
-                if share >= self.coverage:
+                # a word that makes it another license must be the template's own
+                if share >= self.coverage and self.index.qualifiers.intersection(codes[a:b].tolist()) <= set(wanted):
                     found.append((count, *self.index.names[template], share, a, b))
         if not found:
             return []
@@ -206,7 +287,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, coverag
     Returns doc_id, license, notice (which of the license's notices), coverage (share of its
     words found in order), first_word and last_word (exclusive) in the document, the same in
     bytes of the UTF-8 text, and the matched text. Notices that overlap count once, as the one
-    that covers most words. Null and empty texts have none; rows without doc_id and repeated
+    that covers most words; a stretch with a word of QUALIFIERS that the notice lacks is no
+    match. Null and empty texts have none; rows without doc_id and repeated
     rows are scanned like any other; no rows or templates: no rows; extra columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates
