@@ -10,9 +10,11 @@ leading system turn and as many of the last turns as the history limits allow; r
 are outside the loss mask, so every assistant text is a target exactly once. A turn that does
 not fit by itself has a window of its own, which is over the budget and says so.
 
-A conversation is dealt into segments of 512 turn numbers, which are formatted side by side: a
-conversation with a third of all turns is no single task's. A segment gets the system turn and
-the history it repeats as copies.
+A conversation is dealt into segments of 512 turns, which are formatted side by side: a
+conversation with a third of all turns is no single task's, and how turns are numbered, sparsely,
+repeatedly or not at all, changes nothing but their order. All turns are dealt to ranges of that
+order and numbered there; a turn's place in its conversation is its number in the range and what
+earlier ranges hold. A segment gets the system turn and the history it repeats as copies.
 """
 
 from __future__ import annotations
@@ -26,17 +28,18 @@ from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import held
+from .common import held, stored
 
 BUDGET = 1024
 #: Repeated turns before the new ones, at most so many and of so many tokens together.
 HISTORY_TURNS, HISTORY_TOKENS = 4, 256
-#: 2 ** 9 neighbouring turn numbers are one segment.
+#: 2 ** 9 neighbouring turns are one segment.
 SEGMENT_BITS = 9
-#: Segment of turns without a number: before all others.
-FIRST = -(1 << 60)
+#: Bits of monotonically_increasing_id that number the rows of a partition.
+PLACE_BITS = 33
 SYSTEM, TARGET = "system", "assistant"
 
 _TEXT, _ROLE = re.compile(r"[\\#<]"), re.compile(r"[\\#<:]")
@@ -142,6 +145,27 @@ def _format_segment(conv_id, segment, rows: list[tuple], path: str, budget: int,
     return out
 
 
+def placed(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``turns`` with ``position``, their place from 0 in their conversation, and (conv_id, n) of all.
+
+    The dealt turns are stored, because ranges are chosen from a sample. Repeated rows are told
+    apart by where they came from, so many of them do not meet in one range.
+    """
+    order = ["conv_id", "turn", "role", "text", "_from"]
+    dealt = turns.withColumn("_from", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = stored(dealt.drop("_from").withColumn("place", F.monotonically_increasing_id()), "turns")
+    part = F.shiftright("place", PLACE_BITS)
+    # a row for each range that a conversation has turns in
+    parts = dealt.groupBy("conv_id", part.alias("part")).agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(W.partitionBy("conv_id").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    starts = parts.select(F.col("conv_id").alias("_conv"), F.col("part").alias("_part"), "low", F.coalesce(before, F.lit(0)).alias("before"))
+    rows = dealt.withColumn("part", part)
+    rows = rows.join(starts, rows["conv_id"].eqNullSafe(starts["_conv"]) & (F.col("part") == F.col("_part")))
+    position = F.col("place") - F.col("low") + F.col("before")
+    return (rows.select("conv_id", position.alias("position"), "role", "text"),
+            parts.groupBy("conv_id").agg(F.sum("n").alias("n")))
+
+
 def format_chats(conversations: DataFrame, path: str, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
                  history_tokens: int = HISTORY_TOKENS) -> DataFrame:
     """Windows of all ``conversations`` (conv_id, turn, role, text), in columns of WINDOWS.
@@ -157,20 +181,18 @@ def format_chats(conversations: DataFrame, path: str, budget: int = BUDGET, hist
         raise ValueError("history_turns must be less than a segment")
     text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
     turns = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), text("role"), text("text"))
-    turns = turns.withColumn("segment", F.coalesce(F.shiftright("turn", SEGMENT_BITS), F.lit(FIRST)))
-    new = turns.select("conv_id", "segment", F.lit(2).alias("kind"), "turn", "role", "text")
-    # the last turn numbers of a segment are history for the next
-    late = F.col("turn").bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)) >= (1 << SEGMENT_BITS) - history_turns
-    history = turns.filter(late).select(
-        "conv_id", (F.col("segment") + 1).alias("segment"), F.lit(1).alias("kind"), "turn", "role", "text")
+    turns, totals = placed(turns)
+    turns = turns.withColumn("segment", F.shiftright("position", SEGMENT_BITS))
+    columns = ["conv_id", "segment", "kind", "position", "role", "text"]
+    new = turns.withColumn("kind", F.lit(2)).select(*columns)
+    # the last turns of a segment are history for the next
+    late = F.col("position").bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)) >= (1 << SEGMENT_BITS) - history_turns
+    history = turns.filter(late).withColumn("kind", F.lit(1)).withColumn("segment", F.col("segment") + 1).select(*columns)
     # the leading turn, for the segments after its own
-    key = F.struct(F.coalesce("turn", F.lit(FIRST)).alias("place"), "turn", "role", "text")
-    lead = turns.groupBy("conv_id").agg(F.min(key).alias("h"), F.max("segment").alias("last"), F.min("segment").alias("first"))
-    lead = lead.filter((F.col("last") > F.col("first")) & (F.col("h.role") == SYSTEM)).select(
-        F.col("conv_id").alias("c"), "first", "h.turn", "h.role", "h.text")
-    later = turns.groupBy(F.col("conv_id").alias("k"), "segment").agg(F.lit(0).alias("kind"))
-    system = later.join(lead, later["k"].eqNullSafe(lead["c"]) & (F.col("segment") > F.col("first"))).select(
-        F.col("k").alias("conv_id"), "segment", "kind", "turn", "role", "text")
+    lead = turns.filter((F.col("position") == 0) & (F.col("role") == SYSTEM)).drop("segment")
+    more = totals.select(F.col("conv_id").alias("k"), F.shiftright(F.col("n") - 1, SEGMENT_BITS).alias("last")).filter("last > 0")
+    system = lead.join(more, lead["conv_id"].eqNullSafe(more["k"])).select(
+        "conv_id", F.explode(F.sequence(F.lit(1).cast("long"), "last")).alias("segment"), F.lit(0).alias("kind"), "position", "role", "text")
 
     names = [f.split()[0] for f in WINDOWS.split(", ")]
     kinds = [pa.int64()] * 6 + [pa.bool_(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
@@ -191,7 +213,7 @@ def format_chats(conversations: DataFrame, path: str, budget: int = BUDGET, hist
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * len(names), kinds)], names=names)
 
     dealt = new.unionByName(history).unionByName(system).repartition("conv_id", "segment")
-    return dealt.sortWithinPartitions("conv_id", "segment", "kind", "turn", "role", "text").mapInArrow(work, WINDOWS)
+    return dealt.sortWithinPartitions("conv_id", "segment", "kind", "position").mapInArrow(work, WINDOWS)
 
 
 DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "

@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.session import cut_lineage as checkpoint
+from tidewatch.session import stored
+
+__all__ = ["checkpoint", "documents", "each", "following", "held", "read", "stored", "streamed", "text_bytes", "with_carried"]
+
 #: bytes.translate table that lower-cases A-Z and leaves every other byte alone.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Upper- and lower-case letters for translate() in SQL.
@@ -56,20 +61,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def checkpoint(frame: DataFrame) -> DataFrame:
-    """Store a frame in the shared folder of ``spark.checkpoint.dir`` and cut its lineage.
-
-    Where that setting is missing, as in tests, a folder inside the SQL warehouse is taken:
-    like the checkpoint folder, the warehouse is shared by driver and executors.
-    """
-    session = frame.sparkSession
-    context = session.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = session.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or session.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    return frame.checkpoint()
-
-
 def text_bytes(name: str = "text") -> Column:
     """A text as UTF-8 bytes; null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
