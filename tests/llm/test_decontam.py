@@ -80,3 +80,16 @@ def test_cutting_leaves_clean_texts_alone(spark):
     frame = spark.createDataFrame([(1, f"Before {passage}. After", ""), (2, long, ""), (3, "clean", ""), (4, None, "")], DOCS)
     found = {r.doc_id: (r.text, r.n_cut) for r in decontam.decontaminate(frame, bench).collect()}
     assert found == {1: ("Before . After", 13), 2: (long, 0), 3: ("clean", 0), 4: ("", 0)}
+
+
+def test_a_long_item_is_cut_into_blocks(spark):
+    draw = random.Random(4)
+    long = " ".join(draw.choice("a b c d e f".split()) for _ in range(200))
+    items = [(1, long), (2, "e f a b"), (3, "a b")]
+    bench = spark.createDataFrame([(*i, "x") for i in items], ITEMS)
+    found = list(decontam.blocks(bench, 10, 4))
+    assert all(sum(len(words(t.decode())) for _, t in block) <= 10 for block in found) and len(found) > 20
+    docs = [(k, long[draw.randrange(100):][:draw.randrange(60)]) for k in range(40)]
+    matched = decontam.match_spans(
+        spark.createDataFrame([(i, t, "x") for i, t in docs], DOCS), bench, window=4, block_words=80)
+    assert {r.doc_id: tuple(r)[1:] for r in decontam.report(matched).collect()} == {i: expect(t, items, 4) for i, t in docs}

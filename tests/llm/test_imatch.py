@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 
 from tidewatch.llm import imatch
 
@@ -71,9 +73,31 @@ def test_odd_rows(spark):
     assert {r.near_next for r in imatch.edited_fingerprints(frame.filter("doc_id = 9000")).collect()} == {1.0}
 
 
-def test_following_reaches_over_empty_stretches(spark):
+def test_following_reaches_over_any_gap(spark):
     from tidewatch.llm.common import following
-    keys = [-9, -1, 0, 3, 4, 5, 17, 18, 64, 65, 1000, 70000]
-    for levels in (0, 1, 2, 3):
-        found = {r.key: r.next_key for r in following(spark.createDataFrame([(k,) for k in keys], "key long"), levels, 2).collect()}
-        assert found == dict(zip(keys, keys[1:] + [None]))
+    keys = [-(1 << 62), -9, -1, 0, 3, 4, 5, 17, 18, 64, 65, 1000, 70000, 1 << 61]
+    frame = spark.createDataFrame([(k,) for k in keys], "key long").repartition(5)
+    assert {r.key: r.next_key for r in following(frame).collect()} == dict(zip(keys, keys[1:] + [None]))
+    assert following(frame.limit(0)).count() == 0
+
+
+def test_ids_like_hashes(spark):
+    draw = random.Random(8)
+    rows = [(draw.randrange(-(1 << 63), 1 << 63), f"text {k} " + "word " * draw.randrange(30)) for k in range(60)]
+    found = imatch.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in found) == edited(rows)
+
+
+def test_likeness_is_that_of_the_shown_fingerprints(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = imatch.edited_fingerprints(docs).orderBy("doc_id").collect()
+
+    def like(a, b):
+        a, b = ([int(x[k:k + 8], 16) for k in range(0, len(x), 8)] for x in (a, b))
+        pairs = [(x, y) for x, y in zip(a, b) if x or y]
+        return 1.0 if a == b else sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+    for k, r in enumerate(found):
+        after = found[(k + 1) % len(found)]
+        assert math.isclose(r.near_edited, like(r.fingerprint, r.edited_fingerprint), abs_tol=1e-12)
+        assert math.isclose(r.near_next, like(r.fingerprint, after.fingerprint), abs_tol=1e-12)

@@ -109,7 +109,7 @@ def shards_for(size: int | None, bytes_each: int = 16 << 20) -> int:
     return max(1, -(-(size or 0) // bytes_each))
 
 
-def shard_count(docs: DataFrame) -> tuple[int, int]:
-    """(rows, shards) of a table of texts."""
+def shard_count(docs: DataFrame) -> tuple[int, int, int]:
+    """(rows, bytes, shards) of a table of texts."""
     facts = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
-    return facts["n"], shards_for(facts["b"])
+    return facts["n"], facts["b"] or 0, shards_for(facts["b"])

@@ -6,9 +6,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ranking import with_positions
 from tidewatch.session import cut_lineage as checkpoint
 from tidewatch.session import stored
 
@@ -83,20 +83,12 @@ def with_carried(schema: str, rows: DataFrame) -> str:
     return f"{schema}, carried struct<{fields}>"
 
 
-def following(keys: DataFrame, levels: int = 3, fan_bits: int = 12) -> DataFrame:
+def following(keys: DataFrame) -> DataFrame:
     """For each distinct whole number ``key`` the next larger one, ``next_key`` (null for the last).
 
-    Neighbours are found inside stretches of 2 ** fan_bits numbers, so a window never holds
-    more rows than that; the first number of every stretch is then looked up one level higher.
-    What is left above the last level is one row for each stretch of 2 ** (fan_bits * levels).
+    The numbers are dealt to ranges and numbered; a number's successor is the one with the next
+    position, however far apart or close together they are.
     """
-    if levels == 0:
-        return keys.select("key", F.lead("key").over(W.orderBy("key")).alias("next_key"))
-    stretch = F.shiftright("key", fan_bits)
-    inside = keys.select("key", stretch.alias("stretch"))
-    inside = inside.withColumn("next_key", F.lead("key").over(W.partitionBy("stretch").orderBy("key")))
-    first = keys.groupBy(stretch.alias("stretch")).agg(F.min("key").alias("first_key"))
-    above = following(first.select(F.col("stretch").alias("key")), levels - 1, fan_bits)
-    after = above.join(first.withColumnRenamed("stretch", "next_key"), "next_key").select(
-        F.col("key").alias("stretch"), F.col("first_key").alias("after_key"))
-    return inside.join(after, "stretch", "left").select("key", F.coalesce("next_key", "after_key").alias("next_key"))
+    placed = with_positions(keys.select("key"), ["key"], "at")
+    after = placed.select((F.col("at") - 1).alias("at"), F.col("key").alias("next_key"))
+    return placed.join(after, "at", "left").select("key", "next_key")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, documents, each, held, streamed, text_bytes, with_carried
+from .common import documents, each, held, stored, streamed, text_bytes, with_carried
 
 #: Words of test items in one automaton; bounds what is broadcast and what a task holds.
 BLOCK_WORDS = 100_000
@@ -132,18 +132,25 @@ class Automaton:
         return spans, items
 
 
-def blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[object, bytes]]]:
-    """Items as (item_id, text) in blocks of at most ``most`` words (or of one item)."""
+def blocks(benchmark: DataFrame, most: int, window: int) -> Iterator[list[tuple[object, bytes]]]:
+    """Items as (item_id, text) in blocks of at most ``most`` words, one at a time.
+
+    A longer item is cut into stretches that share ``window`` - 1 words, so no window is lost.
+    Rows come to the driver one by one; it holds one block.
+    """
+    most = max(most, 2 * window)
     block, size = [], 0
     items = benchmark.select("item_id", text_bytes().alias("text")).orderBy("item_id", "text")
     for row in items.toLocalIterator():
-        n = len(words_of(bytes(row["text"])))
-        if block and size + n > most:
-            yield block
-            block, size = [], 0
-        if n:
-            block.append((row["item_id"], bytes(row["text"])))
-            size += n
+        words = words_of(bytes(row["text"]))
+        for at in range(0, max(1, len(words) - window + 1), most - window + 1):
+            part = words[at: at + most]
+            if block and size + len(part) > most:
+                yield block
+                block, size = [], 0
+            if part:
+                block.append((row["item_id"], b" ".join(part)))
+                size += len(part)
     if block:
         yield block
 
@@ -183,10 +190,12 @@ def _last_block(docs, benchmark, window, block_words, carry):
         "doc_id", "text", F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"), *carried)
-    parts = list(blocks(benchmark, block_words)) or [[]]
-    for block in parts[:-1]:  # one block's automaton at a time
-        rows = checkpoint(rows.mapInArrow(streamed(*_matcher(docs, block, window, carried)), schema))
-    work, key = _matcher(docs, parts[-1], window, carried)
+    last: list = []
+    for block in blocks(benchmark, block_words, window):  # one block's automaton at a time
+        if last:
+            rows = stored(rows.mapInArrow(streamed(*_matcher(docs, last, window, carried)), schema), "matched")
+        last = block
+    work, key = _matcher(docs, last, window, carried)
     return rows, work, schema, key
 
 
@@ -248,8 +257,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
                   carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, text, n_cut for every row of ``docs``: hit stretches of contaminated texts are cut out.
 
-    Texts that are not contaminated stay as they are; null texts become empty. Columns named in
-    ``carry`` come back in the struct ``carried``.
+    Texts that are not contaminated stay as they are; null texts become empty. Every row is judged
+    by its own text: repeated rows, and rows that share a doc_id or have none, all come back. No
+    rows: no rows; an empty benchmark contaminates nothing. Extra columns are ignored; those named
+    in ``carry`` come back in the struct ``carried``.
     """
     carried = ["carried"] if carry else []
     rows, match, schema, key = _last_block(docs, benchmark, window, BLOCK_WORDS, carry)

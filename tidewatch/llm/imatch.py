@@ -129,7 +129,7 @@ def edited_fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOS
 
     firsts = placed.groupBy("stretch").agg(F.min(F.struct("doc_id", "text")).alias("f"))
     firsts = checkpoint(firsts.select("stretch", "f.text"))
-    order = following(firsts.select(F.col("stretch").alias("key")), levels=2)
+    order = following(firsts.select(F.col("stretch").alias("key")))
     lowest = F.lit((facts["low"] or 0) >> STRETCH_BITS).cast("long")
     order = order.select(F.col("key").alias("stretch"), F.coalesce("next_key", lowest).alias("after"))
     after = order.join(firsts.select(F.col("stretch").alias("after"), F.col("text").alias("after_text")), "after")

@@ -36,6 +36,8 @@ from .common import LOWER, documents
 
 #: Documents of one chunk.
 CHUNK_DOCS = 1024
+#: Bytes of text in a chunk, on average, at most: long documents make more chunks.
+CHUNK_BYTES = 8 << 20
 #: Rows that are one row repeated more often than this, or than a 100,000th of all, are counted first.
 COPIES = 256
 #: Share of the probability that seen successors get.
@@ -363,8 +365,8 @@ def score(docs: DataFrame, mass: float = MASS) -> DataFrame:
     are unknown; no rows: no rows; extra columns are ignored.
     """
     rows = documents(docs)
-    n, shards = cells.shard_count(rows)
-    chunks = max(1, -(-n // CHUNK_DOCS))
+    n, size, shards = cells.shard_count(rows)
+    chunks = max(1, -(-n // CHUNK_DOCS), -(-size // CHUNK_BYTES))
     key = F.xxhash64("doc_id", "text")
     often = rows.groupBy(key.alias("often")).count().filter(F.col("count") > max(COPIES, n // 100_000))
     often = [r["often"] for r in often.select("often").collect()]

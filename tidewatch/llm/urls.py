@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER_AZ, UPPER_AZ
-from .components import connected_components
+from tidewatch.operators.skew import is_heavy, join_by_count
+
+from .components import SALTS, connected_components
 
 #: (verdict, host, path) of the production rules.
 RULES = [
@@ -159,12 +161,19 @@ def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) ->
     # A place is judged by its own address, whether or not a page has it.
     whole = F.concat(F.lit("://"), F.col("node"))
     decided = members.select("node", "component", (matched_rule(host_of(whole), path_of(whole), rules)[1] == "block").alias("bad"))
-    blocked = decided.groupBy("component").agg(F.max(F.coalesce("bad", F.lit(False))).alias("spread"))
-    aliases = members.join(blocked, "component").select(F.col("node").alias("place"), "component", "spread")
+    blocked = decided.filter("bad").select("component").distinct()
+    # a component with many members is dealt over SALTS places
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    blocked = blocked.select("component", every, F.lit(True).alias("spread"))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    aliases = salted.join(blocked, ["component", "salt"], "left").select(
+        F.col("node").alias("place"), "component", F.coalesce("spread", F.lit(False)).alias("spread"))
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), place_of(url).alias("place"))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     rows = rows.select("page_id", "host", "path", "place", rule.alias("rule"), verdict.alias("own"))
-    return rows.join(aliases, "place", "left").select(
+    places = rows.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    heavy = places.filter(F.col("place").isNotNull() & is_heavy(F.col("n"), places.agg(F.sum("n")).scalar())).select("place")
+    return join_by_count(rows, aliases, heavy, ["place"]).select(
         "page_id", "host", "path", "rule",
         F.coalesce("own", F.when(F.col("spread"), F.lit("block")), F.lit("allow")).alias("verdict"),
         "place", F.coalesce("component", "place").alias("alias_of"))
