@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from oracles.sql import DIRTY, blank, count, pct
+from oracles.sql import DIRTY, blank, count
+
+
+def pct(part: str, total: str) -> str:
+    """A percentage to two places; halves, which small groups often have, go to the even digit."""
+    return f"round_even(({part})::DOUBLE / ({total})::DOUBLE * 100, 2)::DOUBLE"
+
 
 _BLANKS = ("agency", "descriptor", "closed_date")
 

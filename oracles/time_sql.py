@@ -81,8 +81,8 @@ placed AS (
 SELECT o_orderkey, best.event_id, value
 FROM placed ASOF LEFT JOIN best ON placed.part = best.part AND moment >= hour
 LEFT JOIN events ON events.event_id = best.event_id""",
-    "open_requests_per_hour": _concurrency("borough", "hour"),
-    "open_requests": _concurrency("", "day"),
+    "requests_open_per_hour": _concurrency("borough", "hour"),
+    "requests_open_per_day": _concurrency("", "day"),
     "overlapping_requests": f"""WITH {_REQUESTS}, counted AS (
   SELECT a.row_id, count(*) AS overlap_count
   FROM usable a JOIN usable b ON a.agency = b.agency

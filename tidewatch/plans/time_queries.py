@@ -130,14 +130,14 @@ def _requests(spark, folder) -> DataFrame:
     return rows.select("row_id", "agency", "borough", read("created_date"), read("closed_date"))
 
 
-@query("open_requests_per_hour")
+@query("requests_open_per_hour")
 def _(spark, folder):
     """Open requests of every borough in every hour; a request without a closing date stays open."""
     found = concurrency(_requests(spark, folder), "created_date", "closed_date", ["borough"])
     return found.withColumn("span_start", F.date_format("span_start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("open_requests")
+@query("requests_open_per_day")
 def _(spark, folder):
     """The same without groups, day by day."""
     found = concurrency(_requests(spark, folder), "created_date", "closed_date", width=86_400_000_000)
