@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import decontam, packing, simhash, substrings, toxicity
-from tidewatch.llm.common import checkpoint, read
+from tidewatch.llm.common import read, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -79,5 +79,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; what one stage keeps is stored for the next."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = checkpoint(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)
