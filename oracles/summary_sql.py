@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from oracles.sql import DIRTY, blank, count
 
 
@@ -12,7 +14,38 @@ def pct(part: str, total: str) -> str:
 
 _BLANKS = ("agency", "descriptor", "closed_date")
 
+_CHECKS = {
+    ("open_with_closing_date", "closed_date", 7): "status = 'Open' and closed_date is not null",
+    ("wrong_hemisphere", "latitude", 30): "try_cast(latitude as double) > 100",
+    ("unknown_borough", "borough", 10): "borough not like 'B%'",
+}
+_REASONS = [("missing_unique_key", "unique_key", blank("unique_key"))] + [
+    (n, f, f"coalesce({c}, false)") for (n, f, _), c in _CHECKS.items()] + [
+    ("duplicate_unique_key", "unique_key", f"(NOT {blank('unique_key')} AND count(*) OVER (PARTITION BY unique_key) > 1)")]
+_OWN = f"""{DIRTY}, flagged AS (
+  SELECT row_id, {', '.join(f'{c} AS "{n}"' for n, _, c in _REASONS)} FROM dirty),
+reasons AS ({' UNION ALL '.join(
+    f"SELECT row_id, {i} AS seq, '{n}' AS issue_type, '{f}' AS affected_field FROM flagged WHERE \"{n}\""
+    for i, (n, f, _) in enumerate(_REASONS))}),
+found AS (SELECT issue_type, affected_field, count(*) AS issue_count FROM reasons GROUP BY 1, 2)"""
+
+
+def _expected() -> str:
+    rows = [("missing_unique_key", {"blank": False}), ("duplicate_unique_key", {"rows_per_key": 1})]
+    rows += [(n, {"fails_when": c}) for (n, _, _), c in _CHECKS.items()]
+    return ", ".join("('{}', '{}')".format(n, json.dumps(e).replace("'", "''")) for n, e in rows)
+
+
 SUMMARY_ORACLE = {
+    "own_check_issues": f"""WITH {_OWN}, expected AS (SELECT * FROM (VALUES {_expected()}) v(issue_type, expected_value))
+SELECT issue_type, affected_field, issue_count, '{{"count":' || issue_count || '}}' AS observed_value, expected_value
+FROM found JOIN expected USING (issue_type)""",
+    "own_check_rejected_rows": f"""WITH {_OWN}
+SELECT row_id, string_agg(issue_type || ':' || affected_field, ',' ORDER BY seq) AS reasons FROM reasons GROUP BY 1""",
+    "own_check_score": f"""WITH {_OWN}, points AS (SELECT * FROM (VALUES ('missing_unique_key', 10), ('duplicate_unique_key', 10),
+  {', '.join(f"('{n}', {p})" for n, _, p in _CHECKS)}) v(issue_type, penalty))
+SELECT count(*) AS issue_count, greatest(0, 100 - sum(penalty))::BIGINT AS reliability_score,
+  (SELECT count(DISTINCT row_id) FROM reasons) AS rejected_row_count FROM found JOIN points USING (issue_type)""",
     "missingness_cube": f"""WITH {DIRTY}, levels AS (
   SELECT borough, agency, complaint_type, grouping_id(borough, agency, complaint_type)::BIGINT AS level, count(*) AS row_count,
     {', '.join(f'{count(blank("b_" + c))} AS missing_{c}' for c in _BLANKS)}

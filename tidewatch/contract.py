@@ -8,6 +8,12 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+#: Names of the findings that checks of the library make.
+BUILT_IN_FINDINGS = frozenset((
+    "blank", "missing_required_column", "unexpected_column", "invalid_timestamp", "invalid_numeric_value",
+    "numeric_out_of_range", "invalid_date_order", "missing_unique_key", "missing_required_value",
+    "duplicate_unique_key", "missingness_threshold_exceeded", "volume_anomaly", "category_drift", "unexpected_category",
+))
 DEFAULT_CONTRACT_PATH = Path(__file__).with_name("contracts") / "service_requests.yaml"
 
 
@@ -32,6 +38,20 @@ class DateOrder:
         return f"{self.later}/{self.earlier}"
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A check of the user's own: rows for which the SQL expression ``fails_when`` holds fail.
+
+    It counts as a finding on ``column`` (tables without that column skip it), rejects the row and
+    takes ``penalty`` points from the score. A null result is no failure.
+    """
+
+    name: str
+    column: str
+    fails_when: str
+    penalty: int = 10
+
+
 @dataclass(frozen=True)
 class Contract:
     columns: tuple[ColumnRule, ...] = ()
@@ -42,6 +62,13 @@ class Contract:
     dataset_id: str = "unknown"
     # Texts read as missing by the CSV source, next to null and blank.
     na_tokens: tuple[str, ...] = field(default=())
+    checks: tuple[RowCheck, ...] = ()
+
+    def __post_init__(self) -> None:
+        names = [c.name for c in self.checks]
+        clash = {n for n in names if names.count(n) > 1 or n in BUILT_IN_FINDINGS}
+        if clash:
+            raise ValueError(f"names of row checks must be new: {sorted(clash)}")
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, Any]) -> Contract:
@@ -73,6 +100,10 @@ class Contract:
             date_order=date_order,
             dataset_id=str((raw.get("dataset") or {}).get("id", "unknown")),
             na_tokens=tuple(raw.get("na_tokens") or ()),
+            checks=tuple(
+                RowCheck(c["name"], c["column"], c["fails_when"], int(c.get("penalty", 10)))
+                for c in raw.get("checks") or ()
+            ),
         )
 
     def rule(self, name: str) -> ColumnRule | None:

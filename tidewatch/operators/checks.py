@@ -79,6 +79,15 @@ def date_order_checks(tables: Tables, contract: Contract) -> list[Check]:
     return [Check(DATE_ORDER, rule.field, later < earlier)]
 
 
+def own_checks(tables: Tables, contract: Contract) -> list[Check]:
+    """The contract's own row checks, on tables that have their column."""
+    present = tables.all_columns()
+    return [
+        Check(check.name, check.column, tables.where_present(F.expr(f"({check.fails_when})"), check.column))
+        for check in contract.checks if check.column in present
+    ]
+
+
 def required_fields(tables: Tables, contract: Contract) -> list[str]:
     """Present columns that may not be empty, without the key column."""
     present = tables.all_columns()
@@ -100,4 +109,5 @@ def row_rejections(tables: Tables, contract: Contract) -> list[Check]:
         Check(MISSING_VALUE, name, blanks[name].condition)
         for name in required_fields(tables, contract)
     ]
+    reasons += own_checks(tables, contract)
     return reasons

@@ -14,6 +14,7 @@ from tidewatch.catalog import (
     SCHEMA_ISSUE_TYPES,
     WARNING_SCORE,
 )
+from tidewatch.contract import Contract
 from tidewatch.functions import percent
 from tidewatch.operators import checks as C
 from tidewatch.operators.incidents import worded
@@ -75,6 +76,9 @@ def _countable(profile: Profile) -> list[tuple]:
         add(C.DATE_ORDER, field, slot_of(profile, C.DATE_ORDER, field), contract.date_order.condition)
     for name in C.required_fields(tables, contract):
         add(C.MISSING_VALUE, name, slot_of(profile, C.BLANK, name), EXPECTED[C.MISSING_VALUE])
+    for check in contract.checks:
+        if check.column in tables.all_columns():
+            add(check.name, check.column, slot_of(profile, check.name, check.column), {"fails_when": check.fails_when})
     for rule in contract.columns:
         if rule.max_missing is not None and rule.name in tables.all_columns():
             add("missingness_threshold_exceeded", rule.name, slot_of(profile, C.BLANK, rule.name),
@@ -128,10 +132,11 @@ def validation_issues(profile: Profile, samples: DataFrame | None = None) -> Dat
     return worded(static.unionByName(counted).withColumn("severity", F.lit("error")))
 
 
-def penalty(issue_type: Column) -> Column:
-    """Score penalty of an issue type; zero for types without one."""
+def penalty(issue_type: Column, contract: Contract | None = None) -> Column:
+    """Score penalty of an issue type, the contract's own included; zero for types without one."""
     chain = F.lit(0)
-    for name, points in ISSUE_PENALTIES.items():
+    own = {check.name: check.penalty for check in contract.checks} if contract else {}
+    for name, points in {**ISSUE_PENALTIES, **own}.items():
         chain = F.when(issue_type == name, F.lit(points)).otherwise(chain)
     return chain
 
@@ -144,17 +149,18 @@ def health_status(score: Column) -> Column:
     )
 
 
-def validation_verdict(issues: DataFrame, scenarios: DataFrame) -> DataFrame:
+def validation_verdict(issues: DataFrame, scenarios: DataFrame, contract: Contract | None = None) -> DataFrame:
     """Passed, schema passed, issue count, score and health, one row per scenario.
 
-    The score takes a penalty per issue, whatever its row count. Scenarios without
+    The score takes a penalty per issue, whatever its row count; ``contract`` tells those of its
+    own checks. Scenarios without
     any issue come from ``scenarios`` and pass with a full score.
     """
     schema_type = F.col("issue_type").isin(list(SCHEMA_ISSUE_TYPES))
     found = issues.groupBy(SCENARIO).agg(
         F.count(F.lit(1)).alias("issue_count"),
         F.count_if(schema_type).alias("schema_issues"),
-        F.sum(penalty(F.col("issue_type"))).alias("penalty"),
+        F.sum(penalty(F.col("issue_type"), contract)).alias("penalty"),
     )
     score = F.greatest(F.lit(0), F.least(F.lit(100), F.lit(100) - F.col("penalty"))).cast("int")
     return (

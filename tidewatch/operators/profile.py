@@ -79,6 +79,7 @@ def profile(tables: Tables, contract: Contract) -> Profile:
         C.blank_checks(tables)
         + C.type_checks(tables, contract)
         + C.date_order_checks(tables, contract)
+        + C.own_checks(tables, contract)
     )
     words = -(-len(checks) // BITS_PER_WORD) or 1
     masks = [f"m{i}" for i in range(words)]
@@ -122,7 +123,8 @@ def profile(tables: Tables, contract: Contract) -> Profile:
     )
 
     must_fill = set(C.required_fields(tables, contract)) | ({contract.key} if has_key else set())
-    bad = any_of(C.INVALID_TIMESTAMP, C.INVALID_NUMERIC, C.OUT_OF_RANGE, C.DATE_ORDER) | any_of(
+    own = [check.name for check in contract.checks]
+    bad = any_of(C.INVALID_TIMESTAMP, C.INVALID_NUMERIC, C.OUT_OF_RANGE, C.DATE_ORDER, *own) | any_of(
         C.BLANK, fields=must_fill
     )
 

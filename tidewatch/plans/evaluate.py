@@ -107,7 +107,7 @@ class Evaluation:
 
     @property
     def verdicts(self) -> DataFrame:
-        return validation_verdict(self.validation_issues, self.tables.names_frame())
+        return validation_verdict(self.validation_issues, self.tables.names_frame(), self.contract)
 
     @property
     def quality(self) -> DataFrame:

@@ -60,7 +60,7 @@ def report_feed(
     issues = feed.sparkSession.read.parquet(f"{folder}/tables/feed_issues")
     kept = sinks.save_quarantine(quarantine.rejected_rows(tables, contract), folder)
     document = reliability_report(
-        checked, issues, validation_verdict(issues, tables.names_frame()),
+        checked, issues, validation_verdict(issues, tables.names_frame(), contract),
         ingestion_metadata(feed.select(*tables.columns[tables.names[0]]), source),
         runtime_seconds=time.perf_counter() - started,
     ).drop(SCENARIO)

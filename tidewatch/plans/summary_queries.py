@@ -5,17 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators import sketches
+from tidewatch.contract import Contract
+from tidewatch.operators import quarantine, sketches
+from tidewatch.operators.issues import validation_issues, validation_verdict
+from tidewatch.operators.profile import profile, quality_metrics
 from tidewatch.operators.ranking import global_ranks
 from tidewatch.operators.rollup import missingness_levels, rolled_up
 from tidewatch.operators.spans import sessions, sliding_volume
-from tidewatch.operators.tables import SCENARIO, split_table
+from tidewatch.operators.tables import SCENARIO, one_table, split_table
 from tidewatch.operators.volume import daily_counts
 from tidewatch.plans.feeds import read_table
 from tidewatch.plans.queries import dirty, query, r6
 from tidewatch.session import stored
 
 
+OWN = Contract.from_mapping({"unique_key_column": "unique_key", "checks": [
+    {"name": "open_with_closing_date", "column": "closed_date", "fails_when": "status = 'Open' and closed_date is not null", "penalty": 7},
+    {"name": "wrong_hemisphere", "column": "latitude", "fails_when": "try_cast(latitude as double) > 100", "penalty": 30},
+    {"name": "unknown_borough", "column": "borough", "fails_when": "borough not like 'B%'"},
+    {"name": "of_another_table", "column": "no_such_column", "fails_when": "no_such_column = 1"},
+]})
+
+
+def _own(spark, folder):
+    table = one_table(dirty(spark, folder), "row_id")
+    return table, profile(table, OWN)
+
+
+@query("own_check_issues")
+def _(spark, folder):
+    """Row checks that a contract defines itself, found by the one scan that finds the others."""
+    _, checked = _own(spark, folder)
+    return validation_issues(checked).select("issue_type", "affected_field", "issue_count", "observed_value", "expected_value")
+
+
+@query("own_check_rejected_rows")
+def _(spark, folder):
+    table, _ = _own(spark, folder)
+    rows = quarantine.rejected_rows(table, OWN)
+    return rows.select("row_id", F.concat_ws(",", quarantine.REASONS).alias("reasons"))
+
+
+@query("own_check_score")
+def _(spark, folder):
+    table, checked = _own(spark, folder)
+    verdict = validation_verdict(validation_issues(checked), table.names_frame(), OWN)
+    counted = quality_metrics(checked).select(SCENARIO, "rejected_row_count")
+    return verdict.join(counted, SCENARIO).select(
+        "issue_count", F.col("reliability_score").cast("long").alias("reliability_score"), "rejected_row_count")
+
+
 @query("missingness_cube")
 def _(spark, folder):
     """Blank values for every borough, agency and type, all their pairs, and alone."""
