@@ -74,6 +74,16 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpack_planes(data, np.uint64), dtype=np.uint64)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Whole numbers from zero on in the narrowest kind that holds them all."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return kind.char.encode() + pack_planes(counts.astype(kind))
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    return unpack_planes(data[1:], np.dtype(data[:1].decode())).astype(np.int64)
+
+
 def deal(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places) of sorted distinct keys; a shard's places ascend."""
     shard = (keys % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)

@@ -1,29 +1,37 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-The model is a bigram model over the words of all training documents: a word after a context
-has probability  mass * c(context word) / c(context) + (1 - mass) * p(word),  where p is the
-add-one unigram probability; after an unseen context, and at the start of a text, it is p.
+The model is an n-gram model (order three unless told otherwise) over the words of all training
+documents. Each order is smoothed by the one below it, which counts as a prior of a fixed number
+of observations: a word after a context has probability
 
-Counting: documents are dealt into chunks. A chunk sends its distinct words and word pairs as
+    (c(context word) + prior * p(word after the context less its first word)) / (c(context) + prior)
+
+and the lowest order is the add-one unigram probability. After an unseen context this is the
+shorter context's probability; at the start of a text contexts are as long as the text so far.
+
+Counting: documents are dealt into chunks. A chunk sends its distinct n-grams of every order as
 sorted hash keys with their counts in training documents to shards, which add up the counts of
 all chunks and answer each chunk with the totals of its keys (cells.py). So the counts cover the
 whole corpus, grow with it, and no task or driver holds them all.
 
 Scoring: from its totals a chunk builds the part of the trie that its documents can ask for.
-Level one holds word keys, level two the words after each context, both Elias-Fano coded;
-monotone pointers lead from a word to its successors, probabilities are quantised to 16 bits,
-and all levels lie in one memory-mapped file. A pair is looked up by successor search among
-the context's range only, with successors numbered relative to the context's base.
+Level one holds word keys; level n holds the words after each context of n - 1 words. Levels are
+chained by place: monotone pointers lead from a context's place to its successors. A successor is
+numbered relative to the shorter context (its place among the words that follow the context less
+its first word), which keeps numbers small. Pointers and successors are Elias-Fano coded, probabilities and
+back-off weights quantised to 16 bits, and all levels lie in one memory-mapped file. An n-gram is
+looked up by successor search among its context's range only.
 
 Word keys are 64-bit hashes: among ten million words the chance that any two share one is 3 in
-a million. Pair keys have 48 bits, which leaves a pair among a billion one that shares its key
-with a chance of 4 in a million; such pairs would pool their counts.
+a million. Keys of longer n-grams have 18 bits more than it takes to count the corpus's bytes, so
+fewer than one in a million shares its key with another (up to 64 TB of text; beyond that 64 bits
+are all there are); such n-grams would pool their counts.
 """
 
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -40,8 +48,10 @@ CHUNK_DOCS = 1024
 CHUNK_BYTES = 8 << 20
 #: Rows that are one row repeated more often than this, or than a 100,000th of all, are counted first.
 COPIES = 256
-#: Share of the probability that seen successors get.
-MASS = 0.4
+#: Words of the longest n-gram.
+ORDER = 3
+#: Observations that the order below counts as: for pairs, and for each longer order.
+PRIORS = (1000.0, 3.0)
 #: Key of the end of a text, which no word's hash is taken for.
 END = np.uint64(0x9AE16A3B2F90404F)
 #: Quantised log10 probabilities lie between -FLOOR and 0.
@@ -118,25 +128,56 @@ class EliasFano:
         high = (self._select(i, False) - i).astype(np.uint64)
         return high << np.uint64(self.low_bits) | self.low_at(i)
 
-    def successor(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Least place in [first, last) with at least that value, or last."""
-        if not self.n:
-            return last
-        high = np.minimum(value >> np.uint64(self.low_bits), np.uint64(64 * len(self.high) - self.n - 1)).astype(np.int64)
-        over = value >> np.uint64(self.low_bits) > high.astype(np.uint64)
+    def all(self) -> np.ndarray:
+        """All values, in order."""
+        places = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))[:self.n]
+        i = np.arange(self.n)
+        return (places - i).astype(np.uint64) << np.uint64(self.low_bits) | self.low_at(i)
+
+    def _next_zero(self, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Place of the unset bit with that rank, given the one before it."""
+        free = ~self.high[place >> 6] & ~((np.uint64(2) << (place & 63).astype(np.uint64)) - np.uint64(1))
+        lowest = free & (~free + np.uint64(1))
+        out = (place & ~63) + np.bitwise_count(lowest - np.uint64(1)).astype(np.int64)
+        far = np.flatnonzero(free == 0)  # not in the same word
+        out[far] = self._select(rank[far], True)
+        return out
+
+    def _search(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Least place in [first, last) with at least that value, or last; end of those with its high part; its low part."""
+        high = value >> np.uint64(self.low_bits)
+        top = np.uint64(64 * len(self.high) - self.n - 1)
+        over = high > top
+        high = np.minimum(high, top).astype(np.int64)
         # values with a smaller high part come before the zero that ends them
-        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), True) - np.maximum(high - 1, 0), 0)
-        end = self._select(high, True) - high
+        before = self._select(np.maximum(high - 1, 0), True)
+        begin = np.where(high > 0, before - (high - 1), 0)
+        end = np.where(high > 0, self._next_zero(before, high), before) - high
         low, up = np.clip(begin, first, last), np.clip(end, first, last)
-        low = np.where(over, last, low)
-        up = np.where(over, last, up)
+        low[over] = last[over]
+        up[over] = last[over]
+        stop = up.copy()
         wanted = value & ((np.uint64(1) << np.uint64(self.low_bits)) - np.uint64(1))
-        while (open_ := low < up).any():
-            mid = (low + up) >> 1
-            less = open_ & (self.low_at(np.minimum(mid, self.n - 1)) < wanted)
-            low = np.where(less, mid + 1, low)
-            up = np.where(open_ & ~less, mid, up)
-        return low
+        open_ = np.flatnonzero(low < up)
+        while len(open_):
+            mid = (low[open_] + up[open_]) >> 1
+            less = self.low_at(mid) < wanted[open_]
+            low[open_[less]] = mid[less] + 1
+            up[open_[~less]] = mid[~less]
+            open_ = open_[low[open_] < up[open_]]
+        return low, np.where(over, low, stop), wanted
+
+    def successor(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Least place in [first, last) with at least that value, or last."""
+        return self._search(value, first, last)[0] if self.n else last
+
+    def find(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Least place in [first, last) of exactly that value, or -1: its successor, if that has its bits."""
+        if not self.n:
+            return np.full(len(value), -1)
+        place, end, wanted = self._search(value, first, last)
+        found = (place < end) & (self.low_at(np.minimum(place, self.n - 1)) == wanted)
+        return np.where(found, place, -1)
 
 
 def quantise(log10: np.ndarray) -> np.ndarray:
@@ -148,24 +189,44 @@ def dequantise(codes: np.ndarray) -> np.ndarray:
 
 
 class Trie:
-    """Two levels of words and successors in one memory-mapped file.
+    """Levels of n-grams in one memory-mapped file.
 
-    ``words`` are sorted distinct keys; ``pairs`` of (context, word) as places among them,
-    sorted; ``p_words`` and ``p_pairs`` their log10 probabilities.
+    ``words`` are sorted distinct keys. ``levels`` describe the n-grams of two words, three words
+    and so on: (place of the context, place of the n-gram less its first word), both in the level
+    below, in any order but distinct. ``scores`` are the log10 probabilities of each level's
+    entries in the order given, ``backoffs`` their log10 weights as contexts (not of the last).
     """
 
-    def __init__(self, words: np.ndarray, p_words: np.ndarray, context: np.ndarray, follower: np.ndarray, p_pairs: np.ndarray):
-        pointers = np.concatenate(([0], np.cumsum(np.bincount(context, minlength=len(words))))).astype(np.uint64)
-        # every context's successors start above the last of the context before
-        base = np.arange(len(words) + 1, dtype=np.uint64) * np.uint64(max(1, len(words)))
-        parts = [EliasFano.build(words), EliasFano.build(pointers),
-                 EliasFano.build(follower.astype(np.uint64) + base[context])]
-        arrays = [a for p in parts for a in (p.low, p.high, p.ones)] + [quantise(p_words), quantise(p_pairs)]
-        arrays = self._mapped(arrays)
-        self.words, self.pointers, self.followers = (
-            EliasFano(p.n, p.low_bits, *arrays[3 * k: 3 * k + 3]) for k, p in enumerate(parts))
-        self.p_words, self.p_pairs = arrays[-2:]
-        self.base = np.uint64(max(1, len(words)))
+    def __init__(self, words: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]],
+                 scores: list[np.ndarray], backoffs: list[np.ndarray]):
+        self.n = [len(words)]
+        self.bases: list[np.uint64] = []
+        parts = [EliasFano.build(words)]
+        sorted_to = np.arange(len(words))  # where the level below put its entries
+        contexts, edges = None, None       # contexts of that level by place, and where successors begin
+        codes = [quantise(scores[0])]
+        weights = [quantise(backoffs[0])] if backoffs else []
+        for k, (context, tail) in enumerate(levels):
+            context, tail = sorted_to[context], sorted_to[tail]
+            follower = tail if edges is None else tail - edges[contexts[tail]]
+            base = int(follower.max(initial=0)) + 1
+            value = context * base + follower
+            order = np.argsort(value)
+            edges = np.concatenate(([0], np.cumsum(np.bincount(context, minlength=self.n[-1]))))
+            parts += [EliasFano.build(edges.astype(np.uint64)), EliasFano.build(value[order].astype(np.uint64))]
+            self.bases.append(np.uint64(base))
+            self.n.append(len(context))
+            contexts = context[order]
+            sorted_to = np.empty(len(order), np.int64)
+            sorted_to[order] = np.arange(len(order))
+            codes.append(quantise(scores[k + 1][order]))
+            if k + 1 < len(backoffs):
+                weights.append(quantise(backoffs[k + 1][order]))
+        arrays = self._mapped([a for p in parts for a in (p.low, p.high, p.ones)] + codes + weights)
+        coded = [EliasFano(p.n, p.low_bits, *arrays[3 * k: 3 * k + 3]) for k, p in enumerate(parts)]
+        self.words, self.pointers, self.followers = coded[0], coded[1::2], coded[2::2]
+        rest = arrays[3 * len(parts):]
+        self.scores, self.backoffs = rest[:len(codes)], rest[len(codes):]
 
     @staticmethod
     def _mapped(arrays: list[np.ndarray]) -> list[np.ndarray]:
@@ -183,28 +244,17 @@ class Trie:
 
     def find_words(self, keys: np.ndarray) -> np.ndarray:
         """Places of keys in level one; -1 for words that are not there."""
-        n = self.words.n
-        if not n:
-            return np.full(len(keys), -1)
-        place = self.words.successor(keys, np.zeros(len(keys), np.int64), np.full(len(keys), n))
-        found = (place < n) & (self.words.at(np.minimum(place, n - 1)) == keys)
-        return np.where(found, place, -1)
-
-    def find_pairs(self, context: np.ndarray, follower: np.ndarray) -> np.ndarray:
-        """Places in level two; -1 for pairs that are not there. Both are places in level one."""
-        if not self.followers.n or not len(context):
-            return np.full(len(context), -1)
-        edges = self.pointers.at(np.arange(self.pointers.n)).astype(np.int64)
-        first, last = edges[context], edges[context + 1]
-        wanted = follower.astype(np.uint64) + context.astype(np.uint64) * self.base
-        place = self.followers.successor(wanted, first, last)
-        n = self.followers.n
-        found = (place < last) & (self.followers.at(np.minimum(place, n - 1)) == wanted)
-        return np.where(found, place, -1)
+        return self.words.find(keys, np.zeros(len(keys), np.int64), np.full(len(keys), self.words.n))
 
+    def edges(self, level: int) -> np.ndarray:
+        """Where the successors of each entry begin in ``level`` (2 and up), and the end of the last."""
+        return self.pointers[level - 2].all().astype(np.int64)
 
-def _pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return cells.mix(a * np.uint64(0x9E3779B97F4A7C15) + b) >> np.uint64(16)
+    def find(self, level: int, context: np.ndarray, follower: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Places in ``level`` of successors numbered relative to the shorter context; -1 if not there."""
+        wanted = follower.astype(np.uint64) + context.astype(np.uint64) * self.bases[level - 2]
+        # a number beyond the largest one would stand for another context's, outside the range
+        return self.followers[level - 2].find(wanted, edges[context], edges[context + 1])
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,10 +266,35 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[order], rank[code]
 
 
+class Level:
+    """A chunk's distinct n-grams of one length.
+
+    ``keys`` ascend; ``ends`` are the tokens at which an n-gram ends and ``at`` (by token) the place
+    of that n-gram among the keys; ``context`` and ``tail`` are the places, one level below, of an
+    n-gram without its last and without its first word.
+    """
+
+    def __init__(self, hashes: np.ndarray, ends: np.ndarray, below: Level | None):
+        self.ends = ends
+        self.keys, found = _distinct(hashes)
+        self.at = found
+        if len(ends) and below is not None:
+            place = np.empty(len(self.keys), np.int64)
+            place[found] = ends  # any of an n-gram's places
+            self.context, self.tail = below.by_token[place - 1], below.by_token[place]
+        else:
+            self.context = self.tail = np.zeros(0, np.int64)
+
+    def spread(self, tokens: int) -> None:
+        """Places by token, for the level above."""
+        self.by_token = np.zeros(tokens, np.int64)
+        self.by_token[self.ends] = self.at
+
+
 class Chunk:
-    """A chunk's tokens: word keys and an END for every document."""
+    """A chunk's tokens, word keys and an END for every document, and their n-grams up to ``order``."""
 
-    def __init__(self, rows: pa.Table):
+    def __init__(self, rows: pa.Table, order: int, key_bits: int):
         self.number = rows["chunk"][0].as_py()
         self.doc_ids = rows["doc_id"].to_pylist()
         self.held_out = np.array(rows["held_out"].to_pylist(), bool)
@@ -233,21 +308,20 @@ class Chunk:
         self.counts = np.array(counts, np.int64)
         self.doc = np.repeat(np.arange(len(counts)), counts)
         self.starts = np.cumsum(self.counts) - self.counts
-        self.words, self.word_at = _distinct(self.tokens)
-        follows = np.ones(len(self.tokens), bool)
-        follows[self.starts] = False
-        self.second = np.flatnonzero(follows)
-        pair = _pair_keys(self.tokens[self.second - 1], self.tokens[self.second])
-        self.pairs, self.pair_at = _distinct(pair)
-        place = np.empty(len(self.pairs), np.int64)
-        place[self.pair_at] = self.second  # any of a pair's places
-        self.context, self.follower = self.word_at[place - 1], self.word_at[place]
-
-    def trained(self) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of the words and pairs in training documents."""
+        place = np.arange(len(self.tokens)) - self.starts[self.doc]
+        ends = np.arange(len(self.tokens))
+        self.levels = [Level(self.tokens, ends, None)]
+        hashes = self.tokens
+        for n in range(2, order + 1):
+            self.levels[-1].spread(len(self.tokens))
+            hashes = np.concatenate((hashes[:1], cells.mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.tokens[1:])))
+            ends = np.flatnonzero(place >= n - 1)
+            self.levels.append(Level(hashes[ends] >> np.uint64(64 - key_bits), ends, self.levels[-1]))
+
+    def trained(self) -> list[np.ndarray]:
+        """Counts of every level's n-grams in training documents."""
         times = np.where(self.held_out, 0, self.copies)[self.doc]
-        return (_sums(self.word_at, times, len(self.words)),
-                _sums(self.pair_at, times[self.second], len(self.pairs)))
+        return [_sums(level.at, times[level.ends], len(level.keys)) for level in self.levels]
 
 
 def _sums(at: np.ndarray, times: np.ndarray, size: int) -> np.ndarray:
@@ -259,14 +333,15 @@ def _sums(at: np.ndarray, times: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
-def _ask(shards: int):
-    """Cells of words (shards 0 ..) and of pairs (shards behind those)."""
+def _ask(shards: int, order: int, key_bits: int):
+    """Cells of words (shards 0 ..), of pairs (shards behind those), and so on."""
     def work(rows: pa.Table) -> list[tuple[int, int, bytes]]:
-        chunk = Chunk(rows)
+        chunk = Chunk(rows, order, key_bits)
         out = []
-        for level, keys, counts in zip((0, 1), (chunk.words, chunk.pairs), chunk.trained()):
-            for shard, at in cells.deal(keys, shards):
-                a, b = cells.pack_keys(keys[at]), cells.pack_planes(counts[at].astype(np.uint64))
+        for level, (grams, counts) in enumerate(zip(chunk.levels, chunk.trained())):
+            rest = grams.keys // np.uint64(shards)  # the remainder is the shard's number
+            for shard, at in cells.deal(grams.keys, shards):
+                a, b = cells.pack_keys(rest[at]), cells.pack_counts(counts[at])
                 out.append((level * shards + shard, chunk.number, len(a).to_bytes(4, "little") + a + b))
         return out
 
@@ -279,9 +354,9 @@ def _counts(payloads: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.nda
     for p in payloads:
         n = 4 + int.from_bytes(p[:4], "little")
         keys.append(cells.unpack_keys(p[4:n]))
-        counts.append(cells.unpack_planes(p[n:], np.uint64))
-    _, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.zeros(int(place.max()) + 1, np.uint64)
+        counts.append(cells.unpack_counts(p[n:]))
+    place, found = pd.factorize(np.concatenate(keys))
+    total = np.zeros(len(found), np.int64)
     np.add.at(total, place, np.concatenate(counts))
     return keys, place, total
 
@@ -290,11 +365,11 @@ def _totals(chunks: list[int], payloads: list[bytes]) -> list[bytes]:
     """The sums of all chunks' counts for every chunk's keys."""
     keys, place, total = _counts(payloads)
     replies = np.split(total[place], np.cumsum([len(k) for k in keys])[:-1])
-    return [cells.pack_planes(r) for r in replies]
+    return [cells.pack_counts(r) for r in replies]
 
 
 def _facts(shards: int):
-    """Trained words and tokens of a shard of words; nothing of a shard of pairs."""
+    """Trained words and tokens of a shard of words; nothing of a shard of longer n-grams."""
     def work(t: pa.Table) -> pa.Table:
         types = tokens = 0
         if t["shard"][0].as_py() < shards:
@@ -309,64 +384,88 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
           "base_score double, score double, copies long")
 
 
-def _score(shards: int, mass: float):
-    def place(parts: Iterator, answers: dict[int, bytes], level: int, total: int) -> np.ndarray:
-        out = np.zeros(total, np.uint64)
-        for shard, at in parts:
-            out[at] = cells.unpack_planes(answers[level * shards + shard], np.uint64)
-        return out.astype(np.float64)
+def _log_model(chunk: Chunk, counts: list[np.ndarray], size: int, priors: list[float]) -> np.ndarray:
+    """log10 probability of every token, read from the trie of the n-grams that training texts hold."""
+    for k, level in enumerate(chunk.levels[1:], 1):  # a count whose context has none is another n-gram's
+        counts[k] = counts[k] * ((counts[k - 1][level.context] > 0) & (counts[k - 1][level.tail] > 0))
+    seen = [np.flatnonzero(c) for c in counts]
+    renumbered = [np.cumsum(c > 0) - 1 for c in counts]
+    p = [(counts[0] + 1.0) / size]
+    for level, c, below, prior in zip(chunk.levels[1:], counts[1:], counts, priors):
+        p.append((c + prior * p[-1][level.tail]) / (below[level.context] + prior))
+    entries = [(renumbered[k][level.context[seen[k + 1]]], renumbered[k][level.tail[seen[k + 1]]])
+               for k, level in enumerate(chunk.levels[1:])]
+    backoffs = [np.log10(prior / (c[s] + prior)) for c, s, prior in zip(counts, seen, priors)]
+    trie = Trie(chunk.levels[0].keys[seen[0]], entries, [np.log10(x[s]) for x, s in zip(p, seen)], backoffs)
+
+    at = trie.find_words(chunk.levels[0].keys)
+    log10 = np.where(at >= 0, _codes(trie.scores[0], at), -np.log10(size))
+    token = log10[chunk.levels[0].at]
+    edges = begin = None  # begin: where the successors of an n-gram's context start, by n-gram
+    for n, level in enumerate(chunk.levels[1:], 2):
+        context, tail = at[level.context], at[level.tail]
+        follower = tail if begin is None else tail - begin[level.tail]
+        edges = trie.edges(n)
+        asked = np.flatnonzero((context >= 0) & (tail >= 0))
+        place = np.full(len(context), -1)
+        place[asked] = trie.find(n, context[asked], follower[asked], edges)
+        begin = edges[np.maximum(context, 0)]
+        shorter = log10[level.tail] + np.where(context >= 0, _codes(trie.backoffs[n - 2], context), 0.0)
+        log10, at = np.where(place >= 0, _codes(trie.scores[n - 1], place), shorter), place
+        token[level.ends] = log10[level.at]
+    return token
+
+
+def _codes(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Values at places; anything where there is no place."""
+    return dequantise(codes[np.maximum(at, 0)]) if len(codes) else np.zeros(len(at))
+
+
+def _score(shards: int, order: int, key_bits: int, priors: list[float]):
+    def place(level: int, keys: np.ndarray, answers: dict[int, bytes]) -> np.ndarray:
+        out = np.zeros(len(keys), np.int64)
+        for shard, at in cells.deal(keys, shards):
+            out[at] = cells.unpack_counts(answers[level * shards + shard])
+        return out
 
     def work(rows: pa.Table, replies: pa.Table) -> pa.Table:
         names = [f.split()[0] for f in SCORES.split(", ")]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         if not len(rows):
             return pa.table([pa.array([], k) for k in kinds], names=names)
-        chunk = Chunk(rows)
+        chunk = Chunk(rows, order, key_bits)
         types, tokens = replies["types"][0].as_py(), replies["tokens"][0].as_py()
         answers = dict(zip(replies["shard"].to_pylist(), replies["payload"].to_pylist()))
-        c_word = place(cells.deal(chunk.words, shards), answers, 0, len(chunk.words))
-        c_pair = place(cells.deal(chunk.pairs, shards), answers, 1, len(chunk.pairs))
+        counts = [place(k, level.keys, answers) for k, level in enumerate(chunk.levels)]
         size = tokens + types + 1
-        p_word = np.log10((c_word + 1) / size)
-
-        seen, known = np.flatnonzero(c_pair), np.flatnonzero(c_word)
-        rank = np.cumsum(c_word > 0) - 1  # words by their place in level one
-        context, follower = chunk.context[seen], chunk.follower[seen]
-        p_pair = np.log10(mass * c_pair[seen] / c_word[context] + (1 - mass) * 10 ** p_word[follower])
-        order = np.argsort(context * len(chunk.words) + follower)
-        trie = Trie(chunk.words[known], p_word[known], rank[context[order]], rank[follower[order]], p_pair[order])
-
-        at = trie.find_words(chunk.words)
-        p_one = np.where(at >= 0, dequantise(trie.p_words[np.maximum(at, 0)]) if len(known) else 0.0, -np.log10(size))
-        a, b = at[chunk.context], at[chunk.follower]
-        both = np.flatnonzero((a >= 0) & (b >= 0))
-        pair = np.full(len(a), -1)
-        pair[both] = trie.find_pairs(a[both], b[both])
-        backed = p_one[chunk.follower] + np.where(a >= 0, np.log10(1 - mass), 0.0)
-        p_two = np.where(pair >= 0, dequantise(trie.p_pairs[np.maximum(pair, 0)]) if len(seen) else 0.0, backed)
-
-        log10 = p_one[chunk.word_at]
-        log10[chunk.second] = p_two[chunk.pair_at]
+        words = chunk.levels[0].at
         add = lambda values: np.add.reduceat(values, chunk.starts)
-        columns = [chunk.doc_ids, chunk.held_out, chunk.counts, add((c_word > 0)[chunk.word_at].astype(np.int64)),
-                   np.full(len(chunk.counts), tokens), add(p_word[chunk.word_at]), add(log10), chunk.copies]
+        columns = [chunk.doc_ids, chunk.held_out, chunk.counts, add((counts[0] > 0)[words].astype(np.int64)),
+                   np.full(len(chunk.counts), tokens), add(np.log10((counts[0] + 1.0) / size)[words]),
+                   add(_log_model(chunk, counts, size, priors)), chunk.copies]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return work
 
 
-def score(docs: DataFrame, mass: float = MASS) -> DataFrame:
+def score(docs: DataFrame, order: int = ORDER, priors: Sequence[float] = PRIORS) -> DataFrame:
     """Scores of all rows of ``docs`` (doc_id, text) under the model of the training rows.
 
     Learns from rows whose crc32(doc_id as text) mod 7 is not 2; the others, and rows without
     doc_id, are held out. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score
-    (add-one unigram) and score, log10 of the text's probability. Null texts are empty: one
-    token, the end. Repeated rows count and are scored each (rows repeated very often once for all); without training rows all tokens
+    (add-one unigram) and score, log10 of the text's probability under n-grams of up to ``order``
+    words. ``priors`` are the priors of two words, three words and so on; the last one is also
+    that of all longer n-grams. Null texts are empty: one token, the end. Repeated rows count and
+    are scored each (rows repeated very often once for all); without training rows all tokens
     are unknown; no rows: no rows; extra columns are ignored.
     """
+    if order < 1 or not priors or min(priors) <= 0:
+        raise ValueError("order is a positive number, priors are positive numbers")
+    priors = [float(priors[min(k, len(priors) - 1)]) for k in range(order - 1)]
     rows = documents(docs)
     n, size, shards = cells.shard_count(rows)
     chunks = max(1, -(-n // CHUNK_DOCS), -(-size // CHUNK_BYTES))
+    key_bits = min(64, 18 + size.bit_length())
     key = F.xxhash64("doc_id", "text")
     often = rows.groupBy(key.alias("often")).count().filter(F.col("count") > max(COPIES, n // 100_000))
     often = [r["often"] for r in often.select("often").collect()]
@@ -378,12 +477,12 @@ def score(docs: DataFrame, mass: float = MASS) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True))
     rows = rows.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "doc_id", held.alias("held_out"), "text", "copies")
-    asked = cells.request(rows, _ask(shards))
+    asked = cells.request(rows, _ask(shards, order, key_bits))
     # one row; the shards' cells are shuffled once for both uses
     facts = asked.groupBy("shard").applyInArrow(_facts(shards), "types long, tokens long").agg(
         F.sum("types").alias("types"), F.sum("tokens").alias("tokens"))
     replies = cells.answer(asked, _totals).crossJoin(F.broadcast(facts))
-    scores = rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_score(shards, mass), SCORES)
+    scores = rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_score(shards, order, key_bits, priors), SCORES)
     if often:
         scores = scores.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("_")
     return scores.drop("copies")
