@@ -6,9 +6,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 from tidewatch.llm import ngrams
+from tidewatch.llm.common import LOWER
 
 SCHEMA = "doc_id long, text string, chunk string, score int"
 
@@ -81,6 +84,16 @@ def test_longer_contexts_predict_held_out_texts_better(spark):
     assert one < two < three
 
 
+def test_tokens_are_those_of_split():
+    texts = [b"", b" ", b"  A\x0bb\tA\xc3\x89 \x1c \r\n", b"\xff\xfe a\xa0b A", b"a", b"\x0c\x0c", "ÀB\u2003\x85 x".encode()]
+    for few in (texts, texts[:2], [b"a"]):
+        keys, at, counts = ngrams._tokens(pa.chunked_array([few[:1], few[1:]], pa.binary()))
+        wanted = [[xxhash.xxh64_intdigest(w) for w in t.translate(LOWER).split()] + [int(ngrams.END)] for t in few]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert keys[at].tolist() == sum(wanted, [])
+        assert (np.diff(keys) > 0).all() if len(keys) > 1 else True
+
+
 def test_order_and_priors_are_checked(spark):
     frame = spark.createDataFrame([(1, "a b", "x", 1)], SCHEMA)
     for wrong in ({"order": 0}, {"priors": ()}, {"priors": (5.0, 0.0)}):

@@ -36,11 +36,13 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import cells
-from .common import LOWER, documents
+from .common import documents
 
 #: Documents of one chunk.
 CHUNK_DOCS = 1024
@@ -54,6 +56,8 @@ ORDER = 3
 PRIORS = (1000.0, 3.0)
 #: Key of the end of a text, which no word's hash is taken for.
 END = np.uint64(0x9AE16A3B2F90404F)
+#: Searches made at once.
+BLOCK = 1 << 14
 #: Quantised log10 probabilities lie between -FLOOR and 0.
 FLOOR, STEPS = 24.0, 65535
 
@@ -175,9 +179,14 @@ class EliasFano:
         """Least place in [first, last) of exactly that value, or -1: its successor, if that has its bits."""
         if not self.n:
             return np.full(len(value), -1)
-        place, end, wanted = self._search(value, first, last)
-        found = (place < end) & (self.low_at(np.minimum(place, self.n - 1)) == wanted)
-        return np.where(found, place, -1)
+        out = np.full(len(value), -1)
+        order = np.argsort(value)
+        for begin in range(0, len(order), BLOCK):  # neighbours together, in pieces that stay in the cache
+            some = order[begin: begin + BLOCK]
+            place, end, wanted = self._search(value[some], first[some], last[some])
+            found = (place < end) & (self.low_at(np.minimum(place, self.n - 1)) == wanted)
+            out[some[found]] = place[found]
+        return out
 
 
 def quantise(log10: np.ndarray) -> np.ndarray:
@@ -261,33 +270,56 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values, ascending, and the place of every value among them."""
     code, found = pd.factorize(values)
     order = np.argsort(found)
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     return found[order], rank[code]
 
 
+def _tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of the words and END, ascending; the place of every token's; tokens of every text.
+
+    Arrow lower-cases and splits in one pass each and numbers the words, so a word is hashed once.
+    """
+    lower = pc.ascii_lower(pc.cast(texts, options=pc.CastOptions(pa.string(), allow_invalid_utf8=True)))
+    parts = pc.ascii_split_whitespace(lower)
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
+    coded = pc.list_flatten(parts).dictionary_encode().combine_chunks()
+    if isinstance(coded, pa.ChunkedArray):  # no words at all, or none in one piece
+        coded = pa.concat_arrays(coded.chunks)
+    number = coded.indices.to_numpy()
+    words = pc.cast(coded.dictionary, pa.binary()).to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    real = np.fromiter(map(len, words), np.int64, len(words)) > 0  # empty before leading white space
+    keep = real[number]
+    if not keep.all():
+        text, number = text[keep], number[keep]
+    counts = np.bincount(text, minlength=len(texts)) + 1
+    numbers = np.full(len(number) + len(texts), len(words), np.int32)  # END where no word goes
+    numbers[np.arange(len(number)) + text] = number
+    keys, rank = np.unique(np.append(np.where(real, hashes, END), END), return_inverse=True)
+    return keys, rank.astype(np.int32)[numbers], counts
+
+
 class Level:
     """A chunk's distinct n-grams of one length.
 
-    ``keys`` ascend; ``ends`` are the tokens at which an n-gram ends and ``at`` (by token) the place
+    ``keys`` ascend; ``ends`` are the tokens at which an n-gram ends and ``at`` (by end) the place
     of that n-gram among the keys; ``context`` and ``tail`` are the places, one level below, of an
     n-gram without its last and without its first word.
     """
 
-    def __init__(self, hashes: np.ndarray, ends: np.ndarray, below: Level | None):
-        self.ends = ends
-        self.keys, found = _distinct(hashes)
-        self.at = found
+    def __init__(self, keys: np.ndarray, at: np.ndarray, ends: np.ndarray, below: Level | None):
+        self.keys, self.at, self.ends = keys, at, ends
         if len(ends) and below is not None:
-            place = np.empty(len(self.keys), np.int64)
-            place[found] = ends  # any of an n-gram's places
+            place = np.empty(len(keys), np.int64)
+            place[at] = ends  # any of an n-gram's places
             self.context, self.tail = below.by_token[place - 1], below.by_token[place]
         else:
             self.context = self.tail = np.zeros(0, np.int64)
 
     def spread(self, tokens: int) -> None:
         """Places by token, for the level above."""
-        self.by_token = np.zeros(tokens, np.int64)
+        self.by_token = np.zeros(tokens, np.int32)
         self.by_token[self.ends] = self.at
 
 
@@ -299,24 +331,18 @@ class Chunk:
         self.doc_ids = rows["doc_id"].to_pylist()
         self.held_out = np.array(rows["held_out"].to_pylist(), bool)
         self.copies = rows["copies"].to_numpy().astype(np.int64)
-        tokens, counts, known = [], [], cells.WordHashes()
-        for text in rows["text"].to_pylist():
-            words = text.translate(LOWER).split()
-            tokens += [known.of(words), np.array([END])]
-            counts.append(len(words) + 1)
-        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
-        self.counts = np.array(counts, np.int64)
-        self.doc = np.repeat(np.arange(len(counts)), counts)
+        keys, words_at, self.counts = _tokens(rows["text"])
+        self.tokens = keys[words_at]
+        self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
         self.starts = np.cumsum(self.counts) - self.counts
         place = np.arange(len(self.tokens)) - self.starts[self.doc]
-        ends = np.arange(len(self.tokens))
-        self.levels = [Level(self.tokens, ends, None)]
+        self.levels = [Level(keys, words_at, np.arange(len(self.tokens)), None)]
         hashes = self.tokens
         for n in range(2, order + 1):
             self.levels[-1].spread(len(self.tokens))
             hashes = np.concatenate((hashes[:1], cells.mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.tokens[1:])))
             ends = np.flatnonzero(place >= n - 1)
-            self.levels.append(Level(hashes[ends] >> np.uint64(64 - key_bits), ends, self.levels[-1]))
+            self.levels.append(Level(*_distinct(hashes[ends] >> np.uint64(64 - key_bits)), ends, self.levels[-1]))
 
     def trained(self) -> list[np.ndarray]:
         """Counts of every level's n-grams in training documents."""
