@@ -70,11 +70,18 @@ def test_odd_rows(spark):
     assert substrings.dedup(frame.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [None, 6])
-def test_rows_that_share_an_id_are_split(spark, monkeypatch, hot):
+def test_long_texts_make_smaller_chunks():
+    bits = [substrings.chunk_bits(1000, 1000 * mean) for mean in (0, 3000, 12_000, 200_000, 10**8)]
+    assert bits == [10, 10, 8, 4, 4] and substrings.chunk_bits(0, 0) == 10
+    assert all((12_000 + substrings.ROW) << b <= substrings.HEAVY // 2 for b in bits[2:3])
+
+
+@pytest.mark.parametrize("hot,most", [(None, 1000), (6, 1000), (6, 2)])
+def test_rows_that_share_an_id_are_split(spark, monkeypatch, hot, most):
     monkeypatch.setattr(substrings, "CHUNK_BITS", 2)
     monkeypatch.setattr(substrings, "HEAVY", 4000)
     monkeypatch.setattr(substrings, "PART", 2000)
+    monkeypatch.setattr(substrings, "MOST_PARTITIONS", most)
     draw = random.Random(9)
     text = lambda: " ".join(draw.choice("a b ab É ö".split()) for _ in range(draw.randrange(0, 40)))
     rows = [(k, text()) for k in range(40)]

@@ -25,18 +25,21 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 from itertools import repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ranking import with_positions
+
 from . import cells
-from .common import checkpoint, documents, with_carried
+from .common import documents, stored, with_carried
 
 WINDOW, PHRASE = 20, 8
 #: Letters that spell words for the automaton, at each place of a word.
@@ -47,6 +50,8 @@ CHUNK_BITS = 10
 LAST = 1 << 60
 #: Bytes of a chunk that is split, and of the parts it is split into; a row counts ROW more.
 HEAVY, PART, ROW = 8 << 20, 4 << 20, 64
+#: Partitions that heavy chunks are sorted into, at most, and bits for the numbers of a partition's parts.
+MOST_PARTITIONS, PIECE_BITS = 20_000, 24
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 class Chunk:
@@ -205,31 +210,53 @@ def _flags(parts: list[tuple[int, np.ndarray]], answers: dict[int, bytes], total
     return out
 
 
+def chunk_bits(rows: int, size: int) -> int:
+    """Bits of a doc_id that a chunk spans: fewer where texts are long, so that few chunks are heavy."""
+    bits = CHUNK_BITS
+    while bits > 4 and (size // max(rows, 1) + ROW) << bits > HEAVY // 2:
+        bits -= 1
+    return bits
+
+
+def _pieces(part: int):
+    """Sorted rows of heavy chunks, their numbers raised by one at every ``part`` bytes."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            ends = total + np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False) + ROW, dtype=np.int64)
+            total = int(ends[-1]) if len(ends) else total
+            number = pa.array(batch["chunk"].to_numpy() + ends // part, pa.int64())
+            yield batch.set_column(batch.schema.get_field_index("chunk"), "chunk", number)
+
+    return work
+
+
 def chunked(rows: DataFrame) -> tuple[DataFrame, int]:
     """Rows with the number of their ``chunk``, and the number of shards.
 
     Rows of heavy chunks are sorted into parts by doc_id and text, rows without doc_id by
     nothing but their place in the input, which also parts repeated rows. They are stored,
-    because every later step must find them in the same part.
+    because every later step must find them in the same part. Heavy chunks are a table, numbered
+    in Spark; only their count and bytes come to the driver.
     """
-    rows = rows.select(F.coalesce(F.shiftright("doc_id", CHUNK_BITS), F.lit(LAST)).alias("chunk"), "*")
-    sizes = rows.groupBy("chunk").agg(
-        F.sum(F.octet_length("text")).alias("b"), F.sum(F.octet_length("text") + ROW).alias("size"))
-    heavy = F.col("size") > HEAVY
-    facts = sizes.agg(
-        F.sum("b").alias("b"), F.sum(F.when(heavy, F.col("size"))).alias("size"),
-        F.sort_array(F.collect_list(F.when(heavy, F.col("chunk")))).alias("chunks")).first()
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     shards = cells.shards_for(facts["b"])
-    if not facts["chunks"]:
+    bits = chunk_bits(facts["n"], facts["b"] or 0)
+    rows = rows.select(F.coalesce(F.shiftright("doc_id", bits), F.lit(LAST)).alias("chunk"), "*")
+    sizes = rows.groupBy(F.col("chunk").alias("hot")).agg(F.sum(F.octet_length("text") + ROW).alias("size"))
+    hot = with_positions(sizes.where(F.col("size") > HEAVY), ["hot"], "hot_at")
+    size = hot.agg(F.sum("size")).first()[0]
+    if not size:
         return rows, shards
-    hot = rows.sparkSession.createDataFrame(list(enumerate(facts["chunks"])), "hot_at long, hot long")
-    hot, same = F.broadcast(hot), F.col("chunk") == F.col("hot")
-    spread = rows.join(hot, same).withColumn("salt", F.monotonically_increasing_id()).repartitionByRange(
-        -(-facts["size"] // PART), "chunk", "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("text")), "salt")
-    # a part may hold the end of one heavy chunk and the start of the next: numbers tell them apart
-    number = F.lit(LAST + 1) + F.spark_partition_id() + F.col("hot_at")
-    stored = checkpoint(spread.withColumn("chunk", number).select(*rows.columns))
-    return rows.join(hot, same, "left_anti").unionByName(stored), shards
+    same = F.col("chunk") == F.col("hot")
+    order = ["chunk", "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("text")), "salt"]
+    spread = (rows.join(hot, same).withColumn("salt", F.monotonically_increasing_id())
+              .repartitionByRange(min(-(-size // PART), MOST_PARTITIONS), *order).sortWithinPartitions(*order))
+    # a partition may hold the end of one heavy chunk and the start of the next: numbers tell them apart
+    number = F.lit(LAST + 1) + F.shiftleft(F.spark_partition_id() + F.col("hot_at"), PIECE_BITS)
+    spread = spread.withColumn("chunk", number).select(*rows.columns)
+    parts = stored(spread.mapInArrow(_pieces(PART), spread.schema), "parts")
+    return rows.join(hot, same, "left_anti").unionByName(parts), shards
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, carry: Sequence[str] = ()) -> DataFrame:
@@ -240,7 +267,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, carry: Se
     Null texts have no words and become empty. Rows of one doc_id are taken in order of their
     texts, so of repeated rows the first stays. Rows without doc_id come after all others and
     may repeat words of any. No rows: no rows; extra columns are ignored. doc_ids are expected
-    to be fairly dense: 1,024 neighbouring ids are one chunk, or more if they are heavy. Columns named in ``carry`` come
+    to be fairly dense: 1,024 neighbouring ids are one chunk (fewer where texts are long), or more if they are heavy. Columns named in ``carry`` come
     back in the struct ``carried``.
     """
     if not 0 < phrase <= window:
