@@ -187,6 +187,27 @@ def test_sample_with_replacement(spark, draws):
         assert got.count() == draws and as_set(got, "pick", "row_id") == wanted
 
 
+@pytest.mark.parametrize("draws", [0, 1, 37, 250])
+def test_independent_picks(spark, draws):
+    """Each pick by its own hash; rows that share an id are rows of their own, those without one are the last."""
+    ids = [*range(90), *range(5), None, None]
+    rows = [(i, f"text {n}") for n, i in enumerate(ids)]
+    frame = spark.createDataFrame(rows, "row_id long, body string")
+    order = sorted(rows, key=lambda r: (r[0] is None, md5(f"5|{r[0]}"), r[1]))
+    wanted = {(i, *order[int(md5(f"5|draw|{i}")[:15], 16) % len(rows)]) for i in range(draws)}
+    for version in (frame, frame.repartition(7)):
+        got = sampling.sample_with_replacement(version, draws, len(rows), 5, "row_id", independent=True)
+        assert got.count() == draws and as_set(got, "pick", "row_id", "body") == wanted
+
+
+def test_the_query_draws_independently(spark):
+    import __spark_entry__ as entry
+
+    found = entry.queries()["sample_with_replacement"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.pick for r in found) == list(range(len(found)))
+    assert "draw|" in entry.oracle_sql()["sample_with_replacement"]
+
+
 def test_repeats_are_as_many_as_independent_picks_leave():
     draw = random.Random(3)
     population, draws, rounds = 400, 1000, 300
