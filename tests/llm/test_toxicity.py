@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -100,3 +101,30 @@ def test_rows_that_share_a_label_count_once(spark):
     often = spark.createDataFrame(rows + rows[:3] * 500, "doc_id long, text string").repartition(3)
     a, b = toxicity.train(once, labels), toxicity.train(often, labels)
     assert (a.kept == b.kept).all() and np.allclose(a.weights, b.weights) and np.allclose(a.at, b.at)
+
+
+def test_a_fit_needs_little_more_memory_than_its_features():
+    """Rare features, which most are, are counted and never numbered."""
+    rng = np.random.default_rng(11)
+    label = (np.arange(1500) % 5 == 0).astype(np.int64)
+    found = [np.unique(np.concatenate([rng.integers(100, 2**32, 1000, dtype=np.uint32), np.array([7 + b, 20 + k % 9], np.uint32)]))
+             for k, b in enumerate(label)]
+    tracemalloc.start()
+    model = toxicity.fit_texts(label, found, 3, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * sum(x.nbytes for x in found)
+    assert {7, 8} <= set(model.kept.tolist())
+
+
+def test_features_are_counted_once_a_text():
+    found = [np.array(x, np.uint32) for x in ([1, 5, 9], [], [5], [5, 9, 2**32 - 1])]
+    flat = toxicity.ordered(found)
+    for least in range(1, 6):
+        names = toxicity.shared_by(flat, least)
+        assert names.tolist() == [x for x, n in ((1, 1), (5, 3), (9, 2), (2**32 - 1, 1)) if n >= least]
+    assert toxicity.times(flat, np.array([1, 4, 5, 9], np.uint32)).tolist() == [1, 0, 3, 2]
+    rows, at = toxicity.pairs(found, np.array([5, 2**32 - 1], np.uint32))
+    assert list(zip(rows.tolist(), at.tolist())) == [(0, 0), (2, 0), (3, 0), (3, 1)]
+    none = toxicity.ordered([])
+    assert not len(toxicity.shared_by(none, 5)) and [len(x) for x in toxicity.pairs(found, none)] == [0, 0]

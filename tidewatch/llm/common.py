@@ -12,7 +12,7 @@ from tidewatch.operators.ranking import with_positions
 from tidewatch.session import cut_lineage as checkpoint
 from tidewatch.session import stored
 
-__all__ = ["checkpoint", "documents", "each", "following", "held", "read", "stored", "streamed", "text_bytes", "with_carried"]
+__all__ = ["checkpoint", "documents", "each", "following", "held", "let_go", "read", "stored", "streamed", "text_bytes", "with_carried"]
 
 #: bytes.translate table that lower-cases A-Z and leaves every other byte alone.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -35,6 +35,12 @@ def held(key: object, make: Callable[[], object]) -> object:
     return _HELD[key]
 
 
+def let_go(key: object = None) -> None:
+    """Forgets what other operators held in this worker (all but ``key``)."""
+    if key not in _HELD:
+        _HELD.clear()
+
+
 def streamed(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], key: object = None):
     """A function for ``mapInArrow`` that is tidy with its worker's memory.
 
@@ -42,8 +48,7 @@ def streamed(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     back when its task ends.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _HELD:
-            _HELD.clear()
+        let_go(key)
         try:
             yield from work(batches)
         finally:

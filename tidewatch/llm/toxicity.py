@@ -13,15 +13,16 @@ broadcast and every document is scored where it is read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, each, streamed
+from .common import documents, each, let_go, streamed
 
 #: Labelled documents that the model is fitted on.
 SAMPLE = 20_000
@@ -122,21 +123,55 @@ def fit(grades: np.ndarray, rows: np.ndarray, codes: np.ndarray, width: int, lev
     return x[:width], x[width] + np.concatenate(([0], np.cumsum(np.exp(x[width + 1:]))))
 
 
-def fit_texts(label: np.ndarray, found: list[np.ndarray], levels: int, binary: bool) -> Model:
-    """A model of texts given as their features."""
-    rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
-    flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
-    names, codes, count = np.unique(flat, return_inverse=True, return_counts=True)
+def ordered(found: Sequence[np.ndarray]) -> np.ndarray:
+    """All features of some texts, ascending, each as often as texts have it."""
+    flat = np.concatenate(found) if len(found) else np.zeros(0, np.uint32)
+    flat.sort()
+    return flat
+
+
+def shared_by(flat: np.ndarray, least: int) -> np.ndarray:
+    """The distinct values that ``flat``, ascending, holds at least ``least`` times."""
+    heads = flat[:max(0, len(flat) - least + 1)]
+    often = heads == flat[least - 1:]
+    often[1:] &= heads[1:] != heads[:-1]
+    return heads[often]
+
+
+def times(flat: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """How often ``flat``, ascending, holds each name."""
+    return np.searchsorted(flat, names, "right") - np.searchsorted(flat, names)
+
+
+def pairs(found: Sequence[np.ndarray], names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place in ``names``) of the texts' features that are among ``names``, one text at a time."""
+    places = []
+    for x in found:
+        at = np.minimum(np.searchsorted(names, x), max(0, len(names) - 1))
+        places.append(at[names[at] == x] if len(names) else at[:0])
+    rows = np.repeat(np.arange(len(found)), [len(x) for x in places])
+    return rows, np.concatenate(places) if places else np.zeros(0, np.int64)
+
+
+def fit_texts(label: np.ndarray, found: Sequence[np.ndarray], levels: int, binary: bool) -> Model:
+    """A model of texts given as their features (distinct, ascending).
+
+    Most features are not kept, so they are only counted; numbered pairs are made of the kept.
+    """
     bad = label > 0
-    inside = np.bincount(codes[bad[rows]], minlength=len(names)) / max(1, bad.sum())
-    outside = np.bincount(codes[~bad[rows]], minlength=len(names)) / max(1, (~bad).sum())
+    flat = ordered(found)
+    names = shared_by(flat, LEAST)
+    count = times(flat, names)
+    inside = times(ordered([x for x, b in zip(found, bad) if b]), names)
+    del flat
+    outside = (count - inside) / max(1, (~bad).sum())
+    inside = inside / max(1, bad.sum())
     share = count / max(1, len(label))
     error = np.sqrt(share * (1 - share) * (1 / max(1, bad.sum()) + 1 / max(1, (~bad).sum())))
-    kept = (count >= LEAST) & (np.abs(inside - outside) >= APART * error) & (error > 0)
-    rows, codes = rows[kept[codes]], (np.cumsum(kept) - 1)[codes[kept[codes]]]
-    width = int(kept.sum())
-    grades = severity_grades(label, rows, codes, width) if binary else np.clip(label, 0, levels - 1)
-    return Model(names[kept], *fit(grades, rows, codes, width, levels))
+    kept = names[(np.abs(inside - outside) >= APART * error) & (error > 0)]
+    rows, codes = pairs(found, kept)
+    grades = severity_grades(label, rows, codes, len(kept)) if binary else np.clip(label, 0, levels - 1)
+    return Model(kept, *fit(grades, rows, codes, len(kept), levels))
 
 
 def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, levels: int = 3,
@@ -162,9 +197,11 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column | None = None, level
             yield pa.record_batch([batch["doc_id"], batch["label"], pa.array(found, pa.binary())], names=["doc_id", "label", "codes"])
 
     def learn(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("codes", "ascending")])
-        found = [np.frombuffer(x, np.uint32) for x in t["codes"].to_pylist()]
-        model = fit_texts(np.array(t["label"].to_pylist(), np.int64), found, levels, binary)
+        let_go()
+        order = pc.sort_indices(t, [("doc_id", "ascending"), ("label", "ascending")]).to_pylist()
+        # the features stay where Arrow holds them
+        found = [np.frombuffer(t["codes"][i].as_buffer(), np.uint32) for i in order]
+        model = fit_texts(np.array([t["label"][i].as_py() for i in order], np.int64), found, levels, binary)
         parts = (model.kept, model.weights, model.at)
         return pa.table([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["kept", "weights", "at"])
 
