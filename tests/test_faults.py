@@ -13,7 +13,9 @@ from tidewatch.catalog import SCENARIO_BY_NAME, SCENARIOS
 from tidewatch.operators import drift as D
 from tidewatch.operators import faults, sampling
 from tidewatch.operators import profile as P
+from tidewatch.operators.issues import validation_issues
 from tidewatch.operators.tables import one_table
+from tidewatch.operators.volume import daily_counts
 
 #: Sizes of the scenarios on the feed of ``conftest``: each differs, none divides the feed evenly.
 SIZES = {
@@ -307,3 +309,35 @@ def test_spike_rows_name_their_sources(feed, plan):
     for row in faults.appended_rows(plan, faults.SPIKE).collect():
         assert row.created_date == rows[sources[row.row_id]].created_date
         assert row.descriptor == rows[sources[row.row_id]].descriptor
+
+
+def optimized(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scenario_copies_are_made_by_compiled_code(plan):
+    """A null filter inside the array would be interpreted, for every row and scenario."""
+    assert "lambda" not in optimized(faults.fan_out(plan).frame)
+
+
+def test_a_counting_pass_reads_conditions_once(feed, plan):
+    draws = [*plan.draws.values(), *plan.spike]
+    hashed, names = sampling._orders(feed, draws, "row_id")
+    assert len(plan.spike) > 1 and len(hashed.columns) == len(plan.draws) + 1 == len(names)
+    places = {sampling._place(d, ""): d for d in draws}
+    found = optimized(hashed.select(sampling._matching(places, names, 0).alias("m")))
+    assert found.count("date_format(") == 1 and found.count("md5(") == len(names)
+
+
+def test_days_are_read_once(feed):
+    assert optimized(daily_counts(one_table(feed, "row_id"))).count("date_format(") == 1
+
+
+def test_findings_need_no_digests(spark, contract):
+    rows = clean_rows()
+    rows += [{**r, "row_id": 100 + i} for i, r in enumerate(rows[:5])]
+    rows += [{**rows[0], "row_id": 200 + i, "agency": None, "unique_key": " " if i % 2 else None} for i in range(4)]
+    found = P.profile(faults.fan_out(faults.plan_faults(to_frame(spark, rows), sizes=SIZES)), contract)
+    assert "sha2(" in optimized(found.counters) and "sha2(" not in optimized(validation_issues(found))
+    assert "duplicate_rows" not in found.key_counters.columns
+    assert as_set(found.counters, *found.key_counters.columns) == as_set(found.key_counters, *found.key_counters.columns)
